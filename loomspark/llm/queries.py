@@ -7,14 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, simhash
+from . import exact_dedup, mixing, order_minhash, simhash, token_counts, token_store
 from .common import table
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def label_quality(labels: DataFrame) -> DataFrame:
     """(doc_id, quality): weight 2 for documents labelled good, 0.5 for those labelled bad."""
     return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("quality"))
@@ -60,7 +79,10 @@ SQL = {
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_store": op2_token_store,
+    "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_order_minhash": op7_order_minhash,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash": op10_simhash,
 }
