@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, order_minhash, simhash, token_counts, token_store
+from . import exact_dedup, language_id, mixing, order_minhash, piece_lattice, simhash, token_counts, token_store
 from .common import table
 
 
@@ -18,6 +18,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -34,6 +38,11 @@ def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.train(docs))
+
+
 def label_quality(labels: DataFrame) -> DataFrame:
     """(doc_id, quality): weight 2 for documents labelled good, 0.5 for those labelled bad."""
     return labels.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("quality"))
@@ -79,10 +88,12 @@ SQL = {
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_token_store": op2_token_store,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_order_minhash": op7_order_minhash,
+    "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash": op10_simhash,
 }
