@@ -24,8 +24,11 @@ from .common import stage
 
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 32 << 20
-UNITS = "block string, local int, unit string, n long, marked long"
-STREAMS = "block string, doc_id long, marked boolean, n long, crc long, body binary"
+STREAMS = "block string, doc_id long, mark int, n long, crc long, body binary"
+
+
+def units_schema(marks: int) -> str:
+    return "block string, local int, unit string" + "".join(f", n{k} long" for k in range(marks))
 
 
 def scan_only(docs: DataFrame) -> DataFrame:
@@ -35,12 +38,13 @@ def scan_only(docs: DataFrame) -> DataFrame:
     return docs if plain and docs.inputFiles() else stage(docs, "documents")
 
 
-def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str) -> DataFrame:
-    """``rows``: (doc_id, text, marked), a plain scan. ``kind``: "units" or "streams".
+def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, marks: int = 0) -> DataFrame:
+    """``rows``: (doc_id, text, mark), a plain scan. ``kind``: "units" or "streams".
 
-    Units: a row for each distinct unit of a block, with its occurrences and
-    those in marked rows. Streams: a row for each document with the numbers of
-    its units, their count, and the text's CRC-32.
+    Units: a row for each distinct unit of a block, with its occurrences in
+    rows of each mark from 0 to ``marks`` - 1 (n0, n1, ...). Streams: a row for
+    each document with its mark, the numbers of its units, their count, and
+    the text's CRC-32.
     """
 
     def scan(batches: Iterator) -> Iterator:
@@ -48,14 +52,14 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str) -
         import pyarrow as pa
 
         numbers: dict[str, int] = {}
-        counts, marked_counts = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        counts = np.zeros((marks, 1024), np.int64)
         at, part, held = None, 0, 0
 
         def units() -> pa.RecordBatch:
             n = len(numbers)
             return pa.RecordBatch.from_arrays(
-                [pa.array([f"{at}:{part}"] * n, pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(numbers), pa.string()), pa.array(counts[:n]), pa.array(marked_counts[:n])],
-                names=["block", "local", "unit", "n", "marked"],
+                [pa.array([f"{at}:{part}"] * n, pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(numbers), pa.string()), *(pa.array(c[:n]) for c in counts)],
+                names=["block", "local", "unit", *(f"n{k}" for k in range(marks))],
             )
 
         def parts() -> Iterator:
@@ -65,35 +69,34 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str) -
 
         for b in batches:
             out = []
-            for place, doc, text, marked in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            for place, doc, text, mark in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if place != at or held > BLOCK_BYTES:
                     if kind == "units":
                         yield from parts()
                     part = part + 1 if place == at else 0
                     at, held = place, 0
-                    numbers, counts, marked_counts = {}, np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+                    numbers, counts = {}, np.zeros((marks, 1024), np.int64)
                 held += len(text)
                 found = split(text)
                 for u in set(found).difference(numbers):
                     numbers[u] = len(numbers)
                 ids = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
                 if kind == "units":
-                    while len(counts) < len(numbers):
-                        counts, marked_counts = np.append(counts, np.zeros_like(counts)), np.append(marked_counts, np.zeros_like(counts))
-                    np.add.at(counts, ids, 1)
-                    if marked:
-                        np.add.at(marked_counts, ids, 1)
+                    while counts.shape[1] < len(numbers):
+                        counts = np.hstack((counts, np.zeros_like(counts)))
+                    if 0 <= mark < marks:
+                        np.add.at(counts[mark], ids, 1)
                 else:
                     raw = text.encode("utf-8", "surrogatepass")
-                    out.append((f"{at}:{part}", doc, marked, len(ids), zlib.crc32(raw), zlib.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)))
+                    out.append((f"{at}:{part}", doc, mark, len(ids), zlib.crc32(raw), zlib.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)))
             if out:
-                types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["block", "doc_id", "marked", "n", "crc", "body"])
+                types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["block", "doc_id", "mark", "n", "crc", "body"])
         if kind == "units":
             yield from parts()
 
     place = F.concat_ws(":", F.lower(F.hex(F.xxhash64(F.input_file_name(), F.input_file_block_start()))), F.spark_partition_id())
-    return rows.select(place.alias("at"), "doc_id", "text", "marked").mapInArrow(scan, UNITS if kind == "units" else STREAMS)
+    return rows.select(place.alias("at"), "doc_id", "text", "mark").mapInArrow(scan, units_schema(marks) if kind == "units" else STREAMS)
 
 
 def numbers_of(body: bytes):

@@ -167,7 +167,7 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
     """One row per input row: doc_id, n_pieces, ids array<int>, round_trip. ``path``: a SentencePiece model file."""
     n = slots(docs.sparkSession)
     docs = scan_only(docs)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), F.lit(False).alias("marked"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), F.lit(0).alias("mark"))
     units = scan_blocks(rows, split_units, "units").select("block", "local", "unit")
     distinct = stage(units.select("unit").distinct(), "units")
     known = encode_units(distinct.repartition(n, "unit"), path, fold)

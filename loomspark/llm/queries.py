@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, order_minhash, piece_lattice, simhash, token_counts, token_store
+from . import exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, simhash, subword_lm, token_counts, token_store
 from .common import table
 
 
@@ -34,6 +34,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op5_subword_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subword_lm.scores(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op6_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.fingerprints(table(spark, sf_dir, "documents"))
 
@@ -92,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_store": op2_token_store,
     "op3_token_counts": op3_token_counts,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_subword_lm": op5_subword_lm,
+    "op6_page_text": op6_page_text,
     "op7_order_minhash": op7_order_minhash,
     "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
