@@ -87,13 +87,21 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def merge_fold(edges: str, n: str) -> Column:
-    """Boundaries as bits of a long, after joining neighbours in the order of rank, then place. SQL for its short lambdas."""
+    """Boundaries as bits of a long, after joining neighbours in the order of rank, then place. SQL for its short lambdas.
+
+    Only edges of two characters or more can join anything, and each step
+    takes one boundary away, so there are no more steps than either. A sign
+    bit says that nothing is left to join; later steps then cost nothing.
+    """
     start, end = f"cast(shiftright(e, {AT_BITS + ID_BITS}) & 63 as int)", f"cast(shiftright(e, {ID_BITS}) & 63 as int)"
-    inner = f"(shiftleft(1L, {end}) - shiftleft(2L, {start}))"
-    joins = f"(shiftright(m, {start}) & 1L) = 1L and (shiftright(m, {end}) & 1L) = 1L and bit_count(m & {inner}) = 1"
+    # boundaries inside an edge and those at its ends
+    masks = f"named_struct('i', shiftleft(1L, {end}) - shiftleft(2L, {start}), 'b', shiftleft(1L, {start}) | shiftleft(1L, {end}))"
+    joins = "bit_count(m & e.i) = 1 and (m & e.b) = e.b"
     # the first edge in order that joins two neighbours, if any does
-    step = f"coalesce(m & ~get(transform(slice(filter({edges}, e -> {joins}), 1, 1), e -> {inner}), 0), m)"
-    return F.expr(f"aggregate(sequence(1, greatest({n} - 1, 1)), shiftleft(2L, {n}) - 1L, (m, i) -> {step})")
+    step = f"if(m < 0L, m, coalesce(m & ~get(filter(multi, e -> {joins}), 0).i, m | shiftleft(1L, 63)))"
+    fold = f"aggregate(slice(multi, 1, least(size(multi), {n})), shiftleft(2L, {n}) - 1L, (m, i) -> {step}, m -> m & ~shiftleft(1L, 63))"
+    # bound once: an expression inside a lambda is worked out for every element
+    return F.expr(f"get(transform(array(transform(filter({edges}, e -> {end} - {start} > 1), e -> {masks})), multi -> {fold}), 0)")
 
 
 def viterbi_fold(edges: str, n: str) -> Column:
@@ -112,6 +120,8 @@ def viterbi_fold(edges: str, n: str) -> Column:
 def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
     """(unit), distinct and not null, dealt by unit -> (unit, ids array<int>)."""
     spark = units.sparkSession
+    # units are grouped in memory up to this number a task, then by sorting
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(1 << 18))
     rows, byte0 = pieces(path)
     longest = max(len(p) for p, *_ in rows)
     known = F.broadcast(piece_table(spark, path))
@@ -134,13 +144,14 @@ def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
     met = short.join(lattice, "unit", "left").withColumn("n", F.length("unit")).withColumn("edges", F.coalesce("edges", F.array().cast("array<bigint>")))
     if fold != "merge":
         met = met.withColumn("ends", F.coalesce("ends", F.array().cast("array<struct<b:int,a:int,score:double,id:int>>")))
-    met = met.withColumn("mask", segment)
-    met = met.withColumn("cuts", F.expr("filter(sequence(0, n), p -> (shiftright(mask, p) & 1L) = 1L)"))
-    met = met.withColumn("ids_at", F.expr(f"map_from_entries(transform(edges, e -> struct(cast(shiftright(e, {ID_BITS}) & 4095 as int), cast(e & {(1 << ID_BITS) - 1} as int))))"))
+    met = met.withColumn("cuts", F.get(F.transform(F.array(segment), lambda mask: F.filter(F.sequence(F.lit(0), F.col("n")), lambda p: mask.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p)) != 0)), F.lit(0)))
+    table = F.expr(f"map_from_entries(transform(edges, e -> struct(cast(shiftright(e, {ID_BITS}) & 4095 as int), cast(e & {(1 << ID_BITS) - 1} as int))))")
     utf8 = "hex(encode(substring(unit, a + 1, 1), 'utf-8'))"
     as_bytes = f"transform(sequence(1, octet_length(substring(unit, a + 1, 1))), k -> {byte0} + cast(conv(substring({utf8}, 2 * k - 1, 2), 16, 10) as int))"
-    one = f"if(ids_at[a * 64 + b] is not null, array(ids_at[a * 64 + b]), {as_bytes})"
-    native = met.select("unit", F.expr(f"flatten(zip_with(slice(cuts, 1, size(cuts) - 1), slice(cuts, 2, size(cuts) - 1), (a, b) -> {one}))").alias("ids"))
+    native = met.withColumn("pair", F.struct(F.col("cuts").alias("c"), table.alias("t"))).select(
+        "unit",
+        F.expr(f"get(transform(array(pair), q -> flatten(zip_with(slice(q.c, 1, size(q.c) - 1), slice(q.c, 2, size(q.c) - 1), (a, b) -> if(q.t[a * 64 + b] is null, {as_bytes}, array(q.t[a * 64 + b]))))), 0)").alias("ids"),
+    )
 
     def by_library(batches: Iterator) -> Iterator:
         import pyarrow as pa
