@@ -2,10 +2,10 @@
 
 Looking up a corpus-wide table for every word of every text would shuffle all
 word occurrences. Instead the scan's partitions are cut into blocks of bounded
-size. A block numbers its distinct units; only (block, number, unit) rows are
-joined to the table, and the answers, packed, meet the block's documents, which
-travel as compressed number streams. No join key is hotter than the number of
-blocks.
+size. A block numbers its distinct units, the frequent ones first; only (block,
+number, unit) rows are joined to the table, and the answers, packed, meet the
+block's documents, which travel as compressed number streams. No join key is
+hotter than the number of blocks.
 
 The two kinds of rows come from two scans, which must see the same partitions.
 So ``scan_only`` writes any input that isn't a plain file scan to the shared
@@ -15,6 +15,7 @@ folder first; each document's check sum guards the result.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
@@ -24,11 +25,11 @@ from .common import stage
 
 #: Bytes of text in a block, about.
 BLOCK_BYTES = 32 << 20
-STREAMS = "block string, doc_id long, mark int, n long, crc long, body binary"
+STREAMS = "block long, doc_id long, mark int, n long, crc long, body binary"
 
 
 def units_schema(marks: int) -> str:
-    return "block string, local int, unit string" + "".join(f", n{k} long" for k in range(marks))
+    return "block long, local int, unit string" + "".join(f", n{k} long" for k in range(marks))
 
 
 def scan_only(docs: DataFrame) -> DataFrame:
@@ -38,6 +39,21 @@ def scan_only(docs: DataFrame) -> DataFrame:
     return docs if plain and docs.inputFiles() else stage(docs, "documents")
 
 
+def planes(ids) -> bytes:
+    """Whole numbers below 2^32, compressed byte plane by byte plane."""
+    import numpy as np
+
+    return zlib.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def numbers_of(body: bytes):
+    """The numbers that ``planes`` packed."""
+    import numpy as np
+
+    raw = np.frombuffer(zlib.decompress(body), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1) if raw.size else np.zeros(0, "<u4")
+
+
 def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, marks: int = 0) -> DataFrame:
     """``rows``: (doc_id, text, mark), a plain scan. ``kind``: "units" or "streams".
 
@@ -51,57 +67,46 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, m
         import numpy as np
         import pyarrow as pa
 
-        numbers: dict[str, int] = {}
-        counts = np.zeros((marks, 1024), np.int64)
+        counters = [Counter() for _ in range(marks + 1)]  # the last one takes all other marks
+        docs: list[tuple] = []
         at, part, held = None, 0, 0
 
-        def units() -> pa.RecordBatch:
-            n = len(numbers)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f"{at}:{part}"] * n, pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(numbers), pa.string()), *(pa.array(c[:n]) for c in counts)],
-                names=["block", "local", "unit", *(f"n{k}" for k in range(marks))],
-            )
-
-        def parts() -> Iterator:
-            whole = units()
-            for i in range(0, whole.num_rows, 10000):
-                yield whole.slice(i, 10000)
+        def numbered() -> dict[str, int]:
+            total = counters[-1]
+            for c in counters[:-1]:
+                total = total + c
+            # a total order, which both scans share
+            return {u: i for i, (u, _) in enumerate(sorted(total.items(), key=lambda x: (-x[1], x[0])))}
+
+        def flush() -> Iterator:
+            numbers = numbered()
+            if kind == "units":
+                found, step = list(numbers), 10000
+                for i in range(0, len(found), step):
+                    some = found[i : i + step]
+                    counts = [pa.array([c[u] for u in some], pa.int64()) for c in counters[:marks]]
+                    yield pa.RecordBatch.from_arrays([pa.array([at + part] * len(some), pa.int64()), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.array(some, pa.string()), *counts], names=["block", "local", "unit", *(f"n{k}" for k in range(marks))])
+                return
+            for i in range(0, len(docs), 1000):
+                out = [(at + part, doc, mark, len(found), crc, planes(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))) for doc, mark, crc, found in docs[i : i + 1000]]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["block", "doc_id", "mark", "n", "crc", "body"])
 
         for b in batches:
-            out = []
             for place, doc, text, mark in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if place != at or held > BLOCK_BYTES:
-                    if kind == "units":
-                        yield from parts()
+                    yield from flush()
                     part = part + 1 if place == at else 0
                     at, held = place, 0
-                    numbers, counts = {}, np.zeros((marks, 1024), np.int64)
+                    counters, docs = [Counter() for _ in range(marks + 1)], []
                 held += len(text)
                 found = split(text)
-                for u in set(found).difference(numbers):
-                    numbers[u] = len(numbers)
-                ids = np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))
-                if kind == "units":
-                    while counts.shape[1] < len(numbers):
-                        counts = np.hstack((counts, np.zeros_like(counts)))
-                    if 0 <= mark < marks:
-                        np.add.at(counts[mark], ids, 1)
-                else:
-                    raw = text.encode("utf-8", "surrogatepass")
-                    out.append((f"{at}:{part}", doc, mark, len(ids), zlib.crc32(raw), zlib.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)))
-            if out:
-                types = [pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["block", "doc_id", "mark", "n", "crc", "body"])
-        if kind == "units":
-            yield from parts()
-
-    place = F.concat_ws(":", F.lower(F.hex(F.xxhash64(F.input_file_name(), F.input_file_block_start()))), F.spark_partition_id())
+                counters[mark if 0 <= mark < marks else -1].update(found)
+                if kind == "streams":
+                    docs.append((doc, mark, zlib.crc32(text.encode("utf-8", "surrogatepass")), found))
+        if at is not None:
+            yield from flush()
+
+    # the low bits are left to the running number of a block within its split
+    place = F.xxhash64(F.input_file_name(), F.input_file_block_start(), F.spark_partition_id()).bitwiseAND(F.lit(~0xFFFFF))
     return rows.select(place.alias("at"), "doc_id", "text", "mark").mapInArrow(scan, units_schema(marks) if kind == "units" else STREAMS)
-
-
-def numbers_of(body: bytes):
-    """The unit numbers of a stream (kept as byte planes, which compress better)."""
-    import numpy as np
-
-    planes = np.frombuffer(zlib.decompress(body), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").reshape(-1) if planes.size else np.zeros(0, "<u4")

@@ -37,6 +37,19 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, by: str, n: int, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder in ``n`` buckets sorted by a column, and read it back.
+
+    Later groupings by and joins on the column find their rows in place.
+    """
+    spark, ident = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    df.repartition(n, by).write.option("path", f"{shared_dir(spark)}/loomspark/{ident}").bucketBy(n, by).sortBy(by).saveAsTable(ident)
+    found = spark.table(ident)
+    found.schema  # resolves the files; the name isn't needed any more, dropping it leaves them
+    spark.sql(f"DROP TABLE {ident}")
+    return found
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

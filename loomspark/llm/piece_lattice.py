@@ -37,8 +37,8 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import numbers_of, scan_blocks, scan_only
-from .common import slots, stage, text_of
+from .blocks import numbers_of, planes, scan_blocks, scan_only
+from .common import bucketed, slots, text_of
 
 MARK = "▁"
 #: Longest unit whose inner boundaries fit a long with room to shift.
@@ -76,6 +76,8 @@ def pieces(path: str) -> tuple[list[tuple[str, int, float]], int]:
 
 def split_units(text: str) -> list[str]:
     """Units, after the marks that the library's normaliser puts for spaces and the start."""
+    if text and "  " not in text and MARK not in text:  # every unit has one mark at most
+        return list(filter(None, (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ")))
     return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
@@ -117,8 +119,8 @@ def viterbi_fold(edges: str, n: str) -> Column:
     return F.expr(f"aggregate({edges}, {init}, (st, e) -> {step}, st -> get(st.m, {n}))")
 
 
-def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
-    """(unit), distinct and not null, dealt by unit -> (unit, ids array<int>)."""
+def encode_units(units: DataFrame, path: str, fold: str = "merge") -> tuple[DataFrame, DataFrame]:
+    """(unit), distinct and not null, dealt by unit -> (unit, ids array<int>) of short units, still so dealt, and of long ones."""
     spark = units.sparkSession
     # units are grouped in memory up to this number a task, then by sorting
     spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(1 << 18))
@@ -159,7 +161,7 @@ def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([library_ids(path, u) for u in b.column(0).to_pylist()], pa.list_(pa.int32()))], names=["unit", "ids"])
 
-    return native.unionByName(units.where(F.length("unit") > SHORT).select("unit").mapInArrow(by_library, "unit string, ids array<int>"))
+    return native, units.where(F.length("unit") > SHORT).select("unit").mapInArrow(by_library, "unit string, ids array<int>")
 
 
 def library_ids(path: str, unit: str) -> list[int]:
@@ -179,10 +181,10 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
     n = slots(docs.sparkSession)
     docs = scan_only(docs)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), F.lit(0).alias("mark"))
-    units = scan_blocks(rows, split_units, "units").select("block", "local", "unit")
-    distinct = stage(units.select("unit").distinct(), "units")
-    known = encode_units(distinct.repartition(n, "unit"), path, fold)
-    answers = units.join(known, "unit").select("block", "local", "ids")
+    units = bucketed(scan_blocks(rows, split_units, "units").select("block", "local", "unit"), "unit", n, "units")
+    short, long = encode_units(units.select("unit").distinct(), path, fold)
+    answers = units.where(F.length("unit") <= SHORT).join(short, "unit").select("block", "local", "ids")
+    answers = answers.unionByName(units.where(F.length("unit") > SHORT).join(long, "unit").select("block", "local", "ids"))
 
     def pack(batches: Iterator) -> Iterator:
         """Answers of a block, packed: numbers, lengths, ids."""
@@ -203,33 +205,36 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
             for c, name in enumerate(block.dictionary.to_pylist()):
                 a, z = np.searchsorted(code, [c, c + 1])
                 body = np.concatenate((local[a:z].astype("<u4"), lengths[a:z].astype("<u4"), values[ends[a] : ends[z]]))
-                out.append((name, int(z - a), zlib.compress(body.view(np.uint8).reshape(-1, 4).T.tobytes(), 1)))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], names=["block", "entries", "body"])
+                out.append((name, int(z - a), planes(body)))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["block", "entries", "body"])
 
     def assemble(left, right):
         import numpy as np
         import pyarrow as pa
 
         spelled = spelling(path)
-        ids_of, text_of_unit = {}, {}
+        size = sum(right["entries"].to_pylist())
+        ids_of, text_of_unit = [b""] * size, [b""] * size
         for entries, body in zip(right["entries"].to_pylist(), right["body"].to_pylist(), strict=True):
             body = numbers_of(body)
-            cuts = np.split(body[2 * entries :], np.cumsum(body[entries : 2 * entries])[:-1])
-            for local, ids in zip(body[:entries].tolist(), cuts, strict=True):
-                ids_of[local] = ids.tobytes()
-                text_of_unit[local] = b"".join(map(spelled.__getitem__, ids.tolist()))
-        streams, same = [], []
+            ends = np.cumsum(body[entries : 2 * entries])
+            own, texts = body[2 * entries :], list(map(spelled.__getitem__, body[2 * entries :].tolist()))
+            raw, a = own.tobytes(), 0
+            for local, z in zip(body[:entries].tolist(), ends.tolist(), strict=True):
+                ids_of[local], text_of_unit[local] = raw[4 * a : 4 * z], b"".join(texts[a:z])
+                a = z
+        streams, lengths, same = [], [], []
         for crc, body in zip(left["crc"].to_pylist(), left["body"].to_pylist(), strict=True):
             numbers = numbers_of(body).tolist()
-            streams.append(np.frombuffer(b"".join(map(ids_of.__getitem__, numbers)), "<i4"))
+            streams.append(b"".join(map(ids_of.__getitem__, numbers)))
+            lengths.append(len(streams[-1]) // 4)
             # the first space is the start mark
             same.append(zlib.crc32(b"".join(map(text_of_unit.__getitem__, numbers))[1:]) == crc)
-        lengths = np.array([len(s) for s in streams], np.int64)
-        offsets = np.concatenate(([0], np.cumsum(lengths)))
-        ids = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*streams, np.zeros(0, "<i4")]))).cast(pa.list_(pa.int32()))
-        return pa.table({"doc_id": left["doc_id"], "n_pieces": pa.array(lengths), "ids": ids, "round_trip": pa.array(same, pa.bool_())})
+        offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))).astype(np.int32)
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(streams), "<i4")))
+        return pa.table({"doc_id": left["doc_id"], "n_pieces": pa.array(lengths, pa.int64()), "ids": ids, "round_trip": pa.array(same, pa.bool_())})
 
-    packed = answers.mapInArrow(pack, "block string, entries int, body binary")
+    packed = answers.mapInArrow(pack, "block long, entries int, body binary")
     streams = scan_blocks(rows, split_units, "streams").select("block", "doc_id", "crc", "body")
     return streams.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(assemble, "doc_id long, n_pieces long, ids array<int>, round_trip boolean")
 

@@ -26,7 +26,6 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -48,12 +47,14 @@ LONGEST = 16
 BYTE = float(np.log(1e-4 / 256))
 #: Added to a piece's expected count, in proportion to its first probability.
 PRIOR = 100.0
-UPPER = {c: c + 32 for c in range(65, 91)}
-SPACE = re.compile(r"[\x20\x09-\x0D]+")
+#: Table for bytes.translate that lower-cases A-Z alone.
+LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
 def words(text: str) -> list[str]:
-    return [w for w in SPACE.split(text.translate(UPPER)) if w]
+    """bytes.split() splits at runs of \\x20 and \\x09-\\x0D."""
+    found = b" ".join(text.encode("utf-8", "surrogatepass").translate(LOWER).split())
+    return found.decode("utf-8", "surrogatepass").split(" ") if found else []
 
 
 def held_out(ident: str = "doc_id") -> Column:
@@ -245,7 +246,7 @@ def scores(docs: DataFrame, path: str, rounds: int = ROUNDS, id_col: str = "doc_
                 at = code == i
                 body = local[at].astype("<i4").tobytes() + c[at].astype("<i8").tobytes() + b"".join(lp[at].astype("<f4").tobytes() for lp in lps)
                 out.append((name, int(at.sum()), zlib.compress(body, 1)))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], names=["block", "entries", "body"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["block", "entries", "body"])
 
     with np.errstate(divide="ignore"):
         share = np.log10((ends + 0.5) / (n_ends + 0.5 * groups))
@@ -273,7 +274,7 @@ def scores(docs: DataFrame, path: str, rounds: int = ROUNDS, id_col: str = "doc_
         cols = list(zip(*out, strict=True)) or [(), (), (), ()]
         return pa.table({"doc_id": left["doc_id"], "held_out": pa.array([m < 0 for m in left["mark"].to_pylist()], pa.bool_()), "n_tokens": pa.array(cols[0], pa.int64()), "n_known": pa.array(cols[1], pa.int64()), "train_tokens": pa.array([n] * len(out), pa.int64()), "base_score": pa.array(cols[2], pa.float64()), "score": pa.array(cols[3], pa.float64())})
 
-    packed = answers.mapInArrow(pack, "block string, entries int, body binary")
+    packed = answers.mapInArrow(pack, "block long, entries int, body binary")
     streams = scan_blocks(rows, words, "streams").select("block", "doc_id", "mark", "body")
     result = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return streams.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(assemble, result)
