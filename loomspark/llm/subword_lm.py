@@ -39,7 +39,7 @@ from .blocks import numbers_of, scan_blocks, scan_only
 from .common import stage, text_of
 from .piece_lattice import MARK, pieces
 
-ROUNDS = 2
+ROUNDS = 4
 #: Groups of training documents with a model of their own.
 GROUPS = 8
 LONGEST = 16
@@ -61,10 +61,49 @@ def held_out(ident: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(ident).cast("string").cast("binary")), F.lit(5)) == 1, F.lit(False))
 
 
+class PieceTable:
+    """Finds pieces by a 64-bit polynomial hash of their characters, for whole arrays of substrings at once.
+
+    Slots are ``WAYS`` deep; the multiplier of the slot number is changed
+    until every piece fits. Piece numbers start from 1; 0 stands for no piece.
+    """
+
+    BASE = np.uint64(0x9E3779B97F4A7C15)
+    WAYS, LOG2 = 3, 19
+
+    def __init__(self, names: list[str]):
+        hashes = np.array([self.of(p) for p in names], np.uint64)
+        for seed in range(1, 1000):
+            self.spread = np.uint64(0xD1B54A32D192ED03 + 2 * seed)
+            slots = ((hashes * self.spread) >> np.uint64(64 - self.LOG2)).astype(np.int64)
+            order = np.argsort(slots, kind="stable")
+            place = np.arange(len(names)) - np.searchsorted(slots[order], slots[order])
+            if place.max(initial=0) < self.WAYS:
+                break
+        self.keys = np.zeros((self.WAYS, 1 << self.LOG2), np.uint64)
+        self.numbers = np.zeros((self.WAYS, 1 << self.LOG2), np.int32)
+        self.keys[place, slots[order]] = hashes[order]
+        self.numbers[place, slots[order]] = order + 1
+        self.size = len(names)
+
+    @classmethod
+    def of(cls, piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * int(cls.BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+        return h
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        slots = ((hashes * self.spread) >> np.uint64(64 - self.LOG2)).astype(np.int64)
+        out = np.zeros(hashes.shape, np.int32)
+        for keys, numbers in zip(self.keys, self.numbers, strict=True):
+            out += np.where(keys[slots] == hashes, numbers[slots], 0)
+        return out
+
+
 @lru_cache(4)
-def vocabulary_index(path: str) -> dict[str, int]:
-    """Piece -> its number from 1; 0 stands for no piece."""
-    return {p: i + 1 for i, (p, *_) in enumerate(r for r in pieces(path)[0] if len(r[0]) <= LONGEST)}
+def vocabulary_index(path: str) -> PieceTable:
+    return PieceTable([p for p, *_ in pieces(path)[0] if len(p) <= LONGEST])
 
 
 def first_weights(path: str) -> np.ndarray:
@@ -81,37 +120,45 @@ def first_weights(path: str) -> np.ndarray:
     return np.concatenate(([-np.inf], logs))
 
 
-def lattices(found: list[str], index: dict[str, int]) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
+def lattices(found: list[str], index: PieceTable) -> Iterator[tuple[list[int], np.ndarray, np.ndarray]]:
     """Groups of words of one length: (places in ``found``, piece numbers [word, start, length - 1], cost of bare characters [word, start])."""
     by_length = defaultdict(list)
     for i, w in enumerate(found):
         by_length[len(w) + 1].append(i)
-    get = index.get
     for n, places in by_length.items():
-        spans = [(a, a + k) for a in range(n) for k in range(1, min(LONGEST, n - a) + 1)]
-        starts, lengths = np.array([a for a, _ in spans]), np.array([b - a - 1 for a, b in spans])
-        step = max(1, (1 << 22) // (n * LONGEST))
+        step = max(1, (1 << 21) // (n * LONGEST))
         for at in range(0, len(places), step):
             part = places[at : at + step]
             marked = [MARK + found[i] for i in part]
-            flat = np.array([[get(w[a:b], 0) for a, b in spans] for w in marked], np.int32)
+            chars = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(part), n).astype(np.uint64) + np.uint64(1)
             ids = np.zeros((len(part), n, LONGEST), np.int32)
-            ids[:, starts, lengths] = flat
+            hashes = np.zeros_like(chars)
+            for k in range(min(LONGEST, n)):
+                hashes = hashes[:, : n - k] * PieceTable.BASE + chars[:, k:]
+                ids[:, : n - k, k] = index.find(hashes)
             bare = np.full((len(part), n), -np.inf)
             for r, c in zip(*np.nonzero(ids[:, :, 0] == 0), strict=True):
                 bare[r, c] = BYTE * len(marked[r][c].encode("utf-8", "surrogatepass"))
             yield part, ids, bare
 
 
+def log_sum(ways: list[np.ndarray]) -> np.ndarray:
+    """Log of the sum of exponentials, over arrays of which one at least is finite at each place."""
+    stacked = np.array(ways)
+    top = stacked.max(axis=0)
+    return np.log(np.exp(stacked - top).sum(axis=0)) + top
+
+
 def forward(ids: np.ndarray, bare: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """Log sum over the segmentations of each prefix: [word, end]."""
     m, n, _ = ids.shape
     alpha = np.full((m, n + 1), -np.inf)
     alpha[:, 0] = 0.0
+    weights = logs[ids]
     for b in range(1, n + 1):
-        ways = [alpha[:, b - k] + logs[ids[:, b - k, k - 1]] for k in range(1, min(LONGEST, b) + 1)]
+        ways = [alpha[:, b - k] + weights[:, b - k, k - 1] for k in range(1, min(LONGEST, b) + 1)]
         ways.append(alpha[:, b - 1] + bare[:, b - 1])
-        alpha[:, b] = np.logaddexp.reduce(ways, axis=0)
+        alpha[:, b] = log_sum(ways)
     return alpha
 
 
@@ -119,14 +166,15 @@ def backward(ids: np.ndarray, bare: np.ndarray, logs: np.ndarray) -> np.ndarray:
     m, n, _ = ids.shape
     beta = np.full((m, n + 1), -np.inf)
     beta[:, n] = 0.0
+    weights = logs[ids]
     for a in range(n - 1, -1, -1):
-        ways = [beta[:, a + k] + logs[ids[:, a, k - 1]] for k in range(1, min(LONGEST, n - a) + 1)]
+        ways = [beta[:, a + k] + weights[:, a, k - 1] for k in range(1, min(LONGEST, n - a) + 1)]
         ways.append(beta[:, a + 1] + bare[:, a])
-        beta[:, a] = np.logaddexp.reduce(ways, axis=0)
+        beta[:, a] = log_sum(ways)
     return beta
 
 
-def expected(found: list[str], counts: np.ndarray, index: dict[str, int], logs: np.ndarray) -> np.ndarray:
+def expected(found: list[str], counts: np.ndarray, index: PieceTable, logs: np.ndarray) -> np.ndarray:
     """Expected count of each piece over the segmentations of counted words."""
     total = np.zeros(len(logs))
     for part, ids, bare in lattices(found, index):
@@ -140,11 +188,12 @@ def expected(found: list[str], counts: np.ndarray, index: dict[str, int], logs:
     return total
 
 
-def marginal(found: list[str], index: dict[str, int], logs: np.ndarray) -> np.ndarray:
-    """Natural log of each word's marginal probability."""
-    out = np.zeros(len(found))
+def marginal(found: list[str], index: PieceTable, logs: np.ndarray) -> np.ndarray:
+    """Natural log of each word's marginal probability under each row of ``logs``: [group, word]."""
+    out = np.zeros((len(logs), len(found)))
     for part, ids, bare in lattices(found, index):
-        out[part] = forward(ids, bare, logs)[:, -1]
+        for k, own in enumerate(logs):
+            out[k, part] = forward(ids, bare, own)[:, -1]
     return out
 
 
@@ -224,8 +273,7 @@ def scores(docs: DataFrame, path: str, rounds: int = ROUNDS, id_col: str = "doc_
             with np.errstate(divide="ignore"):
                 corpus = np.log(total / max(n, 1))
                 lps = []
-                for k in range(groups):
-                    rest = marginal(found, index, sent.value[k])
+                for k, rest in enumerate(marginal(found, index, sent.value)):
                     rest = np.where(total > 0, np.logaddexp(rest, corpus) + np.log(0.5), rest + (np.log(0.5) if n else 0.0))
                     whole = np.log(c[k] / max(sizes[k], 1)) + (np.log1p(-unseen[k]) if unseen[k] < 1 else -np.inf)
                     lps.append(np.logaddexp(whole, np.log(unseen[k]) + rest) / np.log(10))
