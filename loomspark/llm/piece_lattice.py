@@ -76,7 +76,7 @@ def pieces(path: str) -> tuple[list[tuple[str, int, float]], int]:
 
 def split_units(text: str) -> list[str]:
     """Units, after the marks that the library's normaliser puts for spaces and the start."""
-    if text and "  " not in text and MARK not in text:  # every unit has one mark at most
+    if text and text[0] != " " and "  " not in text and MARK not in text:  # every unit has one mark at most
         return list(filter(None, (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ")))
     return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
 
