@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
-LIMIT = 1 << 19
+#: Entries that a worker remembers: units, and the pre-tokens that they are made of.
+UNITS, PRETOKENS = 500_000, 500_000
 #: Fixed value: the published pre-tokenizer pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -35,6 +38,21 @@ def library(path: str):
     return t
 
 
+class Remembered(dict):
+    """Values by key, made by ``make`` when they are first asked for; emptied when full."""
+
+    def __init__(self, make, limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key: str):
+        value = self.make(key)
+        if len(self) >= self.limit:
+            self.clear()
+        self[key] = value
+        return value
+
+
 class ByteUnits:
     """Ids of the byte-level vocabulary as little-endian uint32 bytes.
 
@@ -51,45 +69,32 @@ class ByteUnits:
         self.lib = library(path)
         self.special = re.compile("|".join(re.escape(t.content) for t in self.lib.get_added_tokens_decoder().values()) or r"(?!)")
         self.pretokens = regex.compile(BYTE_LEVEL).findall
-        self.units: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(self.whole, PRETOKENS)
+        #: By unit without its leading space.
+        self.units = Remembered(self.unit, UNITS)
+
+    def unit(self, u: str) -> bytes:
+        """Letters alone, or letters and one mark, need no pattern."""
+        if u.isalpha():
+            return self.known[" " + u]
+        if u[-1:] in (".", ",") and u[:-1].isalpha():
+            return self.known[" " + u[:-1]] + self.known[u[-1]]
+        return b"".join(map(self.known.__getitem__, self.pretokens(" " + u)))
 
     def whole(self, text: str) -> bytes:
-        import numpy as np
-
-        return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, missing: list[str]) -> None:
-        """Units without their leading space."""
-        import numpy as np
-
-        if len(self.units) + len(missing) > LIMIT:
-            self.units.clear()
-        if len(self.known) > LIMIT // 2:
-            self.known.clear()
-        cut = [self.pretokens(" " + u) for u in missing]
-        new = list({p for c in cut for p in c if p not in self.known})
-        for p, e in zip(new, self.lib.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
-        known = self.known.__getitem__
-        for u, c in zip(missing, cut, strict=True):
-            self.units[u] = known(c[0]) if len(c) == 1 else b"".join(map(known, c))
+        ids = array("I", self.lib.encode(text, add_special_tokens=False).ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        parts: list = []
+        out, unit = [], self.units.__getitem__
         for t in texts:
             if self.special.search(t) or self.unsafe.search(t):
-                parts.append(t)
+                out.append(self.whole(t))
             else:
-                parts.append(t.split(" "))
-        out = []
-        for p in parts:
-            if isinstance(p, str):
-                out.append(self.whole(p))
-                continue
-            if missing := set(p[1:]).difference(self.units):
-                self.learn(list(missing))
-            out.append((self.whole(p[0]) if p[0] else b"") + b"".join(map(self.units.__getitem__, p[1:])))
+                first, *rest = t.split(" ")
+                out.append(self.whole(first) + b"".join(map(unit, rest)) if first else b"".join(map(unit, rest)))
         return out
 
 
@@ -101,18 +106,9 @@ class WordUnits:
     ends add up.
     """
 
-    spaces = str.maketrans("\t\n\r", "   ")
-
     def __init__(self, path: str):
         self.lib = library(path)
-        self.units: dict[str, int] = {"": 0}
+        self.units = Remembered(lambda u: len(self.lib.encode(u, add_special_tokens=False).ids) if u else 0, UNITS + PRETOKENS)
 
     def count(self, text: str) -> int:
-        parts = text.translate(self.spaces).split(" ")
-        if missing := list(set(parts).difference(self.units)):
-            if len(self.units) + len(missing) > 2 * LIMIT:
-                self.units = {"": 0}
-                missing = list(set(parts) - {""})
-            for u, e in zip(missing, self.lib.encode_batch(missing, add_special_tokens=False), strict=True):
-                self.units[u] = len(e.ids)
-        return sum(map(self.units.__getitem__, parts))
+        return sum(map(self.units.__getitem__, text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")))
