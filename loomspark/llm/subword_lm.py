@@ -40,6 +40,8 @@ from .common import stage, text_of
 from .piece_lattice import MARK, pieces
 
 ROUNDS = 4
+#: Share of a group's unseen mass that goes to words of the corpus as a whole.
+CORPUS = 0.1
 #: Groups of training documents with a model of their own.
 GROUPS = 8
 LONGEST = 16
@@ -274,7 +276,7 @@ def scores(docs: DataFrame, path: str, rounds: int = ROUNDS, id_col: str = "doc_
                 corpus = np.log(total / max(n, 1))
                 lps = []
                 for k, rest in enumerate(marginal(found, index, sent.value)):
-                    rest = np.where(total > 0, np.logaddexp(rest, corpus) + np.log(0.5), rest + (np.log(0.5) if n else 0.0))
+                    rest = np.logaddexp(rest + np.log1p(-CORPUS), corpus + np.log(CORPUS)) if n else rest
                     whole = np.log(c[k] / max(sizes[k], 1)) + (np.log1p(-unseen[k]) if unseen[k] < 1 else -np.inf)
                     lps.append(np.logaddexp(whole, np.log(unseen[k]) + rest) / np.log(10))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(total), *(pa.array(x) for x in lps)], names=["unit", "c", *of_log])
