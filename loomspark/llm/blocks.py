@@ -14,8 +14,9 @@ folder first; each document's check sum guards the result.
 
 from __future__ import annotations
 
+import itertools
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
@@ -67,43 +68,53 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, m
         import numpy as np
         import pyarrow as pa
 
-        counters = [Counter() for _ in range(marks + 1)]  # the last one takes all other marks
-        docs: list[tuple] = []
+        def fresh() -> tuple:
+            """Units give out numbers as they come; documents keep those, not their units."""
+            return defaultdict(itertools.count().__next__), [Counter() for _ in range(marks + 1)], []
+
+        numbers, counters, docs = fresh()  # the last counter takes all other marks
         at, part, held = None, 0, 0
 
-        def numbered() -> dict[str, int]:
-            total = counters[-1]
+        def in_order(units: list[str], counts: list[int]) -> list[int]:
+            """Places of the units, frequent ones first: a total order, which both scans share."""
+            return sorted(range(len(units)), key=lambda i: (-counts[i], units[i]))
+
+        def units_out() -> Iterator:
+            total = Counter(counters[-1])
             for c in counters[:-1]:
-                total = total + c
-            # a total order, which both scans share
-            return {u: i for i, (u, _) in enumerate(sorted(total.items(), key=lambda x: (-x[1], x[0])))}
-
-        def flush() -> Iterator:
-            numbers = numbered()
-            if kind == "units":
-                found, step = list(numbers), 10000
-                for i in range(0, len(found), step):
-                    some = found[i : i + step]
-                    counts = [pa.array([c[u] for u in some], pa.int64()) for c in counters[:marks]]
-                    yield pa.RecordBatch.from_arrays([pa.array([at + part] * len(some), pa.int64()), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.array(some, pa.string()), *counts], names=["block", "local", "unit", *(f"n{k}" for k in range(marks))])
-                return
+                total.update(c)
+            found = list(total)
+            found = [found[i] for i in in_order(found, list(total.values()))]
+            for i in range(0, len(found), 10000):
+                some = found[i : i + 10000]
+                counts = [pa.array([c[u] for u in some], pa.int64()) for c in counters[:marks]]
+                yield pa.RecordBatch.from_arrays([pa.array([at + part] * len(some), pa.int64()), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.array(some, pa.string()), *counts], names=["block", "local", "unit", *(f"n{k}" for k in range(marks))])
+
+        def streams_out() -> Iterator:
+            counts = np.zeros(len(numbers), np.int64)
+            for *_, ids in docs:
+                np.add.at(counts, ids, 1)
+            rank = np.zeros(len(numbers), np.uint32)
+            rank[in_order(list(numbers), counts.tolist())] = np.arange(len(numbers), dtype=np.uint32)
             for i in range(0, len(docs), 1000):
-                out = [(at + part, doc, mark, len(found), crc, planes(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))) for doc, mark, crc, found in docs[i : i + 1000]]
+                out = [(at + part, doc, mark, len(ids), crc, planes(rank[ids])) for doc, mark, crc, ids in docs[i : i + 1000]]
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["block", "doc_id", "mark", "n", "crc", "body"])
 
+        flush = units_out if kind == "units" else streams_out
         for b in batches:
             for place, doc, text, mark in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if place != at or held > BLOCK_BYTES:
                     yield from flush()
                     part = part + 1 if place == at else 0
                     at, held = place, 0
-                    counters, docs = [Counter() for _ in range(marks + 1)], []
+                    numbers, counters, docs = fresh()
                 held += len(text)
                 found = split(text)
-                counters[mark if 0 <= mark < marks else -1].update(found)
-                if kind == "streams":
-                    docs.append((doc, mark, zlib.crc32(text.encode("utf-8", "surrogatepass")), found))
+                if kind == "units":
+                    counters[mark if 0 <= mark < marks else -1].update(found)
+                else:
+                    docs.append((doc, mark, zlib.crc32(text.encode("utf-8", "surrogatepass")), np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))))
         if at is not None:
             yield from flush()
 
