@@ -1,10 +1,12 @@
 """Document fingerprints by Order MinHash, in DataFrame functions alone.
 
 The k-mers of a text are runs of ``K`` words, numbered by occurrence. Their
-order is that of a 40-bit hash of the k-mer, ties (the occurrences of one
-k-mer) by occurrence number. The hash also deals k-mers into ``BINS`` bins. In
-each bin the ``PICKS`` smallest are selected and put back in text order, and
-the tuple is hashed to 16 bits: the bin's value. As order counts, the likeness
+order is that of a 40-bit hash of (k-mer, number), which for a k-mer's first
+occurrence is the k-mer's own; occurrences are numbered by sorting hashes with
+positions and counting inside equal ones. The hash also deals the numbered
+k-mers into ``BINS`` bins. In each bin the ``PICKS`` smallest are selected and
+put back in text order, and the tuple of the k-mers, without their numbers, is
+hashed to 16 bits: the bin's value. As order counts, the likeness
 of two fingerprints, the share of equal values among bins that either fills,
 falls with edit distance, not only with k-mer overlap. One pass over the
 k-mers serves all bins, and a hash, its bin, its position and its occurrence
@@ -66,24 +68,44 @@ def signature(text: Column, k: int = K, bins_log2: int = BINS_LOG2, picks: int =
         short = F.array(F.xxhash64(F.concat_ws(" ", F.transform(hashes, lambda h: h.cast("string")))))
         return F.when(F.size(hashes) == 0, F.array().cast("array<bigint>")).when(F.size(hashes) < k, short).otherwise(joined)
 
-    packed = let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(kmers(h), lambda x, i: x.bitwiseAND(F.lit(~POSITION)).bitwiseOR(F.pmod(i, F.lit(POSITION + 1)).cast("long"))))
     in_bin = lambda x: F.shiftright(x, 64 - bins_log2)
     hashed = lambda x: x.bitwiseAND(F.lit(~POSITION))
     at = lambda x: x.bitwiseAND(F.lit(POSITION))
 
+    def packed(runs: Column) -> Column:
+        return F.transform(runs, lambda x, i: hashed(x).bitwiseOR(F.pmod(i, F.lit(POSITION + 1)).cast("long")))
+
+    def marked(in_order: Column, again: bool) -> Column:
+        # the members whose hash the one before them has, or those where it's new
+        same = F.zip_with(in_order, shifted(in_order, 1, no_long), lambda x, y: F.when((y.isNotNull() & (hashed(x) == hashed(y))) == F.lit(again), x))
+        return F.filter(same, lambda x: x.isNotNull())
+
+    def renumbered(more: Column) -> Column:
+        # sorted further occurrences: equal hashes are a run, in which the place tells the occurrence
+        starts = F.filter(F.transform(more, lambda x, i: F.when((i == 0) | (hashed(x) != hashed(F.get(more, i - 1))), i)), lambda i: i.isNotNull())
+        runs = lambda s: F.transform(s, lambda i, k: F.slice(more, i + 1, F.coalesce(F.get(s, k + 1), F.size(more)) - i))
+        return F.flatten(F.transform(let(starts, runs), lambda run: F.transform(run, lambda x, j: hashed(F.xxhash64(hashed(x), j + 1)).bitwiseOR(at(x)))))
+
+    def numbered(in_order: Column) -> Column:
+        # a first occurrence keeps its k-mer's hash, the others get one of (k-mer, number)
+        return F.concat(marked(in_order, False), let(marked(in_order, True), lambda m: F.when(F.size(m) == 0, m).otherwise(renumbered(m))))
+
     def select(in_order: Column) -> Column:
         # a member is among the smallest of its bin if the one `picks` places before it is of another bin
         marked = F.zip_with(in_order, shifted(in_order, picks, no_long), lambda x, y: F.when(y.isNull() | (in_bin(x) != in_bin(y)), x))
         return F.filter(marked, lambda x: x.isNotNull())
 
-    def values(picked: Column) -> Column:
-        # in a bin of `picks`, members sorted by position; the entry is (bin, hash of the tuple)
-        groups = F.transform(F.array_distinct(F.transform(picked, in_bin)), lambda b: F.struct(b.alias("b"), F.array_sort(F.transform(F.filter(picked, lambda x: in_bin(x) == b), lambda x: F.struct(at(x).alias("at"), hashed(x).alias("h"))))["h"].alias("t")))
+    def values(picked: Column, runs: Column) -> Column:
+        # in a bin of `picks`, members sorted by position, each the k-mer alone; the entry is (bin, hash of the tuple)
+        groups = F.transform(F.array_distinct(F.transform(picked, in_bin)), lambda b: F.struct(b.alias("b"), F.array_sort(F.transform(F.filter(picked, lambda x: in_bin(x) == b), lambda x: F.struct(at(x).alias("at"), hashed(F.get(runs, at(x).cast("int"))).alias("h"))))["h"].alias("t")))
         entry = F.map_from_entries(F.transform(groups, lambda g: F.struct(g["b"], F.pmod(F.xxhash64(g["t"]), F.lit(1 << 16)).cast("int"))))
         half = 1 << (bins_log2 - 1)
         return let(entry, lambda m: F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), lambda b: F.element_at(m, b.cast("long"))))
 
-    return let(let(F.sort_array(packed), select), values)
+    def whole(runs: Column) -> Column:
+        return let(let(F.sort_array(let(F.sort_array(packed(runs)), numbered)), select), lambda picked: values(picked, runs))
+
+    return let(let(F.transform(words, lambda w: F.xxhash64(w)), kmers), whole)
 
 
 def likeness(a: Column, b: Column) -> Column:
