@@ -17,7 +17,8 @@ two copies of one page, which tell nothing about the site.
 
 A host may hold a third of all pages: pages are dealt by ranges of (host,
 path), which cut a large host into several tasks, and a task holds two pages
-at a time.
+at a time. The first two pages and the last of each range are handed on to a
+step that pairs pages across ranges, so results don't depend on the ranges.
 
 Defined results: a null or empty page has an empty text; a null or odd URL
 belongs to a host of its own kind, paired like any other; a page without a
@@ -28,13 +29,14 @@ of their own; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slots
+from .common import slots, stage
 
 COPY = 0.8
 #: HTML elements by their part in a page.
@@ -202,39 +204,63 @@ def main_text(own: list[tuple[str, bool]], near: list[tuple[str, bool]] | None)
     return "\n".join(t for t, _ in own)
 
 
-def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per input row: page_id, url, text, n_chars."""
+FOUND = "page_id long, url string, text string, n_chars long, part int, place long, host string, html string, open boolean"
+
+
+def _row(page: tuple, near: list | None) -> tuple:
+    text = main_text(page[4], near)
+    return page[0], page[1], text, len(text), None, None, None, None, None
+
+
+def _edge(page: tuple, part: int, place: int, is_open: bool) -> tuple:
+    return page[0], page[1], None, None, part, place, page[2], page[3], is_open
 
-    def scan(batches: Iterator) -> Iterator:
-        import pyarrow as pa
 
-        before = held = None  # (host, blocks) of the last page given out; the row that waits for its neighbour
+def _batch(rows: list):
+    import pyarrow as pa
 
-        def row(page: tuple, near: list | None) -> tuple:
-            text = main_text(page[3], near)
-            return page[0], page[1], text, len(text)
+    types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.bool_())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[f.split()[0] for f in FOUND.split(", ")])
 
-        def batch(rows: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["page_id", "url", "text", "n_chars"])
 
+def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """One row per input row: page_id, url, text, n_chars."""
+
+    def scan(batches: Iterator) -> Iterator:
+        """Pages of one range. Its first two and its last go on as edges; the first, and a last page that may have its neighbour in the next range, stay open."""
+        from pyspark import TaskContext
+
+        part, place = TaskContext.get().partitionId(), 0
+        before = None  # the last page: (page_id, url, host, html, blocks)
+        waits = False  # is it the first of its host, so that it waits for the next one?
         for b in batches:
             rows = []
-            for ident, url, host, page in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                now = (ident, url, host, blocks(page))
-                if held is not None:
-                    # the first page of a host in this task waits for the second
-                    rows.append(row(held, now[3] if held[2] == host else None))
-                    held = None
-                    before = rows and (held_host, held_blocks)
-                if before and before[0] == host:
-                    rows.append(row(now, before[1]))
-                    before = (host, now[3])
-                else:
-                    held, held_host, held_blocks = now, host, now[3]
+            for page in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                now = (*page, blocks(page[3]))
+                if before:
+                    alike = before[2] == now[2]
+                    if waits and place > 1:
+                        rows.append(_row(before, now[4] if alike else None))
+                    if place == 1 or place == 2:
+                        rows.append(_edge(before, part, place, place == 1))
+                    if alike:
+                        rows.append(_row(now, before[4]))
+                    waits = not alike
+                before, place = now, place + 1
             if rows:
-                yield batch(rows)
-        if held is not None:
-            yield batch([row(held, None)])
+                yield _batch(rows)
+        if before:
+            yield _batch([_edge(before, part, place, place == 1 or waits)])
+
+    def finish(batches: Iterator) -> Iterator:
+        """Edges of all ranges in order -> the rows of the open ones. An open page's neighbours are its neighbours here."""
+        before = now = None
+        for after in itertools.chain((e for b in batches for e in zip(*(c.to_pylist() for c in b.columns), strict=True)), [None]):
+            if now and now[4]:
+                near = next((x[3] for x in (before, after) if x and x[2] == now[2]), None)
+                own = (now[0], now[1], now[2], now[3], blocks(now[3]))
+                yield _batch([_row(own, None if near is None else blocks(near))])
+            before, now = now, after
 
     url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
     host = F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)", 1))
@@ -243,4 +269,8 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     # numbers in a path sort as numbers, so that neighbours are near
     order = [F.col("host"), F.regexp_replace("path", r"\d+", "0"), F.length("path"), F.col("path"), F.col("page_id")]
     dealt = rows.repartitionByRange(slots(pages.sparkSession), *order).sortWithinPartitions(*order)
-    return dealt.select("page_id", "url", "host", "html").mapInArrow(scan, "page_id long, url string, text string, n_chars long")
+    # ranges are drawn anew in every run, so one run's rows and edges are written together
+    found = stage(dealt.select("page_id", "url", "host", "html").mapInArrow(scan, FOUND), "pages")
+    edges = found.where("part is not null").repartition(1).sortWithinPartitions("part", "place").select("page_id", "url", "host", F.coalesce("html", F.lit("")).alias("html"), "open")
+    out = ["page_id", "url", "text", "n_chars"]
+    return found.where("part is null").select(*out).unionByName(edges.mapInArrow(finish, FOUND).select(*out))
