@@ -2,30 +2,30 @@
 
 Looking up a corpus-wide table for every word of every text would shuffle all
 word occurrences. Instead the scan's partitions are cut into blocks of bounded
-size. A block numbers its distinct units, the frequent ones first; only (block,
-number, unit) rows are joined to the table, and the answers, packed, meet the
-block's documents, which travel as compressed number streams. No join key is
-hotter than the number of blocks.
-
-The two kinds of rows come from two scans, which must see the same partitions.
-So ``scan_only`` writes any input that isn't a plain file scan to the shared
-folder first; each document's check sum guards the result.
+size. A block numbers its distinct units in the order in which they first
+occur, so frequent ones have small numbers; only (block, number, unit) rows are
+joined to the table, and the answers, packed, meet the block's documents, which
+travel as compressed number streams. No join key is hotter than the number of
+blocks.
+
+A block's name is its partition and its number inside it. Where the two kinds
+of rows come from two scans, both must see the same rows in the same
+partitions: that holds for a table read from files. Each document's check sum
+guards the result.
 """
 
 from __future__ import annotations
 
 import itertools
 import zlib
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
-
-#: Bytes of text in a block, about.
-BLOCK_BYTES = 32 << 20
+#: Characters of text in a block, about.
+BLOCK_CHARS = 32 << 20
 STREAMS = "block long, doc_id long, mark int, n long, crc long, body binary"
 
 
@@ -33,91 +33,140 @@ def units_schema(marks: int) -> str:
     return "block long, local int, unit string" + "".join(f", n{k} long" for k in range(marks))
 
 
-def scan_only(docs: DataFrame) -> DataFrame:
-    """``docs`` itself if its plan is a file scan with projections and filters, else a written copy."""
-    leaves = [line.lstrip(" +-:|*(0123456789)") for line in docs._jdf.queryExecution().optimizedPlan().toString().splitlines() if line.strip()]
-    plain = all(line.startswith(("Project", "Filter", "Relation", "LogicalRelation")) for line in leaves)
-    return docs if plain and docs.inputFiles() else stage(docs, "documents")
-
-
 def planes(ids) -> bytes:
     """Whole numbers below 2^32, compressed byte plane by byte plane."""
     import numpy as np
+    import zstandard
 
-    return zlib.compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
 def numbers_of(body: bytes):
     """The numbers that ``planes`` packed."""
     import numpy as np
+    import zstandard
 
-    raw = np.frombuffer(zlib.decompress(body), np.uint8)
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1) if raw.size else np.zeros(0, "<u4")
 
 
-def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, marks: int = 0) -> DataFrame:
-    """``rows``: (doc_id, text, mark), a plain scan. ``kind``: "units" or "streams".
+def gathered(flat, starts, lengths):
+    """flat[starts[0]:starts[0] + lengths[0]], flat[starts[1]: ...], ... as one array."""
+    import numpy as np
+
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+
+
+class Block:
+    """Documents of one block: their units get numbers as they come; documents keep those, not their units."""
+
+    def __init__(self, name: int, cut: Callable | None):
+        self.name, self.cut, self.size = name, cut, 0
+        self.numbers: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.docs: list[tuple] = []
+
+    def numbered(self, found: list[str]):
+        import numpy as np
+
+        return np.fromiter(map(self.numbers.__getitem__, found), np.uint32, len(found))
+
+    def parts(self):
+        """(distinct parts in order, their numbers unit by unit, where a unit begins in those, how many it has)."""
+        import numpy as np
+
+        whole = list(self.numbers)
+        if self.cut is None:
+            n = np.arange(len(whole), dtype=np.uint32)
+            return whole, n, n.astype(np.int64), np.ones(len(whole), np.int64)
+        pieces, lengths = self.cut(whole)
+        numbers: dict[str, int] = defaultdict(itertools.count().__next__)
+        flat = np.fromiter(map(numbers.__getitem__, pieces), np.uint32, len(pieces))
+        return list(numbers), flat, np.cumsum(lengths) - lengths, lengths
+
+    def units_out(self, marks: int) -> Iterator:
+        """Batches of (block, local, unit) and the occurrences in documents of each mark."""
+        import numpy as np
+        import pyarrow as pa
+
+        found, flat, starts, lengths = self.parts()
+        counts = np.zeros((marks, len(found)), np.int64)
+        for _, mark, _, ids in self.docs:
+            if 0 <= mark < marks:
+                np.add.at(counts[mark], gathered(flat, starts[ids], lengths[ids]), 1)
+        for i in range(0, len(found), 10000):
+            some = found[i : i + 10000]
+            yield [pa.array(np.full(len(some), self.name, np.int64)), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.array(some, pa.string()), *(pa.array(c[i : i + 10000]) for c in counts)]
+
+    def streams_out(self) -> Iterator:
+        """Batches of (block, doc_id, mark, n, crc, body)."""
+        import pyarrow as pa
+
+        _, flat, starts, lengths = self.parts()
+        for i in range(0, len(self.docs), 1000):
+            out = []
+            for doc, mark, crc, ids in self.docs[i : i + 1000]:
+                own = gathered(flat, starts[ids], lengths[ids])
+                out.append((self.name, doc, mark, len(own), crc, planes(own)))
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
+            yield [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+
+
+def check_sum(text: str) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass"))
+
+
+def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, marks: int = 0, cut: Callable | None = None, crc: Callable[[str], int] = check_sum) -> DataFrame:
+    """``rows``: (doc_id, text, mark). ``kind``: "units", "streams" or "both".
 
     Units: a row for each distinct unit of a block, with its occurrences in
     rows of each mark from 0 to ``marks`` - 1 (n0, n1, ...). Streams: a row for
     each document with its mark, the numbers of its units, their count, and
-    the text's CRC-32.
+    a check sum of its text. Both: one scan gives both, told apart by ``kind``.
+
+    ``split`` cuts a text; ``cut``, if given, takes the list of a block's
+    distinct results and cuts each into further units: (all of these, how many
+    each result has).
     """
+    stream_names = [f.split()[0] for f in STREAMS.split(", ")]
+    unit_names = ["block", "local", "unit", *(f"n{k}" for k in range(marks))]
 
     def scan(batches: Iterator) -> Iterator:
-        import numpy as np
         import pyarrow as pa
 
-        def fresh() -> tuple:
-            """Units give out numbers as they come; documents keep those, not their units."""
-            return defaultdict(itertools.count().__next__), [Counter() for _ in range(marks + 1)], []
-
-        numbers, counters, docs = fresh()  # the last counter takes all other marks
-        at, part, held = None, 0, 0
-
-        def in_order(units: list[str], counts: list[int]) -> list[int]:
-            """Places of the units, frequent ones first: a total order, which both scans share."""
-            return sorted(range(len(units)), key=lambda i: (-counts[i], units[i]))
-
-        def units_out() -> Iterator:
-            total = Counter(counters[-1])
-            for c in counters[:-1]:
-                total.update(c)
-            found = list(total)
-            found = [found[i] for i in in_order(found, list(total.values()))]
-            for i in range(0, len(found), 10000):
-                some = found[i : i + 10000]
-                counts = [pa.array([c[u] for u in some], pa.int64()) for c in counters[:marks]]
-                yield pa.RecordBatch.from_arrays([pa.array([at + part] * len(some), pa.int64()), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.array(some, pa.string()), *counts], names=["block", "local", "unit", *(f"n{k}" for k in range(marks))])
-
-        def streams_out() -> Iterator:
-            counts = np.zeros(len(numbers), np.int64)
-            for *_, ids in docs:
-                np.add.at(counts, ids, 1)
-            rank = np.zeros(len(numbers), np.uint32)
-            rank[in_order(list(numbers), counts.tolist())] = np.arange(len(numbers), dtype=np.uint32)
-            for i in range(0, len(docs), 1000):
-                out = [(at + part, doc, mark, len(ids), crc, planes(rank[ids])) for doc, mark, crc, ids in docs[i : i + 1000]]
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=["block", "doc_id", "mark", "n", "crc", "body"])
-
-        flush = units_out if kind == "units" else streams_out
+        def batch(columns: list, names: list[str], own: str) -> pa.RecordBatch:
+            if kind != "both":
+                return pa.RecordBatch.from_arrays(columns, names=names)
+            given = dict(zip(names, columns, strict=True)) | {"kind": pa.array([own] * len(columns[0]), pa.string())}
+            return pa.RecordBatch.from_arrays([given.get(f.name, pa.nulls(len(columns[0]), f.type)) for f in both], schema=both)
+
+        both = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("local", pa.int32()), ("unit", pa.string()), *((f"n{k}", pa.int64()) for k in range(marks)), ("doc_id", pa.int64()), ("mark", pa.int32()), ("n", pa.int64()), ("crc", pa.int64()), ("body", pa.binary())])
+
+        def out(block: Block) -> Iterator:
+            if kind != "streams":
+                yield from (batch(c, unit_names, "units") for c in block.units_out(marks))
+            if kind != "units":
+                yield from (batch(c, stream_names, "streams") for c in block.streams_out())
+
+        only_units = kind == "units" and not marks
+        block = None
         for b in batches:
             for place, doc, text, mark in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if place != at or held > BLOCK_BYTES:
-                    yield from flush()
-                    part = part + 1 if place == at else 0
-                    at, held = place, 0
-                    numbers, counters, docs = fresh()
-                held += len(text)
+                if block is None or block.size > BLOCK_CHARS:
+                    if block:
+                        yield from out(block)
+                    block = Block(block.name + 1 if block else place, cut)
+                block.size += len(text)
                 found = split(text)
-                if kind == "units":
-                    counters[mark if 0 <= mark < marks else -1].update(found)
+                if only_units:
+                    for u in dict.fromkeys(found):
+                        block.numbers[u]
                 else:
-                    docs.append((doc, mark, zlib.crc32(text.encode("utf-8", "surrogatepass")), np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found))))
-        if at is not None:
-            yield from flush()
-
-    # the low bits are left to the running number of a block within its split
-    place = F.xxhash64(F.input_file_name(), F.input_file_block_start(), F.spark_partition_id()).bitwiseAND(F.lit(~0xFFFFF))
-    return rows.select(place.alias("at"), "doc_id", "text", "mark").mapInArrow(scan, units_schema(marks) if kind == "units" else STREAMS)
+                    block.docs.append((doc, mark, crc(text) if kind != "units" else 0, block.numbered(found)))
+        if block:
+            yield from out(block)
+
+    # the low bits are left to the running number of a block within its partition
+    place = F.shiftleft(F.spark_partition_id().cast("long"), 32)
+    schema = {"units": units_schema(marks), "streams": STREAMS, "both": f"kind string, {units_schema(marks)}, {STREAMS.removeprefix('block long, ')}"}[kind]
+    return rows.select(place.alias("at"), "doc_id", "text", "mark").mapInArrow(scan, schema)

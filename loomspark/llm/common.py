@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,11 +17,14 @@ OWN = "__lm_"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
 
-    It is the cluster's ``spark.checkpoint.dir``; only where that is unset (a
-    local session, as in tests) a temporary folder is chosen and set.
+    It is the cluster's ``spark.checkpoint.dir``; only in a local session, as
+    in tests, where that is unset, a temporary folder is chosen and set. The
+    tables in it serve lazy results, so whoever sets the folder clears it.
     """
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="loomspark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -37,13 +41,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, by: str, n: int, name: str) -> DataFrame:
+def bucketed(df: DataFrame, by: str, n: int, name: str, dealt: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder in ``n`` buckets sorted by a column, and read it back.
 
     Later groupings by and joins on the column find their rows in place.
+    ``dealt``: the rows already lie in ``n`` partitions by that column.
     """
-    spark, ident = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    df.repartition(n, by).write.option("path", f"{shared_dir(spark)}/loomspark/{ident}").bucketBy(n, by).sortBy(by).saveAsTable(ident)
+    spark, ident = df.sparkSession, f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    rows = df if dealt else df.repartition(n, by)
+    rows.write.option("path", f"{shared_dir(spark)}/loomspark/{ident}").bucketBy(n, by).sortBy(by).saveAsTable(ident)
     found = spark.table(ident)
     found.schema  # resolves the files; the name isn't needed any more, dropping it leaves them
     spark.sql(f"DROP TABLE {ident}")

@@ -1,11 +1,12 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Encoding works on the distinct units of a corpus (a word with the space marks
-before it, or a line end). Every unit is exploded into its substrings of up to
-the longest piece's length, an equi-join with the piece table (a row a piece;
-broadcast, its size is that of the vocabulary) keeps those that are edges of
-the unit's lattice, the edges are grouped by unit, and a Spark ``aggregate``
-folds them into the best segmentation:
+Encoding works on the distinct units of a corpus. A text is cut before its
+space marks and around line ends, and then wherever two neighbouring
+characters stand side by side in no piece: no segmentation ever crosses such a
+place. Every unit is exploded into its substrings, an equi-join with the piece
+table (a row a piece; broadcast, its size is that of the vocabulary) keeps
+those that are edges of the unit's lattice, the edges are grouped by unit, and
+a Spark ``aggregate`` folds them into the best segmentation:
 
 * ``viterbi`` for unigram vocabularies: the segmentation of the largest summed
   score, of equal ones that with the longest last piece;
@@ -13,18 +14,22 @@ folds them into the best segmentation:
   the largest sum: each step joins the two neighbouring pieces that the
   best-scored edge covers, leftmost first, until no edge does so.
 
-Both keep their state in longs and short arrays. Units of over ``SHORT``
-characters, which real words aren't, are encoded by the library, unit by unit.
-A character without a piece becomes its UTF-8 bytes' pieces.
+Substrings are bounded by the longest piece that begins with the same
+``PREFIX`` characters. The folds keep the places where pieces meet as bits of
+longs: one long for a unit of up to ``WORD`` characters, an array of
+overlapping ones for any longer unit. A character without a piece becomes its
+UTF-8 bytes' pieces.
 
 Decoding joins ids to the piece table and puts texts together again, in the
 same relational way (``decode``). While encoding, every document's ids are
-decoded and compared with the text's CRC-32.
+decoded and compared with the text's CRC-32; a difference stops the query.
 
 Defined results: null and empty texts have no ids; a text that holds the space
 mark itself decodes to spaces there, as with the library, and is reported with
 ``round_trip`` false; null or repeated identifiers are encoded row by row; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored. The steps of a
+unit's merge fold grow with the square of its length, which matters only for
+thousands of letters without space, mark or digit.
 """
 
 from __future__ import annotations
@@ -37,16 +42,19 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import numbers_of, planes, scan_blocks, scan_only
-from .common import bucketed, slots, text_of
+from .blocks import check_sum, numbers_of, planes, scan_blocks
+from .common import bucketed, slots, stage, text_of
 
 MARK = "▁"
-#: Longest unit whose inner boundaries fit a long with room to shift.
-SHORT = 60
+#: Longest unit whose boundaries fit one long with a sign bit to spare.
+WORD = 61
+#: Boundaries that each long of a longer unit is ahead of the one before it; each holds 64.
+STRIDE = 32
 LINE = "\n"
 UNIT = re.compile(rf"{MARK}+[^{MARK}{LINE}]*|[^{MARK}{LINE}]+|[{LINE}]")
-#: An edge is packed as rank, start, end (6 bits each), id.
-ID_BITS, AT_BITS = 20, 6
+#: An edge is packed as rank, start, length, id.
+RANK_BITS, START_BITS, LENGTH_BITS, ID_BITS = 17, 24, 5, 17
+PREFIX = 4
 
 
 @lru_cache(4)
@@ -71,6 +79,8 @@ def pieces(path: str) -> tuple[list[tuple[str, int, float]], int]:
     for p, *_ in rows:
         if MARK in p.lstrip(MARK) or len(p) > 1 and any(c in p for c in LINE):
             raise ValueError(f"piece {p!r} would cross units")
+    if max(len(p) for p, *_ in rows) >= STRIDE or max(i for _, i, _ in rows) >= 1 << min(ID_BITS, RANK_BITS):
+        raise ValueError("pieces are too long, or too many, for the packed edges")
     return rows, byte0
 
 
@@ -81,6 +91,44 @@ def split_units(text: str) -> list[str]:
     return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+class Joints:
+    """Which pairs of characters stand side by side in some piece."""
+
+    def __init__(self, path: str):
+        import numpy as np
+
+        names = [p for p, *_ in pieces(path)[0] if len(p) > 1]
+        chars = sorted({ord(c) for p in names for c in p})
+        self.number = np.zeros(0x110000, np.int32)
+        self.number[chars] = np.arange(1, len(chars) + 1)
+        self.joined = np.zeros((len(chars) + 1) ** 2, bool)
+        self.width = len(chars) + 1
+        for p in names:
+            for a, b in zip(p, p[1:], strict=False):
+                self.joined[self.number[ord(a)] * self.width + self.number[ord(b)]] = True
+
+    def cut(self, units: list[str]) -> tuple[list[str], object]:
+        """(the parts of all units, how many each has)."""
+        import numpy as np
+
+        text = "".join(units)
+        if not text:
+            return [], np.zeros(0, np.int64)
+        own = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
+        begins = np.ones(len(own), bool)
+        begins[1:] = ~self.joined[own[:-1].astype(np.int64) * self.width + own[1:]]
+        starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))))
+        begins[starts[:-1]] = True
+        cuts = np.flatnonzero(begins)
+        ends = np.append(cuts[1:], len(own))
+        return [text[a:b] for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)], np.diff(np.searchsorted(cuts, starts))
+
+
+@lru_cache(4)
+def joints(path: str) -> Joints:
+    return Joints(path)
+
+
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
     """(piece, id, score, rank): rank 0 is the best score, equal scores have equal ranks. A row a piece of the vocabulary."""
     rows, _ = pieces(path)
@@ -88,86 +136,100 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(p, i, float(s), ranks[s]) for p, i, s in rows], "piece string, id int, score double, rank int")
 
 
+def reach_table(spark: SparkSession, path: str) -> DataFrame:
+    """(prefix, reach): the longest piece that begins with the same ``PREFIX`` characters. Fewer rows than pieces."""
+    reach: dict[str, int] = {}
+    for p, *_ in pieces(path)[0]:
+        if len(p) >= PREFIX:
+            reach[p[:PREFIX]] = max(reach.get(p[:PREFIX], 0), len(p))
+    return spark.createDataFrame(list(reach.items()) or [("", 0)], "prefix string, reach int")
+
+
+#: SQL of the parts of a packed edge ``e``.
+START = f"cast(shiftright(e, {LENGTH_BITS + ID_BITS}) & {(1 << START_BITS) - 1} as int)"
+LENGTH = f"cast(shiftright(e, {ID_BITS}) & {(1 << LENGTH_BITS) - 1} as int)"
+
+
 def merge_fold(edges: str, n: str) -> Column:
-    """Boundaries as bits of a long, after joining neighbours in the order of rank, then place. SQL for its short lambdas.
+    """The places where pieces meet, array<int> from 0 to ``n``, after joining neighbours in the order of rank, then place. SQL for its short lambdas.
 
     Only edges of two characters or more can join anything, and each step
     takes one boundary away, so there are no more steps than either. A sign
     bit says that nothing is left to join; later steps then cost nothing.
     """
-    start, end = f"cast(shiftright(e, {AT_BITS + ID_BITS}) & 63 as int)", f"cast(shiftright(e, {ID_BITS}) & 63 as int)"
     # boundaries inside an edge and those at its ends
-    masks = f"named_struct('i', shiftleft(1L, {end}) - shiftleft(2L, {start}), 'b', shiftleft(1L, {start}) | shiftleft(1L, {end}))"
+    masks = f"named_struct('i', shiftleft(1L, {START} + {LENGTH}) - shiftleft(2L, {START}), 'b', shiftleft(1L, {START}) | shiftleft(1L, {START} + {LENGTH}))"
     joins = "bit_count(m & e.i) = 1 and (m & e.b) = e.b"
     # the first edge in order that joins two neighbours, if any does
     step = f"if(m < 0L, m, coalesce(m & ~get(filter(multi, e -> {joins}), 0).i, m | shiftleft(1L, 63)))"
-    fold = f"aggregate(slice(multi, 1, least(size(multi), {n})), shiftleft(2L, {n}) - 1L, (m, i) -> {step}, m -> m & ~shiftleft(1L, 63))"
+    fold = f"aggregate(slice(multi, 1, least(size(multi), {n})), shiftleft(2L, {n}) - 1L, (m, i) -> {step}, m -> filter(sequence(0, {n}), p -> (m & shiftleft(1L, p)) <> 0L))"
     # bound once: an expression inside a lambda is worked out for every element
-    return F.expr(f"get(transform(array(transform(filter({edges}, e -> {end} - {start} > 1), e -> {masks})), multi -> {fold}), 0)")
+    short = f"get(transform(array(transform(filter({edges}, e -> {LENGTH} > 1), e -> {masks})), multi -> {fold}), 0)"
+
+    # the same with an array of longs: the k-th holds the boundaries from k * STRIDE on
+    at, low = f"cast({START} div {STRIDE} as int)", f"({START} % {STRIDE})"
+    masks = f"named_struct('w', {at}, 'i', shiftleft(1L, {low} + {LENGTH}) - shiftleft(2L, {low}), 'b', shiftleft(1L, {low}) | shiftleft(1L, {low} + {LENGTH}))"
+    joins = "bit_count(get(s.m, e.w) & e.i) = 1 and (get(s.m, e.w) & e.b) = e.b"
+    gone = "(get(s.m, e.w) & e.i)"
+    taken = f"transform(s.m, (x, k) -> x & ~(case when k = e.w then {gone} when k = e.w - 1 then shiftleft({gone}, {STRIDE}) when k = e.w + 1 then shiftrightunsigned({gone}, {STRIDE}) else 0L end))"
+    step = f"if(s.over, s, coalesce(get(transform(slice(filter(multi, e -> {joins}), 1, 1), e -> named_struct('m', {taken}, 'over', false)), 0), named_struct('m', s.m, 'over', true)))"
+    all_set = f"transform(sequence(0, {n} div {STRIDE}), k -> if({n} + 1 - {STRIDE} * k >= 64, -1L, shiftleft(1L, cast({n} + 1 - {STRIDE} * k as int)) - 1L))"
+    fold = f"aggregate(slice(multi, 1, least(size(multi), {n})), named_struct('m', {all_set}, 'over', false), (s, i) -> {step}, s -> filter(sequence(0, {n}), p -> (get(s.m, cast(p div {STRIDE} as int)) & shiftleft(1L, p % {STRIDE})) <> 0L))"
+    long = f"get(transform(array(transform(filter({edges}, e -> {LENGTH} > 1), e -> {masks})), multi -> {fold}), 0)"
+    return F.expr(f"if({n} <= {WORD}, {short}, {long})")
 
 
 def viterbi_fold(edges: str, n: str) -> Column:
-    """Boundaries as bits of a long, of the path of the largest summed score over ``edges`` of structs (b, a, score).
+    """The places where pieces meet, of the path of the largest summed score over ``edges`` of structs (b, a, score, id).
 
-    The state holds, for each place reached so far, the best sum and that
-    path's boundaries. Edges come by their ends, so a place is final before
-    any edge leaves it.
+    The state holds, for each place reached so far, the best sum and where its
+    last piece begins. Edges come by their ends, so a place is final before any
+    edge leaves it; the path is walked back from the end.
     """
-    init = f"named_struct('s', transform(sequence(0, {n}), p -> if(p = 0, 0D, double('-inf'))), 'm', transform(sequence(0, {n}), p -> if(p = 0, 1L, 0L)))"
+    init = f"named_struct('s', transform(sequence(0, {n}), p -> if(p = 0, 0D, double('-inf'))), 'f', transform(sequence(0, {n}), p -> -1))"
     better = "get(st.s, e.a) + e.score > get(st.s, e.b)"
-    step = f"if({better}, named_struct('s', transform(st.s, (x, p) -> if(p = e.b, get(st.s, e.a) + e.score, x)), 'm', transform(st.m, (x, p) -> if(p = e.b, get(st.m, e.a) | shiftleft(1L, e.b), x))), st)"
-    return F.expr(f"aggregate({edges}, {init}, (st, e) -> {step}, st -> get(st.m, {n}))")
+    step = f"if({better}, named_struct('s', transform(st.s, (x, p) -> if(p = e.b, get(st.s, e.a) + e.score, x)), 'f', transform(st.f, (x, p) -> if(p = e.b, e.a, x))), st)"
+    back = f"aggregate(sequence(1, {n}), array({n}), (path, i) -> if(get(path, 0) <= 0, path, concat(array(get(st.f, get(path, 0))), path)))"
+    return F.expr(f"aggregate({edges}, {init}, (st, e) -> {step}, st -> {back})")
 
 
-def encode_units(units: DataFrame, path: str, fold: str = "merge") -> tuple[DataFrame, DataFrame]:
-    """(unit), distinct and not null, dealt by unit -> (unit, ids array<int>) of short units, still so dealt, and of long ones."""
+def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
+    """(unit), distinct and not null or empty, dealt by unit -> (unit, ids array<int>), still so dealt."""
     spark = units.sparkSession
-    # units are grouped in memory up to this number a task, then by sorting
-    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(1 << 18))
     rows, byte0 = pieces(path)
     longest = max(len(p) for p, *_ in rows)
-    known = F.broadcast(piece_table(spark, path))
-    short = units.where(F.length("unit") <= SHORT)
-    spans = short.select("unit", F.length("unit").alias("n")).select("unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("a"))
-    spans = spans.select("unit", "a", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.col("n") - F.col("a")))).alias("len"))
-    subs = spans.select("unit", "a", (F.col("a") + F.col("len")).alias("b"), F.substring("unit", F.col("a") + 1, F.col("len")).alias("piece"))
-    edges = subs.join(known, "piece")
-    packed = F.expr(f"shiftleft(cast(rank as long), {2 * AT_BITS + ID_BITS}) | shiftleft(cast(a as long), {AT_BITS + ID_BITS}) | shiftleft(cast(b as long), {ID_BITS}) | id")
+    # an empty substring at each unit's start meets an empty piece, so that a unit without edges keeps its row
+    none = spark.createDataFrame([("", None, None, None)], "piece string, id int, score double, rank int")
+    known = F.broadcast(piece_table(spark, path).unionByName(none))
+    starts = units.select("unit", F.length("unit").alias("n")).select("unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("a"))
+    starts = starts.withColumn("prefix", F.substring("unit", F.col("a") + 1, F.lit(PREFIX))).join(F.broadcast(reach_table(spark, path)), "prefix", "left")
+    most = F.least(F.coalesce("reach", F.lit(min(PREFIX - 1, longest))), F.col("n") - F.col("a"))
+    lengths = F.slice(F.array(*map(F.lit, range(longest + 1))), F.when(F.col("a") == 0, 1).otherwise(2), most + F.when(F.col("a") == 0, 1).otherwise(0))
+    spans = starts.select("unit", "a", F.explode(lengths).alias("len"))
+    edges = spans.select("unit", "a", "len", F.substring("unit", F.col("a") + 1, F.col("len")).alias("piece")).join(known, "piece")
+    packed = F.expr(f"shiftleft(cast(rank as long), {START_BITS + LENGTH_BITS + ID_BITS}) | shiftleft(cast(a as long), {LENGTH_BITS + ID_BITS}) | shiftleft(cast(len as long), {ID_BITS}) | id")
+    by_rank = F.sort_array(F.collect_list(packed)).alias("edges")
     if fold == "merge":
-        lattice = edges.groupBy("unit").agg(F.sort_array(F.collect_list(packed)).alias("edges"))
+        lattice = edges.groupBy("unit").agg(by_rank).withColumn("n", F.length("unit"))
         segment = merge_fold("edges", "n")
     else:
-        by_end = F.sort_array(F.collect_list(F.struct("b", "a", "score", "id")))
-        lattice = edges.groupBy("unit").agg(F.sort_array(F.collect_list(packed)).alias("edges"), by_end.alias("ends"))
+        # a null score keeps the empty piece out
+        by_end = F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct((F.col("a") + F.col("len")).alias("b"), "a", "score", "id"))))
+        lattice = edges.groupBy("unit").agg(by_rank, by_end.alias("ends")).withColumn("n", F.length("unit"))
         # a character without a piece is an edge with the score of the worst piece less 10
         worst = min(s for *_, s in rows) - 10.0
         bare = f"transform(filter(sequence(0, n - 1), p -> not exists(ends, e -> e.a = p and e.b = p + 1)), p -> named_struct('b', p + 1, 'a', p, 'score', {worst}D, 'id', -1))"
         segment = viterbi_fold(f"sort_array(concat(ends, {bare}))", "n")
-    met = short.join(lattice, "unit", "left").withColumn("n", F.length("unit")).withColumn("edges", F.coalesce("edges", F.array().cast("array<bigint>")))
-    if fold != "merge":
-        met = met.withColumn("ends", F.coalesce("ends", F.array().cast("array<struct<b:int,a:int,score:double,id:int>>")))
-    met = met.withColumn("cuts", F.get(F.transform(F.array(segment), lambda mask: F.filter(F.sequence(F.lit(0), F.col("n")), lambda p: mask.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p)) != 0)), F.lit(0)))
-    table = F.expr(f"map_from_entries(transform(edges, e -> struct(cast(shiftright(e, {ID_BITS}) & 4095 as int), cast(e & {(1 << ID_BITS) - 1} as int))))")
+    lattice = lattice.withColumn("cuts", segment)
+    table = F.expr(f"map_from_entries(transform(edges, e -> struct({START} * {1 << LENGTH_BITS} + {LENGTH}, cast(e & {(1 << ID_BITS) - 1} as int))))")
     utf8 = "hex(encode(substring(unit, a + 1, 1), 'utf-8'))"
     as_bytes = f"transform(sequence(1, octet_length(substring(unit, a + 1, 1))), k -> {byte0} + cast(conv(substring({utf8}, 2 * k - 1, 2), 16, 10) as int))"
-    native = met.withColumn("pair", F.struct(F.col("cuts").alias("c"), table.alias("t"))).select(
+    lookup = f"q.t[a * {1 << LENGTH_BITS} + b - a]"
+    return lattice.withColumn("pair", F.struct(F.col("cuts").alias("c"), table.alias("t"))).select(
         "unit",
-        F.expr(f"get(transform(array(pair), q -> flatten(zip_with(slice(q.c, 1, size(q.c) - 1), slice(q.c, 2, size(q.c) - 1), (a, b) -> if(q.t[a * 64 + b] is null, {as_bytes}, array(q.t[a * 64 + b]))))), 0)").alias("ids"),
+        F.expr(f"get(transform(array(pair), q -> flatten(zip_with(slice(q.c, 1, size(q.c) - 1), slice(q.c, 2, size(q.c) - 1), (a, b) -> if({lookup} is null, {as_bytes}, array({lookup}))))), 0)").alias("ids"),
     )
 
-    def by_library(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([library_ids(path, u) for u in b.column(0).to_pylist()], pa.list_(pa.int32()))], names=["unit", "ids"])
-
-    return native, units.where(F.length("unit") > SHORT).select("unit").mapInArrow(by_library, "unit string, ids array<int>")
-
-
-def library_ids(path: str, unit: str) -> list[int]:
-    """The library's ids of one unit. Behind a line end, the first two ids are those of the start mark and it."""
-    return model(path).encode("\n" + unit)[2:]
-
 
 @lru_cache(4)
 def spelling(path: str) -> dict[int, bytes]:
@@ -176,15 +238,30 @@ def spelling(path: str) -> dict[int, bytes]:
     return {i: p.replace(MARK, " ").encode() for p, i, _ in rows} | {byte0 + b: bytes([b]) for b in range(256)}
 
 
-def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_pieces, ids array<int>, round_trip. ``path``: a SentencePiece model file."""
-    n = slots(docs.sparkSession)
-    docs = scan_only(docs)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"), F.lit(0).alias("mark"))
-    units = bucketed(scan_blocks(rows, split_units, "units").select("block", "local", "unit"), "unit", n, "units")
-    short, long = encode_units(units.select("unit").distinct(), path, fold)
-    answers = units.where(F.length("unit") <= SHORT).join(short, "unit").select("block", "local", "ids")
-    answers = answers.unionByName(units.where(F.length("unit") > SHORT).join(long, "unit").select("block", "local", "ids"))
+def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_id", text_col: str = "text", from_files: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_pieces, ids array<int>, round_trip. ``path``: a SentencePiece model file.
+
+    ``from_files``: ``docs`` is a table read from files, of which two scans see
+    the same rows in the same partitions; any other input is written first.
+    """
+    spark, n = docs.sparkSession, slots(docs.sparkSession)
+    text = text_of(text_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"))
+    rows = (rows if from_files else stage(rows, "documents")).withColumn("mark", F.contains("text", F.lit(MARK)).cast("int"))
+
+    def cut(units: list[str]) -> tuple:
+        return joints(path).cut(units)
+
+    units = bucketed(scan_blocks(rows, split_units, "units", cut=cut), "unit", n, "units")
+    threshold = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        # units are grouped in memory up to this number a task, then by sorting
+        spark.conf.set(threshold, str(1 << 18))
+        known = bucketed(encode_units(units.select("unit").distinct(), path, fold), "unit", n, "encoded-units", dealt=True)
+    finally:
+        spark.conf.set(threshold, before)
+    answers = units.join(known, "unit").select("block", "local", "ids")
 
     def pack(batches: Iterator) -> Iterator:
         """Answers of a block, packed: numbers, lengths, ids."""
@@ -223,19 +300,21 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
             for local, z in zip(body[:entries].tolist(), ends.tolist(), strict=True):
                 ids_of[local], text_of_unit[local] = raw[4 * a : 4 * z], b"".join(texts[a:z])
                 a = z
-        streams, lengths, same = [], [], []
-        for crc, body in zip(left["crc"].to_pylist(), left["body"].to_pylist(), strict=True):
+        streams, lengths = [], []
+        for doc, crc, body in zip(left["doc_id"].to_pylist(), left["crc"].to_pylist(), left["body"].to_pylist(), strict=True):
             numbers = numbers_of(body).tolist()
             streams.append(b"".join(map(ids_of.__getitem__, numbers)))
             lengths.append(len(streams[-1]) // 4)
             # the first space is the start mark
-            same.append(zlib.crc32(b"".join(map(text_of_unit.__getitem__, numbers))[1:]) == crc)
+            if zlib.crc32(b"".join(map(text_of_unit.__getitem__, numbers))[1:]) != crc:
+                raise ValueError(f"the ids of document {doc} don't decode to its text: the input's two scans differ")
         offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))).astype(np.int32)
         ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(streams), "<i4")))
-        return pa.table({"doc_id": left["doc_id"], "n_pieces": pa.array(lengths, pa.int64()), "ids": ids, "round_trip": pa.array(same, pa.bool_())})
+        return pa.table({"doc_id": left["doc_id"], "n_pieces": pa.array(lengths, pa.int64()), "ids": ids, "round_trip": pa.array([not m for m in left["mark"].to_pylist()], pa.bool_())})
 
     packed = answers.mapInArrow(pack, "block long, entries int, body binary")
-    streams = scan_blocks(rows, split_units, "streams").select("block", "doc_id", "crc", "body")
+    # marks of the text itself decode to spaces
+    streams = scan_blocks(rows, split_units, "streams", cut=cut, crc=lambda t: check_sum(t.replace(MARK, " "))).select("block", "doc_id", "mark", "crc", "body")
     return streams.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(assemble, "doc_id long, n_pieces long, ids array<int>, round_trip boolean")
 
 

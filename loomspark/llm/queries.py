@@ -19,7 +19,7 @@ def vocabulary(name: str) -> str:
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_lattice.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return piece_lattice.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), from_files=True)
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
