@@ -91,9 +91,11 @@ class Block:
 
         found, flat, starts, lengths = self.parts()
         counts = np.zeros((marks, len(found)), np.int64)
-        for _, mark, _, ids in self.docs:
-            if 0 <= mark < marks:
-                np.add.at(counts[mark], gathered(flat, starts[ids], lengths[ids]), 1)
+        for k in range(marks):
+            own = [ids for _, mark, _, ids in self.docs if mark == k]
+            if own:
+                ids = np.concatenate(own)
+                counts[k] = np.bincount(gathered(flat, starts[ids], lengths[ids]), minlength=len(found))
         for i in range(0, len(found), 10000):
             some = found[i : i + 10000]
             yield [pa.array(np.full(len(some), self.name, np.int64)), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.array(some, pa.string()), *(pa.array(c[i : i + 10000]) for c in counts)]

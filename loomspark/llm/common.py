@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Column names that the operators add start with this, so that extra input
 #: columns never clash with them.
@@ -41,6 +42,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_kinds(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` for rows of several kinds: a folder for each value of ``kind``, of which a reader opens only its own."""
+    path = f"{shared_dir(df.sparkSession)}/loomspark/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy("kind").parquet(path)
+    others = [f for f in df.schema.fields if f.name != "kind"]
+    return df.sparkSession.read.schema(StructType([*others, df.schema["kind"]])).parquet(path)
+
+
 def bucketed(df: DataFrame, by: str, n: int, name: str, dealt: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder in ``n`` buckets sorted by a column, and read it back.
 
