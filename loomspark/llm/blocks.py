@@ -24,6 +24,8 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import compressor, decompressor
+
 #: Characters of text in a block, about.
 BLOCK_CHARS = 32 << 20
 STREAMS = "block long, doc_id long, mark int, n long, crc long, body binary"
@@ -36,17 +38,15 @@ def units_schema(marks: int) -> str:
 def planes(ids) -> bytes:
     """Whole numbers below 2^32, compressed byte plane by byte plane."""
     import numpy as np
-    import zstandard
 
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
+    return compressor(3).compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
 def numbers_of(body: bytes):
     """The numbers that ``planes`` packed."""
     import numpy as np
-    import zstandard
 
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
+    raw = np.frombuffer(decompressor().decompress(body), np.uint8)
     return np.ascontiguousarray(raw.reshape(4, -1).T).view("<u4").reshape(-1) if raw.size else np.zeros(0, "<u4")
 
 

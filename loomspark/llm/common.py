@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +66,21 @@ def bucketed(df: DataFrame, by: str, n: int, name: str, dealt: bool = False) ->
     return found
 
 
+@lru_cache(4)
+def compressor(level: int):
+    """This worker's compressor; making one costs more than most bodies."""
+    import zstandard
+
+    return zstandard.ZstdCompressor(level=level)
+
+
+@lru_cache(1)
+def decompressor():
+    import zstandard
+
+    return zstandard.ZstdDecompressor()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import numbers_of, scan_blocks
-from .common import bucketed, slots, stage_kinds, text_of
+from .common import bucketed, compressor, decompressor, slots, stage_kinds, text_of
 from .piece_lattice import MARK, pieces
 
 ROUNDS = 2
@@ -320,7 +320,6 @@ def scores(docs: DataFrame, path: str, rounds: int = ROUNDS, id_col: str = "doc_
 
     def pack(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        import zstandard
 
         for b in batches:
             block = b.column(0).dictionary_encode()
@@ -330,7 +329,7 @@ def scores(docs: DataFrame, path: str, rounds: int = ROUNDS, id_col: str = "doc_
             for i, name in enumerate(block.dictionary.to_pylist()):
                 at = code == i
                 body = local[at].astype("<i4").tobytes() + c[at].astype("<i8").tobytes() + b"".join(lp[at].astype("<f8").tobytes() for lp in lps)
-                out.append((name, int(at.sum()), zstandard.ZstdCompressor(level=1).compress(body)))
+                out.append((name, int(at.sum()), compressor(1).compress(body)))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["block", "entries", "body"])
 
     share = np.log10((ends + 0.5) / (n_ends + 0.5 * groups))
@@ -340,9 +339,8 @@ def scores(docs: DataFrame, path: str, rounds: int = ROUNDS, id_col: str = "doc_
 
     def assemble(left, right):
         import pyarrow as pa
-        import zstandard
 
-        entries, bodies = right["entries"].to_pylist(), [zstandard.ZstdDecompressor().decompress(x) for x in right["body"].to_pylist()]
+        entries, bodies = right["entries"].to_pylist(), [decompressor().decompress(x) for x in right["body"].to_pylist()]
         size = sum(entries)
         counts, p = np.full(size, -1, np.int64), np.zeros((size, groups))
         for k, x in zip(entries, bodies, strict=True):

@@ -4,21 +4,26 @@ Layout of a store folder:
 
 * ``objects/kind=chunk``: (key, n, width, body), a unique chunk of an id
   stream stored once. ``key`` is the 16-byte BLAKE2b of the ids as
-  little-endian uint32; ``body`` holds them in ``width`` bytes each.
+  little-endian uint32; ``body`` holds them in ``width`` bytes each, all first
+  bytes before all second ones, compressed.
 * ``objects/kind=recipe``: what the writer's tasks know of each document.
 * ``recipes``: (doc_id, start, n_tokens, chunks, root, part) in ascending
   doc_id order over files and inside them. ``chunks`` joins the keys of the
   document's chunks; ``root`` is the Merkle root over them.
 * ``manifest``: (part, n_docs, n_tokens, root) of each recipe file, where
-  ``root`` is the SHA-256 over its documents' roots, and a row with part -1,
-  whose root is over those of the parts.
+  ``root`` is the SHA-256 over the roots below it, and a row with part -1,
+  whose root is over those of the parts. Below a part lie spans of 2^24 token
+  positions, below these spans of 2^16, below these the documents, so that no
+  step holds more roots than a span has.
 
 Chunks are cut where a rolling hash of the last ``WINDOW`` ids has
 ``MASK_BITS`` zero bits, at least ``MIN_IDS`` and at most ``MAX_IDS`` apart, so
 equal passages of different documents become equal chunks. A task gives out a
 chunk once, then chunks are dealt by key and repeats dropped, so a passage in
-a third of all documents moves once per task. Reading checks each chunk's key,
-each document's Merkle root and length, and each part's root.
+a third of all documents moves once per task. Reading sends each chunk once to
+each ``SPAN`` of token positions in which a document names it, puts the
+documents' id streams together there, and checks each chunk's key, each
+document's Merkle root and length, and each part's root.
 
 Defined results: a null text counts as empty and has the end id alone; rows
 that repeat an identifier are separate documents in the order of their roots;
@@ -32,18 +37,19 @@ import hashlib
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slots, spread_lookup, text_of
+from .common import compressor, decompressor, shared_dir, slots, text_of
 from .units import ByteUnits, encoder
 
 WINDOW = 16
 MASK_BITS = 8
 MIN_IDS = 64
 MAX_IDS = 2048
+#: Documents that begin in the same 2^SPAN_BITS token positions are put together at once.
+SPAN_BITS = 21
 KEY_BYTES = 16
 #: Chunks that a task remembers as given out.
 REMEMBER = 1 << 20
@@ -98,16 +104,20 @@ def chunk_key(body: bytes) -> bytes:
 
 
 def narrowed(ids) -> tuple[int, bytes]:
-    """The least of 1, 2 or 4 bytes an id that holds them all."""
+    """(width, body): the least of 1, 2 or 4 bytes an id that holds them all, and the ids in those."""
+    import numpy as np
+
     top = int(ids.max(initial=0))
     width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4
-    return width, ids.astype(f"<u{width}").tobytes()
+    planes = ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return width, compressor(1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def widened(width: int, body: bytes):
     import numpy as np
 
-    return np.frombuffer(body, f"<u{width}").astype("<u4")
+    planes = np.frombuffer(decompressor().decompress(body), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype("<u4")
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -179,109 +189,84 @@ def chunks_of(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest(recipes: DataFrame) -> DataFrame:
-    """(part, n_docs, n_tokens, root): the documents' roots are hashed by part in order, then the parts'."""
-
-    def rooted(rows: DataFrame, by: str, order: str):
-        in_order = F.array_sort(F.collect_list(F.struct(order, F.hex("root").alias("r"))))
-        return F.unhex(F.sha2(F.array_join(in_order["r"], "").cast("binary"), 256)).alias("root")
+    """(part, n_docs, n_tokens, root): the documents' roots are hashed in order by span, spans by wider span, these by part, parts as a whole."""
 
-    parts = recipes.groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), rooted(recipes, "part", "start"))
-    whole = parts.agg(F.lit(-1).alias("part"), F.sum("n_docs").alias("n_docs"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"), rooted(parts, "part", "part"))
-    return parts.unionByName(whole)
+    def rooted(rows: DataFrame, *by: str) -> DataFrame:
+        in_order = F.array_sort(F.collect_list(F.struct("start", F.hex("root").alias("r"))))
+        root = F.unhex(F.sha2(F.array_join(in_order["r"], "").cast("binary"), 256)).alias("root")
+        return rows.groupBy(*by).agg(F.min("start").alias("start"), F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), root)
 
+    rows = recipes.select("part", "start", F.lit(1).cast("long").alias("n_docs"), "n_tokens", "root")
+    for bits in (16, 24):
+        rows = rooted(rows.withColumn("span", F.shiftright("start", bits)), "part", "span")
+    parts = rooted(rows, "part")
+    whole = rooted(parts.withColumn("part", F.lit(-1)), "part")
+    # an empty store has a whole of no parts
+    none = parts.agg(F.count("*").alias("n")).where("n = 0").select(F.lit(-1).alias("part"), F.lit(0).cast("long").alias("n_docs"), F.lit(0).cast("long").alias("n_tokens"), F.unhex(F.sha2(F.lit("").cast("binary"), 256)).alias("root"))
+    return parts.drop("start").unionByName(whole.drop("start")).unionByName(none)
 
-@lru_cache(1 << 14)
-def _power(n_bytes: int) -> int:
-    """x^(8 n) modulo the CRC-32 polynomial, in reflected form."""
-    power, square = 1 << 31, 1 << 23  # x^0 and x^8
-    while n_bytes:
-        if n_bytes & 1:
-            power = _times(power, square)
-        square = _times(square, square)
-        n_bytes >>= 1
-    return power
 
+STREAM = "doc_id long, start long, n_tokens long, stream binary"
 
-def _times(a: int, b: int) -> int:
-    out = 0
-    for i in range(31, -1, -1):
-        if a >> i & 1:
-            out ^= b
-        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
-    return out
 
+def streams(spark: SparkSession, path: str, to_rows=None, schema: str = STREAM) -> DataFrame:
+    """(doc_id, start, n_tokens, stream): each document's ids as little-endian uint32, put together from the files and verified.
 
-def crc_joined(first: int, second: int, n_bytes: int) -> int:
-    """CRC-32 of two strings joined, from theirs and the second's length."""
-    return _times(first, _power(n_bytes)) ^ second
-
+    ``to_rows``, if given, turns the Arrow table of some documents' streams into rows of ``schema``.
+    """
+    check = manifest(recipes_of(spark, path)).exceptAll(spark.read.schema("part int, n_docs long, n_tokens long, root binary").parquet(f"{path}/manifest"))
+    if not check.isEmpty():
+        raise ValueError("the manifest doesn't match the recipes")
+    recipes = recipes_of(spark, path).select("doc_id", "start", "n_tokens", "chunks", "root", F.shiftright("start", SPAN_BITS).alias("span"))
+    keys = F.expr(f"transform(sequence(0, cast(octet_length(chunks) div {KEY_BYTES} as int) - 1), i -> substring(chunks, i * {KEY_BYTES} + 1, {KEY_BYTES}))")
+    # a passage of a third of all documents is one row a span
+    asked = recipes.select("span", F.explode(keys).alias("key")).distinct()
+    sent = asked.join(chunks_of(spark, path), "key").select(F.col("span").alias("to_span"), "key", "n", "width", "body")
 
-def _read_chunks(batches: Iterator) -> Iterator:
-    """(key, n, crc) of chunks read back; the body must give the key."""
-    import pyarrow as pa
+    def assemble(left, right):
+        import pyarrow as pa
 
-    for b in batches:
-        keys, ns, crcs = b.column(0).to_pylist(), [], []
-        for key, n, width, body in zip(keys, *(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+        known = {}
+        for key, n, width, body in zip(*(right[c].to_pylist() for c in ("key", "n", "width", "body")), strict=True):
             wide = widened(width, body).tobytes()
             if chunk_key(wide) != key or len(wide) != 4 * n:
                 raise ValueError(f"chunk {key.hex()} is damaged")
-            ns.append(n)
-            crcs.append(zlib.crc32(wide))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ns, pa.int64()), pa.array(crcs, pa.int64())], names=["key", "n", "crc"])
-
-
-def _join_chunks(batches: Iterator) -> Iterator:
-    """A document's chunks in order -> its length and CRC, checked against recipe and Merkle root."""
-    import pyarrow as pa
-
-    for b in batches:
-        crcs = []
-        for doc, n_tokens, root, parts in zip(*(b.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
-            crc, n = 0, 0
-            for p in parts:
-                crc, n = crc_joined(crc, p["crc"], 4 * p["n"]), n + p["n"]
-            if n != n_tokens or merkle([p["key"] for p in parts]) != root:
+            known[key] = wide
+        found = []
+        for doc, n_tokens, chunks, root in zip(*(left[c].to_pylist() for c in ("doc_id", "n_tokens", "chunks", "root")), strict=True):
+            own = [chunks[i : i + KEY_BYTES] for i in range(0, len(chunks), KEY_BYTES)]
+            whole = b"".join(map(known.__getitem__, own))
+            if len(whole) != 4 * n_tokens or merkle(own) != root:
                 raise ValueError(f"document {doc} is damaged")
-            crcs.append(crc)
-        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(crcs, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            found.append(whole)
+        table = pa.table({"doc_id": left["doc_id"], "start": left["start"], "n_tokens": left["n_tokens"], "stream": pa.array(found, pa.binary())})
+        return to_rows(table) if to_rows else table
 
-
-def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(start, pos, key): the chunks of each document, which its start names."""
-    keys = F.expr(f"transform(sequence(0, cast(octet_length(chunks) div {KEY_BYTES} as int) - 1), i -> substring(chunks, i * {KEY_BYTES} + 1, {KEY_BYTES}))")
-    return recipes_of(spark, path).select("start", F.posexplode(keys).alias("pos", "key"))
+    return recipes.groupBy("span").cogroup(sent.groupBy("to_span")).applyInArrow(assemble, schema)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document, from the files, all of them verified.
+    """(doc_id, start, n_tokens, ids_crc32) of every document, from its id stream."""
 
-    CRCs are joined from those of the chunks read, so bodies don't move.
-    """
-    check = manifest(recipes_of(spark, path)).exceptAll(spark.read.schema("part int, n_docs long, n_tokens long, root binary").parquet(f"{path}/manifest"))
-    if not check.isEmpty():
-        raise ValueError("the manifest doesn't match the recipes")
-    chunks = chunks_of(spark, path).mapInArrow(_read_chunks, "key binary, n long, crc long")
-    pieces = spread_lookup(_pieces(spark, path), chunks, "key", "start", slots(spark))
-    joined = pieces.groupBy("start").agg(F.array_sort(F.collect_list(F.struct("pos", "key", "n", "crc"))).alias("parts"))
-    whole = recipes_of(spark, path).join(joined, "start", "left").select("doc_id", "start", "n_tokens", "root", F.coalesce("parts", F.array().cast("array<struct<pos:int,key:binary,n:bigint,crc:bigint>>")).alias("parts"))
-    return whole.mapInArrow(_join_chunks, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    def summed(table):
+        import pyarrow as pa
+
+        return table.drop_columns("stream").append_column("ids_crc32", pa.array([zlib.crc32(s) for s in table["stream"].to_pylist()], pa.int64()))
+
+    return streams(spark, path, summed, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, ids array<long>): the id streams themselves."""
+    """(doc_id, start, ids array<long>): the id streams as arrays."""
 
-    def widen(batches: Iterator) -> Iterator:
+    def listed(table):
+        import numpy as np
         import pyarrow as pa
 
-        for b in batches:
-            ids = [widened(w, body) for w, body in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([i.tolist() for i in ids], pa.list_(pa.int64()))], names=["key", "ids"])
+        ids = pa.array([np.frombuffer(s, "<u4").astype(np.int64) for s in table["stream"].to_pylist()], pa.list_(pa.int64()))
+        return table.select(["doc_id", "start"]).append_column("ids", ids)
 
-    bodies = chunks_of(spark, path).select("key", "width", "body").mapInArrow(widen, "key binary, ids array<long>")
-    pieces = spread_lookup(_pieces(spark, path), bodies, "key", "start", slots(spark))
-    joined = pieces.groupBy("start").agg(F.flatten(F.array_sort(F.collect_list(F.struct("pos", "ids")))["ids"]).alias("ids"))
-    return recipes_of(spark, path).join(joined, "start").select("doc_id", "start", "ids")
+    return streams(spark, path, listed, "doc_id long, start long, ids array<long>")
 
 
 def round_trip(docs: DataFrame, vocabulary: str, path: str | None = None, **columns) -> DataFrame:

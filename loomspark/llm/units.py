@@ -2,8 +2,9 @@
 
 The pre-tokenizers of both vocabularies never join across certain white
 space, so a text is cut there, and each distinct unit is encoded once per
-worker and remembered. The memory of a worker is bounded: a full table is
-emptied. Texts in which a cut would not be safe go to the library whole.
+worker and remembered. The memory of a worker is bounded: a full table becomes
+the older one, whose entries move back when they are asked for. Texts in which
+a cut would not be safe go to the library whole.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ import re
 import sys
 from array import array
 
-#: Entries that a worker remembers: units, and the pre-tokens that they are made of.
-UNITS, PRETOKENS = 500_000, 500_000
+#: Entries of a table that a worker remembers, besides as many older ones.
+UNITS, PRETOKENS = 400_000, 100_000
 #: Fixed value: the published pre-tokenizer pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -39,65 +40,93 @@ def library(path: str):
 
 
 class Remembered(dict):
-    """Values by key, made by ``make`` when they are first asked for; emptied when full."""
+    """Values by key, made by ``make`` when they are first asked for; of a full table the latest entries stay."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.older = make, limit, {}
 
     def __missing__(self, key: str):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value
 
 
+def byte_letters() -> dict[int, int]:
+    """Fixed rule of byte-level vocabularies: a byte's letter is its Latin-1 character if that is printable, else the next from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: b for b in printable} | {b: 256 + i for i, b in enumerate(others)}
+
+
 class ByteUnits:
     """Ids of the byte-level vocabulary as little-endian uint32 bytes.
 
     A space before a character that isn't white space always begins a
     pre-token: a run of white space gives up its last character, and that
     space opens the next one. So a text may be cut before each such space.
+    Pre-tokens go straight to the library's model, which spares them the
+    library's bookkeeping of offsets.
     """
 
     unsafe = re.compile(r" \s| \Z")
+    #: Of plain ASCII texts, what makes a cut unsafe.
+    unsafe_ascii = [" " + c for c in " \t\n\v\f\r\x1c\x1d\x1e\x1f"]
 
     def __init__(self, path: str):
         import regex
 
         self.lib = library(path)
+        self.model, self.letters = self.lib.model, byte_letters()
+        if self.lib.normalizer is not None:
+            raise ValueError("the vocabulary normalises texts, so its units can't be encoded apart")
         self.special = re.compile("|".join(re.escape(t.content) for t in self.lib.get_added_tokens_decoder().values()) or r"(?!)")
         self.pretokens = regex.compile(BYTE_LEVEL).findall
-        self.known = Remembered(self.whole, PRETOKENS)
+        self.known = Remembered(self.pretoken, PRETOKENS)
         #: By unit without its leading space.
         self.units = Remembered(self.unit, UNITS)
 
     def unit(self, u: str) -> bytes:
         """Letters alone, or letters and one mark, need no pattern."""
         if u.isalpha():
-            return self.known[" " + u]
+            return self.pretoken(" " + u)
         if u[-1:] in (".", ",") and u[:-1].isalpha():
-            return self.known[" " + u[:-1]] + self.known[u[-1]]
+            return self.units[u[:-1]] + self.known[u[-1]]
         return b"".join(map(self.known.__getitem__, self.pretokens(" " + u)))
 
+    def pretoken(self, p: str) -> bytes:
+        return packed([t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))])
+
     def whole(self, text: str) -> bytes:
-        ids = array("I", self.lib.encode(text, add_special_tokens=False).ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+        return packed(self.lib.encode(text, add_special_tokens=False).ids)
+
+    def cuttable(self, text: str) -> bool:
+        unsafe = text[-1:] == " " or any(x in text for x in self.unsafe_ascii) if text.isascii() else self.unsafe.search(text)
+        return not unsafe and not self.special.search(text)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, unit = [], self.units.__getitem__
         for t in texts:
-            if self.special.search(t) or self.unsafe.search(t):
-                out.append(self.whole(t))
-            else:
+            if self.cuttable(t):
                 first, *rest = t.split(" ")
                 out.append(self.whole(first) + b"".join(map(unit, rest)) if first else b"".join(map(unit, rest)))
+            else:
+                out.append(self.whole(t))
         return out
 
 
+def packed(ids: list[int]) -> bytes:
+    own = array("I", ids)
+    if sys.byteorder == "big":
+        own.byteswap()
+    return own.tobytes()
+
+
 class WordUnits:
     """Token counts of the lower-case vocabulary, which drops white space.
 
