@@ -4,43 +4,54 @@ A page becomes blocks: the text between the boundaries of block elements,
 with character references decoded and white space collapsed. Elements that
 are never the article by their name, role or class (menus, headers outside
 the article, footers, sidebars, notices, adverts, forms, scripts, styles,
-comments) take no part.
-
-What markup doesn't tell, the neighbour does: pages are sorted by URL path
-within each host, each is paired with its nearest (the one before it in the
-order; the first of a run with the one after it), the two pages' lines are
-aligned by longest common subsequence, and shared lines are deleted as the
-site's own. Two rules keep articles whole. Lines inside an element that says
-it is the article (``article``, ``main`` or that role) are never deleted. And
-a pair whose lines are the same in at least ``COPY`` of the shorter page is
-two copies of one page, which tell nothing about the site.
+comments) take no part. A class or identifier counts by its hyphenated parts
+outside the article, and only as a whole on a container inside it. A page with
+an ``article`` or ``main`` element consists of what stands inside.
+
+What markup doesn't tell, the neighbours do: pages are sorted by URL path
+within each host, and each is paired with the nearest page before and the
+nearest after it, which is the first of ``REACH`` that isn't the same page over
+again. Lines are aligned by longest common subsequence, and shared lines are
+deleted as the site's own: outside an article element those shared with
+either neighbour, inside one those that all three pages share. A neighbour
+that shares more than half of what the other one leaves is a near copy, which
+tells nothing about the site, and doesn't count; nor do lines count that would
+take more than half of an article, as then the three are versions of one page.
 
 A host may hold a third of all pages: pages are dealt by ranges of (host,
-path), which cut a large host into several tasks, and a task holds two pages
-at a time. The first two pages and the last of each range are handed on to a
-step that pairs pages across ranges, so results don't depend on the ranges.
+path, ...), which cut a large host into several tasks. The ranges' bounds are
+drawn from a sample of ``DRAWN`` keys a range; a first scan of the URLs finds
+the ``REACH`` first and last keys of each range, and the pages of these keys go
+to the neighbouring ranges as well. So a page's neighbours, and its text, don't
+depend on the ranges. A task holds ``2 * REACH + 1`` pages at a time.
 
 Defined results: a null or empty page has an empty text; a null or odd URL
 belongs to a host of its own kind, paired like any other; a page without a
-neighbour is judged by its markup; pages that repeat an identifier are rows
-of their own; an empty table gives an empty result; other columns are ignored.
+neighbour, or with copies alone around it, is judged by its markup; pages that
+repeat an identifier are rows of their own; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import heapq
 import html
-import itertools
 import re
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slots, stage
+from .common import slots
 
-COPY = 0.8
+#: Pages looked at on either side for one that isn't a copy.
+REACH = 2
+#: Keys drawn a range to find the bounds.
+DRAWN = 100
 #: HTML elements by their part in a page.
-DROPPED = frozenset("script style noscript template iframe object embed svg math canvas head nav footer aside form button select option textarea input dialog menu audio video map".split())
+DROPPED = frozenset("script style noscript template iframe object embed svg canvas head nav footer aside form button select option textarea input dialog menu audio video".split())
 RAW = frozenset("script style noscript template iframe textarea title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -49,11 +60,14 @@ BLOCK = frozenset(
 ARTICLE = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 #: Words of a class or identifier that mark what isn't the article.
-MARKED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|banner|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|header|masthead|footer|sidebar|side-bar|widget|"
-    r"cookie|cookies|consent|gdpr|notice|notification|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comment|comments|disqus|reply|replies|respond|pagination|pager|toolbar|skip-link)(?:$|[\s_-])",
-    re.I,
+MARKS = (
+    r"(?:ad|ads|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|banner|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|header|masthead|footer|sidebar|side-bar|widget|"
+    r"cookie|cookies|consent|gdpr|notice|notification|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comment|comments|disqus|reply|replies|respond|pagination|pager|toolbar|skip-link)"
 )
+MARKED = re.compile(rf"(?:^|[\s_-]){MARKS}(?:$|[\s_-])", re.I)
+MARKED_WHOLE = re.compile(rf"(?:^|\s){MARKS}(?:$|\s)", re.I)
+#: Inside the article, only these are judged by their class.
+CONTAINERS = frozenset("div section aside ul ol dl table details".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
 SPACES = re.compile(r"\s+")
@@ -70,9 +84,9 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
         return False
     for key, value in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
-        if key == "role" and value.lower() in ROLES or key == "aria-hidden" and value.lower() == "true":
+        if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and MARKED.search(value):
+        if key in ("class", "id") and (name in CONTAINERS and MARKED_WHOLE.search(value) if in_article else MARKED.search(value)):
             return True
     return bool(re.search(r"(?:^|\s)hidden(?:$|[\s=/])", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
 
@@ -144,8 +158,8 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
     return out
 
 
-def shared(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence of two lists of lines.
+def shared(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
+    """Places in ``a`` and in ``b`` of a longest common subsequence of two lists of lines.
 
     Myers' walk over furthest-reaching paths, after common ends are taken off:
     its cost follows the number of lines that differ.
@@ -155,13 +169,13 @@ def shared(a: list[str], b: list[str]) -> set[int]:
         lo += 1
     while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
         hi += 1
-    found = set(range(lo)) | set(range(len(a) - hi, len(a)))
+    found, other = set(range(lo)) | set(range(len(a) - hi, len(a))), set(range(lo)) | set(range(len(b) - hi, len(b)))
     inner = set(a[lo : len(a) - hi]) & set(b[lo : len(b) - hi])
     x = [i for i in range(lo, len(a) - hi) if a[i] in inner]
     y = [j for j in range(lo, len(b) - hi) if b[j] in inner]
     n, m = len(x), len(y)
     if not n or not m:
-        return found
+        return found, other
     reach, trail = {1: 0}, []
     for d in range(n + m + 1):
         trail.append(dict(reach))
@@ -186,91 +200,171 @@ def shared(a: list[str], b: list[str]) -> set[int]:
         while i > max(i_before, 0) and j > max(j_before, 0) and i > 0 and j > 0 and a[x[i - 1]] == b[y[j - 1]]:
             i, j = i - 1, j - 1
             found.add(x[i])
+            other.add(y[j])
         i, j = i_before, j_before
         if d == 0:
             break
-    return found
+    return found, other
+
+
+def main_text(own: list[tuple[str, bool]], before: set[int] | None, after: set[int] | None) -> str:
+    """The blocks of a page without those that are the site's; ``before``, ``after``: places that a neighbour shares."""
+    kept = {i for i, x in enumerate(own) if x[1]} or set(range(len(own)))
+    inside = any(x[1] for x in own)
+    if before is None or after is None:
+        gone = set() if inside else (before or after or set())
+    elif inside:
+        gone = before & after
+        gone = set() if 2 * len(kept & gone) > len(kept) else gone
+    else:
+        near = 2 * len((kept & before) - after) > len(kept - after), 2 * len((kept & after) - before) > len(kept - before)
+        gone = (set() if near[0] else before) | (set() if near[1] else after)
+    return "\n".join(own[i][0] for i in sorted(kept - gone))
+
+
+HOST = re.compile(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)")
+PATH = re.compile(r"(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)")
 
 
-def main_text(own: list[tuple[str, bool]], near: list[tuple[str, bool]] | None) -> str:
-    """The blocks of a page without those that it shares with its neighbour."""
-    if near:
-        a, b = [t for t, _ in own], [t for t, _ in near]
-        same = shared(a, b)
-        if len(same) < COPY * min(len(a), len(b)):
-            own = [x for i, x in enumerate(own) if x[1] or i not in same]
-    if any(inside for _, inside in own):
-        own = [x for x in own if x[1]]
-    return "\n".join(t for t, _ in own)
+def sort_key(page_id: int | None, url: str | None) -> tuple:
+    """(host, path with its numbers blanked, length, path, URL, identifier): numbers in a path sort as numbers, so that neighbours are near."""
+    host, path = HOST.match(url or ""), PATH.match(url or "")
+    path = path[1] if path else ""
+    return host[1].lower() if host else "", re.sub(r"\d+", "0", path), len(path), path, url or "", page_id is not None, page_id or 0
 
 
-FOUND = "page_id long, url string, text string, n_chars long, part int, place long, host string, html string, open boolean"
+class Page:
+    """A page of the window: its blocks, and what it shares with others of the window."""
 
+    def __init__(self, row: tuple):
+        self.page_id, self.url, self.host, lines, inside, self.own = row
+        self.blocks = list(zip(lines, inside, strict=True))
+        self.lines, self.places = lines, {}
 
-def _row(page: tuple, near: list | None) -> tuple:
-    text = main_text(page[4], near)
-    return page[0], page[1], text, len(text), None, None, None, None, None
+    def shares(self, other: Page) -> set[int]:
+        if id(other) not in self.places:
+            self.places[id(other)], other.places[id(self)] = shared(self.lines, other.lines)
+        return self.places[id(other)]
 
+    def nearest(self, others: list[Page]) -> set[int] | None:
+        """Places shared with the first of the host's pages that lacks some of this one's text."""
+        text = {i for i, x in enumerate(self.blocks) if x[1]} or set(range(len(self.blocks)))
+        for other in others:
+            if other.host == self.host and not text <= (same := self.shares(other)):
+                return same
+        return None
 
-def _edge(page: tuple, part: int, place: int, is_open: bool) -> tuple:
-    return page[0], page[1], None, None, part, place, page[2], page[3], is_open
+    def text(self, before: list[Page], after: list[Page]) -> str:
+        return main_text(self.blocks, self.nearest(before), self.nearest(after))
 
 
-def _batch(rows: list):
+def differenced(batches: Iterator) -> Iterator:
+    """Pages of one range in order, with those of its neighbours around them -> rows of the range's own."""
     import pyarrow as pa
 
-    types = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.bool_())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=[f.split()[0] for f in FOUND.split(", ")])
+    window: deque[Page | None] = deque([None] * (2 * REACH + 1), 2 * REACH + 1)
+    rows: list[tuple] = []
+
+    def turn(page: Page | None) -> None:
+        window.append(page)
+        at = window[REACH]
+        if at and at.own:
+            around = list(window)
+            text = at.text([p for p in reversed(around[:REACH]) if p], [p for p in around[REACH + 1 :] if p])
+            rows.append((at.page_id, at.url, text, len(text)))
+
+    def out() -> pa.RecordBatch:
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.string(), pa.string(), pa.int64()), strict=True)], names=["page_id", "url", "text", "n_chars"])
+        rows.clear()
+        return batch
+
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            turn(Page(row))
+        if rows:
+            yield out()
+    for _ in range(REACH):
+        turn(None)
+    if rows:
+        yield out()
+
+
+def extremes(keyed: Iterator[tuple[int, tuple]]) -> Iterator[tuple[int, tuple]]:
+    """Of (range, key), the ``REACH`` least and greatest distinct keys of each range."""
+    least: dict[int, list] = {}
+    most: dict[int, list] = {}
+    for part, key in keyed:
+        low, high = least.setdefault(part, []), most.setdefault(part, [])
+        if (len(low) < REACH or key < low[-1]) and key not in low:
+            low[:] = heapq.nsmallest(REACH, [*low, key])
+        if (len(high) < REACH or key > high[-1]) and key not in high:
+            high[:] = heapq.nlargest(REACH, [*high, key])
+    for part in least:
+        for key in {*least[part], *most[part]}:
+            yield part, key
+
+
+def ranges(pages: DataFrame, n: int) -> tuple[list[tuple], dict[tuple, list[int]]]:
+    """(the bounds of ``n`` ranges at most, the ranges besides its own that a page at a range's edge goes to). ``pages``: (page_id, url)."""
+    total = pages.count()
+    drawn = pages.sample(min(1.0, DRAWN * n / max(total, 1)), 7) if total > DRAWN * n else pages
+    keys = sorted({sort_key(*r) for r in drawn.collect()})  # about DRAWN keys a range
+    bounds = sorted({keys[i * len(keys) // n] for i in range(1, n)}) if keys else []
+
+    def of_pages(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        def keyed() -> Iterator:
+            for b in batches:
+                for page_id, url in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    key = sort_key(page_id, url)
+                    yield bisect_right(bounds, key), key
+
+        found = [(part, key[4] if key[4] else None, key[6] if key[5] else None) for part, key in extremes(keyed())]
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64()))], names=["part", "url", "page_id"])
+
+    def of_edges(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        keyed = ((part, sort_key(page_id, url)) for b in batches for part, url, page_id in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        found = [(part, key[4] if key[4] else None, key[6] if key[5] else None) for part, key in extremes(keyed)]
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.string(), pa.int64()))], names=["part", "url", "page_id"])
+
+    schema = "part int, url string, page_id long"
+    edges = pages.mapInArrow(of_pages, schema).repartition(n, "part").mapInArrow(of_edges, schema).collect()  # 2 * REACH rows a range
+    by_part: dict[int, list] = {}
+    for r in edges:
+        by_part.setdefault(r["part"], []).append(sort_key(r["page_id"], r["url"]))
+    full, more = sorted(by_part), {}
+    for i, part in enumerate(full):
+        # ranges may hold fewer pages than REACH, so the nearest ones may lie further off
+        before = sorted({k for p in full[max(0, i - REACH) : i] for k in by_part[p]})[-REACH:]
+        after = sorted({k for p in full[i + 1 : i + 1 + REACH] for k in by_part[p]})[:REACH]
+        for key in before + after:
+            more.setdefault(key, []).append(part)
+    return bounds, more
 
 
 def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text, n_chars."""
+    n = slots(pages.sparkSession)
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
+    bounds, more = ranges(rows.select("page_id", "url"), n)
 
-    def scan(batches: Iterator) -> Iterator:
-        """Pages of one range. Its first two and its last go on as edges; the first, and a last page that may have its neighbour in the next range, stay open."""
-        from pyspark import TaskContext
+    def dealt(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-        part, place = TaskContext.get().partitionId(), 0
-        before = None  # the last page: (page_id, url, host, html, blocks)
-        waits = False  # is it the first of its host, so that it waits for the next one?
         for b in batches:
-            rows = []
-            for page in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                now = (*page, blocks(page[3]))
-                if before:
-                    alike = before[2] == now[2]
-                    if waits and place > 1:
-                        rows.append(_row(before, now[4] if alike else None))
-                    if place == 1 or place == 2:
-                        rows.append(_edge(before, part, place, place == 1))
-                    if alike:
-                        rows.append(_row(now, before[4]))
-                    waits = not alike
-                before, place = now, place + 1
-            if rows:
-                yield _batch(rows)
-        if before:
-            yield _batch([_edge(before, part, place, place == 1 or waits)])
-
-    def finish(batches: Iterator) -> Iterator:
-        """Edges of all ranges in order -> the rows of the open ones. An open page's neighbours are its neighbours here."""
-        before = now = None
-        for after in itertools.chain((e for b in batches for e in zip(*(c.to_pylist() for c in b.columns), strict=True)), [None]):
-            if now and now[4]:
-                near = next((x[3] for x in (before, after) if x and x[2] == now[2]), None)
-                own = (now[0], now[1], now[2], now[3], blocks(now[3]))
-                yield _batch([_row(own, None if near is None else blocks(near))])
-            before, now = now, after
-
-    url = F.coalesce(F.col(url_col).cast("string"), F.lit(""))
-    host = F.lower(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#]*)", 1))
-    path = F.regexp_extract(url, r"^(?:(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//[^/?#]*)?([^?#]*)", 1)
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), host.alias("host"), path.alias("path"), F.col(html_col).cast("string").alias("html"))
-    # numbers in a path sort as numbers, so that neighbours are near
-    order = [F.col("host"), F.regexp_replace("path", r"\d+", "0"), F.length("path"), F.col("path"), F.col("page_id")]
-    dealt = rows.repartitionByRange(slots(pages.sparkSession), *order).sortWithinPartitions(*order)
-    # ranges are drawn anew in every run, so one run's rows and edges are written together
-    found = stage(dealt.select("page_id", "url", "host", "html").mapInArrow(scan, FOUND), "pages")
-    edges = found.where("part is not null").repartition(1).sortWithinPartitions("part", "place").select("page_id", "url", "host", F.coalesce("html", F.lit("")).alias("html"), "open")
-    out = ["page_id", "url", "text", "n_chars"]
-    return found.where("part is null").select(*out).unionByName(edges.mapInArrow(finish, FOUND).select(*out))
+            out = []
+            for page_id, url, page in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                key, found = sort_key(page_id, url), blocks(page)
+                row = (page_id, url, key[0], key[1], key[2], key[3], [t for t, _ in found], [i for _, i in found])
+                part = bisect_right(bounds, key)
+                out.append((part, True, *row))
+                out += [(other, False, *row) for other in more.get(key, ())]
+            types = (pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [()] * len(types), types, strict=True)], names=["part", "own", "page_id", "url", "host", "pattern", "size", "path", "lines", "inside"])
+
+    found = rows.mapInArrow(dealt, "part int, own boolean, page_id long, url string, host string, pattern string, size int, path string, lines array<string>, inside array<boolean>")
+    ordered = found.repartitionById(n, F.col("part")).sortWithinPartitions("part", "host", "pattern", "size", "path", F.coalesce("url", F.lit("")), "page_id", F.xxhash64("lines"), "own")
+    return ordered.select("page_id", "url", "host", "lines", "inside", "own").mapInArrow(differenced, "page_id long, url string, text string, n_chars long")
