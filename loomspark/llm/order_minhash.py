@@ -1,7 +1,7 @@
 """Document fingerprints by Order MinHash, in DataFrame functions alone.
 
 The k-mers of a text are runs of ``K`` words, numbered by occurrence. Their
-order is that of a 40-bit hash of (k-mer, number), which for a k-mer's first
+order is that of a 34-bit hash of (k-mer, number), which for a k-mer's first
 occurrence is the k-mer's own; occurrences are numbered by sorting hashes with
 positions and counting inside equal ones. The hash also deals the numbered
 k-mers into ``BINS`` bins. In each bin the ``PICKS`` smallest are selected and
@@ -13,18 +13,18 @@ k-mers serves all bins, and a hash, its bin, its position and its occurrence
 all lie in one sortable long.
 
 The next document in descending order of identifiers is found without a
-global sort: identifiers are cut into cells of ``CELL`` consecutive numbers,
-which hold that many documents at most. Texts move once, to their cell; inside
-it a window finds the next one. Each cell's last document meets the first of
-the next cell that has any, one row a cell, and the order of cells is found by
-the same two levels.
+global sort: identifiers are cut into cells of equal width, which hold
+``CELL`` documents on average; null identifiers are cut by their texts' hashes
+in the same way. Texts move once, to their cell; inside it a window finds the
+next one. Each cell's last document meets the first of the next cell that has
+any, one row a cell, and the order of cells is found by ranges of cells: inside
+a range by a window, between ranges by a row a range.
 
 Defined results: a null text counts as empty; a text without words fills no
 bin and is like another such text (1.0) and unlike any other (0.0); a text of
 fewer than K words has one k-mer, all its words; a null identifier stands
 after all others; rows that repeat an identifier follow one another by a hash
-of the text; positions beyond 2^24 words wrap; a table of one document is its
-own next; an empty table gives an empty result; other columns are ignored.
+of the text; a table of one document is its own next; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +41,8 @@ BINS_LOG2 = 6
 PICKS = 2
 CELL = 1024
 SPACE = "[\\x20\\x09-\\x0D]+"
-POSITION = (1 << 24) - 1
+#: No text has as many words: a string has less than 2^31 bytes.
+POSITION = (1 << 30) - 1
 #: Stands for a bin without k-mers in the printed fingerprint.
 NO_KMER = "----"
 
@@ -73,7 +74,7 @@ def signature(text: Column, k: int = K, bins_log2: int = BINS_LOG2, picks: int =
     at = lambda x: x.bitwiseAND(F.lit(POSITION))
 
     def packed(runs: Column) -> Column:
-        return F.transform(runs, lambda x, i: hashed(x).bitwiseOR(F.pmod(i, F.lit(POSITION + 1)).cast("long")))
+        return F.transform(runs, lambda x, i: hashed(x).bitwiseOR(i.cast("long")))
 
     def marked(in_order: Column, again: bool) -> Column:
         # the members whose hash the one before them has, or those where it's new
@@ -96,8 +97,10 @@ def signature(text: Column, k: int = K, bins_log2: int = BINS_LOG2, picks: int =
         return F.filter(marked, lambda x: x.isNotNull())
 
     def values(picked: Column, runs: Column) -> Column:
-        # in a bin of `picks`, members sorted by position, each the k-mer alone; the entry is (bin, hash of the tuple)
-        groups = F.transform(F.array_distinct(F.transform(picked, in_bin)), lambda b: F.struct(b.alias("b"), F.array_sort(F.transform(F.filter(picked, lambda x: in_bin(x) == b), lambda x: F.struct(at(x).alias("at"), hashed(F.get(runs, at(x).cast("int"))).alias("h"))))["h"].alias("t")))
+        # members of a bin are neighbours; sorted by position, each stands for its k-mer alone; the entry is (bin, hash of the tuple)
+        starts = F.filter(F.transform(picked, lambda x, i: F.when((i == 0) | (in_bin(x) != in_bin(F.get(picked, i - 1))), i)), lambda i: i.isNotNull())
+        members = lambda i: F.filter(F.slice(picked, i + 1, F.lit(picks)), lambda x: in_bin(x) == in_bin(F.get(picked, i)))
+        groups = F.transform(starts, lambda i: F.struct(in_bin(F.get(picked, i)).alias("b"), F.array_sort(F.transform(members(i), lambda x: F.struct(at(x).alias("at"), F.get(runs, at(x).cast("int")).alias("h"))))["h"].alias("t")))
         entry = F.map_from_entries(F.transform(groups, lambda g: F.struct(g["b"], F.pmod(F.xxhash64(g["t"]), F.lit(1 << 16)).cast("int"))))
         half = 1 << (bins_log2 - 1)
         return let(entry, lambda m: F.transform(F.sequence(F.lit(-half), F.lit(half - 1)), lambda b: F.element_at(m, b.cast("long"))))
@@ -124,21 +127,35 @@ def edited(text: Column, following: Column) -> Column:
     return F.concat(F.substring(text, F.lit(1), F.length(text) - third), F.substring(following, F.lit(1), third))
 
 
-def next_cell(cells: DataFrame) -> DataFrame:
-    """(cell) -> (cell, next): the largest cell below, and after the last one the first. Two levels of 4096."""
-    upper = cells.select("cell", F.floor(F.col("cell") / 4096).alias("upper"))
-    down = F.lead("cell").over(Window.partitionBy("upper").orderBy(F.desc("cell")))
-    tops = upper.groupBy("upper").agg(F.max("cell").alias("top"))
-    order = Window.orderBy(F.desc("upper"))
-    tops = tops.select("upper", F.coalesce(F.lead("top").over(order), F.first("top").over(order)).alias("beyond"))
-    return upper.withColumn("down", down).join(tops, "upper").select("cell", F.coalesce("down", "beyond").alias("next"))
+def next_cell(cells: DataFrame, n: int) -> DataFrame:
+    """(cell) -> (cell, next): the largest cell below, and after the last one the first."""
+    ranged = stage(cells.repartitionByRange(n, "cell").withColumn("part", F.spark_partition_id()), "cells")
+    down = F.lead("cell").over(Window.partitionBy("part").orderBy(F.desc("cell")))
+    tops = ranged.groupBy("part").agg(F.max("cell").alias("top"))  # a row a range, as many as partitions
+    order = Window.orderBy(F.desc("part"))
+    tops = tops.select("part", F.coalesce(F.lead("top").over(order), F.first("top").over(order)).alias("beyond"))
+    return ranged.withColumn("down", down).join(F.broadcast(tops), "part").select("cell", F.coalesce("down", "beyond").alias("next"))
+
+
+def cell_of(docs: DataFrame, ident: Column, text: Column) -> Column:
+    """The number of a document's cell, a decimal: greater for greater identifiers, below 0 for null ones."""
+    wide = lambda c: c.cast("decimal(21,0)")
+    known = docs.agg(F.min(ident).alias("least"), F.max(ident).alias("most"), F.count(ident).alias("n"), F.count_if(ident.isNull()).alias("none")).first()
+    # a power of two of hash ranges for null identifiers
+    bits = max(0, (known["none"] // CELL).bit_length())
+    by_hash = wide(F.shiftright(F.xxhash64(text), 64 - bits)) + F.lit(1 << (bits - 1)) if bits else wide(F.lit(0))
+    if not known["n"]:
+        return -1 - by_hash
+    width = max(1, (known["most"] - known["least"] + 1) * CELL // known["n"])
+    number = F.floor((wide(ident) - wide(F.lit(known["least"]))) / wide(F.lit(width)))
+    return F.when(ident.isNull(), wide(-1 - by_hash)).otherwise(wide(number))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     n = slots(docs.sparkSession)
-    ident = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text")).withColumn("cell", F.floor(ident / CELL))
+    ident, text = F.col(id_col).cast("long"), text_of(text_col)
+    base = docs.select(ident.alias("doc_id"), text.alias("text"), cell_of(docs, ident, text).cast("decimal(21,0)").alias("cell"))
     base = base.repartition(n, "cell").withColumn("sig", signature(F.col("text")))
     order = Window.partitionBy("cell").orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     met = base.select("*", F.lead("text").over(order).alias("following"), F.lead("sig").over(order).alias("next_sig"), F.lag(F.lit(1)).over(order).isNull().alias("is_first"))
@@ -155,7 +172,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "order-minhash",
     )
     firsts = rows.where("is_first").select(F.col("cell").alias("next"), F.col("first_text").alias("following"), F.col("sig").alias("next_sig"))
-    nexts = next_cell(rows.where("is_first").select("cell"))
+    nexts = next_cell(rows.where("is_first").select("cell"), n)
     lasts = rows.where("is_last").drop("next_sig").join(nexts, "cell").join(firsts, "next").withColumn("edit", edited(F.col("last_text"), F.col("following")))
     lasts = lasts.withColumn("edited_sha256", F.sha2(F.col("edit").cast("binary"), 256)).withColumn("edited_sig", signature(F.col("edit")))
     kept = ["doc_id", "n_chars", "edited_sha256", "sig", "edited_sig", "next_sig"]

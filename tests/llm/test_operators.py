@@ -267,55 +267,6 @@ def test_token_store_notices_damage(spark, docs, tmp_path):
         token_store.read(spark, path).collect()
 
 
-def plain_signature(text):
-    words = [w for w in (text or "").encode().split()]
-    if not words:
-        return [None] * 64
-    of_long = lambda v, seed=42: xxhash.xxh64_intdigest((v & (1 << 64) - 1).to_bytes(8, "little"), seed)
-    signed = lambda v: v - (1 << 64) if v >> 63 else v
-    h = [xxhash.xxh64_intdigest(w, 42) for w in words]
-    if len(h) < 2:
-        kmers = [xxhash.xxh64_intdigest(str(signed(h[0])).encode(), 42)]
-    else:
-        kmers = [of_long(b, of_long(a)) for a, b in zip(h, h[1:], strict=False)]
-    packed = sorted(signed(k) & ~0xFFFFFF | i for i, k in enumerate(kmers))
-    out = []
-    for b in range(-32, 32):
-        own = [p for p in packed if p >> 58 == b][:2]
-        if not own:
-            out.append(None)
-            continue
-        seed = 42
-        for p in sorted(own, key=lambda p: p & 0xFFFFFF):
-            seed = of_long(p & ~0xFFFFFF, seed)
-        out.append(signed(seed) % (1 << 16))
-    return out
-
-
-def plain_likeness(a, b):
-    both = [(x, y) for x, y in zip(a, b, strict=True) if x is not None or y is not None]
-    return sum(x == y for x, y in both) / len(both) if both else 1.0
-
-
-def test_order_minhash(docs, rows, monkeypatch):
-    monkeypatch.setattr(order_minhash, "CELL", 16)
-    unique = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
-    got = {r.doc_id: r for r in order_minhash.fingerprints(unique).collect()}
-    texts = {r[0]: r[1] or "" for r in rows if r[0] is not None}
-    ids = sorted(texts, reverse=True)
-    assert set(got) == set(ids)
-    for i, d in enumerate(ids):
-        t, following = texts[d], texts[ids[(i + 1) % len(ids)]]
-        third = len(t) // 3
-        edit = t[: len(t) - third] + following[:third]
-        a, b, c = map(plain_signature, (t, edit, following))
-        r = got[d]
-        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edit.encode()).hexdigest()
-        assert r.fingerprint == "".join("----" if v is None else f"{v:04x}" for v in a)
-        assert r.near_edited == pytest.approx(plain_likeness(a, b)) and r.near_next == pytest.approx(plain_likeness(a, c))
-    assert order_minhash.fingerprints(docs).count() == len(rows)
-
-
 def test_order_matters(spark):
     words = [f"w{i}" for i in range(400)]
     swapped = words[200:] + words[:200]

@@ -1,14 +1,19 @@
 """Order MinHash on texts that repeat passages: occurrences count."""
 
+import hashlib
 import random
 from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from loomspark.llm import order_minhash
 
 
+PLACE = (1 << 30) - 1
+
+
 def plain_signature(text):
     """As the module says: a k-mer's first occurrence is ordered by its own hash, the others by one of (k-mer, number)."""
     words = (text or "").encode().split()
@@ -16,16 +21,18 @@ def plain_signature(text):
     of_long = lambda v, seed=42: xxhash.xxh64_intdigest((v & (1 << 64) - 1).to_bytes(8, "little"), seed)
     of_int = lambda v, seed: xxhash.xxh64_intdigest(v.to_bytes(4, "little"), seed)
     h = [xxhash.xxh64_intdigest(w, 42) for w in words]
-    kmers = [signed(of_long(b, of_long(a))) & ~0xFFFFFF for a, b in zip(h, h[1:], strict=False)]
+    kmers = [signed(of_long(b, of_long(a))) for a, b in zip(h, h[1:], strict=False)]
+    if len(h) == 1:
+        kmers = [signed(xxhash.xxh64_intdigest(str(signed(h[0])).encode(), 42))]
     seen, packed = Counter(), []
-    for i, k in enumerate(kmers):
+    for i, k in enumerate(k & ~PLACE for k in kmers):
         n = seen[k]
-        packed.append((k if n == 0 else signed(of_int(n, of_long(k))) & ~0xFFFFFF) | i)
+        packed.append((k if n == 0 else signed(of_int(n, of_long(k))) & ~PLACE) | i)
         seen[k] += 1
     packed.sort()
     out = []
     for b in range(-32, 32):
-        own = [p & 0xFFFFFF for p in packed if p >> 58 == b][:2]
+        own = [p & PLACE for p in packed if p >> 58 == b][:2]
         seed = 42
         for at in sorted(own):
             seed = of_long(kmers[at], seed)
@@ -43,3 +50,49 @@ def test_repeats_count(spark):
         assert got[n] == plain_signature(t)
     like = lambda a, b: sum(x == y for x, y in zip(got[a], got[b], strict=True)) / 64
     assert 0.2 < like(2, 3) < 0.8 and like(2, 20) < 0.2 and like(2, 100) < 0.2 and like(3, 100) < 0.2
+
+
+def plain_likeness(a, b):
+    both = [(x, y) for x, y in zip(a, b, strict=True) if x is not None or y is not None]
+    return sum(x == y for x, y in both) / len(both) if both else 1.0
+
+
+def check(spark, rows, got):
+    """Every row's fingerprint, edited text and likenesses, from the rows in the order of the contract."""
+    texts = [(d, t or "") for d, t in rows]
+    by_hash = {t: spark.createDataFrame([(t,)], "t string").select(F.xxhash64("t")).first()[0] for _, t in texts} if len({d for d, _ in rows}) < len(rows) else {}
+    texts.sort(key=lambda r: (r[0] is None, -(r[0] or 0), by_hash.get(r[1], 0)))
+    want = Counter()
+    for i, (d, t) in enumerate(texts):
+        following = texts[(i + 1) % len(texts)][1]
+        third = len(t) // 3
+        edit = t[: len(t) - third] + following[:third]
+        a, b, c = map(plain_signature, (t, edit, following))
+        printed = "".join("----" if v is None else f"{v:04x}" for v in a)
+        want[d, len(t), hashlib.sha256(edit.encode()).hexdigest(), printed, round(plain_likeness(a, b), 9), round(plain_likeness(a, c), 9)] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in got) == want
+
+
+def some_text(rng):
+    return " ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice((0, 1, 2, 9, 60))))
+
+
+@pytest.mark.parametrize("kind", ["dense", "sparse", "null and repeated", "one", "all null"])
+def test_next_documents(spark, monkeypatch, kind):
+    monkeypatch.setattr(order_minhash, "CELL", 4)
+    rng = random.Random(5)
+    ids = {
+        "dense": list(range(60)),
+        "sparse": [rng.randrange(-(1 << 63), 1 << 63) for _ in range(60)],
+        "null and repeated": [*range(20), *[None] * 20, *[7] * 20],
+        "one": [3],
+        "all null": [None] * 30,
+    }[kind]
+    rows = [(d, some_text(rng) if rng.random() < 0.9 else None) for d in ids]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    check(spark, rows, order_minhash.fingerprints(df).collect())
+
+
+def test_repeats_tell_texts_apart(spark):
+    df = spark.createDataFrame([(2, "a " * 4000), (1, "a " * 4)], "doc_id long, text string")
+    assert {r.near_next for r in order_minhash.fingerprints(df).collect()} != {1.0}
