@@ -173,7 +173,7 @@ def merge_fold(edges: str, n: str) -> Column:
     gone = "(get(s.m, e.w) & e.i)"
     taken = f"transform(s.m, (x, k) -> x & ~(case when k = e.w then {gone} when k = e.w - 1 then shiftleft({gone}, {STRIDE}) when k = e.w + 1 then shiftrightunsigned({gone}, {STRIDE}) else 0L end))"
     step = f"if(s.over, s, coalesce(get(transform(slice(filter(multi, e -> {joins}), 1, 1), e -> named_struct('m', {taken}, 'over', false)), 0), named_struct('m', s.m, 'over', true)))"
-    all_set = f"transform(sequence(0, {n} div {STRIDE}), k -> if({n} + 1 - {STRIDE} * k >= 64, -1L, shiftleft(1L, cast({n} + 1 - {STRIDE} * k as int)) - 1L))"
+    all_set = f"transform(sequence(0, {n} div {STRIDE}), k -> shiftrightunsigned(-1L, cast(64 - least(64, {n} + 1 - {STRIDE} * k) as int)))"
     fold = f"aggregate(slice(multi, 1, least(size(multi), {n})), named_struct('m', {all_set}, 'over', false), (s, i) -> {step}, s -> filter(sequence(0, {n}), p -> (get(s.m, cast(p div {STRIDE} as int)) & shiftleft(1L, p % {STRIDE})) <> 0L))"
     long = f"get(transform(array(transform(filter({edges}, e -> {LENGTH} > 1), e -> {masks})), multi -> {fold}), 0)"
     return F.expr(f"if({n} <= {WORD}, {short}, {long})")

@@ -228,10 +228,12 @@ def streams(spark: SparkSession, path: str, to_rows=None, schema: str = STREAM)
 
         known = {}
         for key, n, width, body in zip(*(right[c].to_pylist() for c in ("key", "n", "width", "body")), strict=True):
-            wide = widened(width, body).tobytes()
-            if chunk_key(wide) != key or len(wide) != 4 * n:
+            try:
+                known[key] = widened(width, body).tobytes()
+            except Exception as e:  # of the decompressor's own kind
+                raise ValueError(f"chunk {key.hex()} is damaged") from e
+            if chunk_key(known[key]) != key or len(known[key]) != 4 * n:
                 raise ValueError(f"chunk {key.hex()} is damaged")
-            known[key] = wide
         found = []
         for doc, n_tokens, chunks, root in zip(*(left[c].to_pylist() for c in ("doc_id", "n_tokens", "chunks", "root")), strict=True):
             own = [chunks[i : i + KEY_BYTES] for i in range(0, len(chunks), KEY_BYTES)]

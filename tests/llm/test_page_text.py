@@ -24,3 +24,54 @@ def test_texts_do_not_depend_on_ranges(spark, n):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert Counter((r.page_id, r.url, r.text) for r in got) == want and all(r.n_chars == len(r.text) for r in got)
+
+
+def texts(spark, rows):
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in page_text.page_texts(df).collect()}
+
+
+def test_differencing_decides(spark):
+    """The same pages without neighbours keep the site's lines, inside an article too."""
+    page = "<div>Menu</div><article><h1>Head {0}</h1><p>Join our list</p><p>Text {0} a</p><p>Text {0} b</p></article>"
+    rows = [(i, f"http://a.org/{i}", page.format(i)) for i in range(5)]
+    got, alone = texts(spark, rows), texts(spark, rows[:1])
+    assert alone[0] == "Head 0\nJoin our list\nText 0 a\nText 0 b"
+    # at the ends of a host there is one neighbour, which isn't enough inside an article
+    assert got[0] == alone[0] and [got[i] for i in (1, 2, 3)] == [f"Head {i}\nText {i} a\nText {i} b" for i in (1, 2, 3)]
+
+
+def test_short_article_in_a_large_template(spark):
+    template = "".join(f"<p>Site line {k}</p>" for k in range(12))
+    rows = [(i, f"http://a.org/{i}", template + f"<p>Own {i} a</p><p>Own {i} b</p><p>Own {i} c</p>") for i in range(4)]
+    assert set(texts(spark, rows).values()) == {f"Own {i} a\nOwn {i} b\nOwn {i} c" for i in range(4)}
+
+
+def test_copies_are_no_neighbours(spark):
+    shell = "<p>Menu</p>{}<p>Imprint</p>"
+    rows = [(i, f"http://a.org/{i}", shell.format("<p>Same story</p><p>and more</p>")) for i in range(2)]
+    rows += [(i, f"http://a.org/{i}", shell.format(f"<p>Story {i}</p>")) for i in (2, 3)]
+    got = texts(spark, rows)
+    assert got[0] == got[1] == "Same story\nand more" and got[2] == "Story 2" and got[3] == "Story 3"
+    # nothing but copies around: markup alone judges
+    assert set(texts(spark, [(i, f"http://a.org/{i}", "<p>x</p><p>y</p>") for i in range(6)]).values()) == {"x\ny"}
+
+
+def test_near_copies_keep_their_text(spark):
+    story = [f"Paragraph {k}" for k in range(9)]
+    page = lambda lines: "<p>Menu</p>" + "".join(f"<p>{x}</p>" for x in lines) + "<p>Imprint</p>"
+    rows = [(0, "http://a.org/0", page([f"Other {k}" for k in range(9)])), (1, "http://a.org/1", page(story)), (2, "http://a.org/2", page([*story[:8], "edited"])), (3, "http://a.org/3", page([f"Third {k}" for k in range(9)]))]
+    got = texts(spark, rows)
+    assert got[1] == "\n".join(story) and got[2] == "\n".join([*story[:8], "edited"])
+
+
+def test_class_words_inside_an_article():
+    page = '<article><div class="entry-header"><h1>My Title</h1></div><p class="notice-board">text</p><p>x<math>y</math></p><section id="related-work">z</section><div class="comments">c</div></article><div class="site-header">h</div>'
+    assert [t for t, _ in page_text.blocks(page)] == ["My Title", "text", "xy", "z"]
+
+
+def test_very_long_page(spark):
+    page = "<p>Menu</p>" + "".join(f"<p>{{0}} line {k}</p>" for k in range(20000))
+    rows = [(i, f"http://a.org/{i}", page.format(i)) for i in range(3)]
+    got = texts(spark, rows)
+    assert all(got[i].count("\n") == 19999 and got[i].startswith(f"{i} line 0\n") for i in range(3))
