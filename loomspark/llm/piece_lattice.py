@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 Encoding works on the distinct units of a corpus. A text is cut before its
-space marks and around line ends, and then wherever two neighbouring
-characters stand side by side in no piece: no segmentation ever crosses such a
-place. Every unit is exploded into its substrings, an equi-join with the piece
+space marks, and then wherever two neighbouring characters stand side by side
+in no piece: no segmentation ever crosses such a place. Every unit is exploded
+into its substrings of two characters or more, an equi-join with the piece
 table (a row a piece; broadcast, its size is that of the vocabulary) keeps
 those that are edges of the unit's lattice, the edges are grouped by unit, and
 a Spark ``aggregate`` folds them into the best segmentation:
@@ -17,8 +17,9 @@ a Spark ``aggregate`` folds them into the best segmentation:
 Substrings are bounded by the longest piece that begins with the same
 ``PREFIX`` characters. The folds keep the places where pieces meet as bits of
 longs: one long for a unit of up to ``WORD`` characters, an array of
-overlapping ones for any longer unit. A character without a piece becomes its
-UTF-8 bytes' pieces.
+overlapping ones for any longer unit. A character that stands alone is named by
+its code point until the answers are packed; there it becomes its own piece, or
+its UTF-8 bytes' pieces if it has none.
 
 Decoding joins ids to the piece table and puts texts together again, in the
 same relational way (``decode``). While encoding, every document's ids are
@@ -50,8 +51,7 @@ MARK = "▁"
 WORD = 61
 #: Boundaries that each long of a longer unit is ahead of the one before it; each holds 64.
 STRIDE = 32
-LINE = "\n"
-UNIT = re.compile(rf"{MARK}+[^{MARK}{LINE}]*|[^{MARK}{LINE}]+|[{LINE}]")
+UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 #: An edge is packed as rank, start, length, id.
 RANK_BITS, START_BITS, LENGTH_BITS, ID_BITS = 17, 24, 5, 17
 PREFIX = 4
@@ -77,7 +77,7 @@ def pieces(path: str) -> tuple[list[tuple[str, int, float]], int]:
     if byte0 is None or m.id_to_piece(byte0) != "<0x00>":
         raise ValueError("the vocabulary has no byte pieces")
     for p, *_ in rows:
-        if MARK in p.lstrip(MARK) or len(p) > 1 and any(c in p for c in LINE):
+        if MARK in p.lstrip(MARK):
             raise ValueError(f"piece {p!r} would cross units")
     if max(len(p) for p, *_ in rows) >= STRIDE or max(i for _, i, _ in rows) >= 1 << min(ID_BITS, RANK_BITS):
         raise ValueError("pieces are too long, or too many, for the packed edges")
@@ -85,10 +85,10 @@ def pieces(path: str) -> tuple[list[tuple[str, int, float]], int]:
 
 
 def split_units(text: str) -> list[str]:
-    """Units, after the marks that the library's normaliser puts for spaces and the start."""
-    if text and text[0] != " " and "  " not in text and MARK not in text:  # every unit has one mark at most
-        return list(filter(None, (MARK + text.replace(" ", f" {MARK}").replace("\n", " \n ")).split(" ")))
-    return UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+    """Units without the mark in front that each has: the library's normaliser puts one for every space and one at the start."""
+    if text and text[0] != " " and "  " not in text and MARK not in text:  # every unit has one mark
+        return text.split(" ")
+    return [u[1:] for u in UNIT.findall(MARK + text.replace(" ", MARK))] if text else []
 
 
 class Joints:
@@ -108,16 +108,14 @@ class Joints:
                 self.joined[self.number[ord(a)] * self.width + self.number[ord(b)]] = True
 
     def cut(self, units: list[str]) -> tuple[list[str], object]:
-        """(the parts of all units, how many each has)."""
+        """(the parts of all units, each with its space mark in front, and how many each has)."""
         import numpy as np
 
-        text = "".join(units)
-        if not text:
-            return [], np.zeros(0, np.int64)
+        text = "".join([MARK + u for u in units])
         own = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
         begins = np.ones(len(own), bool)
         begins[1:] = ~self.joined[own[:-1].astype(np.int64) * self.width + own[1:]]
-        starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, units), np.int64, len(units)))))
+        starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1)))
         begins[starts[:-1]] = True
         cuts = np.flatnonzero(begins)
         ends = np.append(cuts[1:], len(own))
@@ -145,7 +143,8 @@ def reach_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(list(reach.items()) or [("", 0)], "prefix string, reach int")
 
 
-#: SQL of the parts of a packed edge ``e``.
+#: SQL of the parts of a packed edge ``e``; six bits are all that a short unit's start has.
+SHIFT = f"cast(shiftright(e, {LENGTH_BITS + ID_BITS}) & 63 as int)"
 START = f"cast(shiftright(e, {LENGTH_BITS + ID_BITS}) & {(1 << START_BITS) - 1} as int)"
 LENGTH = f"cast(shiftright(e, {ID_BITS}) & {(1 << LENGTH_BITS) - 1} as int)"
 
@@ -153,18 +152,19 @@ LENGTH = f"cast(shiftright(e, {ID_BITS}) & {(1 << LENGTH_BITS) - 1} as int)"
 def merge_fold(edges: str, n: str) -> Column:
     """The places where pieces meet, array<int> from 0 to ``n``, after joining neighbours in the order of rank, then place. SQL for its short lambdas.
 
-    Only edges of two characters or more can join anything, and each step
-    takes one boundary away, so there are no more steps than either. A sign
+    Each step takes one boundary away, so there are no more steps than edges
+    or boundaries. A sign
     bit says that nothing is left to join; later steps then cost nothing.
     """
     # boundaries inside an edge and those at its ends
-    masks = f"named_struct('i', shiftleft(1L, {START} + {LENGTH}) - shiftleft(2L, {START}), 'b', shiftleft(1L, {START}) | shiftleft(1L, {START} + {LENGTH}))"
+    end = f"shiftleft(shiftleft(1L, {SHIFT}), {LENGTH})"
+    masks = f"named_struct('i', {end} - shiftleft(2L, {SHIFT}), 'b', {end} | shiftleft(1L, {SHIFT}))"
     joins = "bit_count(m & e.i) = 1 and (m & e.b) = e.b"
     # the first edge in order that joins two neighbours, if any does
     step = f"if(m < 0L, m, coalesce(m & ~get(filter(multi, e -> {joins}), 0).i, m | shiftleft(1L, 63)))"
     fold = f"aggregate(slice(multi, 1, least(size(multi), {n})), shiftleft(2L, {n}) - 1L, (m, i) -> {step}, m -> filter(sequence(0, {n}), p -> (m & shiftleft(1L, p)) <> 0L))"
     # bound once: an expression inside a lambda is worked out for every element
-    short = f"get(transform(array(transform(filter({edges}, e -> {LENGTH} > 1), e -> {masks})), multi -> {fold}), 0)"
+    short = f"get(transform(array(transform({edges}, e -> {masks})), multi -> {fold}), 0)"
 
     # the same with an array of longs: the k-th holds the boundaries from k * STRIDE on
     at, low = f"cast({START} div {STRIDE} as int)", f"({START} % {STRIDE})"
@@ -175,7 +175,7 @@ def merge_fold(edges: str, n: str) -> Column:
     step = f"if(s.over, s, coalesce(get(transform(slice(filter(multi, e -> {joins}), 1, 1), e -> named_struct('m', {taken}, 'over', false)), 0), named_struct('m', s.m, 'over', true)))"
     all_set = f"transform(sequence(0, {n} div {STRIDE}), k -> shiftrightunsigned(-1L, cast(64 - least(64, {n} + 1 - {STRIDE} * k) as int)))"
     fold = f"aggregate(slice(multi, 1, least(size(multi), {n})), named_struct('m', {all_set}, 'over', false), (s, i) -> {step}, s -> filter(sequence(0, {n}), p -> (get(s.m, cast(p div {STRIDE} as int)) & shiftleft(1L, p % {STRIDE})) <> 0L))"
-    long = f"get(transform(array(transform(filter({edges}, e -> {LENGTH} > 1), e -> {masks})), multi -> {fold}), 0)"
+    long = f"get(transform(array(transform({edges}, e -> {masks})), multi -> {fold}), 0)"
     return F.expr(f"if({n} <= {WORD}, {short}, {long})")
 
 
@@ -194,9 +194,12 @@ def viterbi_fold(edges: str, n: str) -> Column:
 
 
 def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
-    """(unit), distinct and not null or empty, dealt by unit -> (unit, ids array<int>), still so dealt."""
+    """(unit), distinct and not null or empty, dealt by unit -> (unit, tokens array<int>), still so dealt.
+
+    A token is a piece's id, or minus the code point of a character that stands alone.
+    """
     spark = units.sparkSession
-    rows, byte0 = pieces(path)
+    rows, _ = pieces(path)
     longest = max(len(p) for p, *_ in rows)
     # an empty substring at each unit's start meets an empty piece, so that a unit without edges keeps its row
     none = spark.createDataFrame([("", None, None, None)], "piece string, id int, score double, rank int")
@@ -204,31 +207,61 @@ def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
     starts = units.select("unit", F.length("unit").alias("n")).select("unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("a"))
     starts = starts.withColumn("prefix", F.substring("unit", F.col("a") + 1, F.lit(PREFIX))).join(F.broadcast(reach_table(spark, path)), "prefix", "left")
     most = F.least(F.coalesce("reach", F.lit(min(PREFIX - 1, longest))), F.col("n") - F.col("a"))
-    lengths = F.slice(F.array(*map(F.lit, range(longest + 1))), F.when(F.col("a") == 0, 1).otherwise(2), most + F.when(F.col("a") == 0, 1).otherwise(0))
+    # single characters are edges only where their scores count
+    least = 2 if fold == "merge" else 1
+    lengths = F.array(F.lit(0), *map(F.lit, range(least, longest + 1)))
+    lengths = F.slice(lengths, F.when(F.col("a") == 0, 1).otherwise(2), F.greatest(most - least + 1, F.lit(0)) + F.when(F.col("a") == 0, 1).otherwise(0))
     spans = starts.select("unit", "a", F.explode(lengths).alias("len"))
     edges = spans.select("unit", "a", "len", F.substring("unit", F.col("a") + 1, F.col("len")).alias("piece")).join(known, "piece")
     packed = F.expr(f"shiftleft(cast(rank as long), {START_BITS + LENGTH_BITS + ID_BITS}) | shiftleft(cast(a as long), {LENGTH_BITS + ID_BITS}) | shiftleft(cast(len as long), {ID_BITS}) | id")
-    by_rank = F.sort_array(F.collect_list(packed)).alias("edges")
+    by_rank = F.sort_array(F.collect_list(F.when(F.col("len") > 1, packed))).alias("edges")
     if fold == "merge":
         lattice = edges.groupBy("unit").agg(by_rank).withColumn("n", F.length("unit"))
         segment = merge_fold("edges", "n")
     else:
-        # a null score keeps the empty piece out
         by_end = F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), F.struct((F.col("a") + F.col("len")).alias("b"), "a", "score", "id"))))
         lattice = edges.groupBy("unit").agg(by_rank, by_end.alias("ends")).withColumn("n", F.length("unit"))
         # a character without a piece is an edge with the score of the worst piece less 10
         worst = min(s for *_, s in rows) - 10.0
         bare = f"transform(filter(sequence(0, n - 1), p -> not exists(ends, e -> e.a = p and e.b = p + 1)), p -> named_struct('b', p + 1, 'a', p, 'score', {worst}D, 'id', -1))"
         segment = viterbi_fold(f"sort_array(concat(ends, {bare}))", "n")
-    lattice = lattice.withColumn("cuts", segment)
-    table = F.expr(f"map_from_entries(transform(edges, e -> struct({START} * {1 << LENGTH_BITS} + {LENGTH}, cast(e & {(1 << ID_BITS) - 1} as int))))")
-    utf8 = "hex(encode(substring(unit, a + 1, 1), 'utf-8'))"
-    as_bytes = f"transform(sequence(1, octet_length(substring(unit, a + 1, 1))), k -> {byte0} + cast(conv(substring({utf8}, 2 * k - 1, 2), 16, 10) as int))"
-    lookup = f"q.t[a * {1 << LENGTH_BITS} + b - a]"
-    return lattice.withColumn("pair", F.struct(F.col("cuts").alias("c"), table.alias("t"))).select(
-        "unit",
-        F.expr(f"get(transform(array(pair), q -> flatten(zip_with(slice(q.c, 1, size(q.c) - 1), slice(q.c, 2, size(q.c) - 1), (a, b) -> if({lookup} is null, {as_bytes}, array({lookup}))))), 0)").alias("ids"),
-    )
+    places = F.expr(f"transform(edges, e -> cast(shiftright(e, {ID_BITS}) & {(1 << START_BITS + LENGTH_BITS) - 1} as int))")
+    found = f"cast(get(q.e, cast(array_position(q.k, a * {1 << LENGTH_BITS} + b - a) as int) - 1) & {(1 << ID_BITS) - 1} as int)"
+    tokens = f"zip_with(slice(q.c, 1, size(q.c) - 1), slice(q.c, 2, size(q.c) - 1), (a, b) -> if(b - a = 1, -ascii(substring(unit, a + 1, 1)), {found}))"
+    return lattice.withColumn("q", F.struct(segment.alias("c"), places.alias("k"), F.col("edges").alias("e"))).select("unit", F.expr(f"get(transform(array(q), q -> {tokens}), 0)").alias("tokens"))
+
+
+@lru_cache(4)
+def single_ids(path: str):
+    """The id of each code point that is a piece, else -1; and the id of byte 0."""
+    import numpy as np
+
+    rows, byte0 = pieces(path)
+    out = np.full(0x110000, -1, np.int32)
+    for p, i, _ in rows:
+        if len(p) == 1:
+            out[ord(p)] = i
+    return out, byte0
+
+
+def resolved(path: str, tokens, lengths):
+    """(ids, lengths) of lists of tokens laid end to end, with characters as pieces or bytes."""
+    import numpy as np
+
+    known, byte0 = single_ids(path)
+    ids = np.where(tokens < 0, known[np.maximum(-tokens, 0)], tokens)
+    bare = np.flatnonzero(ids < 0)
+    if not bare.size:
+        return ids, lengths
+    spelled = [[byte0 + b for b in chr(-t).encode("utf-8", "surrogatepass")] for t in tokens[bare].tolist()]
+    widths = np.ones(len(ids), np.int64)
+    widths[bare] = list(map(len, spelled))
+    ends = np.cumsum(widths)
+    out = np.repeat(ids, widths)
+    for at, own in zip((ends - widths)[bare].tolist(), spelled, strict=True):
+        out[at : at + len(own)] = own
+    bounds = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(lengths)))]
+    return out, np.diff(bounds)
 
 
 @lru_cache(4)
@@ -261,7 +294,7 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
         known = bucketed(encode_units(units.select("unit").distinct(), path, fold), "unit", n, "encoded-units", dealt=True)
     finally:
         spark.conf.set(threshold, before)
-    answers = units.join(known, "unit").select("block", "local", "ids")
+    answers = units.join(known, "unit").select("block", "local", "tokens")
 
     def pack(batches: Iterator) -> Iterator:
         """Answers of a block, packed: numbers, lengths, ids."""
@@ -274,14 +307,13 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
             local = b.column(1).to_numpy(zero_copy_only=False)
             order = np.argsort(code, kind="stable")
             lists = b.column(2).take(pa.array(order))
-            lengths = np.diff(lists.offsets.to_numpy())
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+            values, lengths = resolved(path, lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy()))
             ends = np.concatenate(([0], np.cumsum(lengths)))
             code, local = code[order], local[order]
             out = []
             for c, name in enumerate(block.dictionary.to_pylist()):
                 a, z = np.searchsorted(code, [c, c + 1])
-                body = np.concatenate((local[a:z].astype("<u4"), lengths[a:z].astype("<u4"), values[ends[a] : ends[z]]))
+                body = np.concatenate((local[a:z].astype("<u4"), lengths[a:z].astype("<u4"), values[ends[a] : ends[z]].astype("<u4")))
                 out.append((name, int(z - a), planes(body)))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), pa.binary()), strict=True)], names=["block", "entries", "body"])
 

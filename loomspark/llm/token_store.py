@@ -4,8 +4,8 @@ Layout of a store folder:
 
 * ``objects/kind=chunk``: (key, n, width, body), a unique chunk of an id
   stream stored once. ``key`` is the 16-byte BLAKE2b of the ids as
-  little-endian uint32; ``body`` holds them in ``width`` bytes each, all first
-  bytes before all second ones, compressed.
+  little-endian uint32; ``body`` holds them in ``width`` bytes each. The files
+  are ``layout`` buckets by key, so that readers find chunks in place.
 * ``objects/kind=recipe``: what the writer's tasks know of each document.
 * ``recipes``: (doc_id, start, n_tokens, chunks, root, part) in ascending
   doc_id order over files and inside them. ``chunks`` joins the keys of the
@@ -41,7 +41,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import compressor, decompressor, shared_dir, slots, text_of
+from .common import shared_dir, slots, text_of
 from .units import ByteUnits, encoder
 
 WINDOW = 16
@@ -105,19 +105,15 @@ def chunk_key(body: bytes) -> bytes:
 
 def narrowed(ids) -> tuple[int, bytes]:
     """(width, body): the least of 1, 2 or 4 bytes an id that holds them all, and the ids in those."""
-    import numpy as np
-
     top = int(ids.max(initial=0))
     width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4
-    planes = ids.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
-    return width, compressor(1).compress(np.ascontiguousarray(planes).tobytes())
+    return width, ids.astype(f"<u{width}").tobytes()
 
 
 def widened(width: int, body: bytes):
     import numpy as np
 
-    planes = np.frombuffer(decompressor().decompress(body), np.uint8).reshape(width, -1)
-    return np.ascontiguousarray(planes.T).view(f"<u{width}").reshape(-1).astype("<u4")
+    return np.frombuffer(body, f"<u{width}").astype("<u4")
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -164,7 +160,10 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col:
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
     objects = rows.mapInArrow(scan, OBJECT).repartition(n, "key").sortWithinPartitions("kind", "key").mapInArrow(once, OBJECT)
-    objects.write.partitionBy("kind").parquet(f"{path}/objects")
+    ident = f"objects_{uuid.uuid4().hex}"
+    objects.write.option("path", f"{path}/objects").partitionBy("kind").bucketBy(n, "key").sortBy("key").saveAsTable(ident)
+    spark.sql(f"DROP TABLE {ident}")  # the files stay
+    spark.range(1).select(F.lit(n).alias("buckets")).write.parquet(f"{path}/layout")
 
     found = spark.read.schema(OBJECT.replace("kind string, ", "") + ", kind string").parquet(f"{path}/objects").where("kind = 'recipe'")
     ranged = found.select("doc_id", F.col("n").alias("n_tokens"), F.col("body").alias("chunks"), "root").repartitionByRange(n, "doc_id", "root").sortWithinPartitions("doc_id", "root")
@@ -185,7 +184,14 @@ def recipes_of(spark: SparkSession, path: str) -> DataFrame:
 
 
 def chunks_of(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("key binary, n long, width int, body binary, kind string").parquet(f"{path}/objects").where("kind = 'chunk'").drop("kind")
+    """(key, n, width, body), dealt by key as the files are."""
+    buckets = spark.read.schema("buckets int").parquet(f"{path}/layout").first()[0]
+    ident = f"chunks_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE TABLE {ident} (key binary, n long, width int, body binary) USING parquet CLUSTERED BY (key) SORTED BY (key) INTO {buckets} BUCKETS LOCATION '{path}/objects/kind=chunk'")
+    found = spark.table(ident)
+    found.schema  # resolves the files; the name isn't needed any more
+    spark.sql(f"DROP TABLE {ident}")
+    return found
 
 
 def manifest(recipes: DataFrame) -> DataFrame:

@@ -82,7 +82,7 @@ class ByteUnits:
         import regex
 
         self.lib = library(path)
-        self.model, self.letters = self.lib.model, byte_letters()
+        self.tokenize, self.letters = self.lib.model.tokenize, byte_letters()
         if self.lib.normalizer is not None:
             raise ValueError("the vocabulary normalises texts, so its units can't be encoded apart")
         self.special = re.compile("|".join(re.escape(t.content) for t in self.lib.get_added_tokens_decoder().values()) or r"(?!)")
@@ -94,13 +94,13 @@ class ByteUnits:
     def unit(self, u: str) -> bytes:
         """Letters alone, or letters and one mark, need no pattern."""
         if u.isalpha():
-            return self.pretoken(" " + u)
+            return self.pretoken(" " + u) if not u.isascii() else packed([t.id for t in self.tokenize("Ġ" + u)])
         if u[-1:] in (".", ",") and u[:-1].isalpha():
             return self.units[u[:-1]] + self.known[u[-1]]
-        return b"".join(map(self.known.__getitem__, self.pretokens(" " + u)))
+        return b"".join([self.units[p[1:]] if p[0] == " " and p[1:].isalpha() else self.known[p] for p in self.pretokens(" " + u)])
 
     def pretoken(self, p: str) -> bytes:
-        return packed([t.id for t in self.model.tokenize(p.encode().decode("latin-1").translate(self.letters))])
+        return packed([t.id for t in self.tokenize(p.encode().decode("latin-1").translate(self.letters))])
 
     def whole(self, text: str) -> bytes:
         return packed(self.lib.encode(text, add_special_tokens=False).ids)
