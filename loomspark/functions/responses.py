@@ -12,15 +12,48 @@ from pyspark.sql import functions as F
 from . import text
 
 FENCE = "`" * 3
-# Words that begin a statement line.
-VERBS = ("SELECT", "INSERT", "UPDATE", "DELETE", "CREATE", "ALTER", "DROP", "TRUNCATE", "BEGIN", "COMMIT", "ROLLBACK", "SET", "SHOW", "USE", "EXPLAIN", "DESCRIBE", "REPLACE", "WITH")
-VERB = rf"(?i)^\s*(?:{'|'.join(VERBS)})\b"
+# Words that begin a statement line, by kind: queries and changes, definitions, rights, transactions,
+# others, routines, indexes and constraints, views, the rest.
+VERBS = (
+    "SELECT", "INSERT", "UPDATE", "DELETE", "MERGE",
+    "CREATE", "DROP", "ALTER", "TRUNCATE", "RENAME",
+    "GRANT", "REVOKE", "DENY",
+    "BEGIN", "COMMIT", "ROLLBACK", "SAVEPOINT", "SET TRANSACTION",
+    "USE", "SHOW", "DESCRIBE", "DESC", "EXPLAIN", "ANALYZE", "WITH", "WITH RECURSIVE", "UNION", "UNION ALL", "INTERSECT", "EXCEPT", "CALL", "EXECUTE", "PREPARE", "DEALLOCATE",
+    "PROCEDURE", "FUNCTION", "TRIGGER", "EVENT",
+    "INDEX", "UNIQUE", "PRIMARY", "FOREIGN", "CHECK", "DEFAULT",
+    "VIEW", "MATERIALIZED VIEW",
+    "LOCK", "UNLOCK", "FLUSH", "RESET", "SET", "SHUTDOWN",
+)
+VERB = rf"(?i)^\s*(?:{'|'.join(VERBS)})"
+
+
+def whole_json(c: Column) -> Column:
+    """The text as a variant, null if it isn't one JSON value from end to end; Spark's own reader stops after the first."""
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
+
+
+def nothing() -> Column:
+    return F.array().cast("array<string>")
+
+
+def json_items(c: Column) -> Column:
+    """The items of a JSON text as strings, null if it isn't JSON: a list's elements, or else the root alone. Objects and lists stay JSON."""
+    root = whole_json(text.strip(c))
+    items = F.coalesce(F.try_variant_get(root, "$", "array<variant>"), F.array(root))
+    return F.when(root.isNotNull(), F.transform(items, lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))))
+
+
+def first_json(texts: Column) -> Column:
+    """The items of the first of several texts that is JSON."""
+    return F.get(F.filter(F.transform(texts, json_items), lambda x: x.isNotNull()), F.lit(0))
 
 
 def json_strings(c: Column) -> Column:
     """The array if the text is a JSON array of strings, else null."""
     read = F.from_json(text.strip(c), "array<string>", {"mode": "PERMISSIVE"})
-    return F.when(text.strip(c).startswith("[") & F.try_parse_json(text.strip(c)).isNotNull(), read)
+    return F.when(text.strip(c).startswith("[") & whole_json(text.strip(c)).isNotNull(), read)
 
 
 def fenced(c: Column, kind: str = "") -> Column:
@@ -39,9 +72,13 @@ def statement_lines(c: Column) -> Column:
 
 
 def parse_reply(c: Column) -> Column:
-    """Whole text as JSON, a json fence, any fence, the outer brackets, statement lines, or nothing."""
-    stages = [json_strings(x) for x in (c, fenced(c, "json"), fenced(c, "[a-z]*"), bracketed(c))]
-    return F.coalesce(*stages, statement_lines(c), F.array().cast("array<string>"))
+    """A reply's statements: the whole text as JSON, json fences, any fences, what outer brackets or braces hold, statement lines, quoted texts, bracketed texts, or the text itself."""
+    matches = lambda pattern: F.regexp_extract_all(c, F.lit(pattern), F.lit(1))
+    fences = F.transform(matches(rf"(?s)({FENCE}.*?{FENCE})"), lambda x: F.regexp_replace(x, rf"{FENCE}[a-zA-Z0-9_]*|`+$", ""))
+    outer = F.array(bracketed(c), F.regexp_extract(c, r"(?s)(\{.*\})", 1))
+    some = lambda found: F.when(F.size(found) > 0, found)
+    stages = [json_items(c), first_json(matches(rf"(?is){FENCE}json\s*(.+?)\s*{FENCE}")), first_json(fences), first_json(F.filter(outer, lambda x: x != "")), statement_lines(c), some(matches(r'"([^"]*)"')), some(matches(r"\[([^\]]*)\]"))]
+    return F.when(F.coalesce(text.strip(c), F.lit("")) == "", nothing()).otherwise(F.coalesce(*stages, F.array(text.strip(c))))
 
 
 def statements_by_verb(c: Column) -> Column:
@@ -57,34 +94,39 @@ def harvest(c: Column) -> Column:
 
 
 def keywords_of(c: Column, known=text.GORM_KEYWORDS) -> Column:
-    """Known keywords that a reply names, in any case, sorted; ``no`` names none."""
-    low = F.lower(text.strip(c))
-    found = F.array_sort(F.array_compact(F.array(*[F.when(low.contains(k.lower()), k) for k in known])))
-    return F.when(low.isin("no", '"no"', "'no'", "no."), F.array().cast("array<string>")).otherwise(found)
+    """Known keywords that a reply names: those that stand in brackets as they are, or else any in any case; then quoted ones. A reply that ends in ``no`` names none."""
+    low, names = F.lower(text.strip(c)), F.array(*map(F.lit, known))
+    bare = lambda x: F.regexp_replace(F.regexp_replace(text.strip(x), r'^"+|"+$', ""), r"^'+|'+$", "")
+    listed = F.flatten(F.transform(F.regexp_extract_all(c, F.lit(r"\[([^\]]+)\]"), F.lit(1)), lambda x: F.transform(F.split(x, ","), bare)))
+    listed = F.filter(listed, lambda x: F.array_contains(names, x))
+    named = F.array_compact(F.array(*[F.when(low.contains(k.lower()), k) for k in known]))
+    quoted = F.filter(F.regexp_extract_all(c, F.lit(r'"([^"]+)"'), F.lit(1)), lambda x: F.array_contains(names, x))
+    found = F.array_distinct(F.concat(F.when(F.size(listed) > 0, listed).otherwise(named), quoted))
+    return F.when(F.coalesce(low, F.lit("")).rlike("(?s)^$|no$"), nothing()).otherwise(found)
 
 
 # Validators: each takes a reply and gives true or false.
 
 
 def _json(c: Column) -> Column:
-    whole = F.try_parse_json(text.strip(c)).isNotNull()
-    inner = lambda x: (x != "") & F.try_parse_json(x).isNotNull()
+    whole = whole_json(text.strip(c)).isNotNull()
+    inner = lambda x: (x != "") & whole_json(x).isNotNull()
     return whole | inner(F.regexp_extract(fenced(c, "(?:json)?"), r"(?s)^\s*(\{.*\})\s*$", 1)) | inner(F.regexp_extract(c, r"(?s)(\{.*\})", 1))
 
 
 def _field(c: Column, path: str, kind: str) -> Column:
-    return F.try_variant_get(F.try_parse_json(text.strip(c)), path, kind)
+    return F.try_variant_get(whole_json(text.strip(c)), path, kind)
 
 
 def _shape(c: Column) -> Column:
     """Type of the JSON root in one word: OBJECT, ARRAY, STRING..., or null."""
-    return F.regexp_extract(F.schema_of_variant(F.try_parse_json(text.strip(c))), r"^(\w+)", 1)
+    return F.regexp_extract(F.schema_of_variant(whole_json(text.strip(c))), r"^(\w+)", 1)
 
 
 def _has(c: Column, *paths: str) -> Column:
     out = F.lit(True)
     for p in paths:
-        out = out & F.try_variant_get(F.try_parse_json(text.strip(c)), p, "string").isNotNull()
+        out = out & F.try_variant_get(whole_json(text.strip(c)), p, "string").isNotNull()
     return out
 
 
@@ -101,7 +143,7 @@ def _starts_or_comma(c: Column) -> Column:
 
 
 def _items(c: Column) -> Column:
-    return F.try_variant_get(F.try_parse_json(text.strip(c)), "$", "array<variant>")
+    return F.try_variant_get(whole_json(text.strip(c)), "$", "array<variant>")
 
 
 def _item_text(v: Column) -> Column:
@@ -118,9 +160,63 @@ def _sql_list(c: Column, other: tuple[str, ...] = ()) -> Column:
     return F.coalesce((_shape(c) == "ARRAY") & F.forall(_items(c), ok), F.lit(False))
 
 
-def _code(c: Column) -> Column:
-    code = _field(c, "$.code", "string")
-    return (text.strip(code) != "") & code.contains("func") & code.contains("return")
+def _body(c: Column, shape: str) -> Column:
+    """The JSON value that a reply consists of, or holds in its first json fence; ``shape``: the pattern of a fenced value."""
+    return whole_json(F.when(c.contains(f"{FENCE}json"), F.nullif(F.regexp_extract(c, rf"(?s){FENCE}json\s*({shape})\s*{FENCE}", 1), F.lit(""))).otherwise(text.strip(c)))
+
+
+def _kind(v: Column, path: str = "$") -> Column:
+    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, path, "variant")), r"^(\w+)", 1)
+
+
+def _present(v: Column, *fields: str) -> Column:
+    """Are the fields there, null ones too?"""
+    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    return F.size(F.array_except(F.array(*map(F.lit, fields)), keys)) == 0
+
+
+def _listed(v: Column, *fields: str) -> Column:
+    out = F.lit(True)
+    for f in fields:
+        out = out & (_kind(v, f"$.{f}") == "ARRAY")
+    return out
+
+
+def _filled(v: Column, field: str) -> Column:
+    return (_kind(v, f"$.{field}") == "STRING") & (text.strip(F.try_variant_get(v, f"$.{field}", "string")) != "")
+
+
+def _go_code(v: Column) -> Column:
+    low = F.lower(F.try_variant_get(v, "$.code", "string"))
+    return _filled(v, "code") & low.contains("func") & low.contains("return")
+
+
+def _reverse_orm(c: Column) -> Column:
+    v = _body(c, r"\{.*?\}")
+    return _present(v, "method_name", "code", "parameters", "return_type", "table", "fields", "conditions") & _listed(v, "parameters", "fields", "conditions") & _go_code(v)
+
+
+def _reverse_caller(c: Column) -> Column:
+    v = _body(c, r"\{.*?\}")
+    return _present(v, "method_name", "code", "parameters", "return_type") & _listed(v, "parameters") & _go_code(v)
+
+
+def _reverse_variants(c: Column) -> Column:
+    """A list of queries, each with its branch."""
+    v = _body(c, r"\[.*?\]")
+    good = lambda x: _present(x, "query", "table", "fields", "conditions", "branch", "description") & _listed(x, "fields", "conditions") & _filled(x, "branch") & _filled(x, "description") & (_kind(x, "$.query") == "STRING") & F.lower(text.strip(F.try_variant_get(x, "$.query", "string"))).startswith("select")
+    # the shared JSON check comes first: the whole text, or an object somewhere in it
+    return _json(c) & (_kind(v) == "ARRAY") & F.forall(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.coalesce(good(x), F.lit(False)))
+
+
+def _synthetic(c: Column, kind: str = "orm") -> Column:
+    """A generated method, caller or metadata list, whole or in a json fence."""
+    v = _body(c, r"\[.*?\]|\{.*?\}")
+    items = F.try_variant_get(v, "$", "array<variant>")
+    if kind == "meta":
+        return (_kind(v) == "ARRAY") & F.forall(items, lambda x: F.coalesce(_present(x, "code_key", "code_value"), F.lit(False)))
+    first = F.when(_kind(v) == "ARRAY", F.get(items, F.lit(0))).otherwise(v)
+    return _present(first, *(("scenario", "code_key", "code_value", "sql_pattern_cnt") if kind == "orm" else ("code_key", "code_value")))
 
 
 def _query(c: Column) -> Column:
@@ -146,8 +242,10 @@ VALIDATORS = {
     "caller": lambda c: _first_has(c, "code_key", "code_value"),
     "meta": lambda c: (_shape(c) == "ARRAY") & F.forall(_items(c), lambda v: F.try_variant_get(v, "$.code_key", "string").isNotNull() & F.try_variant_get(v, "$.code_value", "string").isNotNull()),
     "reverse_sql": _query,
-    "reverse_orm": lambda c: _has(c, "$.scenario") & _code(c),
-    "reverse_caller": lambda c: _field(c, "$.parameters", "array<variant>").isNotNull() & _code(c),
+    "reverse_orm": _reverse_orm,
+    "reverse_caller": _reverse_caller,
+    "reverse_variants": _reverse_variants,
+    "synthetic": _synthetic,
 }
 
 
@@ -155,3 +253,78 @@ def validator(name: str):
     """reply -> boolean column; null counts as false."""
     check = VALIDATORS[name]
     return lambda c, *args: F.coalesce(check(c, *args), F.lit(False))
+
+
+# Parsers of replies about generation and review.
+
+
+def split_statements(c: Column) -> Column:
+    """The parts between semicolons, each with one at its end."""
+    parts = F.filter(F.transform(F.split(c, ";"), text.strip), lambda x: x != "")
+    return F.transform(parts, lambda x: F.concat(x, F.lit(";")))
+
+
+def formatted(c: Column) -> Column:
+    """A formatting reply: a json fence, a whole JSON list, else the text split at semicolons; so also where JSON can't be read."""
+    bare = text.strip(F.coalesce(c, F.lit("")))
+    fence = F.nullif(text.strip(F.regexp_extract(bare, rf"(?s){FENCE}json\s*(.*?){FENCE}", 1)), F.lit(""))
+    whole = F.when(bare.startswith("[") & bare.endswith("]"), bare)
+    return F.coalesce(json_items(F.coalesce(fence, whole)), split_statements(bare))
+
+
+def repaired_list(c: Column) -> Column:
+    """A malformed JSON list: as it is, without quotes around it, without needless escapes, else the statements that stand in it, else its parts between semicolons."""
+    unquote = lambda x: F.replace(x, F.lit('\\"'), F.lit('"'))
+    inner = F.when(c.startswith('"[') & c.endswith(']"'), unquote(F.substring(c, F.lit(2), F.length(c) - 2)))
+    plain = unquote(F.replace(c, F.lit("\\n"), F.lit("\n")))
+    found = F.regexp_extract_all(c, F.lit(r"(?is)((?:SELECT|INSERT|UPDATE|DELETE|CREATE|ALTER|DROP).*?;)"), F.lit(1))
+    parts = F.filter(split_statements(c), lambda x: ~x.startswith("{") & ~x.startswith("["))
+    return F.coalesce(json_items(c), json_items(inner), json_items(F.when(plain != c, plain)), F.when(F.size(found) > 0, found), parts)
+
+
+# Labels of an analysis report.
+NO_SQL_WORDS = "不能生成SQL"
+LACK_WORDS = "信息缺失"
+REASON_LABELS = ("不能生成SQL的原因：", "无法生成SQL的原因：", "原因：", "NO SQL GENERATE:", "LACK INFORMATION:")
+GUESS_LABELS = ("推测的SQL语句：", "推测SQL：", "SQL：", "生成的SQL：")
+NO_REASON, UNREADABLE = "代码不会生成SQL", "无法解析LLM响应"
+
+
+def _after(c: Column, labels: tuple[str, ...], default: str) -> Column:
+    """The rest of the line behind the first label of the list that the text holds."""
+    out = F.lit(default)
+    for label in reversed(labels):
+        out = F.when(c.contains(label), text.strip(F.regexp_extract(c, rf"\Q{label}\E([^\n]*)", 1))).otherwise(out)
+    return out
+
+
+def analysis_report(c: Column) -> Column:
+    """A report as a struct (kind, scenario, statements): NO_SQL_GENERATE and LACK_INFORMATION come with a reason, SQL with the statements by verb."""
+    up = F.upper(c)
+    by_verb = F.flatten(F.array(*[F.regexp_extract_all(c, F.lit(rf"(?is)({v}\s+.*?;)"), F.lit(1)) for v in ("SELECT", "INSERT", "UPDATE", "DELETE")]))
+    none, lack = up.contains("NO SQL GENERATE") | c.contains(NO_SQL_WORDS), up.contains("LACK INFORMATION") | c.contains(LACK_WORDS)
+    some = F.size(by_verb) > 0
+    kind = F.when(none, "NO_SQL_GENERATE").when(lack, "LACK_INFORMATION").when(some, "SQL").otherwise("NO_SQL_GENERATE")
+    scenario = F.when(none, _after(c, REASON_LABELS, NO_REASON)).when(lack, F.lit(LACK_WORDS)).when(some, F.lit("")).otherwise(F.lit(UNREADABLE))
+    statements = F.when(none, nothing()).when(lack, F.array(_after(c, GUESS_LABELS, ""))).otherwise(by_verb)
+    return F.struct(kind.alias("kind"), scenario.alias("scenario"), statements.alias("statements"))
+
+
+def verdict(c: Column) -> Column:
+    """A control-flow verdict as a struct (is_correct, reason, expected_count, actual_count, n_issues, unreadable); what is missing or unreadable counts as correct."""
+    v = whole_json(F.coalesce(F.nullif(F.regexp_extract(c, rf"(?s){FENCE}json\s*(\{{.*?\}})\s*{FENCE}", 1), F.lit("")), text.strip(c)))
+    v = F.when(_kind(v) == "OBJECT", v)
+    return F.struct(
+        F.coalesce(F.try_variant_get(v, "$.final_judgment.is_correct", "boolean"), F.lit(True)).alias("is_correct"),
+        F.coalesce(F.try_variant_get(v, "$.final_judgment.reason", "string"), F.lit("")).alias("reason"),
+        F.try_variant_get(v, "$.sql_variants_analysis.expected_count", "int").alias("expected_count"),
+        F.try_variant_get(v, "$.sql_variants_analysis.actual_count", "int").alias("actual_count"),
+        F.coalesce(F.size(F.try_variant_get(v, "$.sql_variants_analysis.issues", "array<variant>")), F.lit(0)).alias("n_issues"),
+        v.isNull().alias("unreadable"),
+    )
+
+
+def regenerated(c: Column) -> Column:
+    """The items of a regenerated list, from a json fence or the whole text; null if it can't be read."""
+    fence = F.nullif(F.regexp_extract(c, rf"(?s){FENCE}json\s*(\[.*?\])\s*{FENCE}", 1), F.lit(""))
+    return json_items(F.coalesce(fence, c))

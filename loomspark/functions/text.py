@@ -199,8 +199,12 @@ def comparable(c: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(strip(F.regexp_replace(c, r"\s+", " ")), ";+$", ""), r"\s+$", ""))
 
 
+# Verbs that begin a statement of an instruction.
+SIMPLE_VERBS = ("SELECT", "SHOW", "EXPLAIN", "SET", "ANALYZE", "CREATE", "ALTER", "DROP", "INSERT", "UPDATE", "DELETE", "DESCRIBE", "USE")
+
+
 def is_simple_sql(c: Column) -> Column:
-    """A known verb in front, balanced parentheses, even numbers of quotes."""
+    """A known verb in front, balanced parentheses, an even number of single quotes."""
     up = F.upper(strip(c))
     n = lambda p: F.regexp_count(c, F.lit(p))
-    return any_of(("SELECT", "INSERT", "UPDATE", "DELETE"), lambda w: up.startswith(w)) & (n(r"\(") == n(r"\)")) & (n("'") % 2 == 0) & (n('"') % 2 == 0)
+    return any_of(SIMPLE_VERBS, lambda w: up.startswith(w)) & (n(r"\(") == n(r"\)")) & (n("'") % 2 == 0)

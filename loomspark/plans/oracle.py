@@ -12,13 +12,13 @@ from ..sources import adapters as src
 AUDIT = f"a AS (SELECT event_id AS stmt_id, user_id, ({src.AUDIT}) AS sql_text, event_type FROM events)"
 #: Fingerprints by template: the type of an event tells the features.
 AUDIT_FP = f"""{AUDIT}, f AS (SELECT stmt_id, user_id, sql_text, CASE event_type
-  WHEN 'view' THEN md5('type_1.tables_User' || (user_id % 5) || '_items.predicates_user_id_value')
+  WHEN 'view' THEN md5('type_1.tables_User' || (user_id % 5) || CASE stmt_id % 8 WHEN 2 THEN '_old' WHEN 3 THEN '_new' ELSE '_items' END || '.predicates_user_id_value')
   WHEN 'click' THEN md5('type_1.tables_orders_users' || (user_id % 3) || '.predicates_age_id_status_uid_vip.has_group_by.has_having')
   WHEN 'purchase' THEN md5('type_3.tables_stock' || (user_id % 4) || '.where_columns_item_id_shop_id')
   WHEN 'signup' THEN md5('type_2.tables_accounts' || (user_id % 3) || '.predicates_')
   ELSE CASE stmt_id % 10 WHEN 0 THEN 'transaction_end' WHEN 1 THEN 'show_command' WHEN 2 THEN 'session_setting' WHEN 3 THEN 'ddl_command' WHEN 6 THEN 'system_function_now'
     WHEN 7 THEN md5('type_4.tables_sessions.predicates_token') WHEN 9 THEN 'invalid_sql' ELSE 'not_sql' END END AS fp,
-  CASE event_type WHEN 'view' THEN ['User' || (user_id % 5) || '_items'] WHEN 'click' THEN ['orders', 'users' || (user_id % 3)] WHEN 'purchase' THEN ['stock' || (user_id % 4)] WHEN 'signup' THEN ['accounts' || (user_id % 3)]
+  CASE event_type WHEN 'view' THEN ['User' || (user_id % 5) || CASE stmt_id % 8 WHEN 2 THEN '_old' WHEN 3 THEN '_new' ELSE '_items' END] WHEN 'click' THEN ['orders', 'users' || (user_id % 3)] WHEN 'purchase' THEN ['stock' || (user_id % 4)] WHEN 'signup' THEN ['accounts' || (user_id % 3)]
     ELSE CASE WHEN stmt_id % 10 = 7 THEN ['sessions'] ELSE []::VARCHAR[] END END AS tables,
   CASE event_type WHEN 'view' THEN ['id', 'name', 'user_id', 'value'] WHEN 'click' THEN ['age', 'id', 'status', 'uid', 'vip'] WHEN 'purchase' THEN ['item_id', 'note', 'qty', 'shop_id'] WHEN 'signup' THEN ['id', 'name']
     ELSE CASE WHEN stmt_id % 10 = 7 THEN ['token'] ELSE []::VARCHAR[] END END AS columns
@@ -52,12 +52,12 @@ REPLIES = f"p AS (SELECT event_id AS reply_id, user_id, ({src.REPLY}) AS reply F
 TAGGED = f"{REPLIES}, {RECORDS}, x AS (SELECT r.*, coalesce(reply, '') AS reply, reply AS raw FROM r LEFT JOIN p ON reply_id = record_id)"
 KEYWORDS = "list_sort(list_filter([" + ", ".join(f"'{k}'" for k in text.GORM_KEYWORDS) + "], lambda w: contains(code_value, w) OR contains(orm_code, w)))"
 PARSED = """CASE reply_id % 9 WHEN 0 THEN ['SELECT a FROM t WHERE id = ' || user_id || ';', 'DELETE FROM t;'] WHEN 1 THEN ['UPDATE s SET a = ' || user_id || ';'] WHEN 2 THEN ['INSERT INTO k VALUES (' || (user_id % 10) || ');']
-  WHEN 3 THEN ['SELECT x FROM y' || (user_id % 5) || ';'] WHEN 8 THEN [reply] ELSE []::VARCHAR[] END"""
+  WHEN 3 THEN ['SELECT x FROM y' || (user_id % 5) || ';'] WHEN 5 THEN []::VARCHAR[] ELSE [reply] END"""
 PURE = "regexp_extract(function_name, '([^:]*)$', 1)"
 DECISIONS = f"""{RECORDS}, dr AS (SELECT * FROM r WHERE record_id % 5 = 3 AND list_state = 'LIST' AND orm_code <> ''),
   gone AS (SELECT DISTINCT orm_code, caller, 'DELETE FROM line1 WHERE id IN (1, 2)' AS sql_text FROM dr WHERE record_id % 3 <> 0),
   more AS (SELECT DISTINCT orm_code, caller, 'SELECT 1' AS sql_text FROM dr WHERE record_id % 3 <> 0 UNION SELECT orm_code, caller, 'SELECT 2' FROM dr WHERE record_id % 6 = 0)"""
-EVALUATED = f"""{AUDIT_FP}, cat AS (SELECT DISTINCT fp FROM f WHERE stmt_id % 2 = 0 AND user_id % 2 = 0),
+EVALUATED = f"""{AUDIT_FP}, cat AS (SELECT DISTINCT fp FROM f WHERE stmt_id % 2 = 0),
   ev AS (SELECT user_id, count(*) AS n, count(*) FILTER (fp NOT IN {EXCLUDED}) AS valid, count(*) FILTER (fp NOT IN {EXCLUDED} AND fp IN (SELECT fp FROM cat)) AS matched FROM f WHERE stmt_id % 2 = 1 GROUP BY user_id),
   qs AS (SELECT *, (1 + (n > 0)::INT + (valid > 0)::INT + 2 * (matched > 0)::INT)::INT AS score FROM ev)"""
 REWARDS = """w AS (SELECT doc_id, (doc_id % 8) / 8.0::DOUBLE AS validity, (doc_id % 5) / 5.0::DOUBLE AS consistency, CASE WHEN max(toxic) = 1 THEN (doc_id % 3) / 3.0::DOUBLE END AS keyword,
@@ -88,18 +88,18 @@ SQL = {
     "looks_like_sql": f"WITH {AUDIT} SELECT NOT (sql_text LIKE 'please%' OR sql_text LIKE '查询%' OR sql_text LIKE 'BEGIN;%') AS is_sql, count(*) AS n FROM a GROUP BY 1",
     "catalog_build": f"WITH {AUDIT_FP} SELECT fp, count(*) AS n_sql, count(DISTINCT sql_text) AS n_texts, arg_min(sql_text, stmt_id) AS first_sql FROM f GROUP BY fp",
     "catalog_match_pairs": f"WITH {AUDIT_FP} SELECT stmt_id, fp, fp IN (SELECT fp FROM f WHERE stmt_id % 2 = 0) AS in_catalog FROM f WHERE stmt_id % 2 = 1",
-    "catalog_match_summary": f"""WITH {ITEM_FP}, cat AS (SELECT DISTINCT fp FROM fi WHERE record_id % 2 = 0 AND item_pos <= 2),
+    "catalog_match_summary": f"""WITH {ITEM_FP}, cat AS (SELECT DISTINCT fp FROM fi WHERE record_id % 2 = 0),
       u AS (SELECT record_id, item_pos, CASE WHEN bool_and(fp IN {EXCLUDED}) THEN 'excluded' WHEN bool_or(fp IN (SELECT fp FROM cat)) THEN 'matched' ELSE 'unmatched' END AS unit FROM fi WHERE record_id % 2 = 1 GROUP BY ALL)
       SELECT 0::BIGINT AS wrappers, count(*) FILTER (unit = 'excluded') AS excluded, count(*) FILTER (unit = 'matched') AS matched, count(*) FILTER (unit <> 'excluded') AS valid,
         (SELECT count(DISTINCT record_id) FROM u WHERE unit = 'matched') AS matching_lines, coalesce(count(*) FILTER (unit = 'matched') / nullif(count(*) FILTER (unit <> 'excluded'), 0), 0)::DOUBLE AS match_rate FROM u""",
     "match_single": f"""WITH {AUDIT_FP}, c AS (SELECT fp, arg_min(sql_text, stmt_id) AS example_sql, count(*) AS n FROM f WHERE stmt_id % 2 = 0 GROUP BY fp)
       SELECT stmt_id, f.fp, c.fp IS NOT NULL AS matched, example_sql, coalesce(n, 0) AS example_count, f.fp IN {EXCLUDED} AS excluded FROM f LEFT JOIN c ON f.fp = c.fp WHERE stmt_id % 2 = 1""",
-    "unmatched_fingerprints": f"WITH {AUDIT_FP} SELECT fp, arg_min(sql_text, stmt_id) AS first_sql FROM f WHERE stmt_id % 2 = 0 AND fp NOT IN {EXCLUDED} AND fp NOT IN (SELECT fp FROM f WHERE stmt_id % 2 = 1 AND user_id % 5 <> 0) GROUP BY fp",
-    "coverage_by_type": f"""WITH {AUDIT_FP}, c AS (SELECT fp, {CLASS('arg_min(sql_text, stmt_id)')} AS t FROM f WHERE stmt_id % 2 = 0 AND fp NOT IN {EXCLUDED} GROUP BY fp), m AS (SELECT t, fp IN (SELECT fp FROM f WHERE stmt_id % 2 = 1 AND user_id % 3 = 0) AS hit FROM c)
+    "unmatched_fingerprints": f"WITH {AUDIT_FP} SELECT fp, arg_min(sql_text, stmt_id) AS first_sql FROM f WHERE stmt_id % 2 = 0 AND fp NOT IN {EXCLUDED} AND fp NOT IN (SELECT fp FROM f WHERE stmt_id % 2 = 1) GROUP BY fp",
+    "coverage_by_type": f"""WITH {AUDIT_FP}, c AS (SELECT fp, {CLASS('arg_min(sql_text, stmt_id)')} AS t FROM f WHERE stmt_id % 2 = 0 AND fp NOT IN {EXCLUDED} GROUP BY fp), m AS (SELECT t, fp IN (SELECT fp FROM f WHERE stmt_id % 2 = 1) AS hit FROM c)
       SELECT t AS sql_type, count(*) AS total, count(*) FILTER (hit) AS matched, count(*) FILTER (hit) / count(*)::DOUBLE AS coverage FROM m GROUP BY t
       UNION ALL SELECT 'ALL', count(*), count(*) FILTER (hit), count(*) FILTER (hit) / nullif(count(*), 0)::DOUBLE FROM m""",
     "table_name_fallback": f"""WITH {AUDIT_FP}, t AS (SELECT stmt_id, user_id, {CLASS('sql_text')} AS ty, tables, unnest(tables) AS tb, generate_subscripts(tables, 1) AS pos FROM f),
-      known AS (SELECT tb, ty, min(stmt_id) AS seen FROM t WHERE stmt_id % 2 = 0 AND user_id % 4 = 1 GROUP BY ALL)
+      known AS (SELECT tb, ty, min(stmt_id) AS seen FROM t WHERE stmt_id % 2 = 0 GROUP BY ALL)
       SELECT t.stmt_id, t.tb AS "table", t.ty = known.ty AS same_type FROM t JOIN known ON t.tb = known.tb WHERE stmt_id % 2 = 1
       QUALIFY row_number() OVER (PARTITION BY stmt_id ORDER BY pos, (t.ty = known.ty) DESC, seen) = 1""",
     "tables_per_fingerprint": f"WITH {AUDIT_FP}, k AS (SELECT fp, tables, row_number() OVER (PARTITION BY fp ORDER BY stmt_id) AS k FROM f) SELECT fp, list_sort(list_distinct(flatten(list(tables)))) AS tables FROM k WHERE k <= 10 GROUP BY fp",
@@ -195,7 +195,7 @@ SQL = {
     "statements_by_verb": f"""WITH {REPLIES} SELECT reply_id, CASE reply_id % 9 WHEN 0 THEN 'SELECT a FROM t WHERE id = ' || user_id || '; ## DELETE FROM t;' WHEN 1 THEN 'UPDATE s SET a = ' || user_id || ';' WHEN 2 THEN 'INSERT INTO k VALUES (' || (user_id % 10) || ');'
       WHEN 3 THEN 'SELECT x FROM y' || (user_id % 5) || ';' WHEN 8 THEN 'SELECT q FROM r WHERE z = ' || (user_id % 4) || ';' ELSE '' END AS statements FROM p""",
     "harvest_sql": f"WITH {REPLIES} SELECT reply_id, CASE WHEN reply_id % 9 = 8 THEN 'SELECT q FROM r WHERE z = ' || (user_id % 4) ELSE '' END AS statements FROM p",
-    "syntax_check": f"WITH {AUDIT} SELECT regexp_matches(sql_text, '^(SELECT|INSERT|UPDATE|DELETE)') AS ok, count(*) AS n FROM a GROUP BY 1",
+    "syntax_check": f"WITH {AUDIT} SELECT regexp_matches(sql_text, '^(SELECT|SHOW|EXPLAIN|SET|ANALYZE|CREATE|ALTER|DROP|INSERT|UPDATE|DELETE|DESCRIBE|USE)') AS ok, count(*) AS n FROM a GROUP BY 1",
     "validate_output_format": f"""WITH {REPLIES}, q AS (SELECT reply_id, reply_id % 9 AS m FROM p)
       SELECT reply_id, m = 0 AS json, m IN (4, 6, 7) AS boolean, m = 0 AS list, m IN (0, 6, 7, 8) AS completeness, m = 0 AS keyword, m = 0 AS regeneration, m = 0 AS sql_generation, m = 4 AS precheck FROM q""",
     "keyword_responses": f"WITH {REPLIES} SELECT reply_id, CASE WHEN reply_id % 9 = 8 THEN 'Preload|save' ELSE '' END AS keywords FROM p",
@@ -214,12 +214,12 @@ SQL = {
       SELECT coalesce(source_file, 'ALL') AS source_file, count(*) AS n, count(*) FILTER (n_items > 0) AS with_sql, count(*) FILTER (n_items = 0) AS without_sql, count(variants) AS param_dependent, count(*) FILTER (regexp_matches(orm_code, 'switch|if')) AS control_flow, coalesce(sum(variants), 0)::BIGINT AS variants
       FROM m GROUP BY GROUPING SETS ((source_file), ())""",
     "reward_v2": f"WITH {REWARDS} SELECT doc_id, {V2} AS reward FROM w",
-    "reward_five_dim": f"WITH {REWARDS} SELECT doc_id, {HALF_EVEN("greatest(least((0.25::DOUBLE * validity + 0.20::DOUBLE * consistency + 0.15::DOUBLE * coalesce(keyword, 0) + 0.20::DOUBLE * branch) / (CASE WHEN keyword IS NULL THEN 0.65 ELSE 0.80 END)::DOUBLE - 0.2::DOUBLE * least(severity, 1), 1), 0)", 2)} AS reward FROM w",
-    "composite_reward": f"WITH {REWARDS} SELECT doc_id, {HALF_EVEN("0.30::DOUBLE * validity + 0.30::DOUBLE * consistency + 0.40::DOUBLE * greatest(least(0.6::DOUBLE * branch + 0.4::DOUBLE * severity - 0.1::DOUBLE - 0.3::DOUBLE * (doc_id % 2), 1), 0)", 4)} AS reward FROM w",
+    "reward_five_dim": f"WITH {REWARDS} SELECT doc_id, {HALF_EVEN("greatest((0.25::DOUBLE * validity + 0.20::DOUBLE * consistency + 0.15::DOUBLE * coalesce(keyword, 0) + 0.20::DOUBLE * branch) / (CASE WHEN keyword IS NULL THEN 0.65 ELSE 1 END)::DOUBLE - 0.2::DOUBLE * severity, 0)", 2)} AS reward FROM w",
+    "composite_reward": f"WITH {REWARDS} SELECT doc_id, {HALF_EVEN("0.30::DOUBLE * validity + 0.30::DOUBLE * consistency + 0.40::DOUBLE * (" + HALF_EVEN("greatest(least(0.6::DOUBLE * branch + 0.4::DOUBLE * severity - 0.1::DOUBLE - 0.3::DOUBLE * (doc_id % 2), 1), 0)", 2) + ")", 2)} AS reward FROM w",
     "branch_exclusivity": f"WITH {REWARDS}, y AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 0 ELSE keyword END AS s, branch FROM w) SELECT doc_id, round(least(coalesce(nullif(s, 0), nullif(branch, 0), 1.5), 1), 6)::DOUBLE AS score FROM y",
     "reward_bands": f"WITH {REWARDS}, y AS (SELECT {V2} AS v FROM w) SELECT CASE WHEN v >= 0.8 THEN '0.8-1.0' WHEN v >= 0.6 THEN '0.6-0.8' WHEN v >= 0.4 THEN '0.4-0.6' ELSE '0.0-0.4' END AS band, count(*) AS n, round(avg(v), 3) AS mean FROM y GROUP BY 1",
     "validity_score": f"WITH {AUDIT_FP} SELECT user_id, {HALF_EVEN("avg((fp <> 'invalid_sql')::INT)", 2)} AS validity FROM f GROUP BY user_id",
-    "consistency_score": f"WITH {AUDIT_FP}, x AS (SELECT * FROM f WHERE len(tables) > 0) SELECT x.stmt_id, round(0.6::DOUBLE * ({JACCARD('x.tables', 'y.tables')}) + 0.4::DOUBLE * ({JACCARD('x.columns', 'y.columns')}), 6) AS score FROM x JOIN x AS y ON x.stmt_id = y.stmt_id + 1",
+    "consistency_score": f"WITH {AUDIT_FP}, x AS (SELECT stmt_id, list_distinct(list_transform(tables, lambda v: lower(v))) AS t, list_distinct(list_transform(columns, lambda v: lower(v))) AS c FROM f WHERE len(tables) > 0) SELECT x.stmt_id, {HALF_EVEN(f"0.6::DOUBLE * ({JACCARD('x.t', 'y.t')}) + 0.4::DOUBLE * ({JACCARD('x.c', 'y.c')})", 2)} AS score FROM x JOIN x AS y ON x.stmt_id = y.stmt_id + 1",
     "stratified_quota": f"WITH {RECORDS} SELECT source_file, count(*) AS size, greatest(1, floor(count(*) * 1000 / (SELECT count(*) FROM r)))::BIGINT AS quota FROM r GROUP BY source_file",
     "sample_sizes": "SELECT * FROM (VALUES ('sample', 123::BIGINT), ('stratified', 500::BIGINT)) UNION ALL SELECT 'all', count(*) FROM orders",
     "guaranteed_sample": "SELECT 1000::BIGINT AS n, count(*) AS n_privileged FROM orders WHERE o_orderkey % 100 = 0",

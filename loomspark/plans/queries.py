@@ -85,7 +85,7 @@ def catalog_match_pairs(spark, sf):
 
 @query
 def catalog_match_summary(spark, sf):
-    cat = item_fp(spark, sf).where("record_id % 2 = 0 and item_pos <= 2")
+    cat = item_fp(spark, sf).where("record_id % 2 = 0")
     corpus = item_fp(spark, sf).where("record_id % 2 = 1")
     return catalog.match_summary(catalog.units(catalog.match(corpus, cat)))
 
@@ -100,20 +100,20 @@ def match_single(spark, sf):
 @query
 def unmatched_fingerprints(spark, sf):
     cat, corpus = halves(spark, sf)
-    return catalog.unmatched(catalog.build(cat, "stmt_id"), corpus.where("user_id % 5 <> 0"))
+    return catalog.unmatched(catalog.build(cat, "stmt_id"), corpus)
 
 
 @query
 def coverage_by_type(spark, sf):
     cat, corpus = halves(spark, sf)
-    return catalog.coverage_by_type(catalog.build(cat, "stmt_id"), corpus.where("user_id % 3 = 0"), text.sql_type_with_transactions(col("first_sql")))
+    return catalog.coverage_by_type(catalog.build(cat, "stmt_id"), corpus, text.sql_type_with_transactions(col("first_sql")))
 
 
 @query
 def table_name_fallback(spark, sf):
     cat, corpus = halves(spark, sf)
     typed = lambda d: d.withColumn("sql_type", text.classify_sql(col("sql_text")))
-    return catalog.fallback_by_table(typed(corpus), typed(cat.where("user_id % 4 = 1")).withColumn("seen", col("stmt_id"))).drop("found_fp")
+    return catalog.fallback_by_table(typed(corpus), typed(cat).withColumn("seen", col("stmt_id"))).drop("found_fp")
 
 
 @query
@@ -603,7 +603,7 @@ def control_flow_totals(spark, sf):
 def evaluated(spark, sf: str) -> DataFrame:
     """A sample per user: its statements, how many are valid and how many match the catalog."""
     cat, corpus = halves(spark, sf)
-    m = catalog.match(corpus.select("user_id", "stmt_id", "fp"), cat.where("user_id % 2 = 0"))
+    m = catalog.match(corpus.select("user_id", "stmt_id", "fp"), cat)
     valid = ~text.is_excluded(col("fp"))
     return m.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(valid).alias("valid"), F.count_if(valid & col("in_catalog")).alias("matched"))
 
@@ -694,7 +694,7 @@ def validity_score(spark, sf):
 def consistency_score(spark, sf):
     a = audit_fp(spark, sf).where("size(tables) > 0").select("stmt_id", "tables", "columns")
     other = a.select((col("stmt_id") + 1).alias("stmt_id"), col("tables").alias("t2"), col("columns").alias("c2"))
-    return a.join(other, "stmt_id").select("stmt_id", F.round(scoring.consistency(col("tables"), col("t2"), col("columns"), col("c2")), 6).alias("score"))
+    return a.join(other, "stmt_id").select("stmt_id", scoring.consistency(col("tables"), col("t2"), col("columns"), col("c2")).alias("score"))
 
 
 # samples, splits, conversion, run statistics

@@ -13,7 +13,7 @@ Q = "chr(39)"
 
 #: Statement text of an event.
 AUDIT = f"""CASE event_type
- WHEN 'view' THEN 'SELECT id, name FROM User' || (user_id % 5) || '_items WHERE user_id = ' || user_id || ' AND value > ' || cast(floor(value) AS bigint) || ' LIMIT ' || (event_id % 10 + 1)
+ WHEN 'view' THEN 'SELECT id, name FROM User' || (user_id % 5) || CASE event_id % 8 WHEN 2 THEN '_old' WHEN 3 THEN '_new' ELSE '_items' END || ' WHERE user_id = ' || user_id || ' AND value > ' || cast(floor(value) AS bigint) || ' LIMIT ' || (event_id % 10 + 1)
  WHEN 'click' THEN 'SELECT o.id,  COUNT(*) FROM orders o JOIN Users' || (user_id % 3) || ' u ON o.uid = u.id WHERE o.status = ' || {Q} || 'S' || (event_id % 4) || {Q} || ' AND (u.age >= 18 OR u.vip IN (1, 2)) GROUP BY o.id HAVING COUNT(*) > 1 ORDER BY o.id'
  WHEN 'purchase' THEN 'UPDATE Stock' || (user_id % 4) || ' SET qty = ' || (event_id % 50) || ', note = "n" WHERE item_id = ' || event_id || ' AND shop_id IN (1, 2, ' || (user_id % 7) || ')'
  WHEN 'signup' THEN 'INSERT INTO Accounts' || (user_id % 3) || ' (id, name) VALUES (' || event_id || ', ' || {Q} || 'u' || user_id || {Q} || ')'

@@ -7,6 +7,9 @@ with a reason. The heterogeneous statement list becomes one row per statement.
 
 from __future__ import annotations
 
+import json
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -104,3 +107,40 @@ def write(df: DataFrame, path: str, kind: str) -> None:
 def write_by_keyword(tagged: DataFrame, path: str) -> None:
     """A folder per keyword; a record with several is in each."""
     tagged.withColumn("keyword", F.explode("matched_keywords")).write.partitionBy("keyword").json(path)
+
+
+def write_split(df: DataFrame, path: str, split: str = "split") -> None:
+    """A folder per split, train and val, as Parquet."""
+    df.write.partitionBy(split).parquet(path)
+
+
+def write_dataset_info(spark: SparkSession, path: str, name: str, entry: dict) -> dict:
+    """Adds an entry to the folder's dataset_info.json, a small file that names the datasets beside it; the other entries stay."""
+    found = {}
+    if any(True for _ in _existing(spark, f"{path}/dataset_info")):
+        found = json.loads(spark.read.text(f"{path}/dataset_info", wholetext=True).first()["value"])
+    whole = found | {name: entry}
+    spark.createDataFrame([(json.dumps(whole, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/dataset_info")
+    return whole
+
+
+def _existing(spark: SparkSession, path: str) -> list[str]:
+    """The files below a path; none if it isn't there."""
+    try:
+        return spark.read.format("binaryFile").load(path).select("path").take(1)
+    except AnalysisException:
+        return []
+
+
+def read_named(spark: SparkSession, folder: str, names: list[str]) -> tuple[DataFrame, list[str]]:
+    """(source, content) of the named files of a folder, and the names that aren't there."""
+    there = [n for n in names if _existing(spark, f"{folder}/{n}")]
+    found = spark.read.text([f"{folder}/{n}" for n in there], wholetext=True) if there else spark.createDataFrame([], "value string")
+    files = found.select(F.input_file_name().alias("source"), F.col("value").alias("content"))
+    return files, sorted(set(names) - set(there))
+
+
+def removed_fields(rows: DataFrame, known: tuple[str, ...]) -> DataFrame:
+    """(field, n): how many records have each field that the canonical ones lack."""
+    keys = F.explode(F.map_keys(F.try_variant_get("row", "$", "map<string,variant>"))).alias("field")
+    return rows.select(keys).where(~F.col("field").isin(*known)).groupBy("field").agg(F.count("*").alias("n"))

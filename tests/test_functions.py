@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 
 from loomspark.functions import responses, text
 from loomspark.functions.fingerprint import features, fingerprint
-from loomspark.operators import diff, sampling
+from loomspark.operators import diff, sampling, scoring
 from loomspark.sources import records
 from loomspark.streaming import reward_log
 
 GOLDEN = [
+    ("SELECT count, t.sum AS s, id FROM t WHERE id IN (SELECT min FROM u)", "type_1.tables_t.predicates_id.aggregations_count_1_sum_1"),
     ("SELECT id FROM User WHERE a = N AND b LIKE 'S'", "type_1.tables_User.predicates_a_b"),
     ("SELECT o.id FROM orders o JOIN Users u ON o.uid = u.id", "type_1.tables_orders_users.predicates_id_uid"),
     ("UPDATE `Stock` SET qty = N WHERE item_id = N", "type_3.tables_stock.where_columns_item_id"),
@@ -63,7 +64,7 @@ def test_validators(spark):
         "regeneration": [('[{"type": "NO_SQL_GENERATE", "variants": [{"scenario": "s", "sql": "x"}]}]', False), ('["a;"]', True), ("[", False)],
         "meta": [('[{"code_key": "k", "code_value": "v"}]', True), ('[{"code_key": "k"}]', False)],
         "reverse_sql": [('{"query": "select 1", "table": "t", "fields": [], "conditions": []}', True), ('{"query": "x", "table": "t", "fields": [], "conditions": []}', False)],
-        "reverse_caller": [('{"code": "func x() { return }", "parameters": []}', True), ('{"code": "x", "parameters": []}', False)],
+        "reverse_caller": [('{"method_name": "m", "code": "Func x() { RETURN }", "parameters": [], "return_type": null}', True), ('{"code": "func x() { return }", "parameters": []}', False)],
         "structured": [('{"result": 1}', True), ('{"r": 1}', False)],
         "keyword": [("No", True), ('["a"]', True), ("none", False)],
         "control_flow": [("不合理", True), ("x", False)],
@@ -127,3 +128,29 @@ def test_reward_stream(spark, tmp_path):
     got = {(r.score, r.band) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {(0.9, "0.8-1.0"), (0.1, "0.0-0.4")}
     assert reward_log.read(spark, str(tmp_path / "in"), streaming=False).count() == 2
+
+
+def test_rewards_by_hand(spark):
+    """Figures worked out by hand from the reward rules."""
+    row = spark.range(1).select(
+        scoring.reward_five(*[F.lit(1.0)] * 4, F.lit(0.0)).alias("all_ones"),
+        scoring.reward_five(F.lit(1.0), F.lit(1.0), F.lit(None).cast("double"), F.lit(1.0), F.lit(0.5)).alias("no_keywords"),
+        scoring.composite(F.lit(1.0), F.lit(0.5), F.lit(1.0), F.lit(0.33), F.lit(1), F.lit(0)).alias("composite"),
+        scoring.consistency(F.array(F.lit("Users")), F.array(F.lit("`users`")), F.array(F.lit("ID")), F.array(F.lit("id"), F.lit("x"))).alias("consistency"),
+        scoring.reward_v1(F.lit(1.0), F.lit(0.5), F.lit(None).cast("double"), F.lit(0.5)).alias("v1"),
+        scoring.clamp(F.lit(None).cast("double")).alias("nothing"),
+    ).first()
+    assert (row.all_ones, row.no_keywords, row.composite, row.consistency, row.nothing) == (0.8, 0.9, 0.7, 0.8, None)
+    assert round(row.v1, 6) == 0.65
+
+
+def test_simple_statements(spark):
+    cases = [("SHOW TABLES", True), ('SELECT "a', True), ("SELECT 'a", False), ("GRANT x", False), ("SELECT (1", False)]
+    got = spark.createDataFrame([(c,) for c, _ in cases], "s string").select(text.is_simple_sql(F.col("s")).alias("ok")).collect()
+    assert [r.ok for r in got] == [ok for _, ok in cases]
+
+
+def test_json_is_read_whole(spark):
+    cases = [('{"a": 1} x', None), ("3 rows", None), ('["a", {"b": 1}]', ["a", '{"b":1}']), ('"x"', ["x"]), ("[]", [])]
+    got = spark.createDataFrame([(c,) for c, _ in cases], "s string").select(responses.json_items(F.col("s")).alias("items")).collect()
+    assert [r["items"] for r in got] == [want for _, want in cases]

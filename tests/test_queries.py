@@ -7,8 +7,7 @@ import os
 import duckdb
 import pytest
 
-from loomspark.plans.oracle import SQL
-from loomspark.plans.queries import QUERIES
+from loomspark.plans.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
