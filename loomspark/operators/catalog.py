@@ -25,6 +25,12 @@ def coverage(catalog: DataFrame, corpus: DataFrame) -> DataFrame:
     return valid.join(seen, "fp", "left").agg(F.count("*").alias("valid_catalog"), F.count("seen").alias("valid_matched")).withColumn("coverage", F.coalesce(F.try_divide("valid_matched", "valid_catalog"), F.lit(0.0)))
 
 
+def coverage_of(statements: DataFrame, in_catalog: Column) -> DataFrame:
+    """``coverage`` of one table whose rows belong to the catalog or to the corpus: one grouping, no join."""
+    by_fp = statements.groupBy("fp").agg(F.bool_or(in_catalog).alias("cat"), F.bool_or(~in_catalog).alias("seen")).where(F.col("cat") & ~text.is_excluded(F.col("fp")))
+    return by_fp.agg(F.count("*").alias("valid_catalog"), F.count_if("seen").alias("valid_matched")).withColumn("coverage", F.coalesce(F.try_divide("valid_matched", "valid_catalog"), F.lit(0.0)))
+
+
 def match(units: DataFrame, catalog: DataFrame) -> DataFrame:
     """Adds ``in_catalog`` to (unit..., fp); the whole catalog matches, excluded classes too."""
     known = catalog.select("fp").distinct().withColumn("hit", F.lit(True))

@@ -21,9 +21,9 @@ def caller_sets(statements: DataFrame) -> DataFrame:
 
 
 def reference_callers(sets: DataFrame) -> DataFrame:
-    """Of each method: the caller with most fingerprints, then most statements, then the first seen."""
-    order = Window.partitionBy("orm_code").orderBy(F.desc("n_fp"), F.desc("n_sql"), "first_seen", "caller")
-    return sets.withColumn("rank", F.row_number().over(order)).where("rank = 1").drop("rank")
+    """Of each method: the caller with most fingerprints, then most statements, then the first seen, which no two share. An aggregate, no sort."""
+    best = F.max_by(F.struct("caller", "fps", "n_sql", "first_seen", "n_fp"), F.struct("n_fp", "n_sql", -F.col("first_seen")))
+    return sets.groupBy("orm_code").agg(best.alias("r")).select("orm_code", "r.*")
 
 
 def caller_diff(sets: DataFrame) -> DataFrame:
@@ -53,9 +53,12 @@ def candidate_queue(found: DataFrame, limit: int | None = None) -> DataFrame:
     place = F.when(F.col("type") == "redundant", 0).when(F.col("type") == "new", 1).otherwise(2)
     queue = found.withColumn("place", place).withColumn("validation_no", F.row_number().over(Window.partitionBy("orm_code").orderBy("place", "first_seen", "caller")))
     queue = queue.withColumn("priority", F.when(F.col("type") == "missing", "medium").otherwise("high"))
-    if limit is not None:
-        queue = queue.withColumn("k", F.row_number().over(Window.partitionBy("type").orderBy("orm_code", "validation_no"))).where(F.col("k") <= limit).drop("k")
-    return queue.drop("place")
+    queue = queue.drop("place")
+    if limit is None:
+        return queue
+    # each task keeps the first rows of a type, none sorts all of them
+    first = [queue.where(F.col("type") == t).orderBy("orm_code", "validation_no").limit(limit) for t in ("redundant", "new", "missing")]
+    return first[0].unionByName(first[1]).unionByName(first[2])
 
 
 def mark_redundant(statements: DataFrame, found: DataFrame) -> DataFrame:

@@ -37,15 +37,28 @@ def quotas(df: DataFrame, stratum: str, n: int) -> DataFrame:
     return sizes.crossJoin(F.broadcast(total)).select(stratum, "size", F.greatest(F.lit(1), F.floor(F.col("size") * n / F.col("total"))).cast("long").alias("quota"))
 
 
+def within_quota(df: DataFrame, stratum: str, quota: DataFrame, order: str, *tie: str) -> DataFrame:
+    """Adds ``__in``: is the row among its stratum's ``quota`` smallest of (order, tie)? Only one bucket of a stratum is ranked."""
+    bucket = F.shiftright(F.col(order), 54) + (BUCKETS // 2)
+    marked = df.withColumn("__b", bucket)
+    counted = marked.groupBy(F.col(stratum).alias("__s"), "__b").agg(F.count("*").alias("__n"))
+    upto = F.coalesce(F.sum("__n").over(Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # BUCKETS rows a stratum at most
+    cut = counted.withColumn("__before", upto).alias("c").join(quota.select(F.col(stratum).alias("__q"), "quota"), F.col("__s").eqNullSafe(F.col("__q"))).select("__s", F.col("__b").alias("__c"), "__before", "__n", "quota")
+    met = marked.join(cut, F.col(stratum).eqNullSafe(F.col("__s")) & (F.col("__b") == F.col("__c"))).drop("__s", "__c")
+    split = (F.col("__before") < F.col("quota")) & (F.col("__before") + F.col("__n") > F.col("quota"))
+    whole = met.where(~split).withColumn("__in", F.col("__before") < F.col("quota"))
+    rank = F.row_number().over(Window.partitionBy(stratum, "__b").orderBy(order, *tie))
+    part = met.where(split).withColumn("__in", F.col("__before") + rank <= F.col("quota"))
+    return whole.unionByName(part).drop("__b", "__before", "__n", "quota")
+
+
 def stratified(df: DataFrame, stratum: str, n: int, key: str, seed: int = 42) -> DataFrame:
     """Each stratum's quota in hash order, then rows in hash order up to n in all."""
     hashed = df.withColumn("__h", F.xxhash64(F.col(key), F.lit(seed)))
-    q = quotas(df, stratum, n).select(F.col(stratum).alias("__s"), "quota")
-    ranked = hashed.withColumn("__r", F.row_number().over(Window.partitionBy(stratum).orderBy("__h", key)))
-    met = ranked.join(q, F.col(stratum).eqNullSafe(F.col("__s")))
+    met = within_quota(hashed, stratum, quotas(df, stratum, n), "__h", key)
     # rows within quota come first: half of the hash range each
-    order = F.shiftright("__h", 1) + F.when(F.col("__r") <= F.col("quota"), F.lit(-(1 << 62))).otherwise(F.lit(1 << 62))
-    return lowest(met.withColumn("__o", order), n, "__o", key).drop("__o", "__h", "__r", "__s", "quota")
+    order = F.shiftright("__h", 1) + F.when(F.col("__in"), F.lit(-(1 << 62))).otherwise(F.lit(1 << 62))
+    return lowest(met.withColumn("__o", order), n, "__o", key).drop("__o", "__h", "__in")
 
 
 def guaranteed(df: DataFrame, privileged: str, n: int, key: str, seed: int = 42) -> DataFrame:

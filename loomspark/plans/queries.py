@@ -10,6 +10,7 @@ from ..functions.fingerprint import fingerprint
 from ..operators import catalog, clean, diff, sampling, scoring
 from ..sources import adapters as src
 from ..sources import records as files
+from .staging import stage
 
 QUERIES: dict = {}
 
@@ -28,8 +29,8 @@ def audit_fp(spark, sf: str) -> DataFrame:
 
 
 def halves(spark, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Catalog: statements of even number; corpus: those of odd number."""
-    fps = audit_fp(spark, sf)
+    """Catalog: statements of even number; corpus: those of odd number. Texts are parsed once for both."""
+    fps = stage(audit_fp(spark, sf), "audit")
     return fps.where("stmt_id % 2 = 0"), fps.where("stmt_id % 2 = 1")
 
 
@@ -41,7 +42,8 @@ def statements(spark, sf: str) -> DataFrame:
     """(record_id, orm_code, caller, sql_text, fp, seen): the statement that stands n-th in a record is seen at 16 * record + n."""
     owners = src.records(spark, sf).select("record_id", "orm_code", "caller")
     seen = F.col("record_id") * 16 + F.col("item_pos") + F.col("variant_pos")
-    return item_fp(spark, sf).join(owners, "record_id").select("record_id", "orm_code", "caller", "item_pos", "variant_pos", "sql_text", "fp", seen.alias("seen"))
+    found = item_fp(spark, sf).join(owners, "record_id").select("record_id", "orm_code", "caller", "item_pos", "variant_pos", "sql_text", "fp", seen.alias("seen"))
+    return stage(found, "statements")
 
 
 # fingerprints and catalogs
@@ -49,7 +51,7 @@ def statements(spark, sf: str) -> DataFrame:
 
 @query
 def fingerprint_coverage(spark, sf):
-    return catalog.coverage(*halves(spark, sf))
+    return catalog.coverage_of(audit_fp(spark, sf), col("stmt_id") % 2 == 0)
 
 
 @query
@@ -85,8 +87,8 @@ def catalog_match_pairs(spark, sf):
 
 @query
 def catalog_match_summary(spark, sf):
-    cat = item_fp(spark, sf).where("record_id % 2 = 0")
-    corpus = item_fp(spark, sf).where("record_id % 2 = 1")
+    fps = stage(item_fp(spark, sf), "items")
+    cat, corpus = fps.where("record_id % 2 = 0"), fps.where("record_id % 2 = 1")
     return catalog.match_summary(catalog.units(catalog.match(corpus, cat)))
 
 
@@ -436,7 +438,7 @@ def candidate_queue(spark, sf):
 @query
 def mark_redundant(spark, sf):
     s = statements(spark, sf)
-    marked = diff.mark_redundant(s, diff.candidates(diffs(spark, sf)))
+    marked = diff.mark_redundant(s, diff.candidates(diff.caller_diff(diff.caller_sets(s))))
     return marked.groupBy("record_id").agg(F.count("*").alias("n"), F.count_if("is_redundant").alias("n_redundant"))
 
 
@@ -489,7 +491,7 @@ def concat_final(spark, sf):
 
 @query
 def dataset_compare(spark, sf):
-    fps = item_fp(spark, sf)
+    fps = stage(item_fp(spark, sf).select("record_id", "item_pos", "fp"), "items")
     other = fps.where("(record_id + item_pos) % 4 <> 0 and record_id % 11 <> 0").select("record_id", F.when(col("item_pos") == 3, F.lit("added")).otherwise(col("fp")).alias("fp"))
     d = diff.compare_sets(fps, other, "record_id")
     return d.select("record_id", "matched", F.array_join("common", ",").alias("common"), F.array_join("missing", ",").alias("missing"), F.array_join("extra", ",").alias("extra"), "n_left", "n_right", "n_common", "n_missing", "n_extra")
@@ -692,7 +694,7 @@ def validity_score(spark, sf):
 
 @query
 def consistency_score(spark, sf):
-    a = audit_fp(spark, sf).where("size(tables) > 0").select("stmt_id", "tables", "columns")
+    a = stage(audit_fp(spark, sf).where("size(tables) > 0").select("stmt_id", "tables", "columns"), "audit")
     other = a.select((col("stmt_id") + 1).alias("stmt_id"), col("tables").alias("t2"), col("columns").alias("c2"))
     return a.join(other, "stmt_id").select("stmt_id", scoring.consistency(col("tables"), col("t2"), col("columns"), col("c2")).alias("score"))
 
