@@ -3,10 +3,10 @@
 Documents of up to ``2 * CHUNK`` characters are encoded in one piece. A longer
 one is encoded in chunks that overlap, with offsets. Two chunks are spliced at
 a position inside their overlap that is proven stable: it is white space,
-which no token of this vocabulary spans and across which neither
-normalisation nor pre-tokens nor special strings reach, and both encodings
-have the same tokens at the same offsets between it and an earlier such
-position. Where the overlap has no such position it is widened, at last to
+which no token of this vocabulary spans, or the border between a letter and an
+East Asian mark, where the pre-tokenizer always cuts; neither normalisation nor
+pre-tokens nor special strings reach across either, and both encodings have the
+same tokens at the same offsets between it and an earlier such position. Where the overlap has no such position it is widened, at last to
 the whole chunk, which then is encoded together with the next one. So the
 count is that of the library on the whole text, while no encoding call is
 longer than the text's stretches without a stable position require.
@@ -31,6 +31,8 @@ CHUNK = 16384
 OVERLAP = 512
 LIMIT = 2048
 STABLE = " \t\n\r"
+#: Marks of texts without spaces; none occurs in a special string.
+EAST_ASIAN = "。，、！？；：「」『』（）《》"
 
 
 def _tokens(lib, text: str, a: int, b: int) -> list[tuple[int, int, int]]:
@@ -41,7 +43,7 @@ def _tokens(lib, text: str, a: int, b: int) -> list[tuple[int, int, int]]:
 
 def _splice(text: str, left: list, right: list, a: int, b: int) -> int | None:
     """The last stable position in text[a:b], the overlap, at which both token lists agree."""
-    at = [p for p in range(a, b) if text[p] in STABLE]
+    at = [p for p in range(a, b) if text[p] in STABLE or text[p] in EAST_ASIAN and p > a and text[p - 1].isalpha()]
     if len(at) < 2:
         return None
     first, last = at[0], at[-1]
