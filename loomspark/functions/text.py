@@ -208,3 +208,9 @@ def is_simple_sql(c: Column) -> Column:
     up = F.upper(strip(c))
     n = lambda p: F.regexp_count(c, F.lit(p))
     return any_of(SIMPLE_VERBS, lambda w: up.startswith(w)) & (n(r"\(") == n(r"\)")) & (n("'") % 2 == 0)
+
+
+def same_variants(kind: Column, statements: Column, other_kind: Column, other_statements: Column) -> Column:
+    """Two groups of variants count as equal if type and number agree and any statement is in both, by ``comparable``."""
+    plain = lambda x: F.transform(x, comparable)
+    return kind.eqNullSafe(other_kind) & (F.size(statements) == F.size(other_statements)) & F.arrays_overlap(plain(statements), plain(other_statements))

@@ -119,3 +119,9 @@ def parameter_share(found: DataFrame, known: DataFrame, sample: str, param: str)
 
 def band(score: Column) -> Column:
     return F.when(score >= 0.8, "0.8-1.0").when(score >= 0.6, "0.6-0.8").when(score >= 0.4, "0.4-0.6").otherwise("0.0-0.4")
+
+
+def branch_reply(reply: Column) -> Column:
+    """The branch score of a judge's reply: the first of its three places that isn't 0; 0 where none can be read."""
+    v = json_in(reply)
+    return branch_score(*[F.try_variant_get(v, p, "double") for p in ("$.score", "$.final_evaluation.score", "$.evaluation.score")])

@@ -6,7 +6,7 @@ from ..functions import scenarios
 from ..sources import adapters as src
 from ..sources import replies as said
 from . import more_queries as more
-from .oracle import AUDIT_FP, HALF_EVEN
+from .oracle import AUDIT_FP, CLASS, EXCLUDED, HALF_EVEN
 from .oracle import SQL as BASE
 
 EVENTS = "p AS (SELECT event_id AS reply_id, event_id, user_id FROM events)"
@@ -92,3 +92,20 @@ SQL = {
       UNION ALL SELECT 'g' || o_orderkey, '', 'z', 0 FROM orders WHERE o_orderkey % 3 = 2""",
 }
 SQL["cleaning_sample"] = f"SELECT * FROM ({BASE['clean_sql_items']}) ORDER BY record_id, item_pos, reason, content LIMIT 5"
+
+SAMPLES = f"""{AUDIT_FP}, s AS (SELECT user_id, count(*) FILTER (fp NOT IN {EXCLUDED}) AS valid, count(*) FILTER (fp NOT IN {EXCLUDED} AND fp IN (SELECT fp FROM f WHERE stmt_id % 2 = 0)) AS matched FROM f WHERE stmt_id % 2 = 1 GROUP BY 1),
+  j AS (SELECT *, CASE WHEN user_id % 10 = 3 THEN 'failed' WHEN matched > 0 THEN 'excellent' WHEN valid > 0 THEN 'good' ELSE 'poor' END AS kind FROM s)"""
+SQL |= {
+    "table_mentions": f"""WITH i AS (SELECT upper({src.STATEMENT}) AS t FROM lineitem WHERE {src.LISTED} AND ({src.KIND}) = 'STRING'),
+      m AS (SELECT 'FROM' AS clause, unnest(regexp_extract_all(t, 'FROM\\s+(\\w+)', 1)) AS "table" FROM i UNION ALL SELECT 'JOIN', unnest(regexp_extract_all(t, 'JOIN\\s+(\\w+)', 1)) FROM i) SELECT clause, "table", count(*) AS n FROM m GROUP BY ALL""",
+    "reanalysis_merge": f"""WITH r AS (SELECT o_orderkey AS record_id, ({src.STATE}) AS s FROM orders) SELECT record_id, CASE WHEN s = 'NO_SQL' AND event_id IS NOT NULL THEN 'LIST' ELSE s END AS list_state,
+      CASE WHEN s = 'NO_SQL' AND event_id IS NOT NULL THEN 'SELECT a FROM t WHERE id = ' || user_id || '; ## DELETE FROM t;' END AS statements FROM r LEFT JOIN events ON event_id = record_id""",
+    "known_sql_types": f"SELECT * FROM ({BASE['sql_type_distribution']}) WHERE sql_type <> 'OTHER'",
+    "unmatched_by_type": f"WITH {AUDIT_FP} SELECT {CLASS('sql_text')} AS sql_type, count(*) AS n FROM f WHERE stmt_id % 2 = 1 AND fp NOT IN (SELECT fp FROM f WHERE stmt_id % 2 = 0) GROUP BY 1",
+    "sample_classes": f"WITH {SAMPLES} SELECT kind, count(*) AS n, sum(valid)::BIGINT AS valid, sum(matched)::BIGINT AS matched FROM j GROUP BY 1",
+    "first_examples": f"WITH {SAMPLES} SELECT kind, user_id FROM j QUALIFY row_number() OVER (PARTITION BY kind ORDER BY user_id) <= 3",
+    "branch_replies": f"WITH {LABELLED} SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 0.5::DOUBLE WHEN 1 THEN 0.8 WHEN 2 THEN 1 WHEN 5 THEN 0.25 ELSE 0 END AS score FROM d",
+    "label_counters": f"""WITH l AS ({BASE['condition_labels']}) SELECT count(*) AS total_records, count(*) FILTER (record_id % 2 = 1) AS condition_mapping_records, count(*) FILTER (record_id % 2 = 0) AS other_records,
+      count(*) FILTER (record_id % 2 = 0 AND contains(condition, 'if-else')) AS if_else_removed, count(*) FILTER (record_id % 2 = 1 AND contains(condition, 'if-else')) AS if_else_kept, count(*) FILTER (contains(condition, 'keyword')) AS keyword_kept FROM l""",
+    "variant_equivalence": "SELECT (o_orderkey % 5 = 0) = (o_orderkey % 10 = 0) AND o_orderkey % 3 <> 0 AND o_custkey % 4 = o_orderkey % 4 AS same, count(*) AS n FROM orders GROUP BY 1",
+}

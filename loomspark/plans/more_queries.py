@@ -300,3 +300,92 @@ INPUT = """CASE o_orderkey % 3 WHEN 0 THEN '{"s' || o_orderkey || '": {"scenario
 def generation_inputs(spark, sf):
     files = src.table(spark, sf, "orders").select(F.expr(INPUT).alias("content"))
     return inputs.generation_inputs(files)
+
+
+# parts of reports
+
+
+@query
+def table_mentions(spark, sf):
+    up = F.upper("sql_text")
+    found = lambda word: F.transform(F.regexp_extract_all(up, F.lit(rf"{word}\s+(\w+)"), F.lit(1)), lambda t: F.struct(F.lit(word).alias("clause"), t.alias("table")))
+    items = src.items(spark, sf).where("item_kind = 'STRING'")
+    return items.select(F.explode(F.concat(found("FROM"), found("JOIN"))).alias("x")).select("x.*").groupBy("clause", "table").agg(F.count("*").alias("n"))
+
+
+@query
+def reanalysis_merge(spark, sf):
+    """Records without SQL get the statements of a second analysis, and stay as they are where it finds none."""
+    replies = src.replies(spark, sf).select(col("reply_id").alias("record_id"), responses.parse_reply(col("reply")).alias("found"))
+    met = src.records(spark, sf).select("record_id", "list_state").join(replies, "record_id", "left")
+    new = (col("list_state") == "NO_SQL") & (F.coalesce(F.size("found"), F.lit(0)) > 0)
+    return met.select("record_id", F.when(new, "LIST").otherwise(col("list_state")).alias("list_state"), F.when(new, joined(col("found"))).alias("statements"))
+
+
+@query
+def known_sql_types(spark, sf):
+    types = listed(spark, sf).select(F.explode("sql_types").alias("sql_type"))
+    return types.where(col("sql_type").isin(*[w for w, _ in text.DML])).groupBy("sql_type").agg(F.count("*").alias("n"))
+
+
+@query
+def unmatched_by_type(spark, sf):
+    cat, corpus = halves(spark, sf)
+    m = catalog.match(corpus.select("stmt_id", "fp", "sql_text"), cat).where("not in_catalog")
+    return m.groupBy(text.sql_type_with_transactions(col("sql_text")).alias("sql_type")).agg(F.count("*").alias("n"))
+
+
+def judged_samples(spark, sf: str):
+    """A sample per user: how many statements are valid and matched, and its class; every tenth sample's inference failed."""
+    cat, corpus = halves(spark, sf)
+    m = catalog.match(corpus.select("user_id", "stmt_id", "fp"), cat)
+    valid = ~text.is_excluded(col("fp"))
+    s = m.groupBy("user_id").agg(F.count_if(valid).alias("valid"), F.count_if(valid & col("in_catalog")).alias("matched"))
+    kind = F.when(col("user_id") % 10 == 3, "failed").when(col("matched") > 0, "excellent").when(col("valid") > 0, "good").otherwise("poor")
+    return s.withColumn("kind", kind)
+
+
+@query
+def sample_classes(spark, sf):
+    return judged_samples(spark, sf).groupBy("kind").agg(F.count("*").alias("n"), F.sum("valid").alias("valid"), F.sum("matched").alias("matched"))
+
+
+@query
+def first_examples(spark, sf):
+    """The first three samples of each class."""
+    s = judged_samples(spark, sf)
+    first = [s.where(col("kind") == k).orderBy("user_id").limit(3) for k in ("failed", "excellent", "good", "poor")]
+    out = first[0]
+    for f in first[1:]:
+        out = out.unionByName(f)
+    return out.select("kind", "user_id")
+
+
+JUDGE_BRANCH = said.choice(['{"score": 0.5}', '{"score": 0, "final_evaluation": {"score": 0.8}}', '{"evaluation": {"score": 3}}', "x", '{"score": 0}', 'so {"score": "0.25"} end'], "doc_id")
+
+
+@query
+def branch_replies(spark, sf):
+    d = src.table(spark, sf, "labels").select("doc_id").distinct()
+    return d.select("doc_id", scoring.branch_reply(F.expr(JUDGE_BRANCH)).alias("score"))
+
+
+@query
+def label_counters(spark, sf):
+    from .queries import condition_labels
+
+    labels = condition_labels(spark, sf).withColumn("labels", F.split("condition", r"\|"))
+    mapped, has = col("record_id") % 2 == 1, lambda n: F.array_contains("labels", n)
+    return labels.agg(
+        F.count("*").alias("total_records"), F.count_if(mapped).alias("condition_mapping_records"), F.count_if(~mapped).alias("other_records"),
+        F.count_if(~mapped & has("if-else")).alias("if_else_removed"), F.count_if(mapped & has("if-else")).alias("if_else_kept"), F.count_if(has("keyword")).alias("keyword_kept"),
+    )
+
+
+@query
+def variant_equivalence(spark, sf):
+    o = src.table(spark, sf, "orders")
+    kind = lambda k: F.when(col("o_orderkey") % k == 0, "LACK_INFORMATION").otherwise("param_dependent")
+    one = F.array(F.concat(F.lit("SELECT  a"), col("o_custkey") % 4, F.lit(";")), F.lit("x"))
+    two = F.when(col("o_orderkey") % 3 == 0, F.array(F.concat(F.lit("select A"), col("o_orderkey") % 4))).otherwise(F.array(F.concat(F.lit("select A"), col("o_orderkey") % 4), F.lit("y ")))
+    return o.groupBy(text.same_variants(kind(5), one, kind(10), two).alias("same")).agg(F.count("*").alias("n"))
