@@ -43,7 +43,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import check_sum, numbers_of, planes, scan_blocks
+from .blocks import check_sum, gathered, numbers_of, planes, scan_blocks
 from .common import bucketed, slots, stage, text_of
 
 MARK = "▁"
@@ -55,6 +55,8 @@ UNIT = re.compile(f"{MARK}+[^{MARK}]*")
 #: An edge is packed as rank, start, length, id.
 RANK_BITS, START_BITS, LENGTH_BITS, ID_BITS = 17, 24, 5, 17
 PREFIX = 4
+#: Units of a document put together at a time.
+SLICE = 1 << 17
 
 
 @lru_cache(4)
@@ -196,7 +198,7 @@ def viterbi_fold(edges: str, n: str) -> Column:
 def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
     """(unit), distinct and not null or empty, dealt by unit -> (unit, tokens array<int>), still so dealt.
 
-    A token is a piece's id, or minus the code point of a character that stands alone.
+    A token is a piece's id, or -1 less the code point of a character that stands alone.
     """
     spark = units.sparkSession
     rows, _ = pieces(path)
@@ -227,7 +229,7 @@ def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
         segment = viterbi_fold(f"sort_array(concat(ends, {bare}))", "n")
     places = F.expr(f"transform(edges, e -> cast(shiftright(e, {ID_BITS}) & {(1 << START_BITS + LENGTH_BITS) - 1} as int))")
     found = f"cast(get(q.e, cast(array_position(q.k, a * {1 << LENGTH_BITS} + b - a) as int) - 1) & {(1 << ID_BITS) - 1} as int)"
-    tokens = f"zip_with(slice(q.c, 1, size(q.c) - 1), slice(q.c, 2, size(q.c) - 1), (a, b) -> if(b - a = 1, -ascii(substring(unit, a + 1, 1)), {found}))"
+    tokens = f"zip_with(slice(q.c, 1, size(q.c) - 1), slice(q.c, 2, size(q.c) - 1), (a, b) -> if(b - a = 1, -1 - ascii(substring(unit, a + 1, 1)), {found}))"
     return lattice.withColumn("q", F.struct(segment.alias("c"), places.alias("k"), F.col("edges").alias("e"))).select("unit", F.expr(f"get(transform(array(q), q -> {tokens}), 0)").alias("tokens"))
 
 
@@ -249,11 +251,11 @@ def resolved(path: str, tokens, lengths):
     import numpy as np
 
     known, byte0 = single_ids(path)
-    ids = np.where(tokens < 0, known[np.maximum(-tokens, 0)], tokens)
+    ids = np.where(tokens < 0, known[np.maximum(-1 - tokens, 0)], tokens)
     bare = np.flatnonzero(ids < 0)
     if not bare.size:
         return ids, lengths
-    spelled = [[byte0 + b for b in chr(-t).encode("utf-8", "surrogatepass")] for t in tokens[bare].tolist()]
+    spelled = [[byte0 + b for b in chr(-1 - t).encode("utf-8", "surrogatepass")] for t in tokens[bare].tolist()]
     widths = np.ones(len(ids), np.int64)
     widths[bare] = list(map(len, spelled))
     ends = np.cumsum(widths)
@@ -271,6 +273,17 @@ def spelling(path: str) -> dict[int, bytes]:
     return {i: p.replace(MARK, " ").encode() for p, i, _ in rows} | {byte0 + b: bytes([b]) for b in range(256)}
 
 
+@lru_cache(4)
+def spelled_table(path: str):
+    """The spellings of all ids laid end to end as bytes, where each begins, and how long it is."""
+    import numpy as np
+
+    found = spelling(path)
+    rows = [found.get(i, b"") for i in range(max(found) + 1)]
+    width = np.array(list(map(len, rows)), np.int64)
+    return np.frombuffer(b"".join(rows), np.uint8), np.cumsum(width) - width, width
+
+
 def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_id", text_col: str = "text", from_files: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_pieces, ids array<int>, round_trip. ``path``: a SentencePiece model file.
 
@@ -321,27 +334,37 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
         import numpy as np
         import pyarrow as pa
 
-        spelled = spelling(path)
+        # each unit's ids are flat[starts[unit]:][:counts[unit]], its text spelled[at[unit]:][:sizes[unit]]
         size = sum(right["entries"].to_pylist())
-        ids_of, text_of_unit = [b""] * size, [b""] * size
+        starts, counts, parts, base = np.full(size, -1, np.int64), np.zeros(size, np.int64), [], 0
         for entries, body in zip(right["entries"].to_pylist(), right["body"].to_pylist(), strict=True):
-            body = numbers_of(body)
-            ends = np.cumsum(body[entries : 2 * entries])
-            own, texts = body[2 * entries :], list(map(spelled.__getitem__, body[2 * entries :].tolist()))
-            raw, a = own.tobytes(), 0
-            for local, z in zip(body[:entries].tolist(), ends.tolist(), strict=True):
-                ids_of[local], text_of_unit[local] = raw[4 * a : 4 * z], b"".join(texts[a:z])
-                a = z
+            local, own, ids = np.split(numbers_of(body), [entries, 2 * entries])
+            starts[local], counts[local] = base + np.cumsum(own, dtype=np.int64) - own, own
+            parts.append(ids)
+            base += len(ids)
+        if size and starts.min() < 0:
+            raise ValueError("a block lacks answers for some of its units")
+        flat = np.concatenate(parts).astype("<i4") if parts else np.zeros(0, "<i4")
+        letters, first, width = spelled_table(path)
+        spelled = gathered(letters, first[flat], width[flat])
+        bounds = np.concatenate(([0], np.cumsum(width[flat])))
+        at = bounds[starts]
+        sizes = bounds[starts + counts] - at
         streams, lengths = [], []
         for doc, crc, body in zip(left["doc_id"].to_pylist(), left["crc"].to_pylist(), left["body"].to_pylist(), strict=True):
-            numbers = numbers_of(body).tolist()
-            streams.append(b"".join(map(ids_of.__getitem__, numbers)))
-            lengths.append(len(streams[-1]) // 4)
-            # the first space is the start mark
-            if zlib.crc32(b"".join(map(text_of_unit.__getitem__, numbers))[1:]) != crc:
+            found, length, check, skipped = numbers_of(body), 0, 0, 1
+            for k in range(0, len(found), SLICE):
+                units = found[k : k + SLICE]
+                streams.append(gathered(flat, starts[units], counts[units]))
+                length += len(streams[-1])
+                # the first space is the start mark
+                check = zlib.crc32(gathered(spelled, at[units], sizes[units])[skipped:].tobytes(), check)
+                skipped = 0
+            lengths.append(length)
+            if check != crc:
                 raise ValueError(f"the ids of document {doc} don't decode to its text: the input's two scans differ")
         offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(streams), "<i4")))
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(streams) if streams else np.zeros(0, "<i4")))
         return pa.table({"doc_id": left["doc_id"], "n_pieces": pa.array(lengths, pa.int64()), "ids": ids, "round_trip": pa.array([not m for m in left["mark"].to_pylist()], pa.bool_())})
 
     packed = answers.mapInArrow(pack, "block long, entries int, body binary")

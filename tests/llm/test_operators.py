@@ -330,7 +330,7 @@ def test_viterbi(spark):
     worst = min(scores.values()) - 10.0
     units = ["▁the", "▁thanedble", "▁ingen.", "é", "▁xqzzy", "▁a"]
     found = piece_lattice.encode_units(spark.createDataFrame([(u,) for u in units], "unit string"), PIECES, "viterbi")
-    got = {r.unit: [ids[i] if i >= 0 else chr(-i) for i in r.tokens] for r in found.collect()}
+    got = {r.unit: [ids[i] if i >= 0 else chr(-1 - i) for i in r.tokens] for r in found.collect()}
     for u in units:
         total, path = plain_viterbi(u, scores, worst)
         assert "".join(got[u]) == u and sum(scores.get(p, worst) for p in got[u]) == pytest.approx(total)
