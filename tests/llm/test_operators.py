@@ -262,7 +262,10 @@ def test_token_store_notices_damage(spark, docs, tmp_path):
     token_store.write(docs.limit(5), path, BYTES)
     bad = spark.read.parquet(f"{path}/objects").where("kind = 'chunk'").withColumn("body", F.concat(F.lit(b"\x00\x01"), F.col("body"))).cache()
     bad.count()
-    bad.drop("kind").write.mode("overwrite").parquet(f"{path}/objects/kind=chunk")
+    n = spark.read.parquet(f"{path}/layout").first()[0]
+    rows = bad.select("key", "n", "width", "body").repartition(n, "key").write.mode("overwrite").option("path", f"{path}/objects/kind=chunk")
+    rows.bucketBy(n, "key").sortBy("key").saveAsTable("damaged_chunks")
+    spark.sql("DROP TABLE damaged_chunks")
     with pytest.raises(Exception, match="damaged"):
         token_store.read(spark, path).collect()
 
