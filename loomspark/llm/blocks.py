@@ -28,6 +28,8 @@ from .common import compressor, decompressor
 
 #: Characters of text in a block, about.
 BLOCK_CHARS = 32 << 20
+#: Units cut at a time, and rows of a batch that are Python objects at a time.
+CUT, ROWS = 1 << 15, 256
 STREAMS = "block long, doc_id long, mark int, n long, crc long, body binary"
 
 
@@ -79,10 +81,14 @@ class Block:
         if self.cut is None:
             n = np.arange(len(whole), dtype=np.uint32)
             return whole, n, n.astype(np.int64), np.ones(len(whole), np.int64)
-        pieces, lengths = self.cut(whole)
         numbers: dict[str, int] = defaultdict(itertools.count().__next__)
-        flat = np.fromiter(map(numbers.__getitem__, pieces), np.uint32, len(pieces))
-        return list(numbers), flat, np.cumsum(lengths) - lengths, lengths
+        flat, lengths = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for i in range(0, len(whole), CUT):
+            pieces, own = self.cut(whole[i : i + CUT])
+            flat.append(np.fromiter(map(numbers.__getitem__, pieces), np.uint32, len(pieces)))
+            lengths.append(own)
+        counts = np.concatenate(lengths)
+        return list(numbers), np.concatenate(flat), np.cumsum(counts) - counts, counts
 
     def units_out(self, marks: int) -> Iterator:
         """Batches of (block, local, unit) and the occurrences in documents of each mark."""
@@ -136,7 +142,7 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, m
     def scan(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def batch(columns: list, names: list[str], own: str) -> pa.RecordBatch:
+        def rows_of(columns: list, names: list[str], own: str) -> pa.RecordBatch:
             if kind != "both":
                 return pa.RecordBatch.from_arrays(columns, names=names)
             given = dict(zip(names, columns, strict=True)) | {"kind": pa.array([own] * len(columns[0]), pa.string())}
@@ -146,13 +152,14 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, m
 
         def out(block: Block) -> Iterator:
             if kind != "streams":
-                yield from (batch(c, unit_names, "units") for c in block.units_out(marks))
+                yield from (rows_of(c, unit_names, "units") for c in block.units_out(marks))
             if kind != "units":
-                yield from (batch(c, stream_names, "streams") for c in block.streams_out())
+                yield from (rows_of(c, stream_names, "streams") for c in block.streams_out())
 
         only_units = kind == "units" and not marks
         block = None
-        for b in batches:
+        pa.default_memory_pool().release_unused()  # of the worker's earlier tasks
+        for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
             for place, doc, text, mark in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if block is None or block.size > BLOCK_CHARS:
                     if block:
