@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, simhash, subword_lm, token_counts, token_store
+from . import bpe_verify, exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, simhash, subword_lm, token_counts, token_store
 from .common import table
 
 
@@ -64,6 +64,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary("word_bpe_49k.json")
+    both = bpe_verify.decode(bpe_verify.encode(table(spark, sf_dir, "documents"), path), path)
+    return both.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 SQL = {
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -106,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash": op10_simhash,
+    "op12_bpe": op12_bpe,
 }
