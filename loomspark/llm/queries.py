@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_verify, exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, simhash, subword_lm, token_counts, token_store
+from . import bpe_verify, exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, prefix_trie, simhash, subword_lm, token_counts, token_store
 from .common import table
 
 
@@ -70,6 +70,10 @@ def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 SQL = {
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -99,6 +103,30 @@ SQL = {
         SELECT doc_id, size, source_size, target,
                ((epochs + CASE WHEN rest > before AND before + size / 2.0 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken, source
         FROM p""",
+    "op13_prefix_trie": r"""
+        WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
+        r AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                     row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+              FROM conversations WHERE conv_id IS NOT NULL),
+        h AS (SELECT conv_id, conv_id - conv_id % 20 AS base, n_own,
+                     xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                                     lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 4 AS h
+              FROM (SELECT conv_id, max(pos) AS n_own FROM r GROUP BY conv_id), tab),
+        t AS (SELECT h.conv_id, pos AS depth, role, text FROM h JOIN r ON r.conv_id = base WHERE pos <= h
+              UNION ALL
+              SELECT h.conv_id, pos - h + least(h, coalesce(b.n_own, 0)), role, text
+              FROM h JOIN r USING (conv_id) LEFT JOIN (SELECT conv_id AS id, n_own FROM h) b ON b.id = base WHERE pos > h),
+        p AS (SELECT conv_id, depth, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+                     string_agg(sha256(len(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM t
+              UNION ALL SELECT conv_id, 0, 0, '' FROM h),
+        e AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+        n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(words) AS saved, bool_and(ends) AS leaf,
+                     coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '') AS enders
+              FROM e GROUP BY path, depth),
+        s AS (SELECT left(path, 64 * k) AS path, sum(leaf::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens, count(*) FILTER (depth = k + 1) AS n_children
+              FROM (SELECT *, unnest(range(depth + 1)) AS k FROM n) GROUP BY ALL)
+        SELECT n.conv_id, n.depth::BIGINT AS depth, u.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens, sha256(n.enders) AS ends_sha256
+        FROM n JOIN s USING (path) LEFT JOIN n u ON n.depth > 0 AND u.path = left(n.path, 64 * (n.depth - 1))""",
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -113,4 +141,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash": op10_simhash,
     "op12_bpe": op12_bpe,
+    "op13_prefix_trie": op13_prefix_trie,
 }
