@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_verify, exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, prefix_trie, simhash, subword_lm, token_counts, token_store
+from . import bpe_verify, exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, prefix_trie, simhash, spelling, subword_lm, token_counts, token_store
 from .common import table
 
 
@@ -64,6 +64,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.components(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     both = bpe_verify.decode(bpe_verify.encode(table(spark, sf_dir, "documents"), path), path)
@@ -103,6 +107,26 @@ SQL = {
         SELECT doc_id, size, source_size, target,
                ((epochs + CASE WHEN rest > before AND before + size / 2.0 <= rest THEN 1 ELSE 0 END) * size)::BIGINT AS taken, source
         FROM p""",
+    "op11_spelling": r"""
+        WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
+        r AS (SELECT doc_id, run, count(*) AS k
+              FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+              GROUP BY ALL),
+        b AS (SELECT *, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                                               lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS bytes FROM r),
+        h AS (SELECT run, k, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS h FROM b, tab),
+        w AS (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, sum(k)::BIGINT AS n
+              FROM h GROUP BY word HAVING length(word) >= 5 AND sum(k) >= 3),
+        d AS (SELECT word, i, left(word, i) AS front, substr(word, i + 2) AS back FROM (SELECT word, unnest(range(length(word))) AS i FROM w)),
+        p AS (SELECT a.word, b.word AS near FROM d a JOIN d b ON a.i = b.i AND a.front = b.front AND a.back = b.back AND a.word <> b.word
+              UNION SELECT d.word, w.word FROM d JOIN w ON w.word = front || back
+              UNION SELECT w.word, d.word FROM d JOIN w ON w.word = front || back),
+        g AS (SELECT p.word, count(*) AS n_near, max(o.n) AS top, min_by(p.near, (-o.n, p.near)) AS best FROM p JOIN w o ON o.word = p.near GROUP BY p.word),
+        f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 2 * w.n THEN best END AS form, CASE WHEN top >= 2 * w.n THEN top END AS form_n FROM w LEFT JOIN g USING (word)),
+        c AS (SELECT word, form AS root FROM f WHERE form IS NOT NULL
+              UNION ALL SELECT c.word, f.form FROM c JOIN f ON f.word = c.root WHERE f.form IS NOT NULL),
+        e AS (SELECT c.word, c.root FROM c JOIN f ON f.word = c.root WHERE f.form IS NULL)
+        SELECT f.word, form, coalesce(e.root, f.word) AS root, n, n_near::BIGINT AS n_near, form_n FROM f LEFT JOIN e ON e.word = f.word""",
     "op13_prefix_trie": r"""
         WITH tab AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS tab),
         r AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -140,6 +164,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_mix_sources": op9_mix_sources,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
     "op12_bpe": op12_bpe,
     "op13_prefix_trie": op13_prefix_trie,
 }
