@@ -9,9 +9,10 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .responses import VERB
+from .responses import VERB, VERBS
 
 VERB_LINE = re.compile(VERB)
+VERB_FIRST = VERB_ANYWHERE = re.compile("|".join(VERBS), re.I)
 TEXTS = T.ArrayType(T.StringType())
 
 
@@ -65,25 +66,43 @@ def bracketed_json(reply: str | None) -> str:
     return ""
 
 
+CLOSING = {"[": "]", "{": "}"}
+
+
+def balanced_part(reply: str | None) -> str:
+    """From the first square bracket, or the first brace if there is none, to where all that was opened is closed; empty if it never is. Strings aren't told apart."""
+    text = reply or ""
+    at = text.find("[") if "[" in text else text.find("{")
+    awaited: list[str] = []
+    for i in range(max(at, 0), len(text)):
+        if text[i] in CLOSING:
+            awaited.append(CLOSING[text[i]])
+        elif awaited and text[i] == awaited[-1]:
+            awaited.pop()
+            if not awaited:
+                return text[at : i + 1]
+    return ""
+
+
 def statements_in(value) -> list[str]:
-    """Statements anywhere inside a JSON value: strings may be JSON again, objects give their variants or their sql."""
-    if isinstance(value, str):
-        inner = value.strip()
-        if inner[:1] in "[{" and inner:
-            try:
-                return statements_in(json.loads(inner))
-            except ValueError:
-                pass
-        if VERB_LINE.match(inner):
-            return [inner]
-        return [x.strip() for x in inner.split("\n") if VERB_LINE.match(x)]
+    """Statements anywhere inside a JSON value; the rule of ``operators.nested`` for single values, for use as an SQL function."""
     if isinstance(value, list):
         return [s for v in value for s in statements_in(v)]
     if isinstance(value, dict):
-        if value.get("type") == "param_dependent":
-            return statements_in([v.get("sql") for v in value.get("variants") or [] if isinstance(v, dict)])
+        if value.get("type") == "param_dependent" and "variants" in value:
+            return [s for v in value["variants"] or [] if isinstance(v, dict) for s in statements_in(v.get("sql"))]
         return statements_in(value["sql"]) if "sql" in value else [s for v in value.values() for s in statements_in(v)]
-    return []
+    if not isinstance(value, str) or not value.strip():
+        return []
+    try:
+        return statements_in(json.loads(value))
+    except ValueError:
+        pass
+    if VERB_FIRST.match(value):
+        return [value.strip()]
+    if not VERB_ANYWHERE.search(value):
+        return []
+    return [x.strip() for x in value.split("\n") if VERB_LINE.match(x)] or [value.strip()]
 
 
 @F.pandas_udf(T.StringType())
@@ -98,5 +117,10 @@ def balanced(replies: pd.Series) -> pd.Series:
 
 @F.pandas_udf(TEXTS)
 def extracted(replies: pd.Series) -> pd.Series:
-    """Statements of a reply, found recursively in its JSON or in its lines."""
-    return replies.map(lambda r: statements_in(bracketed_json(r) or r or ""))
+    """Statements of a text, found recursively in its JSON or in its lines."""
+    return replies.map(statements_in)
+
+
+@F.pandas_udf(T.StringType())
+def first_balanced(replies: pd.Series) -> pd.Series:
+    return replies.map(balanced_part)

@@ -10,8 +10,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import text
+from .json_text import kind, let, whole_json
+from .validation import validator  # noqa: F401  (the validators had their place here)
 
-FENCE = "`" * 3
+FENCE = text.FENCE
 # Words that begin a statement line, by kind: queries and changes, definitions, rights, transactions,
 # others, routines, indexes and constraints, views, the rest.
 VERBS = (
@@ -28,12 +30,6 @@ VERBS = (
 VERB = rf"(?i)^\s*(?:{'|'.join(VERBS)})"
 
 
-def whole_json(c: Column) -> Column:
-    """The text as a variant, null if it isn't one JSON value from end to end; Spark's own reader stops after the first."""
-    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
-
-
 def nothing() -> Column:
     return F.array().cast("array<string>")
 
@@ -105,156 +101,6 @@ def keywords_of(c: Column, known=text.GORM_KEYWORDS) -> Column:
     return F.when(F.coalesce(low, F.lit("")).rlike("(?s)^$|no$"), nothing()).otherwise(found)
 
 
-# Validators: each takes a reply and gives true or false.
-
-
-def _json(c: Column) -> Column:
-    whole = whole_json(text.strip(c)).isNotNull()
-    inner = lambda x: (x != "") & whole_json(x).isNotNull()
-    return whole | inner(F.regexp_extract(fenced(c, "(?:json)?"), r"(?s)^\s*(\{.*\})\s*$", 1)) | inner(F.regexp_extract(c, r"(?s)(\{.*\})", 1))
-
-
-def _field(c: Column, path: str, kind: str) -> Column:
-    return F.try_variant_get(whole_json(text.strip(c)), path, kind)
-
-
-def _shape(c: Column) -> Column:
-    """Type of the JSON root in one word: OBJECT, ARRAY, STRING..., or null."""
-    return F.regexp_extract(F.schema_of_variant(whole_json(text.strip(c))), r"^(\w+)", 1)
-
-
-def _has(c: Column, *paths: str) -> Column:
-    out = F.lit(True)
-    for p in paths:
-        out = out & F.try_variant_get(whole_json(text.strip(c)), p, "string").isNotNull()
-    return out
-
-
-def _first_has(c: Column, *fields: str) -> Column:
-    return _has(c, *[f"$.{f}" for f in fields]) | _has(c, *[f"$[0].{f}" for f in fields])
-
-
-def _yes_no(c: Column) -> Column:
-    return c.contains("是") | c.contains("否") | F.lower(c).contains("yes") | F.lower(c).contains("no") | F.lower(c).contains("true") | F.lower(c).contains("false")
-
-
-def _starts_or_comma(c: Column) -> Column:
-    return c.startswith("是") | c.startswith("否") | c.contains("，") | c.contains(",")
-
-
-def _items(c: Column) -> Column:
-    return F.try_variant_get(whole_json(text.strip(c)), "$", "array<variant>")
-
-
-def _item_text(v: Column) -> Column:
-    return F.try_variant_get(v, "$", "string")
-
-
-def _sql_list(c: Column, other: tuple[str, ...] = ()) -> Column:
-    """A list of statements that end in a semicolon and of objects of known types with variants."""
-    kind = lambda v: F.try_variant_get(v, "$.type", "string")
-    variants = lambda v: F.coalesce(F.try_variant_get(v, "$.variants", "array<variant>"), F.array().cast("array<variant>"))
-    good = lambda w, semicolon: F.try_variant_get(w, "$.scenario", "string").isNotNull() & (F.endswith(text.strip(F.try_variant_get(w, "$.sql", "string")), F.lit(";")) if semicolon else F.try_variant_get(w, "$.sql", "string").isNotNull())
-    is_object = lambda v: F.schema_of_variant(v).startswith("OBJECT")
-    ok = lambda v: F.when(is_object(v), F.coalesce(((kind(v) == "param_dependent") & (F.size(variants(v)) > 0) & F.forall(variants(v), lambda w: F.coalesce(good(w, True), F.lit(False)))) | (kind(v).isin(*other) & F.forall(variants(v), lambda w: F.coalesce(good(w, False), F.lit(False))) if other else F.lit(False)), F.lit(False))).otherwise(F.coalesce(F.endswith(text.strip(_item_text(v)), F.lit(";")), F.lit(False)))
-    return F.coalesce((_shape(c) == "ARRAY") & F.forall(_items(c), ok), F.lit(False))
-
-
-def _body(c: Column, shape: str) -> Column:
-    """The JSON value that a reply consists of, or holds in its first json fence; ``shape``: the pattern of a fenced value."""
-    return whole_json(F.when(c.contains(f"{FENCE}json"), F.nullif(F.regexp_extract(c, rf"(?s){FENCE}json\s*({shape})\s*{FENCE}", 1), F.lit(""))).otherwise(text.strip(c)))
-
-
-def _kind(v: Column, path: str = "$") -> Column:
-    return F.regexp_extract(F.schema_of_variant(F.try_variant_get(v, path, "variant")), r"^(\w+)", 1)
-
-
-def _present(v: Column, *fields: str) -> Column:
-    """Are the fields there, null ones too?"""
-    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
-    return F.size(F.array_except(F.array(*map(F.lit, fields)), keys)) == 0
-
-
-def _listed(v: Column, *fields: str) -> Column:
-    out = F.lit(True)
-    for f in fields:
-        out = out & (_kind(v, f"$.{f}") == "ARRAY")
-    return out
-
-
-def _filled(v: Column, field: str) -> Column:
-    return (_kind(v, f"$.{field}") == "STRING") & (text.strip(F.try_variant_get(v, f"$.{field}", "string")) != "")
-
-
-def _go_code(v: Column) -> Column:
-    low = F.lower(F.try_variant_get(v, "$.code", "string"))
-    return _filled(v, "code") & low.contains("func") & low.contains("return")
-
-
-def _reverse_orm(c: Column) -> Column:
-    v = _body(c, r"\{.*?\}")
-    return _present(v, "method_name", "code", "parameters", "return_type", "table", "fields", "conditions") & _listed(v, "parameters", "fields", "conditions") & _go_code(v)
-
-
-def _reverse_caller(c: Column) -> Column:
-    v = _body(c, r"\{.*?\}")
-    return _present(v, "method_name", "code", "parameters", "return_type") & _listed(v, "parameters") & _go_code(v)
-
-
-def _reverse_variants(c: Column) -> Column:
-    """A list of queries, each with its branch."""
-    v = _body(c, r"\[.*?\]")
-    good = lambda x: _present(x, "query", "table", "fields", "conditions", "branch", "description") & _listed(x, "fields", "conditions") & _filled(x, "branch") & _filled(x, "description") & (_kind(x, "$.query") == "STRING") & F.lower(text.strip(F.try_variant_get(x, "$.query", "string"))).startswith("select")
-    # the shared JSON check comes first: the whole text, or an object somewhere in it
-    return _json(c) & (_kind(v) == "ARRAY") & F.forall(F.try_variant_get(v, "$", "array<variant>"), lambda x: F.coalesce(good(x), F.lit(False)))
-
-
-def _synthetic(c: Column, kind: str = "orm") -> Column:
-    """A generated method, caller or metadata list, whole or in a json fence."""
-    v = _body(c, r"\[.*?\]|\{.*?\}")
-    items = F.try_variant_get(v, "$", "array<variant>")
-    if kind == "meta":
-        return (_kind(v) == "ARRAY") & F.forall(items, lambda x: F.coalesce(_present(x, "code_key", "code_value"), F.lit(False)))
-    first = F.when(_kind(v) == "ARRAY", F.get(items, F.lit(0))).otherwise(v)
-    return _present(first, *(("scenario", "code_key", "code_value", "sql_pattern_cnt") if kind == "orm" else ("code_key", "code_value")))
-
-
-def _query(c: Column) -> Column:
-    q = F.upper(text.strip(_field(c, "$.query", "string")))
-    return _has(c, "$.query", "$.table") & _field(c, "$.fields", "array<variant>").isNotNull() & _field(c, "$.conditions", "array<variant>").isNotNull() & q.startswith("SELECT")
-
-
-VALIDATORS = {
-    "json": _json,
-    "boolean": _yes_no,
-    "structured": lambda c, fields=("result",): _json(c) & _has(c, *[f"$.{f}" for f in fields]),
-    "list": lambda c: F.coalesce(_shape(c) == "ARRAY", F.lit(False)),
-    "completeness": _starts_or_comma,
-    "correctness": _starts_or_comma,
-    "keyword": lambda c: c.isin("No", '"No"', "'No'") | json_strings(c).isNotNull(),
-    "redundant": lambda c: _json(c) | c.contains("是，冗余") | c.contains("否，不冗余"),
-    "control_flow": lambda c: _json(c) | c.contains("合理"),
-    "regeneration": _sql_list,
-    "sql_generation": lambda c: _sql_list(c, ("LACK_INFORMATION", "NO_SQL_GENERATE")),
-    "fix_review": lambda c: (_shape(c) == "OBJECT") & _field(c, "$.accepted", "boolean").isNotNull(),
-    "precheck": lambda c: F.lower(text.strip(c)).isin("yes", "no", "true", "false", "1", "0") | F.coalesce(_has(c, "$.will_generate_sql") | _has(c, "$.generate_sql"), F.lit(False)) | F.lower(c).rlike("yes|no|will|generate|sql"),
-    "orm": lambda c: _first_has(c, "scenario", "code_key", "code_value", "sql_pattern_cnt"),
-    "caller": lambda c: _first_has(c, "code_key", "code_value"),
-    "meta": lambda c: (_shape(c) == "ARRAY") & F.forall(_items(c), lambda v: F.try_variant_get(v, "$.code_key", "string").isNotNull() & F.try_variant_get(v, "$.code_value", "string").isNotNull()),
-    "reverse_sql": _query,
-    "reverse_orm": _reverse_orm,
-    "reverse_caller": _reverse_caller,
-    "reverse_variants": _reverse_variants,
-    "synthetic": _synthetic,
-}
-
-
-def validator(name: str):
-    """reply -> boolean column; null counts as false."""
-    check = VALIDATORS[name]
-    return lambda c, *args: F.coalesce(check(c, *args), F.lit(False))
-
-
 # Parsers of replies about generation and review.
 
 
@@ -313,7 +159,7 @@ def analysis_report(c: Column) -> Column:
 def verdict(c: Column) -> Column:
     """A control-flow verdict as a struct (is_correct, reason, expected_count, actual_count, n_issues, unreadable); what is missing or unreadable counts as correct."""
     v = whole_json(F.coalesce(F.nullif(F.regexp_extract(c, rf"(?s){FENCE}json\s*(\{{.*?\}})\s*{FENCE}", 1), F.lit("")), text.strip(c)))
-    v = F.when(_kind(v) == "OBJECT", v)
+    v = F.when(kind(v) == "OBJECT", v)
     return F.struct(
         F.coalesce(F.try_variant_get(v, "$.final_judgment.is_correct", "boolean"), F.lit(True)).alias("is_correct"),
         F.coalesce(F.try_variant_get(v, "$.final_judgment.reason", "string"), F.lit("")).alias("reason"),

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+FENCE = "`" * 3
 # Keyword lists that results depend on.
 GORM_KEYWORDS = ("Preload", "Transaction", "Scopes", "FindInBatches", "FirstOrInit", "Association", "Locking", "Pluck", "Callbacks", "AutoMigrate", "ForeignKey", "References", "NamedQuery", "Hooks", "NamedParameters", "save", "createorupdate")
 SQL_KEYWORDS = ("SELECT", "INSERT", "UPDATE", "DELETE", "CREATE", "DROP", "ALTER", "TRUNCATE", "REPLACE", "SHOW", "DESCRIBE", "EXPLAIN", "WITH", "UNION", "HAVING", "GROUP BY", "ORDER BY", "LIMIT")

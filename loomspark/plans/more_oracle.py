@@ -16,6 +16,22 @@ def by_kind(outcomes: dict[int, str], n: int, default: str = "''") -> str:
     return f"CASE reply_id % {n} " + " ".join(f"WHEN {k} THEN {v}" for k, v in outcomes.items()) + f" ELSE {default} END"
 
 
+def outcome(texts: list[list[str]]) -> str:
+    """The joined statements of the k-th kind of reply."""
+    return f"CASE reply_id % {len(texts)} " + " ".join(f"WHEN {k} THEN {said.written(' ## '.join(t))}" for k, t in enumerate(texts)) + " END"
+
+
+def each_outcome(texts: list[list[str]]) -> str:
+    """(k, x): a row for each statement of the k-th kind."""
+    rows = ", ".join(f"({k}, {said.written(x)})" for k, own in enumerate(texts) for x in own)
+    return f"o(k, x) AS (VALUES {rows})"
+
+
+def nullable(s: str | None) -> str:
+    return "NULL" if s is None else said.written(s)
+
+
+VERDICTS = "o(k, validator, code, detail) AS (VALUES " + ", ".join(f"({k}, '{n}', {nullable(c)}, {nullable(d)})" for k, (n, _, c, d) in enumerate(said.VERDICTS)) + ")"
 U = "(user_id % 5)"
 LINES = {1: f"'MERGE INTO t' || {U} || ' USING s'", 5: f"'SELECTED ' || {U} || ' rows'"}
 PARSED = LINES | {
@@ -108,4 +124,9 @@ SQL |= {
     "label_counters": f"""WITH l AS ({BASE['condition_labels']}) SELECT count(*) AS total_records, count(*) FILTER (record_id % 2 = 1) AS condition_mapping_records, count(*) FILTER (record_id % 2 = 0) AS other_records,
       count(*) FILTER (record_id % 2 = 0 AND contains(condition, 'if-else')) AS if_else_removed, count(*) FILTER (record_id % 2 = 1 AND contains(condition, 'if-else')) AS if_else_kept, count(*) FILTER (contains(condition, 'keyword')) AS keyword_kept FROM l""",
     "variant_equivalence": "SELECT (o_orderkey % 5 = 0) = (o_orderkey % 10 = 0) AND o_orderkey % 3 <> 0 AND o_custkey % 4 = o_orderkey % 4 AS same, count(*) AS n FROM orders GROUP BY 1",
+    "parse_stray_responses": f"WITH {EVENTS} SELECT reply_id, {outcome([x for _, x, _ in said.STRAY])} AS statements FROM p",
+    "format_stray_responses": f"WITH {EVENTS} SELECT reply_id, {outcome([x for *_, x in said.STRAY])} AS statements FROM p",
+    "validator_errors": f"WITH {EVENTS}, {VERDICTS} SELECT k AS kind, validator, code IS NULL AS valid, code, detail, count(*) AS n FROM p JOIN o ON reply_id % {len(said.VERDICTS)} = k GROUP BY ALL",
+    "nested_statements": f"WITH {EVENTS} SELECT reply_id, CASE reply_id % {len(said.NESTED)} {' '.join(f'WHEN {k} THEN {len(x)}' for k, (_, x, _) in enumerate(said.NESTED))} END AS n, {outcome([x for _, x, _ in said.NESTED])} AS statements FROM p",
+    "loose_statements": f"WITH {EVENTS}, {each_outcome([x for *_, x in said.NESTED])} SELECT x AS sql_text, count(*) AS n FROM p JOIN o ON reply_id % {len(said.NESTED)} = k GROUP BY x",
 }

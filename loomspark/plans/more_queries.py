@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import responses, scenarios, text
-from ..operators import catalog, joining, scoring
+from ..functions import responses, scenarios, text, validation
+from ..operators import catalog, joining, nested, scoring
 from ..sources import adapters as src
 from ..sources import inputs
 from ..sources import replies as said
@@ -34,6 +34,20 @@ def format_responses(spark, sf):
     return said.replies(spark, sf, said.ODD).select("reply_id", joined(responses.formatted(col("reply"))).alias("statements"))
 
 
+def stray_replies(spark, sf: str):
+    return said.replies(spark, sf, said.nth([reply for reply, *_ in said.STRAY]))
+
+
+@query
+def parse_stray_responses(spark, sf):
+    return stray_replies(spark, sf).select("reply_id", joined(responses.parse_reply(col("reply"))).alias("statements"))
+
+
+@query
+def format_stray_responses(spark, sf):
+    return stray_replies(spark, sf).select("reply_id", joined(responses.formatted(col("reply"))).alias("statements"))
+
+
 @query
 def repair_responses(spark, sf):
     return said.replies(spark, sf, said.BROKEN).select("reply_id", joined(responses.repaired_list(col("reply"))).alias("statements"))
@@ -67,6 +81,33 @@ def validator_cases(spark, sf):
     return r.groupBy(name.alias("validator"), ok.alias("ok")).agg(F.count("*").alias("n"))
 
 
+@query
+def validator_errors(spark, sf):
+    """The first error of each kind of reply, by validator."""
+    r = said.replies(spark, sf, said.nth([reply for _, reply, *_ in said.VERDICTS]))
+    k = col("reply_id") % len(said.VERDICTS)
+    own = {}
+    for i, (name, *_) in enumerate(said.VERDICTS):
+        own.setdefault(name, []).append(i)
+    name, verdict = F.coalesce(*[F.when(k.isin(*ks), n) for n, ks in own.items()]), F.coalesce(*[F.when(k.isin(*ks), validation.validate(n, col("reply"))) for n, ks in own.items()])
+    return r.select(k.alias("kind"), name.alias("validator"), verdict.alias("v")).groupBy("kind", "validator", "v.valid", "v.code", "v.detail").agg(F.count("*").alias("n"))
+
+
+def nested_replies(spark, sf: str):
+    return said.replies(spark, sf, said.nth([reply for reply, *_ in said.NESTED]))
+
+
+@query
+def nested_statements(spark, sf):
+    r = nested_replies(spark, sf)
+    return nested.gathered(nested.statements(r, ["reply_id"], "reply"), r, ["reply_id"]).select("reply_id", F.size("statements").alias("n"), joined(col("statements")).alias("statements"))
+
+
+@query
+def loose_statements(spark, sf):
+    return nested.loose_statements(nested_replies(spark, sf), ["reply_id"], "reply").groupBy("sql_text").agg(F.count("*").alias("n"))
+
+
 # scores of judges
 
 

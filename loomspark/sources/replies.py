@@ -85,3 +85,85 @@ def replies(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """(reply_id, user_id, reply)."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return events.select(F.col("event_id").alias("reply_id"), "user_id", F.expr(kind).alias("reply"))
+
+
+def written(s: str) -> str:
+    """A text as an SQL expression that Spark and DuckDB read alike."""
+    return "'" + s.replace("'", "''").replace("\\", "' || chr(92) || '").replace("\n", "' || chr(10) || '") + "'"
+
+
+def nth(texts: list[str], key: str = "event_id") -> str:
+    """SQL that gives the k-th text where ``key`` modulo their number is k."""
+    return f"CASE {key} % {len(texts)} " + " ".join(f"WHEN {i} THEN {written(t)}" for i, t in enumerate(texts)) + " END"
+
+
+#: Replies that hold statements in nested values or prose; what they hold, and what they hold by the looser rule.
+NESTED = [
+    ("please SELECT a from t", ["please SELECT a from t"], ["please SELECT a from t"]),
+    ('"SELECT 1"', ["SELECT 1"], ["SELECT 1"]),
+    ('["SELECT a;", "hello", 5, null, ["DELETE FROM b;"]]', ["SELECT a;", "DELETE FROM b;"], ["DELETE FROM b;", "SELECT a;", "hello"]),
+    ('{"sql": "UPDATE t SET x = 1", "note": "SELECT no"}', ["UPDATE t SET x = 1"], ["SELECT no", "UPDATE t SET x = 1"]),
+    ('{"note": "SELECT no", "sql": ["UPDATE t", {"sql": "DELETE u"}]}', ["UPDATE t", "DELETE u"], ["DELETE u", "SELECT no", "UPDATE t"]),
+    ('{"type": "param_dependent", "variants": [{"scenario": "s", "sql": "SELECT 1;"}, {"sql": ["SELECT 2;", "SELECT 3;"]}]}', ["SELECT 1;", "SELECT 2;", "SELECT 3;"], ["SELECT 1;", "SELECT 2;", "SELECT 3;", "param_dependent", "s"]),
+    ('{"z": "SELECT 1;", "a": {"c": ["INSERT INTO q VALUES (1);"]}}', ["SELECT 1;", "INSERT INTO q VALUES (1);"], ["INSERT INTO q VALUES (1);", "SELECT 1;"]),
+    ('["[\\"SELECT 9;\\", {\\"sql\\": \\"DELETE 8;\\"}]", "{\\"sql\\": 1}"]', ["SELECT 9;", "DELETE 8;"], ["DELETE 8;", "SELECT 9;"]),
+    ("intro\nSELECT a\n  DELETE b\nend", ["SELECT a", "DELETE b"], ["intro\nSELECT a\n  DELETE b\nend"]),
+    ("hello world", [], ["hello world"]),
+    ("", [], []),
+    (" SELECT led ", ["SELECT led"], ["SELECT led"]),
+    ('{"type": "param_dependent"}', [], ["param_dependent"]),
+    ('{"type": "LACK_INFORMATION", "variants": [{"scenario": "x", "sql": "SELECT w;"}]}', ["SELECT w;"], ["LACK_INFORMATION", "SELECT w;", "x"]),
+    ("12.5", [], []),
+    ('so: {"sql": "SELECT 5;"} and ["DROP x"] end', ['so: {"sql": "SELECT 5;"} and ["DROP x"] end'], ["DROP x"]),
+    ('{"a": {"b": {"c": {"d": {"e": {"f": "SELECT deep"}}}}}}', ["SELECT deep"], ["SELECT deep"]),
+    ('["SELECT 1"] and ["SELECT 2"]', ['["SELECT 1"] and ["SELECT 2"]'], ["SELECT 1"]),
+    ("{x: [1}", [], []),
+]
+J = f"```json{chr(10)}"
+K = f"{chr(10)}```"
+FULL = '"query": "%s", "table": "t", "fields": %s, "conditions": []'
+METHOD = '"method_name": "m", "code": "%s", "parameters": %s, "return_type": "e", "table": "t", "fields": [], "conditions": []'
+BRANCH = '"query": "%s", "table": "t", "fields": [], "conditions": [], "branch": "%s", "description": "d"'
+#: (validator, reply, code, detail): good replies, fenced, padded, and with null fields, and the first error of bad ones.
+VERDICTS = [
+    ("json", " [1] ", None, None), ("json", f'x {J}{{"a": 1}}{K}', None, None), ("json", 'so {"a": {}} end', None, None),
+    ("json", f"{J}{{a}}{K}", "bad_fence", ""), ("json", "so {a} end", "bad_object", ""), ("json", "[1", "no_json", ""), ("json", "1] x", "no_json", ""), ("json", '"a"], ["b"', "no_json", ""), ("json", '{"a":1}] and more', None, None), ("json", "", "no_json", ""),
+    ("boolean", " YES ", None, None), ("boolean", "不是", None, None), ("boolean", "", "empty", ""), ("boolean", "perhaps", "no_verdict", ""),
+    ("structured", '{"result": null}', None, None), ("structured", f'{J}{{"result": 1}}{K}', None, None), ("structured", '["result"]', None, None), ("structured", '"the result"', None, None),
+    ("structured", '{"other": 1}', "missing_fields", "result"), ("structured", f'{J}["result"]{K}', "no_json", ""), ("structured", 'so {"result": 1}', "unreadable", ""), ("structured", "5", "unreadable", ""), ("structured", f'[1] {J}x{K} {{"a": 1}}', "no_fenced_value", ""),
+    ("list", "[]", None, None), ("list", f'{J}[{{"a": 1}}]{K} {{"b": 1}}', "bad_object", ""), ("list", f'{J}[{{"a": 1}}]{K}', None, None), ("list", '{"a": 1}', "not_a_list", ""), ("list", '["a"]] x', "no_json", ""), ("list", 'so {"a": 1}', "unreadable", ""),
+    ("completeness", " 是", None, None), ("completeness", "well, no", None, None), ("completeness", "", "empty", ""), ("completeness", "maybe 是", "no_verdict", ""),
+    ("correctness", "否 ", None, None), ("correctness", "", "empty", ""), ("correctness", "yes", "no_verdict", ""),
+    ("keyword", " No ", None, None), ("keyword", "'No'", None, None), ("keyword", ' ["Preload"] ', None, None), ("keyword", "[]", None, None), ("keyword", "[1, 2]", "not_strings", ""), ("keyword", '["a", 1]', "not_strings", ""), ("keyword", '{"a": "b"}', "not_strings", ""), ("keyword", "no", "unreadable", ""), ("keyword", "", "empty", ""),
+    ("redundant", "他说 是，冗余", None, None), ("redundant", "[]", None, None), ("redundant", "冗余", "no_verdict", ""),
+    ("control_flow", "不合理", None, None), ("control_flow", "{}", None, None), ("control_flow", "fine", "no_verdict", ""),
+    ("regeneration", '["SELECT 1; ", {"type": "param_dependent"}]', None, None), ("regeneration", f'{J}[{{"type": "param_dependent", "variants": [{{"scenario": null, "sql": "x;"}}]}}]{K}', None, None),
+    ("regeneration", '["a;", "b"]', "no_semicolon", "1"), ("regeneration", '["a;", {"type": "x"}]', "wrong_type", "1"), ("regeneration", '[{"type": "param_dependent", "variants": 1}]', "variants_not_a_list", "0"), ("regeneration", '[{"type": "param_dependent", "variants": [1]}]', "variant_not_an_object", "0.0"),
+    ("regeneration", '[{"type": "param_dependent", "variants": [{"scenario": "s", "sql": "x;"}, {"sql": "x;"}]}]', "variant_fields", "0.1"), ("regeneration", '[{"type": "param_dependent", "variants": [{"scenario": "s", "sql": "x"}]}]', "variant_no_semicolon", "0.0"), ("regeneration", '[{"type": "param_dependent", "variants": [{"scenario": "s", "sql": null}]}]', "unreadable", ""), ("regeneration", "[5]", "wrong_item", "0"), ("regeneration", "{}", "not_a_list", ""),
+    ("sql_generation", '[{"type": "NO_SQL_GENERATE", "variants": [{"scenario": "s", "sql": 1}]}]', None, None), ("sql_generation", '[{"type": "LACK_INFORMATION"}, "a;"]', None, None), ("sql_generation", '[{"type": "LACK_INFORMATION", "variants": [{"sql": ""}]}]', "variant_fields", "0.0"), ("sql_generation", '[{"type": null}]', "wrong_type", "0"), ("sql_generation", '["a;", ["b;"]]', "wrong_item", "1"), ("sql_generation", f"{J}x{K}", "no_json", ""),
+    ("fix_review", f'{J}{{"accepted": true}}{K}', None, None), ("fix_review", ' {"accepted": false, "replacement": ""} ', None, None), ("fix_review", '{"accepted": "true"}', "accepted_not_boolean", ""), ("fix_review", '{"accepted": true, "replacement": 5}', "replacement_not_a_string", ""), ("fix_review", '{"accepted": true, "replacement": null}', "replacement_not_a_string", ""), ("fix_review", "{}", "missing_fields", "accepted"), ("fix_review", "[true]", "not_an_object", ""),
+    ("precheck", " 1 ", None, None), ("precheck", "It Will", None, None), ("precheck", "", "empty", ""), ("precheck", "2", "no_verdict", ""),
+    ("orm", '{"scenario": null, "code_key": 1, "code_value": 2, "sql_pattern_cnt": 3}', None, None), ("orm", "[]", "empty_list", ""), ("orm", "[5]", "not_an_object", ""), ("orm", '{"code_value": 1, "scenario": 2}', "missing_fields", "code_key,sql_pattern_cnt"), ("orm", "x", "unreadable", ""),
+    ("caller", '[{"code_key": null, "code_value": null}, 5]', None, None), ("caller", "[]", "empty_list", ""), ("caller", '"x"', "not_an_object", ""), ("caller", '{"code_key": 1}', "missing_fields", "code_value"),
+    ("meta", "[]", None, None), ("meta", '[{"code_key": 1, "code_value": null}]', None, None), ("meta", "{}", "not_a_list", ""), ("meta", '[{"code_key": 1, "code_value": 2}, 7]', "item_not_an_object", "1"), ("meta", '[{"code_key": 1}]', "item_fields", "0"),
+    ("synthetic", f'{J}[{{"scenario": 1, "code_key": 1, "code_value": 1, "sql_pattern_cnt": 1}}]{K}', None, None), ("synthetic", f"{J}x{K}", "no_fenced_value", ""), ("synthetic", "oops", "unreadable", ""), ("synthetic", "[]", "empty_list", ""), ("synthetic", "{}", "missing_fields", "scenario,code_key,code_value,sql_pattern_cnt"),
+    ("reverse_sql", f"{J}{{{FULL % (' select 1', '[]')}}}{K}", None, None), ("reverse_sql", f"{{{FULL % ('DELETE', '[]')}}}", "not_a_select", ""), ("reverse_sql", f"{{{FULL % ('SELECT', '5')}}}", "not_a_list_field", "fields"), ("reverse_sql", '{"query": 1, "table": 2}', "missing_fields", "fields,conditions"), ("reverse_sql", '{"query": 1, "table": 2, "fields": [], "conditions": []}', "unreadable", ""), ("reverse_sql", "[]", "not_an_object", ""),
+    ("reverse_variants", f"[{{{BRANCH % ('Select', 'b')}}}]", None, None), ("reverse_variants", "[]", None, None), ("reverse_variants", f"[{{{BRANCH % ('Select', 'b')}}}, {{{BRANCH % ('Select', ' ')}}}]", "blank_field", "1:branch"), ("reverse_variants", f"[{{{BRANCH % ('x', 'b')}}}]", "not_a_select", "0"), ("reverse_variants", '[{"query": 1}]', "missing_fields", "0:table,fields,conditions,branch,description"), ("reverse_variants", "[5]", "item_not_an_object", "0"),
+    ("reverse_orm", f"{{{METHOD % ('func f() { return }', '[]')}}}", None, None), ("reverse_orm", f"{{{METHOD % (' ', '[]')}}}", "empty_code", ""), ("reverse_orm", f"{{{METHOD % ('func f()', '[]')}}}", "not_go", ""), ("reverse_orm", f"{{{METHOD % ('func', 'null')}}}", "not_a_list_field", "parameters"), ("reverse_orm", '{"code": "x"}', "missing_fields", "method_name,parameters,return_type,table,fields,conditions"),
+    ("reverse_caller", f"{J}{{{METHOD % ('FUNC F() RETURN', '[]')}}}{K}", None, None), ("reverse_caller", f"{{{METHOD % ('x', '{}')}}}", "not_a_list_field", "parameters"), ("reverse_caller", f"{{{METHOD % ('return', '[]')}}}", "not_go", ""), ("reverse_caller", '{"method_name": 1, "code": 2, "parameters": [], "return_type": 3}', "unreadable", ""), ("reverse_caller", "[{}]", "not_an_object", ""),
+    ("output_format", '["x", {"type": "NO_SQL_GENERATE", "variants": [{"scenario": 1, "sql": ""}]}]', None, None), ("output_format", "SELECT 1", None, None), ("output_format", '{"type": "param_dependent", "variants": []}', None, None), ("output_format", '{"sql": "x"}', "missing_fields", ":type"), ("output_format", '["x", {"type": "y"}]', "wrong_type", "1"), ("output_format", '[{"type": "param_dependent", "variants": [{"scenario": 1, "sql": ""}]}]', "variant_empty_sql", "0.0"),
+    ("output_format", '[{"type": "LACK_INFORMATION", "variants": [{"scenario": 1, "sql": null}]}]', "variant_sql_not_a_string", "0.0"), ("output_format", '[{"type": "LACK_INFORMATION", "variants": [{"sql": 1}]}]', "variant_no_scenario", "0.0"), ("output_format", "[1]", "wrong_item", "0"), ("output_format", " ", "empty", ""),
+]
+#: Replies with stray brackets, fences and lists; what the parser of replies gives, and what the formatting one gives.
+STRAY = [
+    ("1] x", ["1] x"], ["1] x;"]),
+    ('"a"], ["b"', ["a", "b"], ['"a"], ["b";']),
+    ('{"a":1}] and more', ['{"a":1}'], ['{"a":1}] and more;']),
+    ('["a"]] x', ["a"], ['["a"]] x;']),
+    ('So:\n```json\n["SELECT 1;", "B"]\n```', ["SELECT 1;", "B"], ["SELECT 1;", "B"]),
+    (' ["A", {"sql": "x"}] ', ["A", '{"sql":"x"}'], ["A", '{"sql":"x"}']),
+    ('["a" b]', ["a"], ['["a" b];']),
+    ("a; b ;; c", ["a; b ;; c"], ["a;", "b;", "c;"]),
+    ('{"a":1} {"b":2}', ["a", "b"], ['{"a":1} {"b":2};']),
+    ("1, 2", ["1, 2"], ["1, 2;"]),
+]
