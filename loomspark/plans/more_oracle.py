@@ -32,6 +32,11 @@ def nullable(s: str | None) -> str:
 
 
 VERDICTS = "o(k, validator, code, detail) AS (VALUES " + ", ".join(f"({k}, '{n}', {nullable(c)}, {nullable(d)})" for k, (n, _, c, d) in enumerate(said.VERDICTS)) + ")"
+LABELS = ("transaction_start", "transaction_begin", "not_sql", "invalid_sql")
+CLAUSED = "o(k, stmt_type, fp) AS (VALUES " + ", ".join(f"({k}, '{t}', {said.written(f) if f in LABELS else f'md5({said.written(f)})'})" for k, (_, t, _, f, _) in enumerate(said.CLAUSED)) + ")"
+NAMED = "o(k, stmt_type, clause, tab, name) AS (VALUES " + ", ".join(
+    f"({k}, '{t}', {nullable(c)}, {nullable(tab)}, {nullable(n)})" for k, (_, t, tabs, _, named) in enumerate(said.CLAUSED) for tab in tabs or [None] for c, n in [(c, n) for c, own in named.items() for n in own] or [(None, None)]
+) + ")"
 U = "(user_id % 5)"
 LINES = {1: f"'MERGE INTO t' || {U} || ' USING s'", 5: f"'SELECTED ' || {U} || ' rows'"}
 PARSED = LINES | {
@@ -129,4 +134,6 @@ SQL |= {
     "validator_errors": f"WITH {EVENTS}, {VERDICTS} SELECT k AS kind, validator, code IS NULL AS valid, code, detail, count(*) AS n FROM p JOIN o ON reply_id % {len(said.VERDICTS)} = k GROUP BY ALL",
     "nested_statements": f"WITH {EVENTS} SELECT reply_id, CASE reply_id % {len(said.NESTED)} {' '.join(f'WHEN {k} THEN {len(x)}' for k, (_, x, _) in enumerate(said.NESTED))} END AS n, {outcome([x for _, x, _ in said.NESTED])} AS statements FROM p",
     "loose_statements": f"WITH {EVENTS}, {each_outcome([x for *_, x in said.NESTED])} SELECT x AS sql_text, count(*) AS n FROM p JOIN o ON reply_id % {len(said.NESTED)} = k GROUP BY x",
+    "clause_features": f"WITH {EVENTS}, {CLAUSED} SELECT k AS kind, stmt_type, fp, count(*) AS n, count(DISTINCT user_id) AS n_texts FROM p JOIN o ON reply_id % {len(said.CLAUSED)} = k GROUP BY ALL",
+    "clause_names": f"WITH {EVENTS}, {NAMED} SELECT stmt_type, clause, tab AS \"table\", name, count(*) AS n, min(reply_id) AS first FROM p JOIN o ON reply_id % {len(said.CLAUSED)} = k GROUP BY ALL",
 }

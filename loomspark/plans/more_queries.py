@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import responses, scenarios, text, validation
+from ..functions import fingerprint, responses, scenarios, text, validation
 from ..operators import catalog, joining, nested, scoring
 from ..sources import adapters as src
 from ..sources import inputs
@@ -108,6 +108,28 @@ def loose_statements(spark, sf):
     return nested.loose_statements(nested_replies(spark, sf), ["reply_id"], "reply").groupBy("sql_text").agg(F.count("*").alias("n"))
 
 
+# clauses
+
+
+def claused(spark, sf: str):
+    """(stmt_id, sql_text): statements with something in every clause; a note tells users apart, and is no part of a fingerprint."""
+    note = F.concat(F.expr(said.nth([q for q, *_ in said.CLAUSED])), F.lit(" -- "), col("user_id"))
+    return src.table(spark, sf, "events").select(col("event_id").alias("stmt_id"), note.alias("sql_text"))
+
+
+@query
+def clause_features(spark, sf):
+    """Fingerprints and types of statements of every clause."""
+    fps = fingerprint.in_clauses(fingerprint.fingerprint(claused(spark, sf)).drop("tables", "columns"))
+    return fps.groupBy((col("stmt_id") % len(said.CLAUSED)).alias("kind"), "stmt_type", "fp").agg(F.count("*").alias("n"), F.count_distinct("sql_text").alias("n_texts"))
+
+
+@query
+def clause_names(spark, sf):
+    """How often each name stands in each clause of statements on each table."""
+    return fingerprint.clause_rows(claused(spark, sf), ["stmt_id"]).groupBy("stmt_type", "clause", "table", "name").agg(F.count("*").alias("n"), F.min("stmt_id").alias("first"))
+
+
 # scores of judges
 
 

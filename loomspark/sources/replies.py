@@ -167,3 +167,26 @@ STRAY = [
     ('{"a":1} {"b":2}', ["a", "b"], ['{"a":1} {"b":2};']),
     ("1, 2", ["1, 2"], ["1, 2;"]),
 ]
+#: Statements of every clause: (text, type, tables, feature string or label, names by clause), written out by hand from the rules of fingerprints.
+CLAUSED = [
+    ("SELECT a, b AS x FROM T1 WHERE c = 5 AND D > 2 GROUP BY a, b ORDER BY b DESC, a LIMIT 3", "SELECT", ["T1"], "type_1.tables_T1.predicates_D_c.has_group_by", {"select": ["a", "b"], "where": ["D", "c"], "group": ["ab"], "order": ["a_b"]}),
+    ("SELECT COUNT(*), SUM(v) AS s, COUNT(DISTINCT w) FROM orders o JOIN Lines l ON o.id = l.oid HAVING SUM(v) > 3", "SELECT", ["lines", "orders"], "type_1.tables_lines_orders.predicates_id_oid.has_having", {"select": ["null", "v"], "where": ["id", "oid"]}),
+    ("INSERT INTO Acc (Id, name) VALUES (1, 'x')", "INSERT", ["acc"], "type_2.tables_acc.predicates_", {"insert": ["id", "name"]}),
+    ("INSERT INTO Acc VALUES (1) ON DUPLICATE KEY UPDATE a = 1", "INSERT", ["Acc"], "type_2.tables_Acc.predicates_", {}),
+    ("UPDATE Stock SET Qty = 1, note = 'n' WHERE Item_id IN (1, 2)", "UPDATE", ["stock"], "type_3.tables_stock.where_columns_Item_id", {"update": ["note", "qty"], "where": ["Item_id"]}),
+    ("DELETE FROM Sess WHERE token LIKE 'a%' OR old = 1", "DELETE", ["sess"], "type_4.tables_sess.predicates_old_token", {"where": ["old", "token"]}),
+    ("SELECT count FROM t WHERE sum > 1", "SELECT", ["t"], "type_1.tables_t.predicates_sum.aggregations_count_1", {"select": ["count"], "where": ["sum"]}),
+    ("SELECT count > 1, (SELECT max FROM u) AS m FROM w", "SELECT", ["w"], "type_1.tables_w.predicates_.aggregations_count_1_max_1", {"select": ["count", "null"]}),
+    ("SELECT 1 > avg, f(sum, 2), min IN (min, avg), LOWER(count) FROM w", "SELECT", ["w"], "type_1.tables_w.predicates_.aggregations_avg_1_count_1_min_2_sum_1", {"select": ["1", "count", "f", "min"]}),
+    ("WITH c AS (SELECT min FROM z WHERE q = 1) SELECT k FROM c", "SELECT", ["c", "z"], "type_1.tables_c_z.predicates_q.aggregations_min_1", {"select": ["k", "min"], "where": ["q"]}),
+    ("SELECT a FROM x UNION SELECT b FROM y ORDER BY a", "SELECT", ["x"], "type_1.tables_x.predicates_", {"select": ["a"]}),
+    ("SELECT a FROM x UNION ALL SELECT b FROM y WHERE k = 'v' UNION SELECT c FROM z", "SELECT", ["y"], "type_1.tables_y.predicates_k", {"select": ["b"], "where": ["k"]}),
+    ("SELECT * FROM (SELECT a FROM b) s WHERE s.x NOT BETWEEN 1 AND 2 ORDER BY s.a", "SELECT", ["null"], "type_1.tables_null.predicates_x", {"select": ["null"], "where": ["x"], "order": ["a"]}),
+    ("SELECT a FROM b WHERE x IN (SELECT count FROM z) AND EXISTS (SELECT 1 FROM q)", "SELECT", ["b"], "type_1.tables_b.predicates_x", {"select": ["a"], "where": ["x"]}),
+    ("BEGIN ;", "UNKNOWN", [], "transaction_start", {}),
+    ("BEGIN", "UNKNOWN", [], "transaction_begin", {}),
+    ("START TRANSACTION;", "UNKNOWN", [], "transaction_begin", {}),
+    ("USE shop", "UNKNOWN", [], "tables_.predicates_", {}),
+    ("(SELECT a FROM b)", "UNKNOWN", [], "invalid_sql", {}),
+    ("SELECT FROM WHERE", "UNKNOWN", [], "invalid_sql", {}),
+]
