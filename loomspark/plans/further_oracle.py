@@ -1,0 +1,100 @@
+"""DuckDB SQL for ``plans.further_queries``, written from the rules."""
+
+from __future__ import annotations
+
+from ..functions import text
+from ..sources import replies as said
+from ..sources import results
+from .oracle import AUDIT_FP, EXCLUDED, LISTED, PURE
+
+written = said.written
+N = len(results.ROWS)
+#: The last row of each customer decides; units and left-out statements by the kind of that row.
+LATEST = f"s AS (SELECT 's' || o_custkey AS sample_id, max(o_orderkey) % {N} AS k FROM orders GROUP BY o_custkey)"
+UNIT_ROWS = "u(k, caller, item, unit, first_sql) AS (VALUES " + ", ".join(f"({k}, {c}, {i}, '{u}', {written(q.strip())})" for k, own in enumerate(results.UNITS) for (c, i), u, q in own) + ")"
+LEFT_ROWS = "x(k, sql_text, reason) AS (VALUES " + ", ".join(f"({k}, {written(q)}, '{r}')" for k, own in enumerate(results.LEFT_OUT) for q, r in own) + ")"
+CATALOG = f"c AS (SELECT DISTINCT [{', '.join(results.KNOWN_FPS)}][s_suppkey % {len(results.KNOWN)} + 1] AS fp FROM supplier)"
+RATE = lambda a, b: f"coalesce(round(({a}) / nullif({b}, 0)::DOUBLE, 6), 0)::DOUBLE"
+OFFICIAL = f"[{', '.join(map(str, results.OFFICIAL))}][k + 1]"
+#: Which unmatched statements meet the catalog by table, and by type too.
+MET = f"(first_sql IN ({written(results.S[2])}, {written(results.S[8])}, {written(results.S[9])}))"
+SAME = f"(first_sql = {written(results.S[9])})"
+
+LONG = "SELECT section, metric, key, count(*) AS n, sum(value)::DOUBLE AS total, round(avg(value), 6) AS mean, median(value)::DOUBLE AS median, min(value)::DOUBLE AS least, max(value)::DOUBLE AS most FROM e GROUP BY ALL"
+
+
+def entries(*parts: str) -> str:
+    return "e AS (" + " UNION ALL ".join(f"SELECT {p}" for p in parts) + ")"
+
+
+STYLE = "CASE WHEN name = 'getUser' THEN 'camelCase' WHEN name LIKE 'GetUser%' THEN 'PascalCase' WHEN name = 'get_user_x' THEN 'snake_case' WHEN name = 'get-user' THEN 'kebab-case' ELSE 'mixed' END"
+PROJECT = "regexp_extract(function_name, '(proj\\d+)__', 1)"
+JOINED = "CASE WHEN up LIKE '%LEFT JOIN%' THEN 'LEFT JOIN' WHEN up LIKE '%JOIN%' THEN 'SIMPLE JOIN' END"
+WORDS = lambda words: "unnest(list_filter([" + ", ".join(f"'{w}'" for w in words) + "], lambda w: contains(orm_code, w)))"
+ONE = "1.0::DOUBLE"
+DATA = entries(
+    f"'metadata' AS section, 'records' AS metric, '' AS key, {ONE} AS value FROM y",
+    f"'functions', 'naming', {STYLE}, {ONE} FROM y", "'functions', 'name_length', '', len(name)::DOUBLE FROM y",
+    f"'functions', 'prefix', name[:3], {ONE} FROM y WHERE len(name) > 3", f"'functions', 'suffix', right(name, 3), {ONE} FROM y WHERE len(name) > 3",
+    "'statements', 'with_statements', '', (n_items > 0)::INT::DOUBLE FROM y", "'statements', 'items', '', n_items::DOUBLE FROM y", "'statements', 'objects', '', (n_items - n_texts)::DOUBLE FROM y",
+    f"'projects', 'functions', {PROJECT}, {ONE} FROM y", f"'projects', 'with_statements', {PROJECT}, {ONE} FROM y WHERE n_items > 0", f"'projects', 'items', {PROJECT}, n_items::DOUBLE FROM y",
+    f"'projects', 'type', {PROJECT} || '/' || unnest(sql_types), {ONE} FROM y",
+    "'code', 'code_length', '', len(orm_code)::DOUBLE FROM y", "'code', 'with_caller', '', (caller <> '')::INT::DOUBLE FROM y",
+    f"'code', 'language', 'Go', {ONE} FROM y WHERE orm_code <> ''",  # every method text has func and no import
+    f"'code', 'orm_word', {WORDS(text.ORM_WORDS)}, {ONE} FROM y", f"'code', 'error_word', {WORDS(text.ERROR_WORDS)}, {ONE} FROM y",
+    *[f"'quality', 'complete', '{f}', ({t})::INT::DOUBLE FROM y" for f, t in (("function_name", "function_name <> ''"), ("orm_code", "orm_code <> ''"), ("statements", "n_items > 0"), ("types", "len(sql_types) > 0"), ("metadata", "code_value <> ''"), ("source_file", "source_file <> ''"))],
+    "'quality', 'aligned', '', (n_items > 0 AND len(sql_types) > 0)::INT::DOUBLE FROM y", "'quality', 'name_format', '', (function_name LIKE '%:%' AND function_name LIKE '%/%')::INT::DOUBLE FROM y",
+    "'statements', 'length', '', len(sql_text)::DOUBLE FROM t", f"'statements', 'complexity', CASE WHEN regexp_matches(up, 'JOIN|SUBQUERY|UNION|GROUP BY|HAVING') THEN 'complex' ELSE 'simple' END, {ONE} FROM t",
+    f"'statements', 'join', {JOINED}, {ONE} FROM t WHERE {JOINED} IS NOT NULL",
+    "'statements', 'keyword', unnest(list_filter([" + ", ".join(f"'{k}'" for k in text.ANALYSED_KEYWORDS) + f"], lambda w: contains(up, w))), {ONE} FROM t",
+    f"'statements', 'table', unnest(regexp_extract_all(up, 'FROM\\s+(\\w+)', 1) || regexp_extract_all(up, 'JOIN\\s+(\\w+)', 1)), {ONE} FROM t",
+)
+#: Of each kind of audited statement: class with DDL, complexity score, and pattern flags, by hand.
+KIND = """CASE WHEN event_type IN ('view', 'click', 'purchase', 'signup') THEN event_type ELSE 'x' || (stmt_id % 10) END"""
+TYPE = "CASE k WHEN 'view' THEN 'SELECT' WHEN 'click' THEN 'SELECT' WHEN 'purchase' THEN 'UPDATE' WHEN 'signup' THEN 'INSERT' WHEN 'x3' THEN 'DDL' WHEN 'x6' THEN 'SELECT' WHEN 'x7' THEN 'DELETE' WHEN 'x9' THEN 'SELECT' ELSE 'OTHER' END"
+LEVEL = "CASE WHEN k = 'click' THEN 'COMPLEX' WHEN k IN ('purchase', 'signup') THEN 'MEDIUM' ELSE 'SIMPLE' END"
+FLAGS = """CASE k WHEN 'view' THEN ['HAS_WHERE', 'HAS_LIMIT'] WHEN 'click' THEN ['HAS_JOIN', 'HAS_WHERE', 'HAS_GROUP_BY', 'HAS_ORDER_BY', 'HAS_COUNT'] WHEN 'purchase' THEN ['HAS_WHERE'] WHEN 'x7' THEN ['HAS_WHERE'] WHEN 'x9' THEN ['HAS_WHERE'] ELSE []::VARCHAR[] END"""
+SAMPLES = f"""{AUDIT_FP}, cat AS (SELECT DISTINCT fp FROM f WHERE stmt_id % 2 = 0), ev AS (SELECT event_id AS stmt_id, event_type FROM events),
+  m AS (SELECT user_id AS sample_id, f.stmt_id, sql_text, fp, fp NOT IN {EXCLUDED} AND fp IN (SELECT fp FROM cat) AS matched, fp NOT IN {EXCLUDED} AS valid, {KIND} AS k FROM f JOIN ev USING (stmt_id) WHERE f.stmt_id % 2 = 1),
+  sm AS (SELECT sample_id, count(*) FILTER (valid) AS valid, count(*) FILTER (matched) AS matched, sample_id % 10 <> 3 AS ok FROM m GROUP BY sample_id)"""
+PATTERNS = (
+    f"'patterns' AS section, 'type' AS metric, {TYPE} AS key, {ONE} AS value FROM m", f"'patterns', 'complexity', {LEVEL}, {ONE} FROM m", "'patterns', 'length', '', len(sql_text)::DOUBLE FROM m", f"'patterns', 'pattern', unnest({FLAGS}), {ONE} FROM m",
+    f"'patterns', 'error', CASE WHEN sample_id % 8 = 0 THEN 'JSON_PARSE_ERROR' ELSE 'TIMEOUT_ERROR' END, {ONE} FROM sm WHERE sample_id % 4 = 0",
+)
+SCORE = "(ok::INT + 1 + (valid > 0)::INT + 2 * (matched > 0)::INT)"
+COVERAGE = (
+    "'coverage', 'found', '', matched::INT::DOUBLE FROM m", f"'coverage', 'fingerprint', fp, {ONE} FROM m WHERE matched", f"'coverage', 'unmatched_type', {TYPE}, {ONE} FROM m WHERE NOT matched",
+    f"'quality', 'score', '', {SCORE}::DOUBLE FROM sm", f"'quality', 'scores', {SCORE}::VARCHAR, {ONE} FROM sm", f"'quality', 'band', CASE WHEN {SCORE} >= 4 THEN 'high' WHEN {SCORE} >= 2 THEN 'medium' ELSE 'low' END, {ONE} FROM sm",
+)
+
+
+def cut(**most: int) -> str:
+    return " OR ".join([f"metric NOT IN ({', '.join(repr(m) for m in most)})", *[f"(metric = '{m}' AND place <= {n})" for m, n in most.items()]])
+
+
+PLACED = f"g AS ({LONG}), h AS (SELECT *, row_number() OVER (PARTITION BY section, metric ORDER BY n DESC, key) AS place FROM g)"
+SHOWN = "section, metric, key, n, total, mean, median, least, most"
+
+SQL: dict[str, str] = {
+    "evaluation_summary": f"""WITH {LATEST}, {UNIT_ROWS}, {LEFT_ROWS}, {CATALOG}, a AS (SELECT s.sample_id, unit FROM s JOIN u USING (k)),
+      t AS (SELECT count(*) FILTER (unit = 'matched') AS matching, count(*) FILTER (unit IN ('matched', 'unmatched')) AS valid, count(*) FILTER (unit = 'excluded') AS excluded, count(DISTINCT sample_id) FILTER (unit = 'matched') AS matching_samples FROM a),
+      o AS (SELECT (SELECT count(*) FROM s JOIN x USING (k) WHERE reason = 'transaction_wrapper') AS wrappers, (SELECT count(*) FROM s) AS samples, (SELECT coalesce(sum({OFFICIAL}), 0)::BIGINT FROM s) AS official,
+        (SELECT count(DISTINCT fp) FROM (SELECT unnest(CASE k WHEN 0 THEN [{results.KNOWN_FPS[0]}] WHEN 1 THEN [{results.KNOWN_FPS[0]}, {results.KNOWN_FPS[1]}] ELSE [] END) AS fp FROM s)) AS matched_fps, (SELECT count(*) FROM c) AS catalog_fps)
+      SELECT *, {RATE('matching', 'valid')} AS match_rate, {RATE('matched_fps', 'catalog_fps')} AS fp_coverage FROM t, o""",
+    "evaluation_units": f"WITH {LATEST}, {UNIT_ROWS} SELECT sample_id, string_agg(caller || '/' || item || ':' || unit, ' ' ORDER BY caller, item) AS units FROM s JOIN u USING (k) GROUP BY sample_id",
+    "evaluation_exclusions": f"WITH {LATEST}, {LEFT_ROWS} SELECT reason, count(*) AS n FROM s JOIN x USING (k) WHERE reason <> 'system_function' GROUP BY reason",
+    "evaluation_coverage": f"""WITH {LATEST}, {UNIT_ROWS}, t AS (SELECT count(*) FILTER (unit = 'matched') AS matching, count(*) FILTER (unit = 'unmatched') AS unmatched, count(*) FILTER (unit = 'unmatched' AND {MET}) AS table_match,
+        count(*) FILTER (unit = 'unmatched' AND {SAME}) AS table_type_match FROM s JOIN u USING (k)), v AS (SELECT *, matching + unmatched AS valid, unmatched - table_match AS no_table FROM t)
+      SELECT *, {RATE('matching', '(valid - no_table)')} AS adjusted_rate, {RATE('matching + table_type_match', 'valid')} AS combined_rate, {RATE('matching + table_match', 'valid')} AS table_rate FROM v""",
+    "evaluation_lists": f"""WITH {LATEST}, {UNIT_ROWS}, {LEFT_ROWS}, {CATALOG} SELECT unit AS list, first_sql AS sql_text, NULL::VARCHAR AS reason, count(*) AS n FROM s JOIN u USING (k) WHERE unit IN ('matched', 'unmatched') GROUP BY ALL
+      UNION ALL SELECT 'excluded', sql_text, reason, count(*) FROM s JOIN x USING (k) WHERE reason <> 'transaction_wrapper' GROUP BY ALL
+      UNION ALL SELECT 'invalid', NULL, fp, 1 FROM c WHERE fp IN {EXCLUDED}""",
+    "data_report": f"""WITH {LISTED}, w AS (SELECT record_id, count(*) AS n_texts FROM i WHERE item_kind = 'STRING' AND sql_text <> '' GROUP BY record_id), y AS (SELECT z.*, {PURE} AS name, coalesce(n_texts, 0) AS n_texts FROM z LEFT JOIN w USING (record_id)),
+      t AS (SELECT sql_text, upper(sql_text) AS up FROM i JOIN r USING (record_id) WHERE item_kind = 'STRING' AND sql_text <> ''), {DATA}, {PLACED}
+      SELECT {SHOWN} FROM h WHERE {cut(prefix=10, suffix=10)} UNION ALL SELECT 'functions', 'unique_names', '', count(DISTINCT name), count(DISTINCT name)::DOUBLE, NULL, NULL, NULL, NULL FROM y""",
+    "pattern_analysis": f"WITH {SAMPLES}, {entries(*PATTERNS)}, {PLACED} SELECT {SHOWN} FROM h WHERE {cut(pattern=6)}",
+    "evaluation_report": f"""WITH {SAMPLES}, {entries(*PATTERNS, *COVERAGE)}, {PLACED},
+      q AS (SELECT sample_id, CASE WHEN NOT ok THEN 'failed' WHEN matched > 0 THEN 'excellent' WHEN valid > 0 THEN 'good' ELSE 'poor' END AS class FROM sm)
+      SELECT {SHOWN} FROM h WHERE {cut(pattern=3, fingerprint=3)}
+      UNION ALL SELECT 'examples', class, sample_id::VARCHAR, 1, 1.0, NULL, NULL, NULL, NULL FROM q QUALIFY row_number() OVER (PARTITION BY class ORDER BY sample_id) <= 4""",
+}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import more_oracle, more_queries, oracle  # noqa: F401  (the module of further queries registers them)
+from . import further_oracle, further_queries, more_oracle, more_queries, oracle  # noqa: F401  (the modules of queries register them)
 from .queries import QUERIES
 
-SQL: dict[str, str] = {**oracle.SQL, **more_oracle.SQL}
+SQL: dict[str, str] = {**oracle.SQL, **more_oracle.SQL, **further_oracle.SQL}
 
 __all__ = ["QUERIES", "SQL"]
