@@ -18,7 +18,7 @@ def test_code_parsers():
 
 def test_code_columns(spark):
     df = spark.createDataFrame([("package x\nfunc", 'so: ["SELECT 1;"]'), (None, None)], "c string, r string")
-    got = df.select(code.cleaned("c").alias("c"), code.balanced("r").alias("b"), code.extracted("r").alias("e")).collect()
+    got = df.select(code.cleaned("c").alias("c"), code.balanced("r").alias("b"), code.extracted(F.coalesce(code.balanced("r"), F.lit(""))).alias("e")).collect()
     assert [tuple(g) for g in got] == [("func", '["SELECT 1;"]', ["SELECT 1;"]), ("", "", [])]
 
 
