@@ -36,9 +36,12 @@ def nothing() -> Column:
 
 def json_items(c: Column) -> Column:
     """The items of a JSON text as strings, null if it isn't JSON: a list's elements, or else the root alone. Objects and lists stay JSON."""
-    root = whole_json(text.strip(c))
-    items = F.coalesce(F.try_variant_get(root, "$", "array<variant>"), F.array(root))
-    return F.when(root.isNotNull(), F.transform(items, lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))))
+
+    def items(root: Column) -> Column:
+        found = F.coalesce(F.try_variant_get(root, "$", "array<variant>"), F.array(root))
+        return F.when(root.isNotNull(), F.transform(found, lambda v: F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v))))
+
+    return let(whole_json(text.strip(c)), items)
 
 
 def first_json(texts: Column) -> Column:
@@ -82,6 +85,31 @@ def statements_by_verb(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(r"(?is)((?:SELECT|INSERT|UPDATE|DELETE)\s[^;]*;)"), F.lit(1))
 
 
+# Verbs of the two simpler parsers.
+QUOTED_VERBS = "SELECT|INSERT|UPDATE|DELETE|CREATE|DROP|ALTER"
+
+
+def sql_response(c: Column) -> Column:
+    """A reply's statements by the simpler rule: a JSON list's items or a JSON string, empty ones aside; the first bracketed part as a list; quoted texts with a verb; the text itself. Other JSON has none."""
+    filled = lambda items: F.filter(F.transform(items, lambda v: F.when(kind(v) == "STRING", F.try_variant_get(v, "$", "string")).otherwise(F.to_json(v))), lambda x: ~x.isin("", "null", "false", "0", "[]", "{}"))
+    listed = lambda v: F.try_variant_get(v, "$", "array<variant>")
+    whole = lambda v: F.when(kind(v) == "ARRAY", filled(listed(v))).when(kind(v) == "STRING", F.filter(F.array(F.try_variant_get(v, "$", "string")), lambda x: x != "")).when(v.isNotNull(), nothing())
+    inner = F.regexp_extract(c, r"(?s)(\[.*?\])", 1)
+    quoted = F.regexp_extract_all(c, F.lit(rf'(?i)"([^"]*(?:{QUOTED_VERBS})[^"]*)"'), F.lit(1))
+    stages = [let(whole_json(text.strip(c)), whole), let(whole_json(inner), lambda v: filled(listed(v))), F.when(F.size(quoted) > 0, quoted)]
+    return F.when(F.coalesce(text.strip(c), F.lit("")) == "", nothing()).otherwise(F.coalesce(*stages, F.array(text.strip(c))))
+
+
+def extracted_statements(c: Column) -> Column:
+    """What prose holds: groups of variants as JSON, then statements from verb to semicolon that stand in no group; without any, the parts between semicolons that don't begin like JSON."""
+    groups = F.regexp_extract_all(c, F.lit(r'(?s)(\{\s*"type"\s*:\s*"param_dependent"[^}]*"variants"\s*:\s*\[.*?\]\s*\})'), F.lit(1))
+    found = F.regexp_extract_all(c, F.lit(rf"(?is)((?:{QUOTED_VERBS}).*?;)"), F.lit(1))
+    variants = F.flatten(F.filter(F.transform(groups, lambda g: F.transform(F.try_variant_get(whole_json(g), "$.variants", "array<variant>"), lambda v: F.coalesce(F.try_variant_get(v, "$.sql", "string"), F.lit("")))), lambda x: x.isNotNull()))
+    whole = F.concat(groups, F.filter(found, lambda s: ~F.exists(variants, lambda v: F.contains(v, s))))
+    parts = F.filter(split_statements(c), lambda x: ~x.startswith("{") & ~x.startswith("["))
+    return F.when(F.size(whole) > 0, whole).otherwise(parts)
+
+
 def harvest(c: Column) -> Column:
     """Inline code of markdown that is SQL, without texts holding both brackets, closing semicolons off."""
     code = F.regexp_extract_all(c, F.lit(r"`([^`]+)`"), F.lit(1))

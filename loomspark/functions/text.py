@@ -190,9 +190,13 @@ def language(code: Column) -> Column:
     return F.when(code.contains("func ") & ~code.contains("import"), "Go").when(code.contains("def "), "Python").when(code.contains("function") | code.contains("=>"), "JavaScript")
 
 
+# Signs of a statement with gaps, and the mark that it gets.
+GAPS = ("...", "[其他", "其他]")
+INCOMPLETE = "不完整SQL语句: "
+
+
 def mark_incomplete(c: Column) -> Column:
-    bad = c.contains("...") | c.contains("[其他") | c.contains("其他]")
-    return F.when(bad, F.concat(F.lit("[INCOMPLETE] "), c)).otherwise(c)
+    return F.when(any_of(GAPS, lambda w: c.contains(w)), F.concat(F.lit(INCOMPLETE), c)).otherwise(c)
 
 
 def comparable(c: Column) -> Column:

@@ -229,6 +229,36 @@ def output_format(c: Column) -> Column:
     return let(whole_json(text.strip(c)), rules)
 
 
+# Fields of generated cases and their parts.
+CASE = ("scenario", "base_sql", "orm_code", "caller_code")
+SQL_FIELDS = ("query", "table", "fields", "conditions")
+MAPPING_FIELDS = ("method_name", "entity_name", "table_name", "fields", "conditions")
+
+
+def _part(v: Column, path: str, fields: tuple[str, ...], code: str) -> Column:
+    """A part of a case has the fields; a text counts as having what it contains, as a test for membership would."""
+    own = F.try_variant_get(v, path, "variant")
+    wanted = F.array(*map(F.lit, fields))
+    gone = F.when(kind(own) == "OBJECT", missing(own, *fields)).when(kind(own) == "STRING", F.filter(wanted, lambda f: ~F.contains(string_at(own), f))).when(kind(own) == "ARRAY", F.array_except(wanted, F.transform(items_at(own), lambda x: string_at(x))))
+    return F.coalesce(bad("unreadable", gone.isNull()), bad(code, F.size(gone) > 0, F.array_join(gone, ",")))
+
+
+def _whole_object(rules: Callable[[Column], Column]) -> Callable[[Column], Column]:
+    return lambda c: let(whole_json(text.strip(c)), lambda v: F.coalesce(bad("unreadable", v.isNull()), not_kind("not_an_object", v, "OBJECT"), rules(v)))
+
+
+def _select_from(v: Column) -> list[Column]:
+    """A statement has select and from, and a letter or digit in the 20 characters from there on."""
+    low = F.lower(string_at(v, "$.query"))
+    after = F.substring(text.strip(F.substring(low, F.instr(low, F.lit("from")), F.length(low))), 1, 20)
+    return [bad("unreadable", low.isNull()), bad("not_sql", ~(low.contains("select") & low.contains("from")) | ~after.rlike(r"[\p{L}\p{N}]"))]
+
+
+def _code_of(v: Column) -> list[Column]:
+    own = string_at(v, "$.code")
+    return [bad("unreadable", own.isNull()), bad("empty_code", text.strip(own) == "")]
+
+
 VALIDATORS: dict[str, Callable[..., Column]] = {
     "json": json_error,
     "boolean": _boolean,
@@ -252,6 +282,10 @@ VALIDATORS: dict[str, Callable[..., Column]] = {
     "reverse_orm": _reverse_code(("method_name", "code", "parameters", "return_type", "table", "fields", "conditions"), ("parameters", "fields", "conditions")),
     "reverse_caller": _reverse_code(("method_name", "code", "parameters", "return_type"), ("parameters",)),
     "output_format": output_format,
+    "case": _whole_object(lambda v: F.coalesce(lacks(v, *CASE), _part(v, "$.base_sql", SQL_FIELDS, "sql_fields"), _part(v, "$.orm_code", MAPPING_FIELDS, "orm_fields"))),
+    "sql_data": _whole_object(lambda v: F.coalesce(lacks(v, *SQL_FIELDS), *lists(v, "fields", "conditions"), *_select_from(v))),
+    "orm_data": _whole_object(lambda v: F.coalesce(lacks(v, "method_name", "code", "parameters", "return_type", "table", "fields", "conditions"), *lists(v, "fields", "conditions", "parameters"), *_code_of(v))),
+    "caller_data": _whole_object(lambda v: F.coalesce(lacks(v, "method_name", "parameters", "code", "return_type"), *lists(v, "parameters"), *_code_of(v))),
 }
 #: The longer names under which callers may ask for a validator.
 ALIASES = {

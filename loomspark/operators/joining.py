@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Scenarios in which a method needs a caller.
 NEEDS_CALLER = ("mutual_exclusive_conditions", "table_name_from_caller")
@@ -14,8 +15,14 @@ def first_of(df: DataFrame, keys: list[str], order: str, value: str, alias: str)
     return df.groupBy(*keys).agg(F.min_by(value, order).alias(alias))
 
 
+def counts_as_id(df: DataFrame, ident: str) -> Column:
+    """Identifiers that are missing, 0 or empty match nothing."""
+    c = F.col(ident)
+    return c.isNotNull() & (c != F.lit("") if isinstance(df.schema[ident].dataType, StringType) else c != F.lit(0))
+
+
 def match_samples(baseline: DataFrame, generated: DataFrame, triple: list[str], ident: str, order: str) -> DataFrame:
-    """``baseline`` with ``match``: the order number of the first generated row of the same triple, else of the same identifier; null without one. Null parts of a triple match null ones."""
+    """``baseline`` with ``match``: the order number of the first generated row of the same triple, else of the same identifier, if it has one; null without a match. Null parts of a triple match null ones."""
     marked = lambda d: d.withColumn("__key", F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in triple]))
     by_triple = marked(generated).groupBy("__key", *triple).agg(F.min(order).alias("__one"))
     right = by_triple.select("__key", "__one", *[F.col(c).alias(f"__{c}") for c in triple])
@@ -24,7 +31,7 @@ def match_samples(baseline: DataFrame, generated: DataFrame, triple: list[str],
         same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
     met = marked(baseline).alias("b").join(right.alias("r"), (F.col("b.__key") == F.col("r.__key")) & same, "left")
     met = met.select("b.*", "__one").drop("__key")
-    by_id = generated.where(F.col(ident).isNotNull()).groupBy(F.col(ident).alias("__id")).agg(F.min(order).alias("__two"))
+    by_id = generated.where(counts_as_id(generated, ident)).groupBy(F.col(ident).alias("__id")).agg(F.min(order).alias("__two"))
     met = met.join(by_id, F.col(ident) == F.col("__id"), "left")
     return met.withColumn("match", F.coalesce("__one", "__two")).withColumn("matched_by", F.when(F.col("__one").isNotNull(), "triple").when(F.col("__two").isNotNull(), "id")).drop("__one", "__two", "__id")
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.json_text import kind, whole_json
 
 ENTRY = "array<struct<section:string,metric:string,key:string,value:double>>"
 
@@ -126,3 +127,20 @@ def evaluation_report(samples: DataFrame, top: int = 20, examples: int = 5) -> D
     none = F.lit(None).cast("double")
     shown = first.select(F.lit("examples").alias("section"), "metric", F.col("sample_id").cast("string").alias("key"), F.lit(1).cast("long").alias("n"), F.lit(1.0).alias("total"), *[none.alias(x) for x in ("mean", "median", "least", "most")])
     return pattern_report(samples, top).unionByName(found).unionByName(shown)
+
+
+def flattened(rows: DataFrame, key: str, summary: str) -> DataFrame:
+    """(key, metric, value) of JSON summaries: the fields of sections as if they stood at the top; of a name that comes twice the last one counts, in the order of the text.
+
+    A summary that is no object is the metric ``summary`` itself.
+    """
+    v = whole_json(F.col(summary))
+    names = F.json_object_keys(F.when(kind(v) == "OBJECT", F.col(summary)))
+    at = rows.select(key, v.alias("v"), F.posexplode_outer(names).alias("i", "name"))
+    part = F.element_at(F.try_variant_get("v", "$", "map<string,variant>"), F.col("name"))
+    inner = F.map_entries(F.try_variant_get(part, "$", "map<string,variant>"))
+    alone = F.array(F.struct(F.coalesce("name", F.lit("summary")).alias("key"), F.when(F.col("name").isNull(), F.col("v")).otherwise(part).alias("value")))
+    whole = at.where("name is not null or not schema_of_variant(v) like 'OBJECT%'")
+    flat = whole.select(key, "i", F.explode(F.when(kind(part) == "OBJECT", inner).otherwise(alone)).alias("e"))
+    shown = F.when(kind(F.col("e.value")) == "STRING", F.try_variant_get("e.value", "$", "string")).otherwise(F.to_json("e.value"))
+    return flat.groupBy(key, F.col("e.key").alias("metric")).agg(F.max_by(F.struct(shown.alias("s")), F.coalesce("i", F.lit(0))).alias("s")).select(key, "metric", F.col("s.s").alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.responses import whole_json
+from ..functions.json_text import kind, let, whole_json
 
 
 def clamp(c: Column) -> Column:
@@ -100,13 +100,35 @@ def keyword_score(has_keywords: Column, keywords: Column, reply: Column) -> Colu
 
 
 def severity(reply: Column) -> Column:
-    """The clamped penalty severity of a judge's reply, at the top or inside ``penalty_evaluation``; 0 where none can be read."""
+    """The clamped penalty severity of a judge's reply; 0 where none can be read.
+
+    The first of the two fields that holds a number, a truth value or a text decides, at the top or
+    inside ``penalty_evaluation``, whether or not it can be read.
+    """
+    # Fences, and the fields in their order.
     whole = whole_json(reply)
     fence = whole_json(F.nullif(F.regexp_extract(reply, "(?is)```json\\s*(.+?)\\s*```", 1), F.lit("")))
     bare = whole_json(F.nullif(F.regexp_replace(F.regexp_extract(reply, "(?s)(```.*?```)", 1), "```[a-zA-Z0-9_]*|`+$", ""), F.lit("")))
-    v = F.coalesce(whole, fence, bare, json_in(reply))
-    paths = [f"$.{prefix}{name}" for prefix in ("", "penalty_evaluation.") for name in ("penalty_severity", "severity")]
-    return F.coalesce(clamp(F.coalesce(*[F.try_variant_get(v, p, "double") for p in paths])), F.lit(0.0))
+    paths = [f"$.{'penalty_evaluation.' * depth}{name}" for depth in range(3) for name in ("penalty_severity", "severity")]
+
+    def found(v: Column) -> Column:
+        readable = lambda p: kind(v, p).isin("STRING", "BOOLEAN", "BIGINT", "DOUBLE", "DECIMAL")
+        number = lambda p: F.when(kind(v, p) == "BOOLEAN", F.try_variant_get(v, p, "boolean").cast("double")).otherwise(F.try_variant_get(v, p, "double"))
+        return F.coalesce(*[F.when(readable(p), F.struct(number(p).alias("x"))) for p in paths])["x"]
+
+    return F.coalesce(clamp(let(F.coalesce(whole, fence, bare, json_in(reply)), found)), F.lit(0.0))
+
+
+def evaluation_log(samples: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """Samples (solution, truth, expected, expect, steps, instruction, final) as log rows: a short hash of both texts, scores of three decimals, the weights.
+
+    Where nothing was expected, expectation counts as met.
+    """
+    weights = weights or {"expect": 0.30, "steps": 0.30, "instruction": 0.40}
+    met = samples.withColumn("expect", F.when(F.trim(F.coalesce("expected", F.lit(""))) == "", F.lit(1.0)).otherwise(F.col("expect")))
+    scores = F.struct(*[half_even(F.col(c), 3).alias(c) for c in ("expect", "steps", "instruction", "final")])
+    short = F.left(F.md5(F.concat(F.coalesce("solution", F.lit("")), F.coalesce("truth", F.lit("")))), F.lit(8))
+    return met.select("*", short.alias("content_hash"), scores.alias("scores"), F.struct(*[F.lit(v).alias(k) for k, v in weights.items()]).alias("weights"))
 
 
 def parameter_share(found: DataFrame, known: DataFrame, sample: str, param: str) -> DataFrame:

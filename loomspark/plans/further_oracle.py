@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from ..functions import text
+from ..functions import prompts, scenarios, text
+from ..sources import lists as raw
 from ..sources import replies as said
 from ..sources import results
-from .oracle import AUDIT_FP, EXCLUDED, LISTED, PURE
+from .oracle import AUDIT_FP, EXCLUDED, HALF_EVEN, ITEM_FP, LISTED, PURE, RECORDS
+from .oracle import SQL as BASE
 
 written = said.written
 N = len(results.ROWS)
@@ -75,6 +77,35 @@ def cut(**most: int) -> str:
 PLACED = f"g AS ({LONG}), h AS (SELECT *, row_number() OVER (PARTITION BY section, metric ORDER BY n DESC, key) AS place FROM g)"
 SHOWN = "section, metric, key, n, total, mean, median, least, most"
 
+EVENTS = "p AS (SELECT event_id AS reply_id, event_id, user_id FROM events)"
+
+
+def by_kind(values: list[str], key: str) -> str:
+    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {k} THEN {v}" for k, v in enumerate(values)) + " END"
+
+
+def joined(texts: list[list[str]]) -> list[str]:
+    return [written(" ## ".join(t)) for t in texts]
+
+
+def text_or_null(s: str | None) -> str:
+    return "NULL" if s is None else written(s)
+
+
+LIST_TEXT = by_kind([written(t) for t in raw.LISTS], "o_orderkey")
+FIXED = f"CASE {raw.FIX} WHEN 0 THEN {LIST_TEXT} " + " ".join(f"WHEN {g} THEN {by_kind([text_or_null(t) for t in own], 'o_orderkey')}" for g, own in raw.FIXED.items()) + " END"
+SCENARIO = "CASE o_orderkey % 5 WHEN 0 THEN 'mutual_exclusive_conditions' WHEN 1 THEN 'table_name_from_caller' WHEN 2 THEN 'With_First' WHEN 3 THEN 'plain' END"
+TASK_TEXT = prompts.TEMPLATES["generate"]
+TASK_PROMPT = "replace(replace(replace(" + written(TASK_TEXT) + ", '{code}', code), '{caller}', caller), '{metadata}', 'm1' || chr(10) || 'm2')"
+VOTE_ROWS = "v(k, type, ok) AS (VALUES " + ", ".join(f"({k}, '{t}', {t in own})" for k, (_, own) in enumerate(said.VOTES) for t in ("redundant", "new", "missing")) + ")"
+LEVELS = "[" + ", ".join(f"'{k}'" for k in scenarios.LEVEL_VARIANTS) + "]"
+NAMES = "[" + ", ".join(f"'{k}'" for k in scenarios.SCENARIO_VARIANTS) + "]"
+BOUNDS = lambda table, i: "[" + ", ".join(str(b[i]) for b in table.values()) + "]"
+DECIDED = f"dd AS ({BASE['redundancy_decisions']})"
+#: Verdicts of report replies by kind: 6 is incorrect, 7 correct, all others unreadable; the list after next but one is regenerated for kinds 4 and 6.
+NEW_KEY = "coalesce(nullif(array_to_string(sql_types, ','), ''), 'no_sql')"
+RL_CONTENT = "replace(replace(replace(" + written(TASK_TEXT) + ", '{code}', orm_code), '{caller}', caller), '{metadata}', '**U**: ' || code_value || CASE WHEN record_id % 2 = 0 THEN ' (文件: u.go)' ELSE '' END)"
+
 SQL: dict[str, str] = {
     "evaluation_summary": f"""WITH {LATEST}, {UNIT_ROWS}, {LEFT_ROWS}, {CATALOG}, a AS (SELECT s.sample_id, unit FROM s JOIN u USING (k)),
       t AS (SELECT count(*) FILTER (unit = 'matched') AS matching, count(*) FILTER (unit IN ('matched', 'unmatched')) AS valid, count(*) FILTER (unit = 'excluded') AS excluded, count(DISTINCT sample_id) FILTER (unit = 'matched') AS matching_samples FROM a),
@@ -97,4 +128,50 @@ SQL: dict[str, str] = {
       q AS (SELECT sample_id, CASE WHEN NOT ok THEN 'failed' WHEN matched > 0 THEN 'excellent' WHEN valid > 0 THEN 'good' ELSE 'poor' END AS class FROM sm)
       SELECT {SHOWN} FROM h WHERE {cut(pattern=3, fingerprint=3)}
       UNION ALL SELECT 'examples', class, sample_id::VARCHAR, 1, 1.0, NULL, NULL, NULL, NULL FROM q QUALIFY row_number() OVER (PARTITION BY class ORDER BY sample_id) <= 4""",
+    "simple_responses": f"WITH {EVENTS} SELECT reply_id, {by_kind(joined([x for _, x in said.SIMPLE]), 'reply_id')} AS statements FROM p",
+    "prose_statements": f"WITH {EVENTS} SELECT reply_id, {by_kind(joined([x for _, x in said.PROSE]), 'reply_id')} AS statements FROM p",
+    "penalty_severities": f"WITH {EVENTS} SELECT reply_id, {by_kind([f'{x}::DOUBLE' for _, x in said.SEVERITIES], 'reply_id')} AS severity FROM p",
+    "evaluation_log": f"""WITH d AS (SELECT DISTINCT doc_id FROM labels) SELECT doc_id, left(md5('s' || doc_id || CASE WHEN doc_id % 2 = 0 THEN 't' || doc_id ELSE '' END), 8) AS content_hash,
+      CASE WHEN doc_id % 3 = 0 THEN 1.0 ELSE {HALF_EVEN('(doc_id % 7) / 7.0::DOUBLE', 3)} END AS expect, {HALF_EVEN('(doc_id % 16) / 16.0::DOUBLE', 3)} AS steps, {HALF_EVEN('(doc_id % 5) / 5.0::DOUBLE', 3)} AS instruction, {HALF_EVEN('(doc_id % 9) / 9.0::DOUBLE', 3)} AS final, 0.3::DOUBLE AS expect_weight FROM d""",
+    "fix_raw_lists": f"SELECT * FROM (SELECT o_orderkey AS record_id, {FIXED} AS statement_list, {raw.FIX} > 0 AS touched FROM orders) WHERE statement_list IS NOT NULL",
+    "no_sql_forms": f"WITH k AS (SELECT o_orderkey % {len(raw.SENTINELS)} AS k FROM orders) SELECT " + ", ".join(f"count(*) FILTER ({[x[i] for _, x in raw.SENTINELS]}[k + 1] = 1) AS {n}" for i, n in enumerate(("one", "two", "three"))) + ", count(*) AS records FROM k",
+    "incomplete_statements": f"SELECT o_orderkey AS record_id, {by_kind([written(x) for _, x in raw.GAPS], 'o_orderkey')} AS statement_list FROM orders",
+    "list_patterns": f"SELECT DISTINCT unnest({by_kind([str(x) + '::VARCHAR[]' for _, x in raw.PATTERNS], 'o_orderkey')}) AS pattern FROM orders",
+    "variant_lines": f"SELECT o_orderkey AS record_id, {by_kind([written(x) for _, x in raw.LINES], 'o_orderkey')} AS lines FROM orders",
+    "pruned_examples": f"SELECT o_orderkey AS record_id, {by_kind([written(x) for _, x in raw.EXAMPLES], 'o_orderkey')} AS example FROM orders",
+    "rl_records": f"""WITH {RECORDS}, {ITEM_FP}, n AS (SELECT *, CASE WHEN fp IN ('not_sql', 'invalid_sql') THEN []::VARCHAR[] ELSE CASE k % 6 WHEN 0 THEN ['part' || (k % 4)] WHEN 1 THEN ['part' || (k % 4)] WHEN 2 THEN ['log' || (k % 3)] WHEN 3 THEN ['line' || (k % 4)] WHEN 4 THEN ['a' || (k % 5), 'b'] ELSE ['c'] END END AS t,
+        CASE WHEN fp IN ('not_sql', 'invalid_sql') THEN []::VARCHAR[] ELSE CASE k % 6 WHEN 0 THEN ['id'] WHEN 1 THEN ['id', 'qty'] WHEN 2 THEN ['a', 'b'] WHEN 3 THEN ['id'] WHEN 4 THEN ['aid', 'id', 'x'] ELSE []::VARCHAR[] END END AS c FROM fi),
+      g AS (SELECT record_id, list_sort(list_distinct(flatten(list(t)))) AS tables, list_sort(list_distinct(flatten(list(c)))) AS columns, coalesce(list(sql_text ORDER BY item_pos, variant_pos, sql_text) FILTER (item_kind = 'STRING'), []) AS statements FROM n GROUP BY record_id)
+      SELECT record_id, 'code2sql_orm' AS data_source, 'code_generation' AS ability, 'user' AS role, {RL_CONTENT} AS content, 'rule' AS style, to_json(statements)::VARCHAR AS ground_truth, 'train' AS split, array_to_string(tables, ',') AS pre_tables, array_to_string(columns, ',') AS pre_columns, source_file
+      FROM r JOIN g USING (record_id) WHERE orm_code <> '' AND record_id % 13 <> 0 AND len(tables) + len(columns) > 0""",
+    "caller_tasks": f"""WITH o AS (SELECT 'f' || o_orderkey AS name, coalesce({SCENARIO}, '') AS s, CASE WHEN o_custkey % 3 = 0 THEN 'v' || o_custkey WHEN o_custkey % 3 = 1 THEN 'orm' END AS code, o_custkey % 5 AS sql_pattern_cnt,
+        CASE WHEN o_orderkey % 4 = 0 THEN [] ELSE ['c1', 'c2'][:(o_orderkey % 4 - 1)] END AS callers FROM orders WHERE o_custkey % 3 < 2),
+      t AS (SELECT *, name || '_no_caller' AS task, '' AS caller FROM o WHERE s NOT IN ('mutual_exclusive_conditions', 'table_name_from_caller') UNION ALL SELECT name, s, code, sql_pattern_cnt, callers, name || '_caller_' || (substr(caller, 2)::INT - 1), caller FROM (SELECT *, unnest(callers) AS caller FROM o) x(name, s, code, sql_pattern_cnt, callers, caller)),
+      q AS (SELECT *, {TASK_PROMPT} || CASE WHEN s = 'With_First' THEN 'Rule: LIMIT 1' ELSE '' END AS prompt FROM t)
+      SELECT name, task, caller, md5(prompt) AS prompt_md5, s = 'With_First' AS has_rule, true AS has_metadata, sql_pattern_cnt FROM q""",
+    "type_strata": f"WITH {LISTED}, q AS (SELECT {NEW_KEY} AS types, count(*) AS size FROM z GROUP BY 1) SELECT types, size, greatest(1, floor(size * 500.0 / (SELECT count(*) FROM z)))::BIGINT AS quota FROM q",
+    "type_strata_sample": f"WITH {LISTED} SELECT least(500, count(*)) AS n, count(DISTINCT {NEW_KEY}) AS n_types FROM z",
+    "case_bounds": f"""WITH o AS (SELECT o_orderkey % {len(scenarios.SCENARIO_VARIANTS)} + 1 AS i, o_custkey % {len(scenarios.LEVEL_VARIANTS)} + 1 AS j FROM orders),
+      b AS (SELECT {NAMES}[i] AS scenario, {LEVELS}[j] AS level, {BOUNDS(scenarios.SCENARIO_VARIANTS, 0)}[i] AS a, {BOUNDS(scenarios.SCENARIO_VARIANTS, 1)}[i] AS b, {BOUNDS(scenarios.LEVEL_VARIANTS, 0)}[j] AS c, {BOUNDS(scenarios.LEVEL_VARIANTS, 1)}[j] AS d FROM o)
+      SELECT scenario, level, CASE WHEN greatest(a, c) > least(b, d) THEN a ELSE greatest(a, c) END AS least, CASE WHEN greatest(a, c) > least(b, d) THEN b ELSE least(b, d) END AS most, count(*) AS n FROM b GROUP BY ALL""",
+    "fix_recommendations": f"""WITH {DECIDED}, l AS (SELECT CASE WHEN type = 'redundant' AND decision = 'remove' THEN 'remove_redundant' WHEN type = 'new' AND decision = 'remove' THEN 'remove_wrong_new' WHEN type = 'missing' AND decision = 'add' THEN 'add_missing' ELSE 'keep_disputed' END AS list FROM dd)
+      SELECT x AS list, (SELECT count(*) FROM l WHERE l.list = x OR x = 'total_candidates') AS n FROM (SELECT unnest(['remove_redundant', 'remove_wrong_new', 'add_missing', 'keep_disputed', 'total_candidates']) AS x)""",
+    "validation_by_part": f"""WITH {DECIDED}, q AS (SELECT candidate % 64 AS part, decision FROM dd WHERE candidate % 64 % 3 <> 1), a AS (SELECT DISTINCT o_orderkey % 64 AS part FROM orders)
+      SELECT a.part, count(decision) AS candidates, count(*) FILTER (decision = 'remove') AS removed, count(*) FILTER (decision = 'add') AS added, count(*) FILTER (decision = 'keep') AS kept FROM a LEFT JOIN q ON q.part = a.part GROUP BY a.part""",
+    "control_flow_outcomes": """WITH v AS (SELECT event_id % 10 AS k, event_id IN (SELECT event_id - 3 FROM events WHERE event_id % 10 IN (7, 9)) AS again FROM events)
+      SELECT count(*) AS detected, count(*) FILTER (k = 7) AS correct, count(*) FILTER (k = 6) AS incorrect, count(*) FILTER (k NOT IN (6, 7)) AS error, count(*) FILTER (k = 6 AND again) AS regenerated, coalesce(round(count(*) FILTER (k = 7) / nullif(count(*), 0)::DOUBLE, 6), 0)::DOUBLE AS rate FROM v""",
+    "reanalysis_outcomes": """WITH x AS (SELECT o_orderkey % 7 = 0 AS failed, o_orderkey % 5 = 0 AS skipped, o_custkey % 6 < 2 AS new FROM orders)
+      SELECT count(*) AS processed, count(*) FILTER (failed) AS failed, count(*) FILTER (NOT failed) AS succeeded, count(*) FILTER (NOT failed AND skipped) AS skipped, count(*) FILTER (NOT failed AND NOT skipped) AS analysed,
+        count(*) FILTER (NOT failed AND NOT skipped AND new) AS newly_generated, count(*) FILTER (NOT failed AND NOT skipped AND NOT new) AS still_without FROM x""",
+    "flat_summary": """WITH o(k, metric, value) AS (VALUES (0, 'x', '1'), (0, 'y', 'z'), (0, 'b', '3'), (1, 'x', '9'), (1, 'c', 'null'), (2, 'summary', 'text')) SELECT c_custkey AS record_id, metric, value FROM customer JOIN o ON c_custkey % 4 = k""",
+    "judged_votes": f"""WITH {VOTE_ROWS}, e AS (SELECT event_id % 300 AS candidate, ['redundant', 'new', 'missing'][event_id % 300 % 3 + 1] AS type, (event_id // 7) % {len(said.VOTES)} AS k FROM events),
+      c AS (SELECT candidate, type, count(*) AS n, count(*) FILTER (ok) AS confirmed FROM e JOIN v USING (k, type) GROUP BY ALL)
+      SELECT *, CASE type WHEN 'redundant' THEN CASE WHEN confirmed >= 0.6::DOUBLE * n THEN 'remove' ELSE 'keep' END WHEN 'new' THEN CASE WHEN confirmed >= 0.6::DOUBLE * n THEN 'keep' ELSE 'remove' END ELSE CASE WHEN confirmed >= 0.6::DOUBLE * n THEN 'add' ELSE 'keep' END END AS decision FROM c""",
+    "mapping_records": """WITH n AS (SELECT *, 'm' || n_regionkey AS mapping, n_regionkey < 3 AND n_nationkey % 2 = 1 AS generated FROM nation), k AS (SELECT * FROM n WHERE generated OR mapping NOT IN (SELECT mapping FROM n WHERE generated))
+      SELECT mapping, n_nationkey::BIGINT AS nation, NULL::BIGINT AS extra FROM k UNION ALL SELECT mapping, NULL, n_nationkey FROM k WHERE n_nationkey % 3 = 0""",
+    "folder_head": "SELECT row_number() OVER (ORDER BY n_regionkey, n_nationkey) - 1 AS number, n_nationkey::BIGINT AS nation FROM nation QUALIFY number < 12",
+    "report_folders": "WITH n AS (SELECT 'run' || (n_nationkey // 2) AS run, n_nationkey % 3 AS k FROM nation WHERE n_nationkey % 3 < 2) SELECT run, CASE WHEN min(k) = 0 THEN 'statistics_summary.json' ELSE 'evaluation_summary.json' END AS report FROM n GROUP BY run",
+    "reward_lines": "WITH e AS (SELECT (event_id % 30)::INT AS log, event_id % 5 AS k, row_number() OVER (PARTITION BY event_id % 30 ORDER BY event_id) AS line_number FROM events) SELECT log, line_number, CASE k WHEN 0 THEN 0.9::DOUBLE ELSE 0.45 END AS score, CASE k WHEN 0 THEN '0.8-1.0' ELSE '0.4-0.6' END AS band FROM e WHERE k IN (0, 4)",
+    "field_sides": "SELECT * FROM (VALUES ('id', 'both'), ('a', 'both'), ('c', 'both'), ('b', 'right')) t(field, side) WHERE (SELECT count(DISTINCT o_orderkey % 4) FROM orders) = 4",
+    "dataset_size": f"WITH {RECORDS} SELECT count(*) AS records, sum(len('{{\"record_id\":' || record_id || ',\"caller\":\"' || caller || '\",\"pattern_cnt\":' || pattern_cnt || '}}'))::BIGINT AS characters FROM r",
 }

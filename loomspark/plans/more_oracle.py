@@ -76,7 +76,7 @@ SQL = {
     "parameter_shares": "SELECT l_orderkey AS sample, count(*) FILTER (l_partkey % 6 <> 0) AS n, count(*) FILTER (l_partkey % 6 <> 0 AND l_partkey % 9 < 5) AS n_known, round(CASE WHEN count(*) FILTER (l_partkey % 6 <> 0) = 0 THEN 1 ELSE count(*) FILTER (l_partkey % 6 <> 0 AND l_partkey % 9 < 5) / count(*) FILTER (l_partkey % 6 <> 0)::DOUBLE END, 6) AS score FROM lineitem GROUP BY 1",
     "match_samples": """WITH b AS (SELECT o_orderkey, 'f' || (o_custkey % 50) AS s, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey % 40 END AS c, 'm' || (o_orderkey % 6) AS f, CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey % 300 END AS id FROM orders),
       g AS (SELECT 'f' || (o_custkey % 70) AS s, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 40 END AS c, 'm' || (o_orderkey % 6) AS f, o_custkey % 500 AS id, o_orderkey AS pos FROM orders WHERE o_custkey % 2 = 0),
-      m AS (SELECT o_orderkey, (SELECT min(pos) FROM g WHERE g.s = b.s AND g.f = b.f AND g.c IS NOT DISTINCT FROM b.c) AS one, (SELECT min(pos) FROM g WHERE g.id = b.id) AS two FROM b)
+      m AS (SELECT o_orderkey, (SELECT min(pos) FROM g WHERE g.s = b.s AND g.f = b.f AND g.c IS NOT DISTINCT FROM b.c) AS one, (SELECT min(pos) FROM g WHERE g.id = b.id AND b.id <> 0) AS two FROM b)
       SELECT o_orderkey, coalesce(one, two) AS match, CASE WHEN one IS NOT NULL THEN 'triple' WHEN two IS NOT NULL THEN 'id' END AS matched_by FROM m""",
     "regroup_tasks": f"""WITH {TASK}, k AS (SELECT * FROM t WHERE caller <> '' OR (scenario NOT IN ('mutual_exclusive_conditions', 'table_name_from_caller') AND pos = (SELECT max(pos) FROM t AS u WHERE u.function = t.function AND u.caller = '')))
       SELECT function, caller, pos, row_number() OVER (PARTITION BY function ORDER BY caller <> '', pos)::INTEGER AS place FROM k""",

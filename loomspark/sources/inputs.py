@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import records
+from . import lines, records
 
 
 def read_audit(spark: SparkSession, path, column: str = "Sql") -> DataFrame:
@@ -16,8 +16,7 @@ def read_audit(spark: SparkSession, path, column: str = "Sql") -> DataFrame:
 def read_by_suffix(spark: SparkSession, path: str) -> DataFrame:
     """(source, pos, row variant) of a JSON file or folder, or of JSON lines, of which malformed ones are skipped."""
     if path.endswith(".jsonl"):
-        lines = spark.read.text(path).select(F.input_file_name().alias("source"), F.monotonically_increasing_id().alias("pos"), F.try_parse_json("value").alias("row"))
-        return lines.where("row is not null")
+        return lines.json_lines(spark, path).select("source", (F.col("line_number") - 1).alias("pos"), "row")
     return records.rows_of(records.read_files(spark, path))
 
 

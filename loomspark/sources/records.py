@@ -124,6 +124,40 @@ def write_dataset_info(spark: SparkSession, path: str, name: str, entry: dict) -
     return whole
 
 
+def write_documents(docs: DataFrame, folder: str) -> str:
+    """Writes (name, content) rows as files of these names below a folder, and gives the folder.
+
+    Spark writes a part file a document into a folder of its own; the driver only
+    renames these files. Names may have sub-folders; of equal names one document wins.
+    """
+    spark = docs.sparkSession
+    once = docs.groupBy("name").agg(F.min("content").alias("content")).withColumn("slot", F.sha2("name", 256))
+    made = f"{folder.rstrip('/')}/_made"
+    once.repartition("slot").select("slot", "content").write.partitionBy("slot").option("lineSep", "\n").text(made)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for r in once.select("name", "slot").collect():  # names alone
+        to = hadoop.Path(f"{folder}/{r.name}")
+        system.mkdirs(to.getParent())
+        for status in system.listStatus(hadoop.Path(f"{made}/slot={r.slot}")):
+            if status.getPath().getName().startswith("part-"):
+                system.rename(status.getPath(), to)
+    system.delete(hadoop.Path(made), True)
+    return folder
+
+
+def write_summary(df: DataFrame, path: str) -> None:
+    """CSV with a header that begins with the byte order mark, as spreadsheet programs want it."""
+    df.toDF("\ufeff" + df.columns[0], *df.columns[1:]).write.option("header", True).csv(path)
+
+
+def field_sides(left: DataFrame, right: DataFrame) -> DataFrame:
+    """(field, side): which top-level fields the rows (row variant) of two tables have: left, right, both."""
+    names = lambda d, side: d.select(F.explode(F.map_keys(F.try_variant_get("row", "$", "map<string,variant>"))).alias("field")).distinct().withColumn(side, F.lit(True))
+    met = names(left, "__l").join(names(right, "__r"), "field", "full")
+    return met.select("field", F.when(F.col("__r").isNull(), "left").when(F.col("__l").isNull(), "right").otherwise("both").alias("side"))
+
+
 def _existing(spark: SparkSession, path: str) -> list[str]:
     """The files below a path; none if it isn't there."""
     try:

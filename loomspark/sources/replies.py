@@ -152,6 +152,10 @@ VERDICTS = [
     ("reverse_orm", f"{{{METHOD % ('func f() { return }', '[]')}}}", None, None), ("reverse_orm", f"{{{METHOD % (' ', '[]')}}}", "empty_code", ""), ("reverse_orm", f"{{{METHOD % ('func f()', '[]')}}}", "not_go", ""), ("reverse_orm", f"{{{METHOD % ('func', 'null')}}}", "not_a_list_field", "parameters"), ("reverse_orm", '{"code": "x"}', "missing_fields", "method_name,parameters,return_type,table,fields,conditions"),
     ("reverse_caller", f"{J}{{{METHOD % ('FUNC F() RETURN', '[]')}}}{K}", None, None), ("reverse_caller", f"{{{METHOD % ('x', '{}')}}}", "not_a_list_field", "parameters"), ("reverse_caller", f"{{{METHOD % ('return', '[]')}}}", "not_go", ""), ("reverse_caller", '{"method_name": 1, "code": 2, "parameters": [], "return_type": 3}', "unreadable", ""), ("reverse_caller", "[{}]", "not_an_object", ""),
     ("output_format", '["x", {"type": "NO_SQL_GENERATE", "variants": [{"scenario": 1, "sql": ""}]}]', None, None), ("output_format", "SELECT 1", None, None), ("output_format", '{"type": "param_dependent", "variants": []}', None, None), ("output_format", '{"sql": "x"}', "missing_fields", ":type"), ("output_format", '["x", {"type": "y"}]', "wrong_type", "1"), ("output_format", '[{"type": "param_dependent", "variants": [{"scenario": 1, "sql": ""}]}]', "variant_empty_sql", "0.0"),
+    ("case", '{"scenario": 1, "base_sql": {"query": 1, "table": 1, "fields": 1, "conditions": 1}, "orm_code": "method_name entity_name table_name fields conditions", "caller_code": null}', None, None), ("case", '{"scenario": 1, "base_sql": 1}', "missing_fields", "orm_code,caller_code"), ("case", '{"scenario": 1, "base_sql": {"query": 1}, "orm_code": 1, "caller_code": 1}', "sql_fields", "table,fields,conditions"), ("case", '{"scenario": 1, "base_sql": ["query", "table", "fields", "conditions"], "orm_code": {"fields": 1}, "caller_code": 1}', "orm_fields", "method_name,entity_name,table_name,conditions"), ("case", "[]", "not_an_object", ""),
+    ("sql_data", f"{{{FULL % ('Select 1 From t', '[]')}}}", None, None), ("sql_data", f"{{{FULL % ('SELECT 1', '[]')}}}", "not_sql", ""), ("sql_data", f"{{{FULL % ('SELECT 1 FROM', '[]')}}}", None, None), ("sql_data", f"{{{FULL % ('SELECT 1 FROM', '{}')}}}", "not_a_list_field", "fields"), ("sql_data", '{"query": 1}', "missing_fields", "table,fields,conditions"),
+    ("orm_data", f"{{{METHOD % ('x', '[]')}}}", None, None), ("orm_data", f"{{{METHOD % (' ', '[]')}}}", "empty_code", ""), ("orm_data", f"{{{METHOD % ('x', '0')}}}", "not_a_list_field", "parameters"), ("orm_data", "{", "unreadable", ""),
+    ("caller_data", '{"method_name": 1, "code": "x", "parameters": [], "return_type": 3}', None, None), ("caller_data", '{"method_name": 1, "code": "", "parameters": [], "return_type": 3}', "empty_code", ""), ("caller_data", '{"code": ""}', "missing_fields", "method_name,parameters,return_type"), ("caller_data", '{"method_name": 1, "code": null, "parameters": [], "return_type": 3}', "unreadable", ""),
     ("output_format", '[{"type": "LACK_INFORMATION", "variants": [{"scenario": 1, "sql": null}]}]', "variant_sql_not_a_string", "0.0"), ("output_format", '[{"type": "LACK_INFORMATION", "variants": [{"sql": 1}]}]', "variant_no_scenario", "0.0"), ("output_format", "[1]", "wrong_item", "0"), ("output_format", " ", "empty", ""),
 ]
 #: Replies with stray brackets, fences and lists; what the parser of replies gives, and what the formatting one gives.
@@ -190,3 +194,23 @@ CLAUSED = [
     ("(SELECT a FROM b)", "UNKNOWN", [], "invalid_sql", {}),
     ("SELECT FROM WHERE", "UNKNOWN", [], "invalid_sql", {}),
 ]
+
+#: Replies to the simpler parser of statements, and what it gives; texts of prose to the one that gathers statements, and what it gives.
+SIMPLE = [
+    ('["SELECT 1", "", {"a": 1}, null, 0]', ["SELECT 1", '{"a":1}']), ('"SELECT 2"', ["SELECT 2"]), ('{"sql": "SELECT 3"}', []), ('see ["A", "B"] and ["C"]', ["A", "B"]), ('say "select x" or "hello" or "DROP y"', ["select x", "DROP y"]),
+    ("plain", ["plain"]), ("  ", []), ('[bad] "x"', ['[bad] "x"']), ("5", []), ('""', []),
+]
+GROUP = '{"type": "param_dependent", "variants": [{"scenario": "s", "sql": "SELECT g; "}]}'
+PROSE = [
+    (f"first {GROUP} then DELETE h;", [GROUP, "DELETE h;"]), ("Use SELECT a FROM b; or\nupdate c set d = 1; end", ["SELECT a FROM b;", "update c set d = 1;"]), ("one; {x}; two", ["one;", "two;"]), ("", []), ("select without end", ["select without end;"]),
+]
+#: Judges' replies and the severity in them.
+SEVERITIES = [
+    ('{"penalty_severity": "high", "severity": 0.5}', 0.0), ('{"penalty_severity": "0.25"}', 0.25), ('{"penalty_severity": [1], "severity": 0.5}', 0.5), ('{"penalty_severity": null, "penalty_evaluation": {"severity": 3}}', 1.0),
+    ('{"penalty_evaluation": {"penalty_evaluation": {"severity": 0.75}}}', 0.75), ('{"severity": true}', 1.0), ('x {"severity": -2} y', 0.0), ("none", 0.0), ('```json\n{"severity": 0.125}\n```', 0.125), ('{"severity": {"severity": 1}}', 0.0),
+]
+#: Judges' replies about one statement of a candidate, and for which types they confirm.
+VOTES = [
+    (f'{J}{{"is_redundant": true, "is_valid_new": true, "is_truly_missing": true}}{K}', ("redundant", "new", "missing")), (f'{J}{{"is_redundant": false}}{K}', ()), ("是，冗余", ("redundant",)), ("否", ()),
+    (f'{J}{{"is_redundant": "true", "is_valid_new": 1}}{K}', ()), (" 是", ("redundant",)), (f"{J}{{broken}}{K}", ()), ("说：合理新增", ("new",)), ("确实缺失", ("missing",)),
+]
