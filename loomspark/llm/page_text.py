@@ -5,18 +5,20 @@ with character references decoded and white space collapsed. Elements that
 are never the article by their name, role or class (menus, headers outside
 the article, footers, sidebars, notices, adverts, forms, scripts, styles,
 comments) take no part. A class or identifier counts by its hyphenated parts
-outside the article, and only as a whole on a container inside it. A page with
-an ``article`` or ``main`` element consists of what stands inside.
+outside the article. On containers inside it, words of comments, sharing and adverts
+still count by their parts, other words only as a whole, and words of layout, such as header,
+not at all. A page with an ``article`` or ``main`` element consists of what stands inside.
 
 What markup doesn't tell, the neighbours do: pages are sorted by URL path
-within each host, and each is paired with the nearest page before and the
-nearest after it, which is the first of ``REACH`` that isn't the same page over
-again. Lines are aligned by longest common subsequence, and shared lines are
-deleted as the site's own: outside an article element those shared with
-either neighbour, inside one those that all three pages share. A neighbour
+within each host, and each is paired with the nearest pages before and
+after it. Lines are aligned by longest common subsequence, and shared lines are
+deleted as the site's own. Outside an article element those go that are shared with the
+nearest page of either side that isn't the same page over again. A neighbour
 that shares more than half of what the other one leaves is a near copy, which
-tells nothing about the site, and doesn't count; nor do lines count that would
-take more than half of an article, as then the three are versions of one page.
+tells nothing about the site, and doesn't count. Inside an article element, whose lines the
+markup vouches for, a line goes only if every page in reach shares it, ``AGREED`` at
+least and some on both sides; articles that repeat each other's lines here and there
+keep them. Headings stay, and nothing goes if it were more than half of an article, as then the pages are versions of one.
 
 A host may hold a third of all pages: pages are dealt by ranges of (host,
 path, ...), which cut a large host into several tasks. The ranges' bounds are
@@ -37,8 +39,8 @@ from __future__ import annotations
 import heapq
 import html
 import re
-from bisect import bisect_right
-from collections import deque
+from bisect import bisect_left, bisect_right
+from collections import Counter, deque
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -48,6 +50,8 @@ from .common import slots
 
 #: Pages looked at on either side for one that isn't a copy.
 REACH = 2
+#: Pages that must share a line inside an article before it counts as the site's.
+AGREED = 3
 #: Keys drawn a range to find the bounds.
 DRAWN = 100
 #: HTML elements by their part in a page.
@@ -59,13 +63,16 @@ BLOCK = frozenset(
 )
 ARTICLE = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
-#: Words of a class or identifier that mark what isn't the article.
-MARKS = (
-    r"(?:ad|ads|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|banner|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|header|masthead|footer|sidebar|side-bar|widget|"
-    r"cookie|cookies|consent|gdpr|notice|notification|popup|modal|overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comment|comments|disqus|reply|replies|respond|pagination|pager|toolbar|skip-link)"
+#: Words of a class or identifier that mark what isn't the article: of comments, sharing and adverts; of other parts; of layout.
+SAID = r"ad|ads|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|share|sharing|social|comment|comments|disqus|reply|replies|respond"
+OTHERS = (
+    r"promo|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|footer|sidebar|side-bar|widget|cookie|cookies|consent|gdpr|notice|notification|popup|modal|overlay|newsletter|subscribe|signup|login|"
+    r"related|recommended|pagination|pager|toolbar|skip-link"
 )
-MARKED = re.compile(rf"(?:^|[\s_-]){MARKS}(?:$|[\s_-])", re.I)
-MARKED_WHOLE = re.compile(rf"(?:^|\s){MARKS}(?:$|\s)", re.I)
+LAYOUT = r"banner|header|masthead"
+MARKED = re.compile(rf"(?:^|[\s_-])(?:{SAID}|{OTHERS}|{LAYOUT})(?:$|[\s_-])", re.I)
+MARKED_INSIDE = re.compile(rf"(?:^|[\s_-])(?:{SAID})(?:$|[\s_-])|(?:^|\s)(?:{OTHERS})(?:$|\s)", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Inside the article, only these are judged by their class.
 CONTAINERS = frozenset("div section aside ul ol dl table details".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -86,33 +93,33 @@ def _apart(name: str, attributes: str, in_article: bool) -> bool:
         key, value = key.lower(), value.strip("\"'")
         if key == "role" and value.lower() in ROLES:
             return True
-        if key in ("class", "id") and (name in CONTAINERS and MARKED_WHOLE.search(value) if in_article else MARKED.search(value)):
+        if key in ("class", "id") and (name in CONTAINERS and MARKED_INSIDE.search(value) if in_article else MARKED.search(value)):
             return True
     return bool(re.search(r"(?:^|\s)hidden(?:$|[\s=/])", re.sub(r"\"[^\"]*\"|'[^']*'", "", attributes)))
 
 
-def blocks(page: str | None) -> list[tuple[str, bool]]:
-    """(text, inside an article element) of each block, in page order."""
-    out: list[tuple[str, bool]] = []
+def blocks(page: str | None) -> list[tuple[str, int]]:
+    """(text, place) of each block, in page order; place: 0 outside an article element, 1 inside one, 2 a heading inside one."""
+    out: list[tuple[str, int]] = []
     text: list[str] = []
     open_: list[tuple[str, bool, bool]] = []  # name, stands apart, is an article
-    apart = articles = 0
+    apart = articles = headings = 0
     at, page = 0, page or ""
 
     def flush() -> None:
         if text:
             whole = SPACES.sub(" ", html.unescape("".join(text))).strip()
             if whole:
-                out.append((whole, articles > 0))
+                out.append((whole, (articles > 0) * (1 + (headings > 0))))
             text.clear()
 
     def close(k: int) -> None:
         """Close the open elements from the k-th."""
-        nonlocal apart, articles
+        nonlocal apart, articles, headings
         if any(name in BLOCK for name, *_ in open_[k:]):
             flush()
-        for _, a, b in open_[k:]:
-            apart, articles = apart - a, articles - b
+        for tag, a, b in open_[k:]:
+            apart, articles, headings = apart - a, articles - b, headings - (tag in HEADINGS)
         del open_[k:]
 
     while m := TOKEN.search(page, at):
@@ -151,18 +158,81 @@ def blocks(page: str | None) -> list[tuple[str, bool]]:
         if m[3].rstrip().endswith("/") and name in ("svg", "math"):
             continue
         open_.append((name, is_apart, is_article))
-        apart, articles = apart + is_apart, articles + is_article
+        apart, articles, headings = apart + is_apart, articles + is_article, headings + (name in HEADINGS)
     if at < len(page) and not apart:
         text.append(page[at:])
     flush()
     return out
 
 
+#: Pairs of equal lines up to which an alignment goes through them one by one.
+PAIRS = 1 << 20
+
+
+def by_pairs(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """A longest common subsequence through the pairs of equal lines: each lengthens the shortest-ending run that it can."""
+    at: dict[str, list[int]] = {}
+    for j in range(len(y) - 1, -1, -1):
+        at.setdefault(y[j], []).append(j)
+    ends: list[int] = []
+    runs: list[tuple] = []
+    for i, line in enumerate(x):
+        for j in at.get(line, ()):
+            k = bisect_left(ends, j)
+            run = (i, j, runs[k - 1] if k else None)
+            if k == len(ends):
+                ends.append(j)
+                runs.append(run)
+            else:
+                ends[k], runs[k] = j, run
+    out, run = [], runs[-1] if runs else None
+    while run:
+        out.append(run[:2])
+        run = run[2]
+    return out[::-1]
+
+
+def lengths(x: list[str], y: list[str]) -> list[int]:
+    """Of each beginning of ``y``, how long its longest common subsequence with ``x`` is: a bit a line of ``y``, all at once."""
+    masks: dict[str, int] = {}
+    for j, line in enumerate(y):
+        masks[line] = masks.get(line, 0) | 1 << j
+    every = (1 << len(y)) - 1
+    v = every
+    for line in x:
+        u = v & masks.get(line, 0)
+        v = ((v + u) | (v - u)) & every
+    out, n = [0], 0
+    for bit in reversed(f"{v:0{len(y)}b}" if y else ""):
+        n += bit == "0"
+        out.append(n)
+    return out
+
+
+def by_halves(x: list[str], y: list[str]) -> list[tuple[int, int]]:
+    """A longest common subsequence in little memory: where ``y`` is best cut for the halves of ``x``, and then both parts."""
+    out, todo = [], [(0, len(x), 0, len(y))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if b - a == 1:
+            j = next((j for j in range(c, d) if y[j] == x[a]), None)
+            if j is not None:
+                out.append((a, j))
+            continue
+        mid = (a + b) // 2
+        front, back = lengths(x[a:mid], y[c:d]), lengths(x[mid:b][::-1], y[c:d][::-1])
+        cut = max(range(d - c + 1), key=lambda k: front[k] + back[d - c - k])
+        todo += [(a, mid, c, c + cut), (mid, b, c + cut, d)]
+    return sorted(out)
+
+
 def shared(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     """Places in ``a`` and in ``b`` of a longest common subsequence of two lists of lines.
 
-    Myers' walk over furthest-reaching paths, after common ends are taken off:
-    its cost follows the number of lines that differ.
+    Common ends are taken off, and lines that only one page has. The rest goes through its
+    pairs of equal lines, which are few unless lines repeat; where they are many, by halves.
     """
     lo, hi = 0, 0
     while lo < min(len(a), len(b)) and a[lo] == b[lo]:
@@ -173,52 +243,26 @@ def shared(a: list[str], b: list[str]) -> tuple[set[int], set[int]]:
     inner = set(a[lo : len(a) - hi]) & set(b[lo : len(b) - hi])
     x = [i for i in range(lo, len(a) - hi) if a[i] in inner]
     y = [j for j in range(lo, len(b) - hi) if b[j] in inner]
-    n, m = len(x), len(y)
-    if not n or not m:
-        return found, other
-    reach, trail = {1: 0}, []
-    for d in range(n + m + 1):
-        trail.append(dict(reach))
-        for k in range(-d, d + 1, 2):
-            i = reach.get(k + 1, -1) if k == -d or (k != d and reach.get(k - 1, -1) < reach.get(k + 1, -1)) else reach.get(k - 1, -1) + 1
-            j = i - k
-            while i < n and j < m and a[x[i]] == b[y[j]]:
-                i, j = i + 1, j + 1
-            reach[k] = i
-            if i >= n and j >= m:
-                break
-        else:
-            continue
-        break
-    i, j = n, m
-    for d in range(len(trail) - 1, -1, -1):
-        reach, k = trail[d], i - j
-        down = k == -d or (k != d and reach.get(k - 1, -1) < reach.get(k + 1, -1))
-        k_before = k + 1 if down else k - 1
-        i_before = reach.get(k_before, 0)
-        j_before = i_before - k_before
-        while i > max(i_before, 0) and j > max(j_before, 0) and i > 0 and j > 0 and a[x[i - 1]] == b[y[j - 1]]:
-            i, j = i - 1, j - 1
-            found.add(x[i])
-            other.add(y[j])
-        i, j = i_before, j_before
-        if d == 0:
-            break
+    times = Counter(b[j] for j in y)
+    align = by_pairs if sum(times[a[i]] for i in x) <= PAIRS else by_halves
+    for i, j in align([a[i] for i in x], [b[j] for j in y]):
+        found.add(x[i])
+        other.add(y[j])
     return found, other
 
 
-def main_text(own: list[tuple[str, bool]], before: set[int] | None, after: set[int] | None) -> str:
-    """The blocks of a page without those that are the site's; ``before``, ``after``: places that a neighbour shares."""
-    kept = {i for i, x in enumerate(own) if x[1]} or set(range(len(own)))
-    inside = any(x[1] for x in own)
-    if before is None or after is None:
-        gone = set() if inside else (before or after or set())
-    elif inside:
-        gone = before & after
-        gone = set() if 2 * len(kept & gone) > len(kept) else gone
+def main_text(own: list[tuple[str, int]], before: set[int] | None, after: set[int] | None, agreed: set[int]) -> str:
+    """The blocks of a page without those that are the site's; ``before``, ``after``: places that a neighbour shares; ``agreed``: those that all pages in reach share."""
+    kept = {i for i, x in enumerate(own) if x[1]}
+    if kept:
+        gone = {i for i in agreed & kept if own[i][1] == 1}
+        gone = set() if 2 * len(gone) > len(kept) else gone
     else:
-        near = 2 * len((kept & before) - after) > len(kept - after), 2 * len((kept & after) - before) > len(kept - before)
-        gone = (set() if near[0] else before) | (set() if near[1] else after)
+        kept = set(range(len(own)))
+        gone = before or after or set()
+        if before is not None and after is not None:
+            near = 2 * len((kept & before) - after) > len(kept - after), 2 * len((kept & after) - before) > len(kept - before)
+            gone = (set() if near[0] else before) | (set() if near[1] else after)
     return "\n".join(own[i][0] for i in sorted(kept - gone))
 
 
@@ -254,8 +298,17 @@ class Page:
                 return same
         return None
 
+    def agreed(self, before: list[Page], after: list[Page]) -> set[int]:
+        """Places that all of the host's pages in reach share, if these are enough and on both sides."""
+        around = [[p for p in side if p.host == self.host] for side in (before, after)]
+        if not all(around) or len(around[0] + around[1]) < AGREED:
+            return set()
+        return set.intersection(*(self.shares(p) for p in around[0] + around[1]))
+
     def text(self, before: list[Page], after: list[Page]) -> str:
-        return main_text(self.blocks, self.nearest(before), self.nearest(after))
+        if any(place for _, place in self.blocks):
+            return main_text(self.blocks, None, None, self.agreed(before, after))
+        return main_text(self.blocks, self.nearest(before), self.nearest(after), set())
 
 
 def differenced(batches: Iterator) -> Iterator:
@@ -362,9 +415,9 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                 part = bisect_right(bounds, key)
                 out.append((part, True, *row))
                 out += [(other, False, *row) for other in more.get(key, ())]
-            types = (pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.bool_()))
+            types = (pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int8()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out, strict=True)) or [()] * len(types), types, strict=True)], names=["part", "own", "page_id", "url", "host", "pattern", "size", "path", "lines", "inside"])
 
-    found = rows.mapInArrow(dealt, "part int, own boolean, page_id long, url string, host string, pattern string, size int, path string, lines array<string>, inside array<boolean>")
+    found = rows.mapInArrow(dealt, "part int, own boolean, page_id long, url string, host string, pattern string, size int, path string, lines array<string>, inside array<tinyint>")
     ordered = found.repartitionById(n, F.col("part")).sortWithinPartitions("part", "host", "pattern", "size", "path", F.coalesce("url", F.lit("")), "page_id", F.xxhash64("lines"), "own")
     return ordered.select("page_id", "url", "host", "lines", "inside", "own").mapInArrow(differenced, "page_id long, url string, text string, n_chars long")

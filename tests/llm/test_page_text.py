@@ -75,3 +75,68 @@ def test_very_long_page(spark):
     rows = [(i, f"http://a.org/{i}", page.format(i)) for i in range(3)]
     got = texts(spark, rows)
     assert all(got[i].count("\n") == 19999 and got[i].startswith(f"{i} line 0\n") for i in range(3))
+
+
+def plain_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+@pytest.mark.parametrize("pairs", [0, 1 << 20])
+def test_alignments_are_longest(pairs, monkeypatch):
+    import random
+
+    monkeypatch.setattr(page_text, "PAIRS", pairs)
+    rng = random.Random(3)
+    for _ in range(300):
+        a, b = ([rng.choice("abcdefgh"[: rng.randint(1, 8)]) for _ in range(rng.randint(0, 25))] for _ in range(2))
+        x, y = page_text.shared(a, b)
+        assert len(x) == len(y) == plain_length(a, b)
+        assert [a[i] for i in sorted(x)] == [b[j] for j in sorted(y)]
+
+
+def test_alignment_of_long_pages_in_another_order():
+    import time
+
+    lines = [f"line {k}" for k in range(20000)]
+    began = time.time()
+    assert len(page_text.shared(lines, lines[::-1])[0]) == 1
+    again = [f"line {k % 40}" for k in range(20000)]
+    x, y = page_text.shared(["first", *again], [*again[7:], "last", *again[:7]])
+    assert len(x) == len(y) >= 19993
+    assert time.time() - began < 30
+
+
+def test_articles_keep_lines_that_some_neighbours_repeat(spark):
+    """Only what all pages in reach share goes, and no heading."""
+    page = "<article><h1>Same head</h1><p>{0}</p><p>Site notice</p><p>Text {1} a</p><p>Text {1} b</p></article>"
+    said = ["Often said", "Often said", "Often said", "Other", "Often said", "Often said"]
+    got = texts(spark, [(i, f"http://a.org/{i}", page.format(s, i)) for i, s in enumerate(said)])
+    assert got[2] == "Same head\nOften said\nText 2 a\nText 2 b"
+    assert got[0] == "Same head\nOften said\nSite notice\nText 0 a\nText 0 b"
+    # two others aren't enough
+    few = texts(spark, [(i, f"http://b.org/{i}", page.format("x", i)) for i in range(3)])
+    assert few[1] == "Same head\nx\nSite notice\nText 1 a\nText 1 b"
+
+
+def test_containers_inside_an_article():
+    page = "<main><div class='post-content header'>a</div><div class='comments-section'>b</div><ul id='user-comments'><li>c</ul><div class='share-buttons'>d</div><section class='advertisement-slot'>e</section><p class='ad-free'>f</p><div class='sidebar-note'>g</div><div class='sidebar'>h</div></main>"
+    assert [t for t, _ in page_text.blocks(page)] == ["a", "f", "g"]
+
+
+def test_no_page_of_the_table_loses_its_heading(spark):
+    import os
+    import re
+
+    at = "/root/testdata/sf0.01/pages.parquet"
+    if not os.path.exists(at):
+        pytest.skip("no test tables")
+    pages = spark.read.parquet(at)
+    heads = {r.page_id: re.sub(r"\s+", " ", m[1]).strip() for r in pages.collect() if (m := re.search(r"<h1[^>]*>([^<&]*)</h1>", r.html or ""))}
+    got = {r.page_id: r.text for r in page_text.page_texts(pages).collect()}
+    assert heads and all(h in got[i].split("\n") for i, h in heads.items() if h)
