@@ -1,6 +1,8 @@
 """Document fingerprints by Order MinHash, in DataFrame functions alone.
 
-The k-mers of a text are runs of ``K`` words, numbered by occurrence. Their
+The k-mers of a text are runs of ``K`` words, numbered by occurrence. A word of
+more than ``WORD`` characters counts as its characters instead, one by one, so that texts
+without spaces have k-mers too. Their
 order is that of a 34-bit hash of (k-mer, number), which for a k-mer's first
 occurrence is the k-mer's own; occurrences are numbered by sorting hashes with
 positions and counting inside equal ones. The hash also deals the numbered
@@ -13,9 +15,10 @@ k-mers serves all bins, and a hash, its bin, its position and its occurrence
 all lie in one sortable long.
 
 The next document in descending order of identifiers is found without a
-global sort: identifiers are cut into cells of equal width, which hold
-``CELL`` documents on average; null identifiers are cut by their texts' hashes
-in the same way. Texts move once, to their cell; inside it a window finds the
+global sort: identifiers are cut into cells of about ``CELL`` documents, at most ``CELLS``
+of them, at approximate quantiles, so clustered identifiers fill no cell beyond the others. An
+identifier that fills several cells by itself, and null ones, are cut by their texts' hashes.
+Texts move once, to their cell; inside it a window finds the
 next one. Each cell's last document meets the first of the next cell that has
 any, one row a cell, and the order of cells is found by ranges of cells: inside
 a range by a window, between ranges by a row a range.
@@ -40,6 +43,12 @@ K = 2
 BINS_LOG2 = 6
 PICKS = 2
 CELL = 1024
+#: Cells at most; the square of what a look-up goes through at each of its two steps.
+CELLS = 128 * 128
+#: Longest word that is one unit.
+WORD = 24
+#: Above any part of a cell.
+TOP = 1 << 20
 SPACE = "[\\x20\\x09-\\x0D]+"
 #: No text has as many words: a string has less than 2^31 bytes.
 POSITION = (1 << 30) - 1
@@ -60,7 +69,9 @@ def shifted(array: Column, by: int, none: Column) -> Column:
 def signature(text: Column, k: int = K, bins_log2: int = BINS_LOG2, picks: int = PICKS) -> Column:
     """array<int> with the value of every bin, null where no k-mer falls."""
     no_long = F.lit(None).cast("long")
-    words = F.array_remove(F.split(text, SPACE), "")
+    spaced = F.array_remove(F.split(text, SPACE), "")
+    long = lambda w: F.length(w) > WORD
+    words = let(spaced, lambda ws: F.when(F.exists(ws, long), F.flatten(F.transform(ws, lambda w: F.when(long(w), F.split(w, "")).otherwise(F.array(w))))).otherwise(ws))
 
     def kmers(hashes: Column) -> Column:
         last = F.size(hashes) - F.lit(k - 1)
@@ -138,24 +149,42 @@ def next_cell(cells: DataFrame, n: int) -> DataFrame:
 
 
 def cell_of(docs: DataFrame, ident: Column, text: Column) -> Column:
-    """The number of a document's cell, a decimal: greater for greater identifiers, below 0 for null ones."""
-    wide = lambda c: c.cast("decimal(21,0)")
-    known = docs.agg(F.min(ident).alias("least"), F.max(ident).alias("most"), F.count(ident).alias("n"), F.count_if(ident.isNull()).alias("none")).first()
+    """The number of a document's cell: greater for greater identifiers, below 0 for null ones."""
+    total = docs.agg(F.count(ident).alias("n"), F.count_if(ident.isNull()).alias("none")).first()
     # a power of two of hash ranges for null identifiers
-    bits = max(0, (known["none"] // CELL).bit_length())
-    by_hash = wide(F.shiftright(F.xxhash64(text), 64 - bits)) + F.lit(1 << (bits - 1)) if bits else wide(F.lit(0))
-    if not known["n"]:
-        return -1 - by_hash
-    width = max(1, (known["most"] - known["least"] + 1) * CELL // known["n"])
-    number = F.floor((wide(ident) - wide(F.lit(known["least"]))) / wide(F.lit(width)))
-    return F.when(ident.isNull(), wide(-1 - by_hash)).otherwise(wide(number))
+    bits = max(0, (total["none"] // CELL).bit_length())
+    by_hash = F.shiftright(F.xxhash64(text), 64 - bits) + F.lit(1 << (bits - 1)) if bits else F.lit(0).cast("long")
+    without = -1 - by_hash
+    parts = min(CELLS, total["n"] // CELL)
+    if parts < 2:
+        return F.when(ident.isNull(), without).otherwise(F.lit(0).cast("long"))
+    shares = [i / parts for i in range(1, parts)]
+    found = docs.agg(F.percentile_approx(ident, shares, 20 * parts).alias("q")).first()["q"]
+    bounds = sorted(set(found))  # CELLS at most
+    # a bound that comes up m times is an identifier on the rows of about m cells: it is cut into as many hash ranges
+    times = [max(0, (found.count(b) - 1).bit_length()) if found.count(b) > 1 else 0 for b in bounds]
+    step = int(len(bounds) ** 0.5) + 1
+    array = lambda xs, kind: F.array(*[F.lit(x).cast(kind) for x in xs])
+    upto = lambda xs: F.size(F.filter(xs, lambda b: b <= ident))
+    coarse, fine = array(bounds[::step], "long"), array(bounds, "long")
+    # in two steps: the last coarse bound that isn't above, then the bounds from there on
+    place = let(upto(coarse), lambda c: F.when(c == 0, 0).otherwise((c - 1) * step + upto(F.slice(fine, (c - 1) * step + 1, F.lit(step)))))
+
+    def whole(k: Column) -> Column:
+        own, cut = F.get(fine, k - 1), F.get(array(times, "int"), k - 1)
+        one = F.lit(1).cast("long")
+        in_hash = F.call_function("shiftright", F.xxhash64(text), 64 - cut) + F.call_function("shiftleft", one, cut - 1)
+        part = F.when(F.coalesce(cut, F.lit(0)) == 0, 0).when(ident == own, F.call_function("shiftleft", one, cut) - 1 - in_hash).otherwise(TOP)
+        return k.cast("long") * (2 * TOP) + part
+
+    return F.when(ident.isNull(), without).otherwise(let(place, whole))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     n = slots(docs.sparkSession)
     ident, text = F.col(id_col).cast("long"), text_of(text_col)
-    base = docs.select(ident.alias("doc_id"), text.alias("text"), cell_of(docs, ident, text).cast("decimal(21,0)").alias("cell"))
+    base = docs.select(ident.alias("doc_id"), text.alias("text"), cell_of(docs, ident, text).alias("cell"))
     base = base.repartition(n, "cell").withColumn("sig", signature(F.col("text")))
     order = Window.partitionBy("cell").orderBy(F.desc_nulls_last("doc_id"), F.xxhash64("text"))
     met = base.select("*", F.lead("text").over(order).alias("following"), F.lead("sig").over(order).alias("next_sig"), F.lag(F.lit(1)).over(order).isNull().alias("is_first"))

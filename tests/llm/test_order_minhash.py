@@ -16,7 +16,8 @@ PLACE = (1 << 30) - 1
 
 def plain_signature(text):
     """As the module says: a k-mer's first occurrence is ordered by its own hash, the others by one of (k-mer, number)."""
-    words = (text or "").encode().split()
+    words = [u for w in (text or "").split() for u in (w if len(w) > order_minhash.WORD else [w])]
+    words = [w.encode() for w in words]
     signed = lambda v: v - (1 << 64) if v >> 63 else v
     of_long = lambda v, seed=42: xxhash.xxh64_intdigest((v & (1 << 64) - 1).to_bytes(8, "little"), seed)
     of_int = lambda v, seed: xxhash.xxh64_intdigest(v.to_bytes(4, "little"), seed)
@@ -77,13 +78,14 @@ def some_text(rng):
     return " ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice((0, 1, 2, 9, 60))))
 
 
-@pytest.mark.parametrize("kind", ["dense", "sparse", "null and repeated", "one", "all null"])
+@pytest.mark.parametrize("kind", ["dense", "sparse", "clustered", "null and repeated", "one", "all null"])
 def test_next_documents(spark, monkeypatch, kind):
     monkeypatch.setattr(order_minhash, "CELL", 4)
     rng = random.Random(5)
     ids = {
         "dense": list(range(60)),
         "sparse": [rng.randrange(-(1 << 63), 1 << 63) for _ in range(60)],
+        "clustered": [*range(50), *[(1 << 62) + i for i in range(5)], -(1 << 63), (1 << 63) - 1],
         "null and repeated": [*range(20), *[None] * 20, *[7] * 20],
         "one": [3],
         "all null": [None] * 30,
@@ -96,3 +98,30 @@ def test_next_documents(spark, monkeypatch, kind):
 def test_repeats_tell_texts_apart(spark):
     df = spark.createDataFrame([(2, "a " * 4000), (1, "a " * 4)], "doc_id long, text string")
     assert {r.near_next for r in order_minhash.fingerprints(df).collect()} != {1.0}
+
+
+@pytest.mark.parametrize("kind", ["clustered", "repeated", "dense"])
+def test_no_cell_is_large(spark, kind):
+    """Identifiers close together with one far off, or one on most rows, leave no cell beyond four times the usual."""
+    n = 20000
+    ident = {"clustered": F.when(F.col("id") == 0, F.lit(9 * 10**18)).otherwise(F.col("id")), "repeated": F.when(F.col("id") % 10 < 7, 5).otherwise(F.col("id")), "dense": F.col("id")}[kind]
+    docs = spark.range(n).select(ident.cast("long").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"))
+    cells = docs.select(order_minhash.cell_of(docs, F.col("doc_id"), F.col("text")).alias("cell")).groupBy("cell").count()
+    assert cells.agg(F.max("count")).first()[0] <= 4 * order_minhash.CELL
+    # cells follow the order: greater identifiers, then smaller hashes, have greater cells
+    rows = docs.select(order_minhash.cell_of(docs, F.col("doc_id"), F.col("text")).alias("cell"), "doc_id", F.xxhash64("text").alias("h")).collect()
+    own = [r.cell for r in sorted(rows, key=lambda r: (-r.doc_id, r.h))]
+    assert own == sorted(own, reverse=True)
+
+
+def test_texts_without_spaces(spark):
+    rng = random.Random(11)
+    chinese = "".join(chr(rng.randrange(0x4E00, 0x4E00 + 800)) for _ in range(400))
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(500))
+    pairs = {"less one": (chinese, chinese[:200] + chinese[201:]), "one edit": (letters, letters[:250] + "#" + letters[251:]), "other": (letters, letters[::-1]), "emoji": ("\U0001f600" * 30 + "x", "\U0001f600" * 30 + "x")}
+    df = spark.createDataFrame([(k, *v) for k, v in pairs.items()], "k string, a string, b string").select("k", order_minhash.signature(F.col("a")).alias("a"), order_minhash.signature(F.col("b")).alias("b"))
+    got = {r.k: r for r in df.collect()}
+    like = {k: plain_likeness(r.a, r.b) for k, r in got.items()}
+    assert like["less one"] > 0.7 and like["one edit"] > 0.7 and like["other"] < 0.3 and like["emoji"] == 1.0
+    for k, (a, b) in pairs.items():
+        assert got[k].a == plain_signature(a) and got[k].b == plain_signature(b)
