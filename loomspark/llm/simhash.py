@@ -36,7 +36,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .common import OWN, slots, spread_lookup, stage
@@ -196,7 +196,8 @@ def links(classes: DataFrame, chain: int | None = None, block: int = BLOCK) -> D
 def contract(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """Links (a, b), a > b -> (a, b): b is the smallest node that a reaches. Nodes without links are absent.
 
-    Large-star and small-star steps in turn, until a round changes nothing.
+    Large-star and small-star steps in turn, until a round changes nothing;
+    what a round wrote is counted as it is written.
     """
     said = None
     edges = stage(edges, "links")
@@ -206,8 +207,10 @@ def contract(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stage(small.union(low.select("a", F.col("m").alias("b"))).distinct(), "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        seen = Observation()
+        after = small.union(low.select("a", F.col("m").alias("b"))).distinct()
+        edges = stage(after.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("sum")), "links")
+        now = seen.get
         if now == said:
             return edges
         said = now

@@ -69,3 +69,36 @@ def test_stage_on_a_table(spark):
 def test_empty_stage(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert corpus_pipeline.without_near_copies(spark, docs, "").collect() == []
+
+
+def test_passage_shared_by_many_unlike_texts(spark, monkeypatch):
+    """One passage decides keys of many texts; only the few similar ones are compared, and all of them are found."""
+    from loomspark.llm import near_copies
+
+    rng = random.Random(12)
+    passage = " ".join(f"p{k}" for k in range(45))
+    rows = [(d, f"{passage} " + " ".join(f"d{d}w{k}" for k in range(rng.randrange(20, 40)))) for d in range(120)]
+    rows += [(200 + d, rows[d][1] + " more") for d in range(0, 120, 10)]  # similar to one each
+    rows += [(300 + d, passage + f" end{d}") for d in range(6)]  # the passage with one word more: similar among themselves
+    compared = []
+    plain = near_copies.checked
+    monkeypatch.setattr(near_copies, "checked", lambda pairs, *rest: compared.append(pairs.count()) or plain(pairs, *rest))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = near_copies.near_dedup(docs)
+    assert sorted(r.doc_id for r in got.collect()) == plain_kept(rows)
+    assert compared[1] <= 40, compared  # out of thousands of pairs that share the passage
+
+
+def test_prefixes_lose_no_pair(spark):
+    """Without any help of keys: all similar pairs of different groups share a prefix shingle."""
+    from loomspark.llm import near_copies
+
+    rng = random.Random(13)
+    base = [[f"w{rng.randrange(60)}" for _ in range(rng.choice([6, 12, 30]))] for _ in range(25)]
+    texts = [" ".join(w) for w in base] + [" ".join(w[:i] + [f"x{rng.randrange(5)}"] + w[i + 1 :]) for w in base for i in [rng.randrange(len(w))]] + ["one two", "one two three"]
+    own = {i: shingles(t) for i, t in enumerate(texts)}
+    groups = spark.createDataFrame([(i, int(s.size), i) for i, s in own.items()], "fp long, n long, root long")
+    table = spark.createDataFrame(list(enumerate(texts)), "fp long, text string")
+    got = {(r.a, r.b) for r in near_copies.by_prefixes(groups, table, 5, 0.8).collect()}
+    want = {(a, b) for a in own for b in own if a > b and similarity(own[a], own[b]) >= 0.8}
+    assert want and want <= got and len(got) < len(texts) ** 2 / 8
