@@ -9,6 +9,7 @@ a cut would not be safe go to the library whole.
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import sys
@@ -16,6 +17,8 @@ from array import array
 
 #: Entries of a table that a worker remembers, besides as many older ones.
 UNITS, PRETOKENS = 400_000, 100_000
+#: The same of the byte-level vocabulary, whose ids are packed.
+BYTE_UNITS = 1_000_000
 #: Fixed value: the published pre-tokenizer pattern of the byte-level vocabulary.
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -89,7 +92,7 @@ class ByteUnits:
         self.pretokens = regex.compile(BYTE_LEVEL).findall
         self.known = Remembered(self.pretoken, PRETOKENS)
         #: By unit without its leading space.
-        self.units = Remembered(self.unit, UNITS)
+        self.units = Remembered(self.unit, BYTE_UNITS)
 
     def unit(self, u: str) -> bytes:
         """Letters alone, or letters and one mark, need no pattern."""
@@ -111,12 +114,14 @@ class ByteUnits:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out, unit = [], self.units.__getitem__
+        gc.disable()  # many small objects without cycles
         for t in texts:
             if self.cuttable(t):
                 first, *rest = t.split(" ")
                 out.append(self.whole(first) + b"".join(map(unit, rest)) if first else b"".join(map(unit, rest)))
             else:
                 out.append(self.whole(t))
+        gc.enable()
         return out
 
 
