@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import responses, text
 
 
 def removal_reason(kind: str = "item_kind", sql: str = "sql_text") -> Column:
@@ -74,3 +74,12 @@ def tag_correctness(records: DataFrame, replies: DataFrame) -> DataFrame:
     reason = F.regexp_extract(reply, "^否[，,](.*)$", 1)
     bad = ~F.col("list_state").isin("NO_SQL", "LACK_INFO") & reply.startswith("否") & ~reason.rlike("事务|表名")
     return records.join(replies, "record_id", "left").select("record_id", (~bad).alias("is_correct"), F.when(bad, reason).otherwise("").alias("reason"))
+
+
+def tag_keywords(records: DataFrame, replies: DataFrame) -> DataFrame:
+    """(record_id, keywords, has_keywords, status): what a reply names; a record without an answer stays, with the status ``failed``."""
+    reply = text.strip(F.coalesce("reply", F.lit("")))
+    failed = reply == ""
+    met = records.select("record_id").join(replies.select("record_id", "reply"), "record_id", "left")
+    found = F.when(failed, responses.nothing()).otherwise(responses.keywords_of(reply))
+    return met.select("record_id", found.alias("keywords"), (F.size(found) > 0).alias("has_keywords"), F.when(failed, "failed").otherwise("ok").alias("status"))

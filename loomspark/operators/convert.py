@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import prompts, text
+from ..functions.json_text import items_at, kind, missing
 
 # Names that readers of the samples expect.
 SOURCE, ABILITY, STYLE = "code2sql_orm", "code_generation", "rule"
@@ -20,6 +21,31 @@ def metadata_text(meta: Column, apart: str = " ", by: str = "\n") -> Column:
     return F.coalesce(F.array_join(shown, by), F.lit(""))
 
 
+# Labels of the layout that names its parts, in order, and what stands for no metadata.
+PARTS = (("code_file", "文件: "), ("lines", "行号: "), ("code_key", "键: "), ("code_value", "值: "), ("code_label", "标签: "), ("code_type", "类型: "))
+NO_METADATA = "无代码元数据"
+
+
+def metadata_parts(meta: Column) -> Column:
+    """An array of metadata as numbered lines of named parts; a part is there if its field is, a label only if it isn't empty or 0."""
+
+    def line(v: Column, i: Column) -> Column:
+        has = lambda *fs: F.size(missing(v, *fs)) == 0
+        shown = lambda f: F.coalesce(F.try_variant_get(v, f"$.{f}", "string"), F.lit("None"))
+        parts = []
+        for f, label in PARTS:
+            if f == "lines":
+                parts.append(F.when(has("code_start_line", "code_end_line"), F.concat(F.lit(label), shown("code_start_line"), F.lit("-"), shown("code_end_line"))))
+            else:
+                there = has(f) & ~shown(f).isin("None", "", "0", "false") if f == "code_label" else has(f)
+                parts.append(F.when(there, F.concat(F.lit(label), shown(f))))
+        body = F.when(kind(v) == "OBJECT", F.array_join(F.array_compact(F.array(*parts)), " | ")).otherwise(F.coalesce(F.try_variant_get(v, "$", "string"), F.lit("None")))
+        return F.concat((i + 1).cast("string"), F.lit(". "), body)
+
+    items = items_at(meta)
+    return F.when(F.coalesce(F.size(items), F.lit(0)) == 0, NO_METADATA).otherwise(F.array_join(F.transform(items, line), "\n"))
+
+
 def usable(extraction: DataFrame) -> DataFrame:
     """(record_id, tables, columns, notes) of which something was found and no note says that information lacks."""
     lacks = F.exists(F.coalesce("notes", F.array().cast(NONE)), lambda n: F.contains(n, F.lit(text.LACK_INFO)))

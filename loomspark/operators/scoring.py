@@ -46,6 +46,14 @@ def reward_v2(validity: Column, consistency: Column, keyword: Column, severity:
     return half_even(clamp(base - cap * clamp(severity)), 2)
 
 
+def reward_by(settings, validity: Column, consistency: Column, keyword: Column, severity: Column) -> Column:
+    """``reward_v2`` with the weights and the cap of a run's settings (``plans.config.Settings``); without a keyword score the other weights share all of it."""
+    r = settings.rewards
+    two = r.validity * validity + r.consistency * consistency
+    base = F.when(keyword.isNull(), two / (r.validity + r.consistency)).otherwise(two + r.keyword * clamp(keyword))
+    return half_even(clamp(base - r.penalty_cap * clamp(severity)), 2)
+
+
 def reward_five(validity: Column, consistency: Column, keyword: Column, branch: Column, severity: Column, cap: float = 0.2) -> Column:
     """0.25, 0.20, 0.15, 0.20; without a keyword score the other three share all weight, with one nothing is shared out. Less the capped penalty."""
     others = 0.25 * validity + 0.20 * consistency + 0.20 * branch

@@ -6,7 +6,7 @@ from ..functions import prompts, scenarios, text
 from ..sources import lists as raw
 from ..sources import replies as said
 from ..sources import results
-from .oracle import AUDIT_FP, EXCLUDED, HALF_EVEN, ITEM_FP, LISTED, PURE, RECORDS
+from .oracle import AUDIT_FP, EXCLUDED, HALF_EVEN, ITEM_FP, LISTED, PURE, RECORDS, REWARDS
 from .oracle import SQL as BASE
 
 written = said.written
@@ -174,4 +174,13 @@ SQL: dict[str, str] = {
     "reward_lines": "WITH e AS (SELECT (event_id % 30)::INT AS log, event_id % 5 AS k, row_number() OVER (PARTITION BY event_id % 30 ORDER BY event_id) AS line_number FROM events) SELECT log, line_number, CASE k WHEN 0 THEN 0.9::DOUBLE ELSE 0.45 END AS score, CASE k WHEN 0 THEN '0.8-1.0' ELSE '0.4-0.6' END AS band FROM e WHERE k IN (0, 4)",
     "field_sides": "SELECT * FROM (VALUES ('id', 'both'), ('a', 'both'), ('c', 'both'), ('b', 'right')) t(field, side) WHERE (SELECT count(DISTINCT o_orderkey % 4) FROM orders) = 4",
     "dataset_size": f"WITH {RECORDS} SELECT count(*) AS records, sum(len('{{\"record_id\":' || record_id || ',\"caller\":\"' || caller || '\",\"pattern_cnt\":' || pattern_cnt || '}}'))::BIGINT AS characters FROM r",
+    "root_shapes": "WITH o(k, pos, n) AS (VALUES (0, 0, 1), (0, 1, 2), (1, 0, 3), (2, 0, 4), (2, 1, 5), (2, 2, 6), (4, 0, 7), (5, 0, 8)) SELECT 'f' || o_orderkey AS source, pos, n FROM orders JOIN o ON o_orderkey % 8 = k",
+    "mapped_rows": "SELECT 'f' || o_orderkey AS source, 'a' || o_custkey AS sample_id, o_orderkey AS n FROM orders UNION ALL SELECT 'f' || o_orderkey, 'b', 1 FROM orders",
+    "input_warnings": "WITH o(k, item, problem) AS (VALUES (0, 'g', 'no_code'), (1, '1', 'not_an_object'), (1, '2', 'no_code'), (2, NULL, 'wrong_root'), (3, NULL, 'unreadable'), (5, 'h', 'no_code')) SELECT 'f' || o_orderkey AS source, item, problem FROM orders JOIN o ON o_orderkey % 6 = k",
+    "keyword_status": f"""WITH {RECORDS}, e AS (SELECT event_id AS record_id, event_id % 5 AS k FROM events)
+      SELECT record_id, CASE k WHEN 0 THEN 'Preload|save' WHEN 3 THEN 'Scopes|Pluck' WHEN 4 THEN 'Hooks' ELSE '' END AS keywords, coalesce(k IN (0, 3, 4), false) AS has_keywords, CASE WHEN k IS NULL OR k = 2 THEN 'failed' ELSE 'ok' END AS status FROM r LEFT JOIN e USING (record_id)""",
+    "prompt_layouts": """WITH o AS (SELECT o_orderkey, o_custkey AS c, chr(10) AS n FROM orders) SELECT o_orderkey, 'k' || n || c || n || n || 'l' || n || 'w' AS plain, '1. k: ' || c || n || n || '2. l: w' AS numbered, '// f.go' || n || c AS files,
+      '```' || n || c || n || '```' || n || n || '```' || n || 'w' || n || '```' AS fenced, c || n || n || 'w' AS values, '**k**: ' || c || ' (文件: f.go)' || n || '**l**: w' AS rl, '**k**:' || n || c || n || '(文件: f.go)' || n || n || '**l**:' || n || 'w' AS sft FROM o""",
+    "reward_by_settings": "WITH " + REWARDS + ", x AS (SELECT doc_id, CASE WHEN keyword IS NULL THEN (0.5::DOUBLE * validity + 0.25::DOUBLE * consistency) / 0.75::DOUBLE ELSE 0.5::DOUBLE * validity + 0.25::DOUBLE * consistency + 0.25::DOUBLE * keyword END - 0.125::DOUBLE * least(severity, 1) AS v FROM w) SELECT doc_id, " + HALF_EVEN("greatest(least(v, 1), 0)", 2) + " AS reward FROM x",
+    "metadata_parts": f"SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN {written('1. 文件: f | 行号: 1-2 | 键: k | 值: v | 标签: 3 | 类型: 0' + chr(10) + '2. 键: None' + chr(10) + '3. x' + chr(10) + '4. ')} ELSE '无代码元数据' END AS text FROM orders",
 }

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..functions import rawlists, responses, scenarios, text
+from ..functions import prompts, rawlists, responses, scenarios, text
 from ..functions.fingerprint import fingerprint
 from ..operators import convert, evaluation, joining, lists, reports, reviews, sampling, scoring
 from ..sources import adapters as src
@@ -340,3 +340,70 @@ def dataset_size(spark, sf):
     """Records and their size as JSON."""
     r = src.records(spark, sf)
     return r.agg(F.count("*").alias("records"), F.sum(F.length(F.to_json(F.struct("record_id", "caller", "pattern_cnt")))).alias("characters"))
+
+
+# inputs, prompts, settings
+
+
+@query
+def root_shapes(spark, sf):
+    """Records of files whose root is a list, an object that holds one under a known name, or one object."""
+    o = src.table(spark, sf, "orders").select(F.concat(F.lit("f"), "o_orderkey").alias("source"), F.expr(said.nth(ROOTS, "o_orderkey")).alias("content"))
+    return files.rows_of(o).select("source", "pos", F.try_variant_get("row", "$.n", "int").alias("n"))
+
+
+ROOTS = ['[{"n": 1}, {"n": 2}]', '{"records": [{"n": 3}]}', '{"data": [{"n": 4}, {"n": 5}, {"n": 6}]}', '{"items": []}', '{"results": [{"n": 7}], "n": 9}', '{"n": 8}', "broken", '"text"']
+
+
+@query
+def mapped_rows(spark, sf):
+    """Rows of a root that maps samples to them, with the key as sample."""
+    o = src.table(spark, sf, "orders").select(F.concat(F.lit("f"), "o_orderkey").alias("source"), F.concat(F.lit('{"a'), "o_custkey", F.lit('": {"n": '), "o_orderkey", F.lit('}, "b": {"n": 1}}')).alias("content"))
+    return files.map_rows(o).select("source", "sample_id", F.try_variant_get("row", "$.n", "long").alias("n"))
+
+
+CHECKED = ['{"f": {"code_value": null}, "g": {}}', '[{"code_value": "x"}, 5, {"a": 1}]', "7", "[", "[]", '{"h": 3}']
+
+
+@query
+def input_warnings(spark, sf):
+    o = src.table(spark, sf, "orders").select(F.concat(F.lit("f"), "o_orderkey").alias("source"), F.expr(said.nth(CHECKED, "o_orderkey")).alias("content"))
+    return files.input_warnings(o)
+
+
+@query
+def keyword_status(spark, sf):
+    """Keywords that replies name, and which records got no answer."""
+    from ..operators import clean
+
+    r = src.records(spark, sf)
+    reply = F.expr(said.nth(['["Preload", "save"]', "No", "", "uses pluck and Scopes", "[x, Hooks]"], "event_id"))
+    replies = src.table(spark, sf, "events").select(col("event_id").alias("record_id"), reply.alias("reply"))
+    return clean.tag_keywords(r, replies).select("record_id", F.array_join("keywords", "|").alias("keywords"), "has_keywords", "status")
+
+
+@query
+def prompt_layouts(spark, sf):
+    """Metadata in each of its layouts."""
+    meta = F.array(F.struct(F.lit("k").alias("code_key"), col("o_custkey").cast("string").alias("code_value"), F.lit("f.go").alias("code_file")), F.struct(F.lit("l").alias("code_key"), F.lit("w").alias("code_value"), F.lit(None).cast("string").alias("code_file")))
+    o = src.table(spark, sf, "orders").withColumn("meta", meta)
+    return o.select("o_orderkey", *[prompts.metadata_layout(col("meta"), n).alias(n) for n in ("plain", "numbered", "files", "fenced", "values")], convert.metadata_text(col("meta")).alias("rl"), convert.metadata_text(col("meta"), "\n", "\n\n").alias("sft"))
+
+
+@query
+def reward_by_settings(spark, sf):
+    """Rewards with the weights of a run's settings."""
+    from .config import Settings
+    from .queries import rewards
+
+    own = Settings.of('{"rewards": {"validity": 0.5, "consistency": 0.25, "keyword": 0.25, "penalty_cap": 0.125}}')
+    return rewards(spark, sf).select("doc_id", scoring.reward_by(own, col("validity"), col("consistency"), col("keyword"), col("severity")).alias("reward"))
+
+
+PARTED = ['[{"code_file": "f", "code_start_line": 1, "code_end_line": 2, "code_key": "k", "code_value": "v", "code_label": 3, "code_type": 0}, {"code_key": null, "code_label": 0}, "x", {}]', "[]", "null"]
+
+
+@query
+def metadata_parts(spark, sf):
+    o = src.table(spark, sf, "orders").select("o_orderkey", F.parse_json(F.expr(said.nth(PARTED, "o_orderkey"))).alias("meta"))
+    return o.select("o_orderkey", convert.metadata_parts(col("meta")).alias("text"))

@@ -124,6 +124,25 @@ def write_dataset_info(spark: SparkSession, path: str, name: str, entry: dict) -
     return whole
 
 
+def input_warnings(files: DataFrame) -> DataFrame:
+    """(source, item, problem) of generation inputs: a root of another kind, items that are no objects, items without code."""
+    root = F.try_parse_json("content")
+    kind = F.regexp_extract(F.schema_of_variant(root), r"^(\w+)", 1)
+    named = F.transform(F.map_entries(F.try_variant_get(root, "$", "map<string,variant>")), lambda e: F.struct(e["key"].alias("item"), e["value"].alias("v"), F.lit(True).alias("named")))
+    listed = F.transform(F.try_variant_get(root, "$", "array<variant>"), lambda v, i: F.struct(i.cast("string").alias("item"), v.alias("v"), F.lit(False).alias("named")))
+    items = files.select("source", kind.alias("kind"), F.explode_outer(F.when(kind == "OBJECT", named).when(kind == "ARRAY", listed)).alias("e"))
+    has_code = F.array_contains(F.map_keys(F.try_variant_get("e.v", "$", "map<string,variant>")), "code_value")
+    is_object = F.schema_of_variant("e.v").startswith("OBJECT")
+    problem = F.when(F.col("kind").isNull(), "unreadable").when(~F.col("kind").isin("OBJECT", "ARRAY"), "wrong_root").when(F.col("e").isNull(), None).when(~is_object, F.when(F.col("e.named"), "no_code").otherwise("not_an_object")).when(~F.coalesce(has_code, F.lit(False)), "no_code")
+    return items.select("source", "e.item", problem.alias("problem")).where("problem is not null")
+
+
+def write_sft(samples: DataFrame, folder: str, name: str) -> dict:
+    """Writes samples (instruction, input, output, ...) as JSON lines below a folder and names them in its list of data sets."""
+    write(samples, f"{folder}/{name}", "json")
+    return write_dataset_info(samples.sparkSession, folder, name, {"file_name": name, "columns": {"prompt": "instruction", "query": "input", "response": "output"}})
+
+
 def write_documents(docs: DataFrame, folder: str) -> str:
     """Writes (name, content) rows as files of these names below a folder, and gives the folder.
 
