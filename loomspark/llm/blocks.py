@@ -124,7 +124,7 @@ def check_sum(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass"))
 
 
-def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, marks: int = 0, cut: Callable | None = None, crc: Callable[[str], int] = check_sum) -> DataFrame:
+def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, marks: int = 0, cut: Callable | None = None, crc: Callable[[str], int] = check_sum, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``rows``: (doc_id, text, mark). ``kind``: "units", "streams" or "both".
 
     Units: a row for each distinct unit of a block, with its occurrences in
@@ -132,6 +132,8 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, m
     each document with its mark, the numbers of its units, their count, and
     a check sum of its text. Both: one scan gives both, told apart by ``kind``.
 
+    ``block_chars``: characters of text in a block, about; both scans of a table need the same.
+
     ``split`` cuts a text; ``cut``, if given, takes the list of a block's
     distinct results and cuts each into further units: (all of these, how many
     each result has).
@@ -161,7 +163,7 @@ def scan_blocks(rows: DataFrame, split: Callable[[str], list[str]], kind: str, m
         pa.default_memory_pool().release_unused()  # of the worker's earlier tasks
         for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
             for place, doc, text, mark in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if block is None or block.size > BLOCK_CHARS:
+                if block is None or block.size > block_chars:
                     if block:
                         yield from out(block)
                     block = Block(block.name + 1 if block else place, cut)

@@ -43,7 +43,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import check_sum, gathered, numbers_of, planes, scan_blocks
+from .blocks import BLOCK_CHARS, check_sum, gathered, numbers_of, planes, scan_blocks
 from .common import bucketed, slots, stage, text_of
 
 MARK = "▁"
@@ -284,11 +284,13 @@ def spelled_table(path: str):
     return np.frombuffer(b"".join(rows), np.uint8), np.cumsum(width) - width, width
 
 
-def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_id", text_col: str = "text", from_files: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_id", text_col: str = "text", from_files: bool = False, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per input row: doc_id, n_pieces, ids array<int>, round_trip. ``path``: a SentencePiece model file.
 
     ``from_files``: ``docs`` is a table read from files, of which two scans see
     the same rows in the same partitions; any other input is written first.
+    ``block_chars``: characters of text that a worker numbers the units of at a
+    time; less of it takes less memory and repeats more units.
     """
     spark, n = docs.sparkSession, slots(docs.sparkSession)
     text = text_of(text_col)
@@ -298,7 +300,7 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
     def cut(units: list[str]) -> tuple:
         return joints(path).cut(units)
 
-    units = bucketed(scan_blocks(rows, split_units, "units", cut=cut), "unit", n, "units")
+    units = bucketed(scan_blocks(rows, split_units, "units", cut=cut, block_chars=block_chars), "unit", n, "units")
     threshold = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
     before = spark.conf.get(threshold)
     try:
@@ -369,7 +371,7 @@ def encode(docs: DataFrame, path: str, fold: str = "merge", id_col: str = "doc_i
 
     packed = answers.mapInArrow(pack, "block long, entries int, body binary")
     # marks of the text itself decode to spaces
-    streams = scan_blocks(rows, split_units, "streams", cut=cut, crc=lambda t: check_sum(t.replace(MARK, " "))).select("block", "doc_id", "mark", "crc", "body")
+    streams = scan_blocks(rows, split_units, "streams", cut=cut, crc=lambda t: check_sum(t.replace(MARK, " ")), block_chars=block_chars).select("block", "doc_id", "mark", "crc", "body")
     return streams.groupBy("block").cogroup(packed.groupBy("block")).applyInArrow(assemble, "doc_id long, n_pieces long, ids array<int>, round_trip boolean")
 
 
