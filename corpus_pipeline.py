@@ -30,7 +30,10 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked by 5-word shingles of similarity 0.8 or more, the row with the smallest identifier stays."""
+    """Of each group linked by 5-word shingles of similarity 0.8 or more, the row with the smallest identifier stays.
+
+    op10's fingerprints, pigeonring chains and contraction come first, with more bits; then what they can't reach.
+    """
     return near_copies.near_dedup(docs)
 
 

@@ -3,19 +3,25 @@
 A document is the set of its runs of ``SHINGLE`` words (A-Z lower-cased, white
 space collapsed), each an XXH64 hash. Equal sets are one class.
 
-Candidates. ``BANDS`` keys of ``ROWS`` minimum hashes each; classes that share
-a key and whose sizes allow the similarity are compared. A pair of similarity
-s shares no key with probability (1 - s^ROWS)^BANDS: 5e-8 at 0.8, 9e-16 at
-0.9. No key depends on how many bits of a SimHash two texts differ in.
-
-Check. Every candidate pair has the similarity of its two whole sets worked
-out. First each member of a bucket meets the bucket's smallest, so a dense
-group of n copies costs about n comparisons. What buckets then still hold in
-different groups is compared by prefixes: shingles are ordered by how many
-of these classes have them, and two sets of the similarity share one of their
-first n - ceil(``SIMILARITY`` n) + 1 shingles, n being a set's size. A passage that many
-unlike texts share is frequent, so it lies behind what each text has alone, and pairs
-nothing; this is exact, whatever the keys. Links are joined by star contraction.
+Candidates. Each set has a SimHash fingerprint, and ``simhash.links`` finds
+what differs in ``MAX_BITS`` of its bits or fewer, by pigeonring chains as join
+keys. What these links reach is a first group, and its members' whole sets are
+compared. Two sets of the similarity differ in about 10 of 64 bits, some in 20,
+a budget at which no chain selects anything. So what is left apart meets by
+``BANDS`` keys of ``ROWS`` minimum hashes each (a pair of similarity s shares
+none with probability (1 - s^ROWS)^BANDS: 5e-8 at 0.8, 9e-16 at 0.9), and what
+these buckets hold in different groups by prefixes: shingles are ordered by how
+many of these classes have them, and two sets of the similarity share one of
+their first n - ceil(``SIMILARITY`` n) + 1 shingles, n being a set's size. A
+passage that many unlike texts share is frequent, so it lies behind what each
+text has alone, and pairs nothing; this is exact, whatever the keys.
+
+Check. Candidates are links to a bucket's smallest, so they number as the
+buckets' members and not as their pairs; star contraction joins them. All sets that they
+reach meet in one place, where a search walks from set to set over those that
+it hasn't reached yet: n copies cost about n comparisons, n unlike sets all of
+their pairs, and neither makes rows of them. Groups over ``BLOCK`` shingles are
+dealt out as all pairs of their blocks.
 
 Defined results: texts without words are alike; a text of fewer words than a
 shingle is one shingle; rows without identifier take no part and stay; rows
@@ -25,18 +31,24 @@ an empty result; other columns are kept.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import OWN, slots, spread_lookup, stage, text_of
-from .simhash import LOWER, SEED, contract
+from .simhash import LOWER, SEED, contract, links, majority
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 4
+#: Bits of the fingerprints that may differ at first.
+MAX_BITS = 7
+#: Shingles of a group that are held at once, twice over.
+BLOCK = 1 << 18
 #: Shingles hashed at a time.
 SCAN = 4096
 #: Pairs of texts in a worker's memory.
@@ -86,7 +98,7 @@ def band_keys(own) -> list[int]:
 
 
 def sets(rows: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, mark, text) -> (doc_id, mark, fp, n, keys): fp is the set's hash, n its size."""
+    """(doc_id, mark, text) -> (doc_id, mark, fp, n, bits, keys): fp is the set's hash, n its size, bits its SimHash fingerprint."""
 
     def scan(batches: Iterator) -> Iterator:
         import numpy as np
@@ -94,48 +106,101 @@ def sets(rows: DataFrame, shingle: int) -> DataFrame:
         import xxhash
 
         for b in batches:
-            fps, sizes, keys = [], [], []
+            fps, sizes, bits, keys = [], [], [], []
             for t in b.column(2):
                 own = shingles(t.as_py(), shingle)
                 fps.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
                 sizes.append(own.size)
+                bits.append(majority((own[i : i + SCAN] for i in range(0, own.size + 1, SCAN)), own.size))
                 keys.append(band_keys(own))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "mark", "fp", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(np.array(bits, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "mark", "fp", "n", "bits", "keys"])
 
-    return rows.mapInArrow(scan, "doc_id long, mark long, fp long, n long, keys array<long>")
+    return rows.mapInArrow(scan, "doc_id long, mark long, fp long, n long, bits long, keys array<long>")
 
 
-def checked(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """The pairs (a, b) of which the two texts are at least so similar; a > b."""
+def by_bits(classes: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """(a, b), a > b: links whose components are those of all classes (fp, bits) that differ in so many bits or fewer."""
+    n = slots(classes.sparkSession)
+    least = stage(classes.groupBy("bits").agg(F.min("fp").alias("least")), "fingerprints")
+    same = spread_lookup(classes.select("fp", "bits"), least, "bits", "fp", n).where("fp <> least").select(F.col("fp").alias("a"), F.col("least").alias("b"))
+    # one segment more makes buckets 16 times smaller; the result doesn't depend on it
+    near = links(least.select(F.col("bits").alias("fp")), chain=3 if least.count() < 1 << 24 else 4, max_bits=max_bits)
+    a = least.select(F.col("bits").alias("a"), F.col("least").alias("x"))
+    b = least.select(F.col("bits").alias("b"), F.col("least").alias("y"))
+    far = spread_lookup(near.join(a, "a"), b, "b", "a", n)
+    return same.unionByName(far.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
 
-    def scan(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        known: dict = {}
-
-        def own(fp: int, text: str):
-            if fp not in known:
-                if len(known) >= 64:
-                    known.clear()
-                known[fp] = shingles(text, shingle)
-            return known[fp]
-
-        for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            near = [(a, b) for a, b, x, y in rows if similarity(own(a, x), own(b, y)) >= least]
-            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in near], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    a = texts.select(F.col("fp").alias("a"), F.col("text").alias("x"))
-    b = texts.select(F.col("fp").alias("b"), F.col("text").alias("y"))
-    # the least member of a bucket may be b of a large share of all pairs
-    met = spread_lookup(pairs.join(a, "a"), b, "b", "a", slots(pairs.sparkSession))
-    return met.select("a", "b", "x", "y").mapInArrow(scan, "a long, b long")
+def joined(roots: list[int], own: list, least: float) -> list[tuple[int, int]]:
+    """Links (root, least root that it reaches) of sets, none of them empty, of which those of one root are joined already."""
+    import numpy as np
 
+    order = sorted(range(len(own)), key=lambda i: own[i].size)
+    root, size = np.array([roots[i] for i in order], np.int64), np.array([own[i].size for i in order], np.int64)
+    ids = np.unique(np.concatenate([own[i] for i in order]), return_inverse=True)[1]
+    mark, found = np.zeros(ids.size, bool), []
+    while root.size:
+        reached, now, todo = [], {int(root[0])}, []
+        while now or todo:
+            if now:
+                new = np.isin(root, list(now))
+                spread = np.repeat(new, size)
+                todo += np.split(ids[spread], np.cumsum(size[new])[:-1])
+                root, size, ids = root[~new], size[~new], ids[~spread]
+                reached += now
+            if not root.size:
+                break
+            one, now = todo.pop(), set()
+            fit = np.flatnonzero(np.minimum(size, one.size) / np.maximum(size, one.size) >= least)
+            if fit.size:
+                lo, hi = fit[0], fit[-1] + 1  # sizes ascend
+                at = np.concatenate(([0], np.cumsum(size[:hi])))[lo:]
+                mark[one] = True
+                both = np.add.reduceat(mark[ids[at[0] : at[-1]]], at[:-1] - at[0], dtype=np.int64)
+                mark[one] = False
+                now = set(root[lo:hi][both / (one.size + size[lo:hi] - both) >= least].tolist())
+        found += [(r, min(reached)) for r in reached if r > min(reached)]
+    return found
+
+
+def checked(candidates: DataFrame, groups: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(a, b): the roots a whose sets are linked to those of smaller roots, and the smallest such root.
+
+    ``candidates``: links (a, b) of roots, a > b; ``groups``: (fp, n, root), the sets to compare. All sets of roots that
+    candidates reach are compared with each other, but for those that are joined already.
+    """
 
-def by_prefixes(groups: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """(a, b), a > b: pairs of different groups that share a shingle of their prefixes and whose sizes allow the similarity.
+    def scan(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-    ``groups``: (fp, n, root), a row a class; every pair of different groups that is similar is among the results.
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        for _, group in itertools.groupby(rows, key=itemgetter(0)):
+            roots, own = [], []
+            for _, root, text in group:
+                roots.append(root)
+                own.append(shingles(text, shingle))
+            if near := joined(roots, own, least):
+                yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in near], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    n = slots(groups.sparkSession)
+    reach = contract(candidates)
+    reach = reach.unionByName(reach.select(F.col("b").alias("a"), "b").distinct()).select(F.col("a").alias("root"), F.col("b").alias("comp"))
+    members = stage(spread_lookup(groups, reach, "root", "fp", n), "reached")
+    held = members.groupBy("comp").agg(F.sum("n").alias("held"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    blocks = stage(held.select("comp", F.ceil(F.col("held") / BLOCK).cast("int").alias("blocks")), "blocks")
+    own = F.pmod(F.xxhash64("fp", F.lit(5)), F.col("blocks"))
+    dealt = spread_lookup(members, blocks, "comp", "fp", n).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # a block's own pairs are compared beside any other block
+    dealt = dealt.where("blocks = 1 or own <> other").select("fp", "root", F.xxhash64("comp", F.least("own", "other"), F.greatest("own", "other")).alias("pair"))
+    met = dealt.join(texts, "fp").select("pair", "root", "text").repartition(n, "pair").sortWithinPartitions("pair")
+    found = stage(met.mapInArrow(scan, "a long, b long"), "linked")
+    return found if blocks.where("blocks > 1").isEmpty() else contract(found.distinct())
+
+
+def prefixes(groups: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(token, fp, n, root, least_root): the shingles of the classes' prefixes that different groups have.
+
+    ``groups``: (fp, n, root), a row a class; every pair of different groups that is similar shares a token.
     """
 
     def scan(batches: Iterator) -> Iterator:
@@ -156,11 +221,19 @@ def by_prefixes(groups: DataFrame, texts: DataFrame, shingle: int, least: float)
     placed = Window.partitionBy("fp").orderBy("held", "token")
     ranked = common.select("*", F.row_number().over(placed).alias("place"), F.count("*").over(Window.partitionBy("fp")).alias("shared"))
     sized = ranked.join(groups, "fp").withColumn("prefix", F.col("n") - F.ceil(F.round(F.lit(least) * F.col("n"), 6)) + 1)
-    prefixes = sized.where("place + n - shared <= prefix").select("token", "fp", "n", "root")
-    mixed = prefixes.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-    prefixes = stage(prefixes.join(mixed, "token"), "prefixes")
-    other = prefixes.select("token", F.col("fp").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"))
-    near = prefixes.join(other, "token").where((F.col("fp") > F.col("b")) & (F.col("root") != F.col("b_root")) & (F.least("n", "b_n") / F.greatest("n", "b_n") >= F.lit(least)))
+    first = sized.where("place + n - shared <= prefix").select("token", "fp", "n", "root")
+    mixed = first.groupBy("token").agg(F.min("root").alias("least_root"), F.max("root").alias("hi")).where("least_root <> hi").drop("hi")
+    return stage(first.join(mixed, "token"), "prefixes")
+
+
+def by_prefixes(groups: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """(a, b), a > b: all pairs of different groups that share a token of ``prefixes`` and whose sizes allow the similarity.
+
+    They number as the square of a group; the stage links each class to a token's least group instead.
+    """
+    first = prefixes(groups, texts, shingle, least)
+    other = first.select("token", F.col("fp").alias("b"), F.col("n").alias("b_n"), F.col("root").alias("b_root"))
+    near = first.join(other, "token").where((F.col("fp") > F.col("b")) & (F.col("root") != F.col("b_root")) & (F.least("n", "b_n") / F.greatest("n", "b_n") >= F.lit(least)))
     return near.select(F.col("fp").alias("a"), "b").distinct()
 
 
@@ -170,32 +243,32 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mark = F.xxhash64(text_of(text_col))
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), mark.alias("mark"), text_of(text_col).alias("text"))
     members = stage(sets(rows, shingle), "shingle-sets")
-    classes = members.groupBy("fp").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    classes = stage(classes.select("fp", "first.doc_id", "first.mark", "n", "keys"), "classes")
+    classes = members.groupBy("fp").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("keys").alias("keys"))
+    classes = stage(classes.select("fp", "first.doc_id", "first.mark", "n", "bits", "keys"), "classes")
+    near = stage(by_bits(classes.where("n > 0")), "links")
     keyed = classes.select("fp", "n", F.explode("keys").alias("key")).repartition(n, "key")
-    full = keyed.groupBy("key").agg(F.count("*").alias("members"), F.min(F.struct("fp", "n")).alias("least")).where("members > 1")
-    buckets = stage(keyed.join(full, "key").select("key", "fp", "n", F.col("least.fp").alias("least"), F.col("least.n").alias("least_n")), "buckets")
-    wanted = stage(buckets.select("fp").distinct().join(classes, "fp").select("fp", "doc_id", "mark"), "wanted")
+    full = keyed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1").select("key")
+    buckets = stage(keyed.join(full, "key"), "buckets")
+    wanted = buckets.select("fp").union(near.select("a")).union(near.select("b")).distinct()
+    wanted = stage(wanted.join(classes, "fp").select("fp", "doc_id", "mark"), "wanted")
     texts = stage(rows.join(wanted, ["doc_id", "mark"]).select("fp", "text").dropDuplicates(["fp"]), "near-texts")
-
-    def sized(x: str, y: str):
-        return F.least(x, y) / F.greatest(x, y) >= F.lit(least)
-
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = docs.sparkSession.conf.get(batch)
     try:
-        # a row of a check holds two whole texts; all of these steps run here
+        # a row of a check holds a whole text; all of these steps run here
         docs.sparkSession.conf.set(batch, str(PAIRS))
-        stars = stage(buckets.where((F.col("fp") != F.col("least")) & sized("n", "least_n")).select(F.col("fp").alias("a"), F.col("least").alias("b")).distinct(), "pairs")
-        links = stage(checked(stars, texts, shingle, least), "links")
-        rooted = buckets.join(contract(links).withColumnRenamed("a", "fp"), "fp", "left").select("key", "fp", "n", F.coalesce("b", "fp").alias("root"))
+        roots = checked(near, classes.select("fp", "n", F.col("fp").alias("root")), texts, shingle, least).withColumnRenamed("a", "fp")
+        rooted = stage(buckets.join(roots, "fp", "left").select("key", "fp", "n", F.coalesce("b", "fp").alias("root")), "rooted")
         mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("key")
         open_ = stage(rooted.join(mixed, "key").groupBy("fp").agg(F.first("n").alias("n"), F.first("root").alias("root")), "open-classes")
-        rest = stage(by_prefixes(open_, texts, shingle, least).join(stars, ["a", "b"], "left_anti"), "rest")
-        roots = contract(links.unionByName(checked(rest, texts, shingle, least)))
+        first = prefixes(open_, texts, shingle, least)
+        stars = first.where("root <> least_root").select(F.col("root").alias("a"), F.col("least_root").alias("b")).distinct()
+        further = checked(stars, first.select("fp", "n", "root").distinct(), texts, shingle, least)
     finally:
         docs.sparkSession.conf.set(batch, before)
-    found = classes.select("fp", "doc_id").join(roots.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "doc_id", F.coalesce("b", "fp").alias("root"))
+    found = classes.select("fp", "doc_id").join(roots, "fp", "left").select("fp", "doc_id", F.coalesce("b", "fp").alias("root"))
+    further = further.select(F.col("a").alias("root"), F.col("b").alias("least"))
+    found = spread_lookup(found, found.select("root").distinct().join(further, "root", "left"), "root", "fp", n).select("fp", "doc_id", F.coalesce("least", "root").alias("root"))
     groups = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     best = found.join(groups, "root").select("fp", "component_id")
     lost = spread_lookup(members.select("doc_id", "mark", "fp"), best, "fp", "doc_id", n).where("doc_id <> component_id")

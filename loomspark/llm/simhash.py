@@ -3,17 +3,16 @@
 A document's fingerprint takes, for each of 64 bits, the majority of the XXH64
 hashes of its word shingles. Equal fingerprints are one class; classes link
 when they differ in ``MAX_BITS`` bits or fewer, and a component is what links
-reach.
+reach. ``links`` takes other budgets; the figures below are those of four bits.
 
-Candidates. The 64 bits form a ring of five segments, so the budget of four
-bits gives each segment 4/5 of a bit. By the pigeonring principle a pair
+Candidates. The 64 bits form a ring of a segment more than the budget has bits,
+so five segments, each of which has 4/5 of a bit. By the pigeonring principle a pair
 within budget has a segment from which every chain of l consecutive segments
 differs in at most l * 4/5 bits: the first segment not at all, the first two
 together in one bit, three in two, four in three. A chain of l segments is
 turned into equality keys: the first segment, and a choice of half segments
 among the others that must be free of differences, as many as its bits leave
-untouched. Pairs that share a key then have the whole chain checked, and only
-those that pass have their 64 bits compared. ``chain`` grows with the
+untouched. Pairs that share a key then have the whole ring checked. ``chain`` grows with the
 logarithm of the number of classes (19, 26 or 32 key bits), so that chance
 meetings stay in proportion to the input; results do not depend on it.
 
@@ -35,6 +34,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -45,13 +45,24 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 BLOCK = 8192
-#: First bit and width of each segment, from the lowest bit.
-SEGMENTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Members up to which a bucket's pairs are compared before anything walks it.
+SMALL = 32
 #: Python's bytes.translate table that lower-cases A-Z alone.
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SCAN = 1 << 16
 
 
+def majority(blocks: Iterator, n: int) -> int:
+    """The 64 bits that over half of ``n`` hashes have, which come in arrays of uint64; an empty one ends them."""
+    import numpy as np
+
+    counts = np.zeros(64, np.int64)
+    for block in itertools.takewhile(len, blocks):
+        bits = np.unpackbits(block.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The unsigned fingerprint of one text."""
     import numpy as np
@@ -66,11 +77,7 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(words) - shingle + 1)
     digest, cuts = xxhash.xxh64_intdigest, zip(starts[:n].tolist(), ends[-n:].tolist(), strict=True)
-    counts = np.zeros(64, np.int64)
-    while block := [digest(joined[a:b], SEED) for a, b in itertools.islice(cuts, SCAN)]:
-        bits = np.unpackbits(np.array(block, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+    return majority((np.array([digest(joined[a:b], SEED) for a, b in itertools.islice(cuts, SCAN)], np.uint64) for _ in itertools.count()), n)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
@@ -87,11 +94,19 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(scan, "doc_id long, fp long")
 
 
-def chain_keys(chain: int) -> list:
+@lru_cache
+def segments(max_bits: int) -> tuple[tuple[int, int], ...]:
+    """First bit and width of each segment, from the lowest bit: one more than bits may differ."""
+    m = max_bits + 1
+    widths = [64 // m + (i < 64 % m) for i in range(m)]
+    return tuple((sum(widths[:i]), w) for i, w in enumerate(widths))
+
+
+def chain_keys(chain: int, max_bits: int = MAX_BITS) -> list:
     """Columns of the equality keys of a chain: exact first segment, then all choices of untouched halves."""
-    keys = []
-    for i in range(len(SEGMENTS)):
-        ring = [SEGMENTS[(i + d) % len(SEGMENTS)] for d in range(chain)]
+    keys, parts = [], segments(max_bits)
+    for i in range(len(parts)):
+        ring = [parts[(i + d) % len(parts)] for d in range(chain)]
         halves = [h for at, width in ring[1:] for h in ((at, width // 2), (at + width // 2, width - width // 2))]
         # chain - 1 bits may differ in 2 * (chain - 1) halves
         for free in itertools.combinations(halves, chain - 1):
@@ -104,24 +119,18 @@ def chain_keys(chain: int) -> list:
     return keys
 
 
-def _pass(x):
-    """Which differences (uint64 array) keep the budget: a chain from some segment, then all 64 bits."""
+def _pass(x, max_bits: int = MAX_BITS):
+    """Which differences (uint64 array) keep the budget.
+
+    A chain over the whole ring keeps its share at every length, from some segment, exactly if all 64 bits keep the
+    budget (the cycle lemma), so one count of bits checks both.
+    """
     import numpy as np
 
-    parts = [np.bitwise_count((x >> np.uint64(at)) & np.uint64((1 << width) - 1)) for at, width in SEGMENTS]
-    ok = np.zeros(x.shape, bool)
-    for i in range(len(SEGMENTS)):
-        chain, total = np.ones(x.shape, bool), np.zeros(x.shape, np.int64)
-        for d in range(len(SEGMENTS)):
-            total = total + parts[(i + d) % len(SEGMENTS)]
-            chain &= total * len(SEGMENTS) <= (d + 1) * MAX_BITS
-        ok |= chain
-    at = np.flatnonzero(ok)
-    ok[at] = np.bitwise_count(x[at]) <= MAX_BITS
-    return ok
+    return np.bitwise_count(x) <= max_bits
 
 
-def walk(fps) -> list[tuple[int, int]]:
+def walk(fps, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
     """Links (member, smallest member of its group) within one bucket of distinct uint64 fingerprints."""
     import numpy as np
 
@@ -130,7 +139,7 @@ def walk(fps) -> list[tuple[int, int]]:
         root, left = left[0], left[1:]
         group, todo = [], [root]
         while todo and left.size:
-            near = _pass(left.view(np.uint64) ^ np.int64(todo.pop()).view(np.uint64))
+            near = _pass(left.view(np.uint64) ^ np.int64(todo.pop()).view(np.uint64), max_bits)
             if near.any():
                 found = left[near].tolist()
                 group += found
@@ -140,7 +149,7 @@ def walk(fps) -> list[tuple[int, int]]:
     return links
 
 
-def _links(batches: Iterator) -> Iterator:
+def _links(batches: Iterator, max_bits: int = MAX_BITS) -> Iterator:
     """Rows sorted by (key, fp) -> links. A bucket may span batches; only one bucket is held at a time."""
     import numpy as np
     import pyarrow as pa
@@ -164,23 +173,31 @@ def _links(batches: Iterator) -> Iterator:
         starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         sizes = np.diff(np.append(starts, upto))
         two = starts[sizes == 2]
-        near = two[_pass(fp[two].view(np.uint64) ^ fp[two + 1].view(np.uint64))] if two.size else two
+        near = two[_pass(fp[two].view(np.uint64) ^ fp[two + 1].view(np.uint64), max_bits)] if two.size else two
         links = [np.stack((np.maximum(fp[near], fp[near + 1]), np.minimum(fp[near], fp[near + 1])), 1)]
-        for at, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            if own := walk(np.unique(fp[at : at + n]).view(np.uint64)):
+        # most small buckets hold no near pair, which is seen for all of them at once
+        wanted = sizes > SMALL
+        bucket = np.repeat(np.arange(sizes.size), np.where((sizes > 2) & ~wanted, sizes, 0))
+        small = fp[np.repeat((sizes > 2) & ~wanted, sizes)]
+        for d in range(1, int(sizes[~wanted].max(initial=1))):
+            met = np.flatnonzero(bucket[:-d] == bucket[d:])
+            met = met[_pass(small[met].view(np.uint64) ^ small[met + d].view(np.uint64), max_bits)]
+            wanted[bucket[met]] = True
+        for at, n in zip(starts[wanted].tolist(), sizes[wanted].tolist(), strict=True):
+            if own := walk(np.unique(fp[at : at + n]).view(np.uint64), max_bits):
                 links.append(np.array(own, np.int64))
         links = np.concatenate(links)
         if links.size:
             yield out(links)
 
 
-def links(classes: DataFrame, chain: int | None = None, block: int = BLOCK) -> DataFrame:
-    """Distinct links (a, b), a > b, whose components are those of all pairs within MAX_BITS of ``classes`` (fp)."""
+def links(classes: DataFrame, chain: int | None = None, block: int = BLOCK, max_bits: int = MAX_BITS) -> DataFrame:
+    """Distinct links (a, b), a > b, whose components are those of all pairs within ``max_bits`` of ``classes`` (fp)."""
     n = slots(classes.sparkSession)
     if chain is None:
         count = classes.count()
         chain = 2 if count < 1 << 24 else 3 if count < 1 << 31 else 4
-    keyed = classes.select("fp", F.explode(F.array(*chain_keys(chain))).alias("key"))
+    keyed = classes.select("fp", F.explode(F.array(*chain_keys(chain, max_bits))).alias("key"))
     full = keyed.groupBy("key").count().where(F.col("count") > block).select(F.col("key").alias("hot"), F.ceil(F.col("count") / block).cast("int").alias("blocks"))
     full = stage(full, "full-buckets")
     if not full.isEmpty():
@@ -190,7 +207,7 @@ def links(classes: DataFrame, chain: int | None = None, block: int = BLOCK) -> D
         pair = F.xxhash64("key", F.least(own, F.col("other")), F.greatest(own, F.col("other")))
         keyed = dealt.select("fp", F.when(F.col("blocks").isNull(), F.col("key")).otherwise(pair).alias("key"))
     dealt = keyed.select("key", "fp").repartition(n, "key").sortWithinPartitions("key", "fp")
-    return dealt.mapInArrow(_links, "a long, b long").distinct()
+    return dealt.mapInArrow(lambda batches: _links(batches, max_bits), "a long, b long").distinct()
 
 
 def contract(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -102,3 +102,52 @@ def test_prefixes_lose_no_pair(spark):
     got = {(r.a, r.b) for r in near_copies.by_prefixes(groups, table, 5, 0.8).collect()}
     want = {(a, b) for a in own for b in own if a > b and similarity(own[a], own[b]) >= 0.8}
     assert want and want <= got and len(got) < len(texts) ** 2 / 8
+
+
+def reached(links, nodes):
+    """Each node's smallest reachable one."""
+    root = {x: x for x in nodes}
+    while True:
+        before = dict(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+
+
+def test_stage_links_fingerprints_by_pigeonring(spark):
+    """All classes within the wider budget are joined, and none beyond it."""
+    from loomspark.llm import near_copies
+
+    rng = random.Random(21)
+    bits = []
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        bits += [base, base] + [base ^ sum(1 << p for p in rng.sample(range(64), k)) for k in (1, 5, 6, 7, 8, 12)]
+    signed = [b - (1 << 64) if b >> 63 else b for b in bits]
+    links = [(r.a, r.b) for r in near_copies.by_bits(spark.createDataFrame(list(enumerate(signed)), "fp long, bits long")).collect()]
+    near = [(i, j) for i, j in itertools.combinations(range(len(bits)), 2) if (bits[i] ^ bits[j]).bit_count() <= 7]
+    assert near_copies.MAX_BITS == 7 and all(a > b for a, b in links)
+    assert reached(links, range(len(bits))) == reached(near, range(len(bits)))
+
+
+@pytest.mark.parametrize("block", [1 << 18, 4000])
+def test_loose_group_makes_no_rows_of_pairs(spark, monkeypatch, block):
+    """Of texts about as similar as the bound, what prefixes leave numbers as the texts and not as their pairs, in one block or several."""
+    from loomspark.llm import near_copies
+
+    rng = random.Random(22)
+    base, rows = [f"w{k}" for k in range(200)], []
+    for d in range(80):
+        own = list(base)
+        for p in rng.sample(range(5, 195), 2 if d % 2 else 4):
+            own[p] = f"d{d}p{p}"
+        rows.append((d, " ".join(own)))
+    seen, plain = [], near_copies.checked
+    monkeypatch.setattr(near_copies, "checked", lambda candidates, *rest: seen.append(candidates.count()) or plain(candidates, *rest))
+    monkeypatch.setattr(near_copies, "BLOCK", block)
+    got = near_copies.near_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    want = plain_kept(rows)
+    assert sorted(r.doc_id for r in got.collect()) == want and 1 < len(want) < len(rows)
+    # the first are at most a bucket's members less one, of 48 keys a text
+    assert len(seen) == 2 and seen[0] <= len(rows) * (len(rows) - 1) / 4 and seen[1] <= len(rows)
