@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomspark.llm import exact_dedup, language_id, mixing, near_copies, piece_lattice
-from loomspark.llm.common import stage, table
+from loomspark.llm.common import BATCH, BATCH_BYTES, stage, table
 from loomspark.llm.queries import label_quality, vocabulary
 
 #: A document goes if its language is recognised with less than this probability.
@@ -19,8 +19,14 @@ LEAST_SCORE = 0.5
 BLOCK_CHARS = 12 << 20
 
 
+def bounded(spark: SparkSession) -> None:
+    """Rows of whole texts go to Python workers in batches of ``BATCH`` bytes; results are lazy, so the session keeps the setting."""
+    spark.conf.set(BATCH_BYTES, str(BATCH))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without letters, and those of which no language is likely, go."""
+    bounded(spark)
     return language_id.select_known(docs, language_id.train(docs), LEAST_SCORE)
 
 
@@ -34,6 +40,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     op10's fingerprints, pigeonring chains and contraction come first, with more bits; then what they can't reach.
     """
+    bounded(spark)
     return near_copies.near_dedup(docs)
 
 
@@ -44,6 +51,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix as SentencePiece ids: doc_id, n_pieces, ids, round_trip."""
+    bounded(spark)
     return piece_lattice.encode(docs, vocabulary("piece_bpe_32k.model"), from_files=True, block_chars=BLOCK_CHARS)
 
 

@@ -5,12 +5,18 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+#: Bytes of an Arrow batch of rows that may each hold a whole text. Spark's own limit is in rows alone, so that executors
+#: fill and send tens of MB a task at a time, and Python workers make objects of as much.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH = 4 << 20
 #: Column names that the operators add start with this, so that extra input
 #: columns never clash with them.
 OWN = "__lm_"
@@ -85,6 +91,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of ``BATCH`` bytes for the queries that run meanwhile."""
+    before = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, str(BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
+
+
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Rows of the driver, a row at least, as Arrow columns: lists of rows would take another pair of Python workers in each executor."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    wanted = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(wanted)
+    return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow), wanted)
+
+
 def slots(spark: SparkSession) -> int:
     """How many ways rows are dealt: what the session shuffles into."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -108,7 +108,8 @@ def sample_features(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.list_(pa.int32())), pa.array(cols[3], pa.list_(pa.float32()))], names=["order", "lang", "at", "tf"])
 
     got = chosen.select("order", "lang", "text").mapInArrow(scan, "order long, lang string, at array<int>, tf array<float>").toArrow()
-    rows = zip(got["order"].to_pylist(), got["lang"].to_pylist(), (np.asarray(x.values) for x in got["at"]), (np.asarray(x.values, np.float64) for x in got["tf"]), strict=True)
+    # views of the table's own memory: thousands of small copies would stay in the driver's heap
+    rows = zip(got["order"].to_pylist(), got["lang"].to_pylist(), (np.asarray(x.values) for x in got["at"]), (np.asarray(x.values) for x in got["tf"]), strict=True)
     return sorted(((o, lang, at, tf) for o, lang, at, tf in rows), key=lambda r: (r[0], r[1]))
 
 
@@ -161,7 +162,11 @@ def fit(rows: list, epochs: int = EPOCHS) -> Model:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, **columns) -> Model:
-    return fit(sample_features(docs, sample, **columns))
+    import pyarrow as pa
+
+    model = fit(sample_features(docs, sample, **columns))
+    pa.default_memory_pool().release_unused()  # of the features, which the driver needs no more
+    return model
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import BLOCK_CHARS, check_sum, gathered, numbers_of, planes, scan_blocks
-from .common import bucketed, slots, stage, text_of
+from .common import bucketed, slots, small_table, stage, text_of
 
 MARK = "▁"
 #: Longest unit whose boundaries fit one long with a sign bit to spare.
@@ -133,7 +133,7 @@ def piece_table(spark: SparkSession, path: str) -> DataFrame:
     """(piece, id, score, rank): rank 0 is the best score, equal scores have equal ranks. A row a piece of the vocabulary."""
     rows, _ = pieces(path)
     ranks = {s: i for i, s in enumerate(sorted({s for *_, s in rows}, reverse=True))}
-    return spark.createDataFrame([(p, i, float(s), ranks[s]) for p, i, s in rows], "piece string, id int, score double, rank int")
+    return small_table(spark, [(p, i, float(s), ranks[s]) for p, i, s in rows], "piece string, id int, score double, rank int")
 
 
 def reach_table(spark: SparkSession, path: str) -> DataFrame:
@@ -142,7 +142,7 @@ def reach_table(spark: SparkSession, path: str) -> DataFrame:
     for p, *_ in pieces(path)[0]:
         if len(p) >= PREFIX:
             reach[p[:PREFIX]] = max(reach.get(p[:PREFIX], 0), len(p))
-    return spark.createDataFrame(list(reach.items()) or [("", 0)], "prefix string, reach int")
+    return small_table(spark, list(reach.items()) or [("", 0)], "prefix string, reach int")
 
 
 #: SQL of the parts of a packed edge ``e``; six bits are all that a short unit's start has.
@@ -204,7 +204,7 @@ def encode_units(units: DataFrame, path: str, fold: str = "merge") -> DataFrame:
     rows, _ = pieces(path)
     longest = max(len(p) for p, *_ in rows)
     # an empty substring at each unit's start meets an empty piece, so that a unit without edges keeps its row
-    none = spark.createDataFrame([("", None, None, None)], "piece string, id int, score double, rank int")
+    none = small_table(spark, [("", None, None, None)], "piece string, id int, score double, rank int")
     known = F.broadcast(piece_table(spark, path).unionByName(none))
     starts = units.select("unit", F.length("unit").alias("n")).select("unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("a"))
     starts = starts.withColumn("prefix", F.substring("unit", F.col("a") + 1, F.lit(PREFIX))).join(F.broadcast(reach_table(spark, path)), "prefix", "left")
@@ -381,7 +381,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     Ids are joined to the table of spellings as hex, so that byte pieces and
     ordinary ones are put together before they become text.
     """
-    spelled = encoded.sparkSession.createDataFrame([(i, s.hex()) for i, s in spelling(path).items()], "id int, hex string")
+    spelled = small_table(encoded.sparkSession, [(i, s.hex()) for i, s in spelling(path).items()], "id int, hex string")
     flat = encoded.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(ids_col).alias("pos", "id"))
     met = flat.join(F.broadcast(spelled), "id", "left")
     met = met.withColumn("hex", F.when(F.col("id").isNotNull() & F.col("hex").isNull(), F.raise_error(F.lit("an id has no piece")).cast("string")).otherwise(F.coalesce("hex", F.lit(""))))

@@ -8,7 +8,8 @@ import sentencepiece
 import public_tokenizers
 
 import corpus_pipeline
-from loomspark.llm.common import stage
+from loomspark.llm import language_id, piece_lattice
+from loomspark.llm.common import BATCH_BYTES, stage
 from loomspark.llm.near_copies import shingles, similarity
 
 SF = "/root/testdata/sf0.001"
@@ -83,3 +84,16 @@ def test_run_on_nulls_ties_and_clashing_columns(spark, tmp_path):
     texts = {(r[0], r[1]) for r in rows}
     assert got and all(r.doc_id not in (100, 101) for r in got)
     assert all(any(d == r.doc_id and sp.encode(t or "") == list(r.ids) for d, t in texts) for r in got)
+
+
+def test_memory_of_driver_and_workers(spark):
+    """The driver keeps views of the sample's table instead of thousands of arrays; the vocabulary takes no Python workers; batches are bounded."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = language_id.sample_features(docs)
+    assert rows and not any(x.flags.owndata for r in rows for x in r[2:])
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    for df in (piece_lattice.piece_table(spark, path), piece_lattice.reach_table(spark, path)):
+        assert "ExistingRDD" not in df._jdf.queryExecution().toString()
+    spark.conf.unset(BATCH_BYTES)
+    dict(corpus_pipeline.STAGES)["sentencepiece"](spark, docs.limit(1), SF)
+    assert int(spark.conf.get(BATCH_BYTES)) <= 4 << 20
