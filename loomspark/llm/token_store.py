@@ -41,7 +41,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slots, text_of
+from .common import shared_dir, slots, small_batches, text_of
 from .units import ByteUnits, encoder
 
 WINDOW = 16
@@ -51,6 +51,8 @@ MAX_IDS = 2048
 #: Documents that begin in the same 2^SPAN_BITS token positions are put together at once.
 SPAN_BITS = 21
 KEY_BYTES = 16
+#: Texts of a batch whose ids and chunks are Python objects at a time.
+ROWS = 256
 #: Chunks that a task remembers as given out.
 REMEMBER = 1 << 20
 OBJECT = "kind string, key binary, doc_id long, n long, width int, body binary, root binary"
@@ -116,37 +118,40 @@ def widened(width: int, body: bytes):
     return np.frombuffer(body, f"<u{width}").astype("<u4")
 
 
+def stored(batches: Iterator, vocabulary: str, end_id: int) -> Iterator:
+    """Batches of (doc_id, text) -> batches of ``OBJECT``: the chunks that this task meets for the first time, and the recipes."""
+    import numpy as np
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()  # of the worker's earlier tasks
+    enc, given, end = encoder(ByteUnits, vocabulary), set(), np.array([end_id], "<u4").tobytes()
+    for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
+        out: list[tuple] = []
+        texts = b.column(1).to_pylist()
+        for i, (doc, stream) in enumerate(zip(b.column(0).to_pylist(), enc.encode(texts), strict=True)):
+            ids = np.frombuffer(stream + end, "<u4")
+            keys, last = [], 0
+            for cut in cut_points(ids):
+                part = ids[last:cut]
+                keys.append(key := chunk_key(part.tobytes()))
+                if key not in given:
+                    if len(given) >= REMEMBER:
+                        given.clear()
+                    given.add(key)
+                    width, body = narrowed(part)
+                    out.append(("chunk", key, None, cut - last, width, body, None))
+                last = cut
+            # the own key deals recipes out evenly and keeps repeated rows apart
+            out.append(("recipe", uuid.uuid5(uuid.NAMESPACE_OID, f"{doc} {i}").bytes, doc, len(ids), None, b"".join(keys), merkle(keys)))
+        cols = list(zip(*out, strict=True))
+        types = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["kind", "key", "doc_id", "n", "width", "body", "root"])
+
+
 def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text, append ``end_id``, and write the store."""
     spark, n = docs.sparkSession, slots(docs.sparkSession)
 
-    def scan(batches: Iterator) -> Iterator:
-        import numpy as np
-        import pyarrow as pa
-
-        enc, given, end = encoder(ByteUnits, vocabulary), set(), np.array([end_id], "<u4").tobytes()
-        for b in batches:
-            out: list[tuple] = []
-            texts = b.column(1).to_pylist()
-            for i, (doc, stream) in enumerate(zip(b.column(0).to_pylist(), enc.encode(texts), strict=True)):
-                ids = np.frombuffer(stream + end, "<u4")
-                keys, last = [], 0
-                for cut in cut_points(ids):
-                    part = ids[last:cut]
-                    keys.append(key := chunk_key(part.tobytes()))
-                    if key not in given:
-                        if len(given) >= REMEMBER:
-                            given.clear()
-                        given.add(key)
-                        width, body = narrowed(part)
-                        out.append(("chunk", key, None, cut - last, width, body, None))
-                    last = cut
-                # the own key deals recipes out evenly and keeps repeated rows apart
-                out.append(("recipe", uuid.uuid5(uuid.NAMESPACE_OID, f"{doc} {i}").bytes, doc, len(ids), None, b"".join(keys), merkle(keys)))
-            cols = list(zip(*out, strict=True))
-            types = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["kind", "key", "doc_id", "n", "width", "body", "root"])
-
     def once(batches: Iterator) -> Iterator:
         """Of rows sorted by (kind, key), one a chunk."""
         import pyarrow as pa
@@ -159,9 +164,10 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col:
             yield b.filter(pa.array(new, pa.bool_()))
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
-    objects = rows.mapInArrow(scan, OBJECT).repartition(n, "key").sortWithinPartitions("kind", "key").mapInArrow(once, OBJECT)
+    objects = rows.mapInArrow(lambda batches: stored(batches, vocabulary, end_id), OBJECT).repartition(n, "key").sortWithinPartitions("kind", "key").mapInArrow(once, OBJECT)
     ident = f"objects_{uuid.uuid4().hex}"
-    objects.write.option("path", f"{path}/objects").partitionBy("kind").bucketBy(n, "key").sortBy("key").saveAsTable(ident)
+    with small_batches(spark):
+        objects.write.option("path", f"{path}/objects").partitionBy("kind").bucketBy(n, "key").sortBy("key").saveAsTable(ident)
     spark.sql(f"DROP TABLE {ident}")  # the files stay
     spark.range(1).select(F.lit(n).alias("buckets")).write.parquet(f"{path}/layout")
 

@@ -13,7 +13,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from loomspark.llm import exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, simhash, subword_lm, token_counts, token_store
+from loomspark.llm import common, exact_dedup, language_id, mixing, order_minhash, page_text, piece_lattice, simhash, subword_lm, token_counts, token_store
 
 SCHEMA = "doc_id long, text string, lang string, source string, slot string, fp int, keep_id double"
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -257,6 +257,35 @@ def test_token_store_chunks():
         assert (token_store.widened(*token_store.narrowed(body)) == body).all()
 
 
+def test_token_store_holds_few_texts_at_a_time(spark):
+    """However many texts a batch brings, ids and chunks of ``ROWS`` of them are held; the encoder is that of any batch."""
+    import pyarrow as pa
+
+    n = 2 * token_store.ROWS + 3
+    whole = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([f"text number {i % 5}" for i in range(n)])], names=["doc_id", "text"])
+    got = list(token_store.stored(iter([whole]), BYTES, 0))
+    recipes = [[d for k, d in zip(b["kind"].to_pylist(), b["doc_id"].to_pylist(), strict=True) if k == "recipe"] for b in got]
+    assert [len(r) for r in recipes] == [token_store.ROWS, token_store.ROWS, 3] and sum(recipes, []) == list(range(n))
+    assert sum(k == "chunk" for b in got for k in b["kind"].to_pylist()) == 5
+
+
+def test_small_batches(spark):
+    """Texts reach Python workers a few MB at a time, one larger than that alone; the session's setting comes back."""
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64()), pa.array([b.nbytes], pa.int64())], names=["rows", "bytes"])
+
+    rows = spark.range(0, 6000, 1, 1).select(F.when(F.col("id") == 3000, F.repeat(F.lit("0123456789"), common.BATCH // 8)).otherwise(F.repeat(F.lit("0123456789"), 300)).alias("text"))
+    before = spark.conf.get(common.BATCH_BYTES, None)
+    with common.small_batches(spark):
+        got = rows.mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r.rows for r in got) == 6000 and max(r.bytes for r in got if r.rows > 1) < 3 * common.BATCH
+    assert spark.conf.get(common.BATCH_BYTES, None) == before
+
+
 def test_token_store_notices_damage(spark, docs, tmp_path):
     path = str(tmp_path / "store")
     token_store.write(docs.limit(5), path, BYTES)
